@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 
 from parcelight.functions.text import MISSING_TEXT, _col, strip
 
-# Plain decimal or scientific notation. Spark's cast alone also accepts type
-# suffixes ('1.5d') and the words for infinity and not-a-number.
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Letters by which Spark's cast reads more than plain decimal or scientific
+# notation: type suffixes ('1.5d', '2F') and hexadecimal ('0x1p3').
+_NOT_PLAIN = "dDfFxX"
+_LARGEST = 1.7976931348623157e308
 
 
 def parse_number(c: Column | str) -> Column:
-    """Text as double, NULL when it is not a number."""
-    text = strip(c)
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    """Text as double, NULL when it is not a finite number. Blanks around the
+    number are ignored."""
+    c = _col(c)
+    number = c.try_cast("double")
+    plain = F.abs(number) <= _LARGEST  # neither infinite nor NaN
+    for letter in _NOT_PLAIN:
+        plain = plain & ~c.contains(letter)
+    return F.when(plain, number)
 
 
 def number_or_zero(c: Column | str) -> Column:

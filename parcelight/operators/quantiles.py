@@ -15,7 +15,8 @@ _SHIFT = 2048 * _PER_OCTAVE
 def _bucket(value: Column) -> Column:
     """Whole number that never decreases as ``value`` grows."""
     size = F.floor(F.log2(F.abs(value)) * _PER_OCTAVE) + F.lit(_SHIFT)
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0))
+    signed = F.when(value > 0, size).when(value < 0, -size)
+    return F.coalesce(signed, F.lit(0))
 
 
 def exact_quantiles(
@@ -33,27 +34,19 @@ def exact_quantiles(
     exact. Missing values and missing groups are left out.
     """
     by = list(by)
-    present = df.where(F.col(value).isNotNull()).select(
-        *by, F.col(value).cast("double").alias("_v")
-    )
+    usable = F.col(value).isNotNull()
     for key in by:
-        present = present.where(F.col(key).isNotNull())
+        usable = usable & F.col(key).isNotNull()
     counts = (
-        present.groupBy(*by, "_v")
+        df.where(usable)
+        .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_bucket", _bucket(F.col("_v")))
     )
 
-    in_order = Window.partitionBy(*by).orderBy("_bucket")
-    whole = Window.partitionBy(*by)
-    buckets = (
-        counts.groupBy(*by, "_bucket")
-        .agg(F.sum("_c").alias("_c"))
-        .withColumn(
-            "_through",
-            F.sum("_c").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
-        )
-        .withColumn("_n", F.sum("_c").over(whole))
+    # Places before each bucket, and the places wanted (0-based).
+    up_to_here = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, 0
     )
     wanted = F.array(
         *[
@@ -66,14 +59,19 @@ def exact_quantiles(
             for side, rounded in (("low", F.floor), ("high", F.ceil))
         ]
     )
-    before = F.col("_through") - F.col("_c")
     targets = (
-        buckets.withColumn("_before", before)
-        .select(*by, "_bucket", "_before", "_through", "_n",
-                F.explode(wanted).alias("_w"))
-        .where((F.col("_w.at") >= F.col("_before"))
-               & (F.col("_w.at") < F.col("_through")))
-        .select(*by, "_bucket", "_before", "_n", "_w.*")
+        counts.groupBy(*by, "_bucket")
+        .agg(F.sum("_c").alias("_c"))
+        .select(
+            *by,
+            "_bucket",
+            (F.sum("_c").over(up_to_here) - F.col("_c")).alias("_before"),
+            F.sum("_c").over(up_to_here).alias("_through"),
+            F.sum("_c").over(Window.partitionBy(*by)).alias("_n"),
+        )
+        .select("*", F.inline(wanted))
+        .where("at >= _before AND at < _through")
+        .drop("_through")
     )
     if not by:
         targets = F.broadcast(targets)  # two rows per quantile
@@ -81,32 +79,21 @@ def exact_quantiles(
     in_bucket = Window.partitionBy(*by, "name", "side").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    through = F.col("_before") + F.sum("_c").over(in_bucket)
     picked = (
         counts.join(targets, [*by, "_bucket"])
-        .withColumn("_upto", through)
-        .where((F.col("at") < F.col("_upto"))
-               & (F.col("at") >= F.col("_upto") - F.col("_c")))
-    )
-
-    def value_at(name: str, side: str) -> Column:
-        hit = (F.col("name") == name) & (F.col("side") == side)
-        return F.max(F.when(hit, F.col("_v")))
-
-    found = picked.groupBy(*by).agg(
-        F.max("_n").alias("_n"),
-        *[
-            value_at(name, side).alias(f"_{side}_{name}")
-            for name in quantiles
-            for side in ("low", "high")
-        ],
+        .withColumn("_upto", F.col("_before") + F.sum("_c").over(in_bucket))
+        .where("at < _upto AND at >= _upto - _c")
     )
 
     def interpolated(name: str, p: float) -> Column:
-        position = F.lit(p) * (F.col("_n") - 1)
-        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        return low + (high - low) * (position - F.floor(position))
+        def value_at(side: str) -> Column:
+            hit = (F.col("name") == name) & (F.col("side") == side)
+            return F.max(F.when(hit, F.col("_v")))
+
+        place = F.lit(p) * (F.max("_n") - 1)
+        low, high = value_at("low"), value_at("high")
+        return low + (high - low) * (place - F.floor(place))
 
-    return found.select(
-        *by, *[interpolated(name, p).alias(name) for name, p in quantiles.items()]
+    return picked.groupBy(*by).agg(
+        *[interpolated(name, p).alias(name) for name, p in quantiles.items()]
     )

@@ -8,6 +8,8 @@ never by arrival.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,8 @@ def restore_key(c: str) -> Column:
 
 
 def first_by_key(
-    df: DataFrame, key: str, values: dict[str, Column], order: Column
+    df: DataFrame, key: str, columns: Sequence[str], order: Column
 ) -> DataFrame:
-    """The row of each key with the smallest ``order``, projected to ``values``."""
-    winner = F.min_by(F.struct(*[v.alias(n) for n, v in values.items()]), order)
+    """``columns`` of each key's row with the smallest ``order``."""
+    winner = F.min_by(F.struct(*columns), order)
     return df.groupBy(key).agg(winner.alias("_row")).select(key, "_row.*")

@@ -15,7 +15,12 @@ from parcelight.constants import (
     ZIP_TO_CITY,
 )
 from parcelight.functions import normal_text, zero_pad, zero_to_null
-from parcelight.operators import exact_quantiles
+from parcelight.operators import attach_group_values, exact_quantiles
+
+# Use codes kept in the plan as a literal map.
+LITERAL_CODES = 64
+# Group of all rows; no use code looks like this.
+ALL_CODES = "\u0000"
 
 
 def pad_use_code(df: DataFrame) -> DataFrame:
@@ -38,9 +43,14 @@ def value_fence(df: DataFrame, factor: float = FENCE_FACTOR) -> DataFrame:
 
 
 def drop_value_outliers(df: DataFrame, factor: float = FENCE_FACTOR) -> DataFrame:
-    """Keeps values up to the fence, a scalar subquery over the same rows."""
-    bound = value_fence(df, factor).select("upper_bound").scalar()
-    return df.where(F.col("JV") <= bound)
+    """Keeps values up to the fence of the same rows.
+
+    The fence is fitted first, from the value column alone, and enters the
+    plan as a number: the filter then reaches the scan, and later steps do not
+    work the quartiles out again.
+    """
+    bound = value_fence(df, factor).first()["upper_bound"]
+    return df.where(F.col("JV") <= F.lit(bound).cast("double"))
 
 
 def filter_leads(df: DataFrame) -> DataFrame:
@@ -94,27 +104,39 @@ def unknown_city_share(df: DataFrame) -> DataFrame:
 # -- years and area --------------------------------------------------------------
 
 
-def fill_actual_year(df: DataFrame) -> DataFrame:
+def median_years(df: DataFrame) -> DataFrame:
+    """Median known year per use code, and of all rows under ALL_CODES."""
+    groups = F.explode(F.array("DOR_UC", F.lit(ALL_CODES)))
+    known = df.where(F.col("ACT_YR_BLT") > 0)
+    return exact_quantiles(
+        known.select(groups.alias("DOR_UC"), "ACT_YR_BLT"),
+        "ACT_YR_BLT", {"_code_year": 0.5}, ["DOR_UC"],
+    )
+
+
+def fill_actual_year(df: DataFrame, literal_codes: int = LITERAL_CODES) -> DataFrame:
     """Year 0 replaced by the median year of the use code, else of all rows.
 
-    Raises when a year is missing and no row has one.
+    The medians are fitted first. Up to ``literal_codes`` codes (cleaning
+    leaves four) they become a literal map, so filling moves no row; more are
+    joined. Raises when no row has a known year.
     """
-    known = df.where(F.col("ACT_YR_BLT") > 0)
-    by_code = exact_quantiles(known, "ACT_YR_BLT", {"_code_year": 0.5}, ["DOR_UC"])
-    overall = exact_quantiles(known, "ACT_YR_BLT", {"year": 0.5}).scalar()
-    nothing_known = F.raise_error(F.lit("no known year built in any row"))
-    fallback = F.coalesce(overall.cast("int").cast("double"), nothing_known)
-    year = F.when(
-        F.col("ACT_YR_BLT") == 0, F.coalesce("_code_year", fallback)
-    ).otherwise(F.col("ACT_YR_BLT"))
-    # One row per use code: three characters, and only residential codes are
-    # left at this point.
-    return (
-        df.join(F.broadcast(by_code), "DOR_UC", "left")
-        .withColumn("ACT_YR_BLT", year.cast("int"))
-        .drop("_code_year")
-        .select(*df.columns)
-    )
+    medians = median_years(df)
+    few = medians.limit(literal_codes + 2).collect()
+    if len(few) <= literal_codes + 1:
+        years = {row["DOR_UC"]: row["_code_year"] for row in few}
+        overall = years.get(ALL_CODES)
+        pairs = [F.lit(v) for pair in years.items() for v in pair]
+        known = F.create_map(*pairs).cast("map<string,double>")
+        rows = df.withColumn("_code_year", F.element_at(known, F.col("DOR_UC")))
+    else:
+        overall = medians.where(F.col("DOR_UC") == ALL_CODES).first()["_code_year"]
+        rows = attach_group_values(df, medians, "DOR_UC")
+    if overall is None and not df.isEmpty():
+        raise ValueError("no known year built in any row")
+    filled = F.coalesce("_code_year", F.lit(int(overall or 0)))
+    year = F.when(F.col("ACT_YR_BLT") == 0, filled).otherwise(F.col("ACT_YR_BLT"))
+    return rows.withColumn("ACT_YR_BLT", year.cast("int")).select(*df.columns)
 
 
 def fill_effective_year(df: DataFrame) -> DataFrame:

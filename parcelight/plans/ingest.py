@@ -39,26 +39,38 @@ def _unkeyed(df: DataFrame) -> DataFrame:
 
 
 # -- keyed forms: one row per parcel, hash-partitioned by _key -----------------
+#
+# The winning row is chosen on the raw text; only winners are parsed.
 
 
 def _property(df: DataFrame, strict_nulls: bool) -> DataFrame:
-    values = {
-        "DOR_UC": code_prefix("Prop_Use_Code"),
-        "PHY_CITY": normal_text("City_Desc", upper=True, strict_nulls=strict_nulls),
-        "NBRHD_CD": normal_text("NBHD_Code", strict_nulls=strict_nulls),
-        ORDINAL: F.col(ORDINAL),
-    }
-    return first_by_key(_keyed(df), KEY, values, F.col(ORDINAL))
+    columns = ["Prop_Use_Code", "City_Desc", "NBHD_Code", ORDINAL]
+    first = first_by_key(_keyed(df), KEY, columns, F.col(ORDINAL))
+    return first.select(
+        KEY,
+        code_prefix("Prop_Use_Code").alias("DOR_UC"),
+        normal_text("City_Desc", True, strict_nulls).alias("PHY_CITY"),
+        normal_text("NBHD_Code", strict_nulls=strict_nulls).alias("NBRHD_CD"),
+        ORDINAL,
+    )
 
 
 def _owners(df: DataFrame, strict_nulls: bool) -> DataFrame:
-    values = {
-        "OWN_NAME": normal_text("Owner_Mail_Name", strict_nulls=strict_nulls),
-        "OWN_ADDR1": normal_text("Owner_Mail_Addr1", strict_nulls=strict_nulls),
-        "OWN_STATE_": normal_text("Owner_Mail_State", strict_nulls=strict_nulls),
-        "PHY_ZIPCD": zip5("Owner_Mail_Zip"),
+    texts = {
+        "OWN_NAME": "Owner_Mail_Name",
+        "OWN_ADDR1": "Owner_Mail_Addr1",
+        "OWN_STATE_": "Owner_Mail_State",
     }
-    return first_by_key(_keyed(df), KEY, values, F.col(ORDINAL))
+    columns = [*texts.values(), "Owner_Mail_Zip"]
+    first = first_by_key(_keyed(df), KEY, columns, F.col(ORDINAL))
+    return first.select(
+        KEY,
+        *[
+            normal_text(raw, strict_nulls=strict_nulls).alias(c)
+            for c, raw in texts.items()
+        ],
+        zip5("Owner_Mail_Zip").alias("PHY_ZIPCD"),
+    )
 
 
 def newest_first() -> Column:
@@ -70,13 +82,14 @@ def newest_first() -> Column:
 
 
 def _history(df: DataFrame) -> DataFrame:
-    values = {
-        "JV": number_or_zero("Just_Value"),
-        "LND_VAL": number_or_zero("Land_Value"),
-        "JV_HMSTD": number_or_zero("County_Exempt_Amount"),
-        "JV_CHNG": F.lit(0.0),
-    }
-    return first_by_key(_keyed(df), KEY, values, newest_first())
+    columns = ["Just_Value", "Land_Value", "County_Exempt_Amount"]
+    return first_by_key(_keyed(df), KEY, columns, newest_first()).select(
+        KEY,
+        number_or_zero("Just_Value").alias("JV"),
+        number_or_zero("Land_Value").alias("LND_VAL"),
+        number_or_zero("County_Exempt_Amount").alias("JV_HMSTD"),
+        F.lit(0.0).alias("JV_CHNG"),
+    )
 
 
 def _land(df: DataFrame) -> DataFrame:
@@ -88,57 +101,50 @@ def _land(df: DataFrame) -> DataFrame:
 
 
 def _improvements(df: DataFrame) -> DataFrame:
-    area = number_or_zero("Heated_SquareFeet")
-    largest_first = F.struct((-area).alias("area"), F.col(ORDINAL))
-    largest = F.struct(
-        number_or_zero("Actual_YrBlt").alias("ACT_YR_BLT"),
-        number_or_zero("Effective_YrBlt").alias("EFF_YR_BLT"),
-        area.alias("TOT_LVG_AR"),
-    )
-    buildings = drop_non_buildings(df).where(F.col("Parcel").isNotNull())
+    buildings = _keyed(
+        drop_non_buildings(df).where(F.col("Parcel").isNotNull())
+    ).withColumn("area", number_or_zero("Heated_SquareFeet"))
+    largest = F.struct("Actual_YrBlt", "Effective_YrBlt", "area")
+    largest_first = F.struct((-F.col("area")).alias("by_area"), F.col(ORDINAL))
     return (
-        _keyed(buildings)
-        .groupBy(KEY)
+        buildings.groupBy(KEY)
         .agg(
-            F.min_by(largest, largest_first).alias("_row"),
+            F.min_by(largest, largest_first).alias("largest"),
             F.countDistinct("Bldg_Num").cast("int").alias("NO_BULDNG"),
         )
         .select(
-            KEY, "_row.*", "NO_BULDNG", F.col("NO_BULDNG").alias("NO_RES_UNT")
+            KEY,
+            number_or_zero(F.col("largest.Actual_YrBlt")).alias("ACT_YR_BLT"),
+            number_or_zero(F.col("largest.Effective_YrBlt")).alias("EFF_YR_BLT"),
+            F.col("largest.area").alias("TOT_LVG_AR"),
+            "NO_BULDNG",
+            F.col("NO_BULDNG").alias("NO_RES_UNT"),
         )
     )
 
 
 def _sales(df: DataFrame) -> DataFrame:
-    line = parse_number("Sale_Line_Num")
-    priced = _keyed(df).select(
-        KEY,
-        ORDINAL,
-        line.alias("line"),
-        number_or_zero("Sale_Price").alias("price"),
-        year_prefix("Sale_Date").alias("year"),
-        F.coalesce("DOR_Qual_Code", F.lit("")).alias("code"),
-    )
+    lines = _keyed(df).withColumn("line", parse_number("Sale_Line_Num"))
 
-    def first_of(number: int, *fields: str) -> Column:
+    def first_of(number: int, *columns: str) -> Column:
         on_line = F.when(F.col("line") == number, F.col(ORDINAL))
-        return F.min_by(F.struct(*fields), on_line)
+        return F.min_by(F.struct(*columns), on_line)
 
     return (
-        priced.where(F.col("line").isin(0.0, 1.0))
+        lines.where(F.col("line").isin(0.0, 1.0))
         .groupBy(KEY)
         .agg(
-            first_of(0, "price", "year", "code").alias("latest"),
-            first_of(1, "price", "year").alias("previous"),
+            first_of(0, "Sale_Price", "Sale_Date", "DOR_Qual_Code").alias("latest"),
+            first_of(1, "Sale_Price", "Sale_Date").alias("previous"),
         )
         .where(F.col("latest").isNotNull())
         .select(
             KEY,
-            F.col("latest.price").alias("SALE_PRC1"),
-            F.col("latest.year").alias("SALE_YR1"),
-            F.col("latest.code").alias("QUAL_CD1"),
-            F.coalesce("previous.price", F.lit(0.0)).alias("SALE_PRC2"),
-            F.coalesce("previous.year", F.lit(0.0)).alias("SALE_YR2"),
+            number_or_zero(F.col("latest.Sale_Price")).alias("SALE_PRC1"),
+            year_prefix(F.col("latest.Sale_Date")).alias("SALE_YR1"),
+            F.coalesce("latest.DOR_Qual_Code", F.lit("")).alias("QUAL_CD1"),
+            number_or_zero(F.col("previous.Sale_Price")).alias("SALE_PRC2"),
+            year_prefix(F.col("previous.Sale_Date")).alias("SALE_YR2"),
         )
     )
 

@@ -191,9 +191,11 @@ def join_coverage(
 def common_keys(
     left: DataFrame, right: DataFrame, key: str = "Parcel"
 ) -> DataFrame:
-    """Distinct keys present on both sides."""
-    return (
-        left.where(F.col(key).isNotNull()).select(key).intersect(right.select(key))
+    """Distinct keys present on both sides. Each side is made distinct before
+    the join, so a key's repeats never travel."""
+    known = left.where(F.col(key).isNotNull())
+    return known.select(key).distinct().join(
+        right.select(key).distinct(), key, "left_semi"
     )
 
 
@@ -201,27 +203,37 @@ def survival_estimate(
     property_rows: DataFrame, history: DataFrame, codes=RESIDENTIAL_CODES
 ) -> DataFrame:
     """Rows left after the use-code and minimum-value filters, before the full
-    build: a semi-join on the parcels whose latest value is high enough."""
-    residential = property_rows.where(code_prefix("Prop_Use_Code").isin(*codes))
-    latest = latest_values(history, ["Just_Value"])
-    valued = latest.where(F.col("Just_Value") >= MIN_JUST_VALUE)
-    return _funnel(
-        [
-            ("all", property_rows),
-            ("residential", residential),
-            ("minimum value", residential.join(valued, "Parcel", "left_semi")),
-        ]
+    build. Rows are counted per parcel before they meet the latest values."""
+    residential = code_prefix("Prop_Use_Code").isin(*codes)
+    per_parcel = property_rows.groupBy("Parcel").agg(
+        F.count(F.lit(1)).alias("_all"), F.count_if(residential).alias("_res")
+    )
+    valued = latest_values(history, ["Just_Value"]).where(
+        F.col("Just_Value") >= MIN_JUST_VALUE
+    )
+    kept = F.when(F.col("Just_Value").isNotNull(), F.col("_res"))
+    return _as_steps(
+        per_parcel.join(valued, "Parcel", "left").agg(
+            F.sum("_all").alias("all"),
+            F.sum("_res").alias("residential"),
+            F.coalesce(F.sum(kept), F.lit(0)).alias("minimum value"),
+        )
     )
 
 
-def _funnel(steps: list[tuple[str, DataFrame]]) -> DataFrame:
-    out = None
-    for place, (name, df) in enumerate(steps, start=1):
-        row = df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(place).alias("step"), F.lit(name).alias("filter"), "rows"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+def _as_steps(one_row: DataFrame) -> DataFrame:
+    """Column per filter to one row per filter, with the rows it removed."""
+    names = one_row.columns
+    left = F.array(*[F.col(f"`{n}`") for n in names])
+    return one_row.select(
+        F.posexplode(left).alias("_at", "rows"), left.alias("_left")
+    ).select(
+        (F.col("_at") + 1).alias("step"),
+        F.element_at(F.array(*map(F.lit, names)), F.col("_at") + 1).alias("filter"),
+        "rows",
+        F.coalesce(F.get("_left", F.col("_at") - 1) - F.col("rows"), F.lit(0))
+        .cast("bigint").alias("removed"),
+    )
 
 
 def survival_funnel(leads: DataFrame) -> DataFrame:
@@ -238,20 +250,7 @@ def survival_funnel(leads: DataFrame) -> DataFrame:
         "minimum value": valued,
         "value fence": valued & (F.col("JV") <= bound),
     }
-    names = list(steps)
-    counted = condition_counts(padded, steps)
-    rows = counted.select(
-        F.posexplode(F.array(*[F.col(f"`{n}`") for n in names])).alias("at", "rows"),
-        F.array(*[F.lit(n) for n in names]).alias("names"),
-        F.array(*[F.col(f"`{n}`") for n in names]).alias("all"),
-    )
-    earlier = F.get("all", F.col("at") - 1)
-    return rows.select(
-        (F.col("at") + 1).alias("step"),
-        F.get("names", F.col("at")).alias("filter"),
-        "rows",
-        F.coalesce(earlier - F.col("rows"), F.lit(0).cast("bigint")).alias("removed"),
-    )
+    return _as_steps(condition_counts(padded, steps))
 
 
 def rule_compare(sales: DataFrame) -> DataFrame:
@@ -280,9 +279,6 @@ def range_violations(features: DataFrame, as_of_year: int) -> DataFrame:
 
 def latest_values(history: DataFrame, columns: list[str]) -> DataFrame:
     """The named columns of each parcel's latest tax year, as numbers."""
-    return first_by_key(
-        history.where(F.col("Parcel").isNotNull()),
-        "Parcel",
-        {c: parse_number(c) for c in columns},
-        newest_first(),
-    )
+    known = history.where(F.col("Parcel").isNotNull())
+    latest = first_by_key(known, "Parcel", columns, newest_first())
+    return latest.select("Parcel", *[parse_number(c).alias(c) for c in columns])

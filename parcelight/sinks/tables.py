@@ -36,7 +36,7 @@ def append_new_rows(
     """
     stored = tables.read(table)
     order = order if order is not None else F.struct(*sorted(batch.columns))
-    others = {c: F.col(c) for c in batch.columns if c != key}
+    others = [c for c in batch.columns if c != key]
     first = first_by_key(batch.where(F.col(key).isNotNull()), key, others, order)
     fresh = first.join(stored.select(key), key, "left_anti").select(*batch.columns)
     if "created_at" in stored.columns and "created_at" not in fresh.columns:

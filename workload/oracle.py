@@ -40,10 +40,7 @@ def parcel(key: str, stray: str = "FALSE", repeats: bool = False) -> str:
     )
 
 
-LINE_ORDER = (
-    "l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity, "
-    "l_shipdate, l_returnflag"
-)
+LINE_ORDER = "l_orderkey, l_linenumber, l_suppkey, l_extendedprice"
 
 # Name -> (names it builds on, body). Order matters.
 CTES: dict[str, tuple[list[str], str]] = {
@@ -147,8 +144,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         FROM (SELECT Parcel, {num0('Actual_YrBlt')} AS ACT_YR_BLT,
                      {num0('Effective_YrBlt')} AS EFF_YR_BLT,
                      {num0('Heated_SquareFeet')} AS TOT_LVG_AR,
-                     {LINE_ORDER},
-                     (SELECT 1) AS one
+                     {LINE_ORDER}
               FROM improvement_rows
               WHERE Parcel IS NOT NULL
                 AND (Imprv_Type IS NULL OR trim(Imprv_Type) NOT IN ('SOHM', 'NSOHM'))
@@ -505,7 +501,10 @@ ORACLE: dict[str, str] = {
     "sink_scored_run": with_ctes(
         "scores", "SELECT 'RUN_A' AS run_id, OBJECTID, hot_lead_score, rank, "
         "'PREDICT' AS pipeline_mode FROM scores"),
-    "sink_export_file": with_ctes("scores leads", EXPORT),
+    # A CSV file does not tell an empty text from a missing one.
+    "sink_export_file": with_ctes(
+        "scores leads", f"SELECT * REPLACE (nullif(OWN_NAME, '') AS OWN_NAME, "
+        f"nullif(OWN_STATE_, '') AS OWN_STATE_) FROM ({EXPORT})"),
     # projections
     "proj_to_number": with_ctes(
         "history_rows", f"SELECT ord, {num('Just_Value')} AS value, {num0('Just_Value')} AS value_or_zero, "
@@ -658,10 +657,12 @@ ORACLE: dict[str, str] = {
                 PARTITION BY Parcel ORDER BY {num('Hist_Tax_Year')} DESC NULLS LAST, ord) = 1),
         res AS (SELECT * FROM property_rows
                 WHERE substr(trim(coalesce(Prop_Use_Code, 'nan')), 1, 3) IN ('001', '002', '007', '010'))
-        SELECT 1 AS step, 'all' AS filter, count(*) AS rows FROM property_rows
-        UNION ALL SELECT 2, 'residential', count(*) FROM res
-        UNION ALL SELECT 3, 'minimum value', count(*) FROM res
-                  WHERE Parcel IN (SELECT Parcel FROM latest WHERE v >= 1000)"""),
+        SELECT CAST(step AS INTEGER) AS step, filter, rows,
+               coalesce(lag(rows) OVER (ORDER BY step) - rows, 0) AS removed
+        FROM (SELECT 1 AS step, 'all' AS filter, count(*) AS rows FROM property_rows
+              UNION ALL SELECT 2, 'residential', count(*) FROM res
+              UNION ALL SELECT 3, 'minimum value', count(*) FROM res
+                        WHERE Parcel IN (SELECT Parcel FROM latest WHERE v >= 1000))"""),
     "profile_rule_compare": with_ctes("sale_rows", """
         SELECT count(*) FILTER (upper(trim(DOR_Qual_Code)) = 'U') AS exact_rule,
                count(*) FILTER (starts_with(upper(trim(DOR_Qual_Code)), 'U')) AS prefix_rule

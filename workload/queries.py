@@ -25,7 +25,7 @@ from parcelight.plans import (
     scoring,
 )
 from parcelight.sources.tables import by_city, by_codes
-from parcelight.storage import new_path
+from parcelight.storage import materialize, new_path
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -690,9 +690,12 @@ def log_run_complete(spark, sf_dir):
 
 
 def hot_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw appraisal tables to the hot leads and why: ingest, clean and
-    features as one plan, strongest signals first."""
-    leads = ingest.build_leads(views.source_tables(spark, sf_dir), numbered=False)
+    """Raw appraisal tables to the hot leads and why, strongest signals first.
+
+    The joined leads are stored once: cleaning and features read them for
+    their statistics and again for the rows."""
+    joined = ingest.build_leads(views.source_tables(spark, sf_dir), numbered=False)
+    leads = materialize(joined, "leads")
     rows = features.engineer(cleaning.clean_leads(leads), views.AS_OF_YEAR)
     return (
         rows.withColumn("signals", X.signal_score())

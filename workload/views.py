@@ -113,10 +113,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_order() -> Column:
-    return F.struct(
-        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity",
-        "l_shipdate", "l_returnflag",
-    )
+    return F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
 
 
 def land(spark: SparkSession, sf_dir: str) -> DataFrame:
