@@ -600,6 +600,10 @@ ORACLE: dict[str, str] = {
         "FROM leads"),
     "etl_features": with_ctes(
         "features", f"SELECT {LEAD_COLUMNS}, {FEATURE_NAMES} FROM features"),
+    "etl_hot_leads": with_ctes(
+        "features", "SELECT Parcel, OWN_NAME, PHY_CITY, JV, value_tier, property_age, never_sold, "
+        "is_absentee_owner, is_out_of_state_owner, distressed_sale_history, signals "
+        "FROM features WHERE hot_lead = 1"),
     "feat_flag_balance": with_ctes("features", _flags()),
     "feat_signal_histogram": with_ctes(
         "features", "SELECT signals, count(*) AS n FROM features GROUP BY signals"),
