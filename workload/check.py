@@ -46,9 +46,9 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def compare(name: str, spark, sf_dir: str, con) -> str:
-    """Empty when equal, else what differs."""
-    df = QUERIES[name](spark, sf_dir)
+def compare(name: str, df, con) -> str:
+    """Empty when the rows of ``df`` equal those of the query's SQL, else what
+    differs."""
     mine = df.collect()
     if name not in ORACLE:
         return "" if mine else "no rows"
@@ -85,7 +85,7 @@ def main() -> int:
     for name in args or QUERIES:
         begin = time.time()
         try:
-            verdict = compare(name, spark, sf_dir, con)
+            verdict = compare(name, QUERIES[name](spark, sf_dir), con)
         except Exception as error:  # report and go on
             verdict = f"{type(error).__name__}: {str(error)[:400]}"
         bad += bool(verdict)
