@@ -18,10 +18,9 @@ def parse_number(c: Column | str) -> Column:
     number are ignored."""
     c = _col(c)
     number = c.try_cast("double")
-    plain = F.abs(number) <= _LARGEST  # neither infinite nor NaN
-    for letter in _NOT_PLAIN:
-        plain = plain & ~c.contains(letter)
-    return F.when(plain, number)
+    finite = F.abs(number) <= _LARGEST  # false for NaN as well
+    plain = F.translate(c, _NOT_PLAIN, "") == c
+    return F.when(finite & plain, number)
 
 
 def number_or_zero(c: Column | str) -> Column:

@@ -482,7 +482,8 @@ ORACLE: dict[str, str] = {
         "owner_rows", "SELECT Parcel, Owner_Mail_Name, Owner_Mail_Addr1, Owner_Mail_State, "
         "Owner_Mail_Zip FROM owner_rows"),
     "src_tsv_full_width": with_ctes(
-        "sale_rows", "SELECT Parcel, Sale_Line_Num, Sale_Date, DOR_Qual_Code FROM sale_rows"),
+        "sale_rows", "SELECT Parcel, Sale_Line_Num, Sale_Date, try_cast(Sale_Price AS DOUBLE) AS Sale_Price, "
+        "DOR_Qual_Code, 'not read' AS Remark FROM sale_rows"),
     "src_table_scan": with_ctes("leads", f"SELECT {LEAD_COLUMNS} FROM leads"),
     "src_projected_scan": with_ctes("leads", f"SELECT OBJECTID, {DETAILS} FROM leads"),
     "src_by_city": with_ctes(

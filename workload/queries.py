@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 
 from parcelight import functions as X
 from parcelight import sinks, sources
-from parcelight.constants import LEAD_COLUMNS, MODEL_COLUMNS, RESIDENTIAL_CODES
+from parcelight.constants import (
+    LEAD_COLUMNS,
+    MODEL_COLUMNS,
+    RESIDENTIAL_CODES,
+    SOURCE_COLUMNS,
+    SOURCE_FILES,
+)
 from parcelight.plans import (
     audit,
     cleaning,
@@ -52,31 +58,21 @@ def _row_wise(name: str, table: str, **columns) -> None:
 # -- sources ----------------------------------------------------------------------
 
 
-def _write_tsv(df: DataFrame, path: str) -> None:
-    """A source table as tab-separated files in row order, missing as NA."""
-    (
-        df.orderBy("_ord").drop("_ord").write.option("sep", "\t")
-        .option("header", True).option("nullValue", "NA").option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False).csv(path)
-    )
+def _file(spark: SparkSession, sf_dir: str, table: str) -> str:
+    return f"{views.source_folder(spark, sf_dir)}/{SOURCE_FILES[table]}"
 
 
 @query
 def src_tsv_scan(spark, sf_dir):
-    path = new_path(spark, "owners-tsv")
-    rows = views.owners(spark, sf_dir).withColumn("Unused", F.lit("x"))
-    _write_tsv(rows, path)
-    return sources.read_tsv(
-        spark, path, sources.tsv.SOURCE_COLUMNS["owners"], ordinal=False
-    )
+    path = _file(spark, sf_dir, "owners")
+    return sources.read_tsv(spark, path, SOURCE_COLUMNS["owners"], ordinal=False)
 
 
 @query
 def src_tsv_full_width(spark, sf_dir):
-    path = new_path(spark, "sales-tsv")
-    _write_tsv(views.sales(spark, sf_dir).drop("Sale_Price"), path)
-    return sources.read_tsv(spark, path, ordinal=False)
+    rows = sources.read_tsv(spark, _file(spark, sf_dir, "sales"), ordinal=False)
+    # A number's text may differ between engines, its value does not.
+    return rows.withColumn("Sale_Price", X.parse_number("Sale_Price"))
 
 
 @query
@@ -246,9 +242,7 @@ def etl_build_leads(spark, sf_dir):
 def etl_leads_from_files(spark, sf_dir):
     """All six tables through tab-separated files: the rows' order is then
     known only from the files."""
-    folder = new_path(spark, "county")
-    for name, rows in views.source_tables(spark, sf_dir).items():
-        _write_tsv(rows, f"{folder}/{sources.tsv.SOURCE_FILES[name]}")
+    folder = views.source_folder(spark, sf_dir)
     return ingest.build_leads(sources.read_source_tables(spark, folder))
 
 

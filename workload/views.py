@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelight.constants import SOURCE_FILES
 from parcelight.functions import signal_score
 from parcelight.plans import ingest
 from parcelight.plans.cleaning import clean_leads
@@ -187,6 +188,34 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: view(spark, sf_dir) for name, view in SOURCES.items()}
 
 
+# -- source files ------------------------------------------------------------------
+
+_files: dict[tuple[str, str], str] = {}
+
+
+def write_tsv(df: DataFrame, path: str) -> None:
+    """A source table as tab-separated files in row order, missing as NA."""
+    (
+        df.orderBy("_ord").drop("_ord").write.option("sep", "\t")
+        .option("header", True).option("nullValue", "NA").option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
+
+
+def source_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The six tables as tab-separated files, written on first use and kept
+    for the session."""
+    key = (spark.conf.get("spark.app.id"), sf_dir)
+    if key not in _files:
+        folder = new_path(spark, "county")
+        for name, rows in source_tables(spark, sf_dir).items():
+            extra = rows.withColumn("Remark", F.lit("not read"))
+            write_tsv(extra, f"{folder}/{SOURCE_FILES[name]}")
+        _files[key] = folder
+    return _files[key]
+
+
 # -- stage tables -----------------------------------------------------------------
 
 _stages: dict[tuple[str, str, str], LeadTables] = {}
