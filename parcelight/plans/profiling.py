@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.constants import MIN_JUST_VALUE, RESIDENTIAL_CODES
+from parcelight.constants import HOME_STATE, MIN_JUST_VALUE, RESIDENTIAL_CODES
 from parcelight.functions import bucket_label, code_prefix, parse_number, strip
 from parcelight.operators import (
     condition_counts,
@@ -22,7 +22,7 @@ from parcelight.plans.cleaning import (
     pad_use_code,
     value_fence,
 )
-from parcelight.plans.features import land_ratio
+from parcelight.plans.features import corporate_owner, land_ratio
 from parcelight.plans.ingest import newest_first
 
 ZERO_PROFILE = [
@@ -36,8 +36,8 @@ def _filled(c: str) -> Column:
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def _out_of_state() -> Column:
-    return _filled("OWN_STATE_") & (F.col("OWN_STATE_") != "FL")
+def out_of_state() -> Column:
+    return _filled("OWN_STATE_") & (F.col("OWN_STATE_") != HOME_STATE)
 
 
 def record_count(df: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def summary_stats(leads: DataFrame) -> DataFrame:
         money(F.avg(value)).alias("avg_value"),
         F.count_if(F.col("TOT_LVG_AR") > 0).alias("has_living_area"),
         F.count_if(F.col("SALE_PRC2") > 0).alias("has_second_sale"),
-        F.count_if(_out_of_state()).alias("out_of_state_owners"),
+        F.count_if(out_of_state()).alias("out_of_state_owners"),
     )
 
 
@@ -103,7 +103,7 @@ def field_coverage(leads: DataFrame) -> DataFrame:
     ]
     checks = {c: F.col(c) > 0 for c in positive}
     checks.update({c: _filled(c) for c in ("QUAL_CD1", "NBRHD_CD", "OWN_STATE_")})
-    checks["out_of_state"] = _out_of_state()
+    checks["out_of_state"] = out_of_state()
     return long_form(condition_counts(leads, checks), "field", "n")
 
 
@@ -139,25 +139,46 @@ def range_buckets(leads: DataFrame) -> DataFrame:
     )
 
 
-def describe_numbers(
-    df: DataFrame, thresholds: dict[str, float]
-) -> DataFrame:
-    """Nulls, zeros, rows below a threshold, min, max, mean and exact median
-    of each column."""
-    out = None
-    for c, threshold in thresholds.items():
-        value = F.col(c)
-        median = exact_quantiles(df, c, {"median": 0.5}).scalar()
-        row = df.agg(
-            F.count_if(value.isNull()).alias("nulls"),
-            F.count_if(value == 0).alias("zeros"),
-            F.count_if(value < threshold).alias("below"),
-            F.round(F.min(value), 4).alias("min"),
-            F.round(F.max(value), 4).alias("max"),
-            F.round(F.avg(value), 4).alias("mean"),
-        ).select(F.lit(c).alias("column"), "*", F.round(median, 4).alias("median"))
-        out = row if out is None else out.unionByName(row)
-    return out
+def describe_numbers(df: DataFrame, thresholds: dict[str, float]) -> DataFrame:
+    """Per column: nulls, zeros, rows below its threshold, smallest positive
+    value, min, max, mean and exact median.
+
+    The columns become (column, value) rows, so any number of them costs one
+    pass for the counts and one for the medians.
+    """
+    columns = list(thresholds)
+    numbers = df.select(*[F.col(c).cast("double") for c in columns])
+    rows = numbers.unpivot([], columns, "column", "value")
+    limits = F.create_map(*[F.lit(x) for pair in thresholds.items() for x in pair])
+    value = F.col("value")
+    below = value < F.element_at(limits, F.col("column"))
+    stats = rows.groupBy("column").agg(
+        F.count_if(value.isNull()).alias("nulls"),
+        F.count_if(value == 0).alias("zeros"),
+        F.count_if(below).alias("below"),
+        F.round(F.min(F.when(value > 0, value)), 4).alias("min_positive"),
+        F.round(F.min(value), 4).alias("min"),
+        F.round(F.max(value), 4).alias("max"),
+        F.round(F.avg(value), 4).alias("mean"),
+    )
+    medians = exact_quantiles(rows, "value", {"median": 0.5}, ["column"]).select(
+        "column", F.round("median", 4).alias("median")
+    )
+    return stats.join(F.broadcast(medians), "column", "left")  # a row per column
+
+
+def owner_profile(owners: DataFrame) -> DataFrame:
+    """Home-state, out-of-state (missing states left out) and corporate owners."""
+    state = strip("Owner_Mail_State")
+    away = ~state.isin(HOME_STATE, "", "nan")
+    named = owners.withColumn("OWN_NAME", F.col("Owner_Mail_Name"))
+    return named.agg(
+        F.count(F.lit(1)).alias("owners"),
+        F.count_if(state == HOME_STATE).alias("home_state"),
+        F.count_if(away).alias("out_of_state"),
+        F.sum(corporate_owner()).alias("corporate"),
+        F.round(F.avg(corporate_owner()) * 100, 4).alias("corporate_pct"),
+    )
 
 
 def join_coverage(

@@ -115,7 +115,7 @@ def classifier(
 
 def fit(rows: DataFrame, **params) -> PipelineModel:
     spark = rows.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if spark.sparkContext.getCheckpointDir() is None:
         # Boosting cuts its lineage every few trees once a folder is set.
         spark.sparkContext.setCheckpointDir(f"{working_dir(spark)}/boosting")
     return classifier(**params).fit(rows)

@@ -49,3 +49,11 @@ def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
     stored = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
     return stored, seen.get["rows"]
+
+
+def clear_working_tables(spark: SparkSession) -> None:
+    """Deletes the working tables of this application. Frames that read them
+    are unusable afterwards: call it when a run's results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(working_dir(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path, True)

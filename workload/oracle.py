@@ -398,13 +398,15 @@ def _nulls_and_zeros() -> str:
     )
 
 
-def _describe(column: str, below: float) -> str:
-    return (
-        f"SELECT '{column}' AS \"column\", count(*) FILTER ({column} IS NULL) AS nulls, "
-        f"count(*) FILTER ({column} = 0) AS zeros, count(*) FILTER ({column} < {below}) AS below, "
-        f"round(min({column}), 4) AS min, round(max({column}), 4) AS max, "
-        f"round(avg({column}), 4) AS mean, round(quantile_cont({column}, 0.5), 4) AS median "
-        "FROM latest"
+def _describe(table: str, columns: dict[str, float]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (v IS NULL) AS nulls, "
+        f"count(*) FILTER (v = 0) AS zeros, count(*) FILTER (v < {below}) AS below, "
+        "round(min(v) FILTER (v > 0), 4) AS min_positive, "
+        "round(min(v), 4) AS min, round(max(v), 4) AS max, "
+        "round(avg(v), 4) AS mean, round(quantile_cont(v, 0.5), 4) AS median "
+        f"FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {table})"
+        for c, below in columns.items()
     )
 
 
@@ -644,7 +646,30 @@ ORACLE: dict[str, str] = {
     "profile_buckets": with_ctes("leads", _buckets()),
     "profile_describe": with_ctes("history_rows", "SELECT 1").replace(
         "\nSELECT 1", f",\n{LATEST_VALUES}\n"
-        + _describe("Just_Value", 1000) + "\nUNION ALL " + _describe("Land_Value", 20000)),
+        + _describe("latest", {"Just_Value": 1000.0, "Land_Value": 20000.0})),
+    "profile_describe_improvements": with_ctes("improvement_rows", _describe(
+        f"(SELECT {num('Actual_YrBlt')} AS Actual_YrBlt, "
+        f"{num('Heated_SquareFeet')} AS Heated_SquareFeet FROM improvement_rows "
+        "WHERE Imprv_Type IS NULL OR trim(Imprv_Type) NOT IN ('SOHM', 'NSOHM'))",
+        {"Actual_YrBlt": 1900.0, "Heated_SquareFeet": 1000.0})),
+    "profile_describe_sales": with_ctes("sale_rows", _describe(
+        f"(SELECT {num('Sale_Price')} AS Sale_Price FROM sale_rows "
+        f"WHERE {num('Sale_Line_Num')} = 0)", {"Sale_Price": 100000.0})),
+    "profile_describe_features": with_ctes("features", _describe(
+        "(SELECT *, LND_VAL / CASE WHEN JV = 0 THEN 1 ELSE JV END AS land_ratio FROM features)",
+        {"JV": 100000.0, "property_age": 30.0, "renovation_gap": 1.0, "price_per_sqft": 1.0,
+         "lot_coverage_ratio": 0.5, "land_ratio": 0.2, "neighborhood_value_ratio": 0.8})),
+    "profile_owners": with_ctes("owner_rows", f"""
+        SELECT count(*) AS owners, count(*) FILTER (trim(Owner_Mail_State) = 'FL') AS home_state,
+               count(*) FILTER (trim(Owner_Mail_State) NOT IN ('FL', '', 'nan')) AS out_of_state,
+               count(*) FILTER (regexp_matches(upper(Owner_Mail_Name), '{KEYWORDS}')) AS corporate,
+               round(count(*) FILTER (regexp_matches(upper(Owner_Mail_Name), '{KEYWORDS}'))
+                     * 100.0::DOUBLE / count(*), 4) AS corporate_pct
+        FROM owner_rows"""),
+    "agg_top_states": with_ctes("leads", """
+        SELECT OWN_STATE_ AS value, count(*) AS n FROM leads
+        WHERE OWN_STATE_ <> 'FL' AND OWN_STATE_ <> '' GROUP BY OWN_STATE_
+        ORDER BY n DESC, value LIMIT 8"""),
     "profile_join_coverage": with_ctes(
         "property_rows owner_rows history_rows land_rows improvement_rows sale_rows", _coverage()),
     "profile_survival": with_ctes("padded valued kept", """

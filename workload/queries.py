@@ -20,6 +20,7 @@ from parcelight.constants import (
     SOURCE_COLUMNS,
     SOURCE_FILES,
 )
+from parcelight.operators import top_counts
 from parcelight.plans import (
     audit,
     cleaning,
@@ -462,6 +463,43 @@ def profile_describe(spark, sf_dir):
     )
 
 
+@query
+def profile_describe_improvements(spark, sf_dir):
+    rows = ingest.drop_non_buildings(views.improvements(spark, sf_dir))
+    columns = {"Actual_YrBlt": 1900.0, "Heated_SquareFeet": 1000.0}
+    numbers = rows.select(*[X.parse_number(c).alias(c) for c in columns])
+    return profiling.describe_numbers(numbers, columns)
+
+
+@query
+def profile_describe_sales(spark, sf_dir):
+    rows = views.sales(spark, sf_dir).where(X.parse_number("Sale_Line_Num") == 0)
+    price = rows.select(X.parse_number("Sale_Price").alias("Sale_Price"))
+    return profiling.describe_numbers(price, {"Sale_Price": 100000.0})
+
+
+@query
+def profile_describe_features(spark, sf_dir):
+    rows = views.features(spark, sf_dir).withColumn("land_ratio", features.land_ratio())
+    return profiling.describe_numbers(rows, {
+        "JV": 100000.0, "property_age": 30.0, "renovation_gap": 1.0,
+        "price_per_sqft": 1.0, "lot_coverage_ratio": 0.5, "land_ratio": 0.2,
+        "neighborhood_value_ratio": 0.8,
+    })
+
+
+@query
+def profile_owners(spark, sf_dir):
+    return profiling.owner_profile(views.owners(spark, sf_dir))
+
+
+@query
+def agg_top_states(spark, sf_dir):
+    """States of out-of-state owners."""
+    rows = views.leads(spark, sf_dir).where(profiling.out_of_state())
+    return top_counts(rows, "OWN_STATE_", 8)
+
+
 @query
 def profile_join_coverage(spark, sf_dir):
     return profiling.join_coverage(views.source_tables(spark, sf_dir))
