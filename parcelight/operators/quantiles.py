@@ -31,10 +31,10 @@ def exact_quantiles(
     counts over logarithmic buckets (a bounded number of them) locate the
     bucket holding each wanted position; only the distinct values of those
     buckets, 1/4096 of an octave each, are then put in order. The answer is
-    exact. Missing values and missing groups are left out.
+    exact. Missing and non-finite values and missing groups are left out.
     """
     by = list(by)
-    usable = F.col(value).isNotNull()
+    usable = F.abs(F.col(value).cast("double")) < float("inf")  # nor NaN
     for key in by:
         usable = usable & F.col(key).isNotNull()
     counts = (

@@ -67,7 +67,9 @@ def summary_stats(leads: DataFrame) -> DataFrame:
 def value_counts_by_column(df: DataFrame, columns: list[str], n: int) -> DataFrame:
     """Most frequent values of several columns: one (column, value, n) table."""
     parts = [
-        top_counts(df, c, n).select(F.lit(c).alias("column"), "value", "n")
+        top_counts(df, c, n).select(
+            F.lit(c).alias("column"), F.col("value").cast("string"), "n"
+        )
         for c in columns
     ]
     out = parts[0]

@@ -84,7 +84,8 @@ class Run:
         )
         return rows_out
 
-    def _through_features(self) -> int:
+    def through_features(self) -> int:
+        """Ingest, clean and features; rows of the last."""
         tables = self.tables
         before = tables.read("leads").count()
         rows = self._stage(
@@ -98,7 +99,7 @@ class Run:
 
     def train(self, model_path: str, **params) -> scoring.Training | None:
         """Ingest to model. None when this run had already trained."""
-        rows = self._through_features()
+        rows = self.through_features()
         result: list[scoring.Training] = []
 
         def fit() -> int:
@@ -112,7 +113,7 @@ class Run:
     def predict(self, model_path: str, export_path: str | None = None) -> int:
         """Ingest to ranked export. Returns the number of leads exported."""
         model = scoring.load_model(model_path)  # nothing to do without one
-        rows = self._through_features()
+        rows = self.through_features()
         tables = self.tables
 
         def score() -> int:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from parcelight.constants import LEAD_COLUMNS, SOURCE_COLUMNS
@@ -136,3 +138,58 @@ def test_joins_add_no_shuffle(spark, sources):
     # own repartitioning is the other six.
     assert text.count("Exchange hashpartitioning") == 7
     assert text.count("SortMergeJoin") == 5
+
+
+def test_one_parcel_may_hold_a_third_of_every_table(spark):
+    """Against plain Python, with a hot parcel and repeated, shuffled rows."""
+    rng = random.Random(11)
+
+    def key():
+        return "HOT" if rng.random() < 1 / 3 else rng.choice([None, "A", "B", "C", "D"])
+
+    def text(low, high):
+        return rng.choice([str(rng.randint(low, high)), "bad", None, f"{rng.uniform(low, high):.2f}"])
+
+    size = 600
+    data = {
+        "property": [(key(), "X", "1", "00100") for _ in range(size)],
+        "owners": [(key(), text(0, 9), "a", "FL", "32601") for _ in range(size)],
+        "history": [(key(), text(2000, 2004), text(1, 9), "1", "0") for _ in range(size)],
+        "land": [(key(), text(1, 50)) for _ in range(size)],
+        "improvements": [(key(), rng.choice(["SFR", "SOHM", None]), text(1900, 2000), "0",
+                          text(1, 20), rng.choice(["1", "2", None])) for _ in range(size)],
+        "sales": [(key(), rng.choice(["0", "1", "2", "x"]), text(1990, 2020), text(0, 90), "U")
+                  for _ in range(size)],
+    }
+
+    def number(t):
+        try:
+            return float(t)
+        except (TypeError, ValueError):
+            return None
+
+    def zero(t):
+        return number(t) or 0.0
+
+    leads = _rows(ingest.build_leads({n: _table(spark, n, rows) for n, rows in data.items()}))
+    order = list(dict.fromkeys(r[0] for r in data["property"]))
+    assert [p for p, _ in sorted(leads.items(), key=lambda t: t[1]["OBJECTID"])] == order
+    for parcel, lead in leads.items():
+        mine = {n: [r for r in rows if r[0] == parcel] for n, rows in data.items()}
+        years = [(-(number(r[1]) if number(r[1]) is not None else float("-inf")), i)
+                 for i, r in enumerate(mine["history"])]
+        assert lead["JV"] == zero(mine["history"][min(years)[1]][2])
+        owner = mine["owners"][0][1]
+        assert lead["OWN_NAME"] == ("nan" if owner is None else owner)
+        lines = {n: [r for r in mine["sales"] if r[1] == n] for n in ("0", "1")}
+        assert lead["SALE_PRC1"] == (zero(lines["0"][0][3]) if lines["0"] else 0.0)
+        both = lines["0"] and lines["1"]
+        assert lead["SALE_PRC2"] == (zero(lines["1"][0][3]) if both else 0.0)
+        if parcel is None:
+            assert lead["LND_SQFOOT"] == lead["NO_BULDNG"] == 0.0
+            continue
+        assert lead["LND_SQFOOT"] == pytest.approx(sum(zero(r[1]) for r in mine["land"]))
+        built = [r for r in mine["improvements"] if r[1] != "SOHM"]
+        largest = max(built, key=lambda r: zero(r[4]))  # first of equals
+        assert (lead["TOT_LVG_AR"], lead["ACT_YR_BLT"]) == (zero(largest[4]), zero(largest[2]))
+        assert lead["NO_BULDNG"] == len({r[5] for r in built} - {None})

@@ -47,7 +47,8 @@ def test_quantiles_equal_numpy(spark, seed):
         rng.lognormal(11, 2, 400), -rng.lognormal(3, 3, 200), np.zeros(50),
         np.full(300, 1234.5), rng.uniform(-1e-9, 1e-9, 50),
     ])
-    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    odd = [(None,), (float("nan"),), (float("inf"),), (float("-inf"),)]
+    df = spark.createDataFrame([(float(v),) for v in values] + odd, "v double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
     row = exact_quantiles(df, "v", {f"q{i}": p for i, p in enumerate(probs)}).first()
     assert list(row) == pytest.approx(_numpy_quantiles(values, probs), rel=1e-12, abs=1e-15)

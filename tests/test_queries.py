@@ -8,7 +8,8 @@ from workload.oracle import ORACLE
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"ml_train_score", "ml_feature_importance", "ml_cross_validation"}
+ROWS_ONLY = {"ml_train_score", "ml_feature_importance", "ml_cross_validation",
+             "run_train_predict"}
 
 
 @pytest.fixture(scope="module")

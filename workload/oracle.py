@@ -777,6 +777,20 @@ ORACLE: dict[str, str] = {
             SELECT fold, PHY_CITY AS top_city FROM folded GROUP BY fold, PHY_CITY
             QUALIFY row_number() OVER (PARTITION BY fold ORDER BY count(*) DESC, PHY_CITY) = 1)
         USING (fold) GROUP BY fold, top_city"""),
+    # whole runs
+    "etl_incremental_load": with_ctes(
+        "leads", f"SELECT {LEAD_COLUMNS}, 100::BIGINT AS first_load, "
+        "(SELECT count(*) FROM leads) - 100 AS second_load FROM leads"),
+    "etl_arrivals": with_ctes("leads", "SELECT OBJECTID, Parcel, JV FROM leads"),
+    "run_stage_counts": with_ctes("leads clean", """
+        SELECT 'scraper' AS stage, 'completed' AS status, count(*) AS records_in,
+               count(*) AS records_out FROM leads
+        UNION ALL SELECT 'cleaner', 'completed', (SELECT count(*) FROM leads), count(*) FROM clean
+        UNION ALL SELECT 'features', 'completed', count(*), count(*) FROM clean"""),
+    "sink_reset_tables": with_ctes("leads scores", """
+        SELECT 'leads' AS table_name, count(*) AS before, 0::BIGINT AS after FROM leads
+        UNION ALL SELECT 'scored_leads', count(*), 0 FROM scores
+        UNION ALL SELECT 'leads_clean', 0, 0"""),
     # run log
     "log_latest_status": with_ctes("statuses", "SELECT run_id, stage, status FROM statuses"),
     "log_last_run": with_ctes(

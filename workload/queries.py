@@ -29,10 +29,12 @@ from parcelight.plans import (
     features,
     ingest,
     profiling,
+    runs,
     scoring,
 )
 from parcelight.sources.tables import by_city, by_codes
 from parcelight.storage import materialize, new_path
+from parcelight.streaming import append_arrivals
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -718,6 +720,87 @@ def log_run_complete(spark, sf_dir):
     return audit.run_completion(views.run_log(spark, sf_dir), "TRAIN")
 
 
+# -- whole runs ---------------------------------------------------------------------------------
+
+
+@query
+def etl_incremental_load(spark, sf_dir):
+    """Leads loaded from the files in two steps; the second takes up where
+    the first stopped, a third finds nothing to do."""
+    tables = sources.LeadTables(spark, new_path(spark, "incremental"))
+    folder = views.source_folder(spark, sf_dir)
+    first = runs.load_leads(tables, folder, goal=100)
+    rest = runs.load_leads(tables, folder)
+    return tables.read("leads").select(
+        *LEAD_COLUMNS,
+        F.lit(first).cast("bigint").alias("first_load"),
+        F.lit(rest).cast("bigint").alias("second_load"),
+    )
+
+
+@query
+def etl_arrivals(spark, sf_dir):
+    """Stored leads picked up as arriving files, twice."""
+    tables = sources.LeadTables(spark, new_path(spark, "arrivals"))
+    stored = views.tables(spark, sf_dir, "leads")
+    marks = new_path(spark, "arrival-marks")
+    schema = stored.read("leads").schema
+    for _ in range(2):
+        rows = spark.readStream.schema(schema).parquet(stored.path("leads"))
+        append_arrivals(rows, tables, "leads", "OBJECTID", marks).awaitTermination()
+    return tables.read("leads").select("OBJECTID", "Parcel", "JV")
+
+
+@query
+def run_stage_counts(spark, sf_dir):
+    """Run log of a run up to the features: rows in and out of each stage."""
+    tables = sources.LeadTables(spark, new_path(spark, "run"))
+    sinks.overwrite_table(views.leads(spark, sf_dir), tables, "leads")
+    run = runs.Run(tables, "TRAIN", as_of_year=views.AS_OF_YEAR, run_id="RUN_A")
+    run.through_features()
+    run.through_features()  # completed stages are left alone
+    return audit.run_summary(tables.read("pipeline_log"), "RUN_A").select(
+        "stage", "status", "records_in", "records_out"
+    )
+
+
+@query
+def run_train_predict(spark, sf_dir):
+    """Training run, then a scoring run with the stored model: its export."""
+    tables = sources.LeadTables(spark, new_path(spark, "run"))
+    sinks.overwrite_table(views.leads(spark, sf_dir), tables, "leads")
+    model = new_path(spark, "model")
+    year = views.AS_OF_YEAR
+    runs.Run(tables, "TRAIN", as_of_year=year, run_id="RUN_T").train(
+        model, gate=0.0, cv_folds=0, trees=5
+    )
+    runs.Run(tables, "PREDICT", as_of_year=year, run_id="RUN_P").predict(model)
+    return tables.read("export_leads")
+
+
+@query
+def sink_reset_tables(spark, sf_dir):
+    """Rows of the stage tables before and after emptying them."""
+    tables = sources.LeadTables(spark, new_path(spark, "reset"))
+    sinks.overwrite_table(views.leads(spark, sf_dir), tables, "leads")
+    ranked = scoring.rank_leads(views.scores(spark, sf_dir))
+    sinks.append_run_scores(ranked, tables, "RUN_A", "PREDICT")
+
+    def sizes() -> dict[str, DataFrame]:
+        return {t: tables.read(t) for t in ("leads", "scored_leads", "leads_clean")}
+
+    before = {t: df.count() for t, df in sizes().items()}
+    sinks.empty_tables(tables)
+    out = None
+    for table, df in sizes().items():
+        row = df.agg(F.count(F.lit(1)).alias("after")).select(
+            F.lit(table).alias("table_name"),
+            F.lit(before[table]).cast("bigint").alias("before"), "after",
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # -- flagship -----------------------------------------------------------------------------------
 
 
