@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -11,6 +13,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from parcelight.constants import (
     DISPLAY_COLUMNS,
@@ -113,11 +116,15 @@ def classifier(
     )
 
 
+def _ensure_checkpoints(rows: DataFrame) -> None:
+    """Boosting cuts its lineage every few trees once a folder is set."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{working_dir(rows.sparkSession)}/boosting")
+
+
 def fit(rows: DataFrame, **params) -> PipelineModel:
-    spark = rows.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        # Boosting cuts its lineage every few trees once a folder is set.
-        spark.sparkContext.setCheckpointDir(f"{working_dir(spark)}/boosting")
+    _ensure_checkpoints(rows)
     return classifier(**params).fit(rows)
 
 
@@ -147,18 +154,26 @@ def confusion_metrics(
     )
 
 
-def cross_validate(rows: DataFrame, folds: int = FOLDS, **params) -> DataFrame:
+def cross_validate(
+    rows: DataFrame, folds: int = FOLDS, parallelism: int | None = None, **params
+) -> DataFrame:
     """Metrics of each fold, predicted by a model fitted on the others. All
-    rows take part; the scaler is fitted inside each fold."""
+    rows take part; the scaler is fitted inside each fold. Folds are fitted
+    side by side, ``parallelism`` at a time (default: all)."""
     rows = with_fold(rows, folds)
-    held_out = None
-    for k in range(1, folds + 1):
+    _ensure_checkpoints(rows)
+
+    @inheritable_thread_target(rows.sparkSession)
+    def held_out(k: int) -> DataFrame:
         model = fit(rows.where(F.col("fold") != k), **params)
-        part = model.transform(rows.where(F.col("fold") == k)).select(
+        return model.transform(rows.where(F.col("fold") == k)).select(
             "OBJECTID", "fold", LABEL_COLUMN, "prediction"
         )
-        held_out = part if held_out is None else held_out.unionByName(part)
-    return confusion_metrics(held_out, ["fold"]).orderBy("fold")
+
+    with ThreadPoolExecutor(parallelism or folds) as pool:
+        parts = list(pool.map(held_out, range(1, folds + 1)))
+    predicted = reduce(DataFrame.unionByName, parts)
+    return confusion_metrics(predicted, ["fold"]).orderBy("fold")
 
 
 def cv_summary(fold_metrics: DataFrame) -> DataFrame:
