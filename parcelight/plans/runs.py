@@ -15,8 +15,13 @@ from parcelight.plans.cleaning import clean_leads
 from parcelight.plans.export import export_leads
 from parcelight.plans.features import engineer
 from parcelight.plans.ingest import build_leads, resume_slice
-from parcelight.sinks import append_new_rows, append_run_scores, overwrite_table
-from parcelight.sinks import write_ranked_file
+from parcelight.sinks import (
+    append_new_rows,
+    append_run_scores,
+    empty_tables,
+    overwrite_table,
+    write_ranked_file,
+)
 from parcelight.sources import LeadTables, read_source_tables, stage_input
 
 LOAD_MODE = "CAMA_LOAD"
@@ -56,13 +61,17 @@ class Run:
         folder: str | None = None,
         as_of_year: int | None = None,
         run_id: str | None = None,
+        fresh: bool = False,
     ):
+        """``fresh`` empties all stage tables first: there is no way back."""
+        if fresh:
+            empty_tables(tables)
         self.tables = tables
         self.mode = mode
         self.run_mode = run_mode
         self.folder = folder
         self.as_of_year = as_of_year
-        self.run_id = run_id or audit.resume_run_id(tables, mode)
+        self.run_id = run_id or audit.resume_run_id(tables, mode, fresh)
         self.modes = {"pipeline_mode": mode, "run_mode": run_mode}
 
     def _stage(self, name: str, rows_in: int, work: Callable[[], int]) -> int:

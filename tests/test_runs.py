@@ -84,6 +84,17 @@ def test_failure_is_logged_and_passed_on(tables):
     assert (last.stage, last.status) == ("cleaner", "failed") and "leads" in last.error_message
 
 
+def test_fresh_run_starts_from_nothing(tables, county):
+    ingest(tables, "CAMA_LOAD", county)
+    audit.log_stage(tables, "OLD", "scraper", "completed")
+    run = Run(tables, "TRAIN", "CAMA_LOAD", county, 2025, fresh=True)
+    assert run.run_id != "OLD"
+    assert tables.is_empty("leads") and tables.is_empty("pipeline_log")
+    assert run.through_features() == tables.read("leads_features").count() > 0
+    resumed = Run(tables, "TRAIN", as_of_year=2025)
+    assert resumed.run_id == run.run_id  # features done, model still to come
+
+
 def test_clean_rows_come_from_leads(spark):
     leads, clean = views.leads(spark, SF), views.clean(spark, SF)
     assert clean.join(leads, "OBJECTID", "left_anti").isEmpty()

@@ -157,3 +157,24 @@ def test_run_log(tables):
 
 def test_working_dir_is_the_shared_folder(spark):
     assert working_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_working_tables_can_be_cleared(spark, tmp_path, monkeypatch):
+    from parcelight import storage
+
+    monkeypatch.setattr(storage, "working_dir", lambda _: str(tmp_path / "work"))
+    stored, rows = storage.materialize_counted(spark.range(7), "seven")
+    assert rows == 7 and stored.count() == 7
+    storage.clear_working_tables(spark)
+    assert not (tmp_path / "work").exists()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    conf = {"spark.master": "yarn", "spark.app.id": "a"}
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        working_dir(cluster)
+    conf["spark.checkpoint.dir"] = "hdfs:///shared/"
+    assert working_dir(cluster) == "hdfs:///shared/parcelight/a"
