@@ -46,7 +46,7 @@ from parcelight.llm.common import fresh_name, slices
 CHUNK = 1 << 16  # characters fed at once
 LONGEST_SPAN = 1 << 14  # characters of a run before its pieces are streamed
 WINDOW = 1 << 12  # bytes merged at once inside an endless piece, plus lookahead
-REMEMBERED = 300_000  # spans and pieces kept by a worker
+REMEMBERED = 500_000  # spans and pieces kept by a worker
 SHORT_PIECE = 48  # bytes up to which pieces are merged side by side
 
 # White space and the piece pattern of byte-level BPE.
@@ -140,19 +140,43 @@ class Merger:
         )
         rules = vocabulary.rules
         keys = (rules[:, 0] << 32) | rules[:, 1]
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], order
         self.merged = rules[:, 2]
         self.none = len(rules)
+        self._fill(keys)
         self.rank_of = dict(zip(keys.tolist(), range(len(rules))))
 
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.slot_bits)).astype(np.int64)
+
+    def _fill(self, keys: np.ndarray) -> None:
+        """Hash table of pairs with linear probing, an eighth full at most."""
+        self.slot_bits = max(4, int(len(keys) * 8).bit_length())
+        size = 1 << self.slot_bits
+        self.keys = np.full(size, -1, dtype=np.int64)
+        self.ranks = np.full(size, self.none, dtype=np.int64)
+        slots = self._slot(keys)
+        rank = np.arange(len(keys))
+        while len(rank):
+            free = self.keys[slots] == -1
+            self.keys[slots[free]] = keys[rank[free]]
+            placed = self.keys[slots] == keys[rank]
+            self.ranks[slots[placed]] = rank[placed]
+            slots, rank = (slots[~placed] + 1) % size, rank[~placed]
+
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        if not self.none:
-            return np.zeros(len(left), dtype=np.int64)
         wanted = (left << 32) | right
-        at = np.searchsorted(self.keys, wanted)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == wanted, self.ranks[at], self.none)
+        slots = self._slot(wanted)
+        found = self.keys[slots]
+        rank = np.where(found == wanted, self.ranks[slots], self.none)
+        open_ = np.flatnonzero((found != wanted) & (found != -1))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) % len(self.keys)
+            found = self.keys[slots[open_]]
+            hit = found == wanted[open_]
+            rank[open_[hit]] = self.ranks[slots[open_[hit]]]
+            open_ = open_[~hit & (found != -1)]
+        return rank
 
     def side_by_side(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of short pieces. In each round every piece applies its first
@@ -346,6 +370,16 @@ class SpanStream:
         return ids + self._plain(text[end:], last)
 
 
+def _pieces_of(span: str) -> list[str]:
+    """Pieces of a span; the two commonest shapes without the pattern."""
+    if span[0] == " ":
+        if span[1:].isalpha():
+            return [span]
+        if span[-1] in ",." and span[1:-1].isalpha():
+            return [span[:-1], span[-1]]
+    return _piece.findall(span)
+
+
 class Codebook:
     """Ids of spans as text '1,2,3', remembered up to a bound."""
 
@@ -355,6 +389,7 @@ class Codebook:
         self.remembered = remembered
         self.spans: dict[str | int, str] = {}
         self.pieces: dict[str, str] = {}
+        self.texts = [str(i) for i in range(len(vocabulary.tokens))]
 
     def learn(self, spans: Iterable[str | int]) -> None:
         """Makes sure that each span is in the table."""
@@ -366,23 +401,30 @@ class Codebook:
             new = set(spans)
         if len(self.pieces) > self.remembered:
             self.pieces.clear()
-        cut = {s: [str(s)] if isinstance(s, int) else _piece.findall(s) for s in new}
-        wanted = {
-            p for s, ps in cut.items() if not isinstance(s, int) for p in ps
-        }.difference(self.pieces)
-        short, long = [], []
-        for p in wanted:
-            (short if len(p) * 4 <= SHORT_PIECE or len(p.encode()) <= SHORT_PIECE else long).append(p)
+        cut: dict[str, list[str]] = {}
+        for span in new:
+            if isinstance(span, int):
+                self.spans[span] = str(span)
+            else:
+                cut[span] = _pieces_of(span)
+        wanted = {p for pieces in cut.values() for p in pieces}
+        wanted.difference_update(self.pieces)
+        short = [p for p in wanted if len(p) * 4 <= SHORT_PIECE]
+        rest = [p for p in wanted if len(p) * 4 > SHORT_PIECE]
+        short += [p for p in rest if len(p.encode()) <= SHORT_PIECE]
         for at in range(0, len(short), 20_000):
             part = short[at : at + 20_000]
-            for p, ids in zip(part, self.merger.side_by_side([p.encode() for p in part])):
-                self.pieces[p] = ",".join(map(str, ids))
-        for p in long:
-            ids = LongPiece(self.merger).feed(p.encode(), True)
-            self.pieces[p] = ",".join(map(str, ids))
-        for s, ps in cut.items():
-            self.spans[s] = ps[0] if isinstance(s, int) else ",".join(
-                map(self.pieces.__getitem__, ps)
+            found = self.merger.side_by_side([p.encode() for p in part])
+            for p, ids in zip(part, found):
+                self.pieces[p] = ",".join([self.texts[i] for i in ids])
+        for p in rest:
+            if p not in self.pieces:
+                ids = LongPiece(self.merger).feed(p.encode(), True)
+                self.pieces[p] = ",".join([self.texts[i] for i in ids])
+        get = self.pieces.__getitem__
+        for span, pieces in cut.items():
+            self.spans[span] = (
+                get(span) if len(pieces) == 1 else ",".join(map(get, pieces))
             )
 
     def ids(self, spans: list[str | int]) -> str:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelight.llm import simhash
+from parcelight.llm import bpe, simhash
 from parcelight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
