@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelight.llm import bpe, simhash
-from parcelight.llm.common import table
+from parcelight.llm import bpe, neighbours, quality_rules, simhash
+from parcelight.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +21,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,3 +35,16 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    model = neighbours.fit(docs, labels)
+    return neighbours.with_score(docs, model, "text", "score").select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= neighbours.THRESHOLD).cast("int").alias("predicted"),
+    )
