@@ -1,28 +1,58 @@
-"""From raw documents to tokens, in stages.
+"""From raw documents to tokens, in five stages.
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
-Parquet and read again as the next one's documents.
+Parquet and read again as the next one's documents. All but the last return the
+columns they are given.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelight.llm import simhash
-from parcelight.llm.common import store, table
+from parcelight.llm import bpe, mixing, neighbours, quality_rules, simhash
+from parcelight.llm.common import remainder, store, table
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the neighbours vote for stay."""
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    return neighbours.keep_good(docs, labels)
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the counted limits and are no outliers stay."""
+    return quality_rules.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays."""
+    """The document with the smallest id of each SimHash component stays."""
     return simhash.keep_first(docs)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order in which their sources' blocks take turns."""
+    return mixing.in_mixed_order(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, with digests of the ids and of the decoded text."""
+    return bpe.encode(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True,
+        kept=["doc_id", "lang", "source"],
+    )
+
+
 STAGES = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", rules),
     ("SimHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix),
+    ("BPE encoding and decoding", tokens),
 ]
 
-# Models and iterations are not SQL; tests compare each stage with a
-# brute-force version.
+# Fitted models and iterations are not SQL; tests compare the stages with
+# brute-force versions.
 ORACLE_SQL = None
 
 

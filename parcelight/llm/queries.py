@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelight.llm import bpe, neighbours, quality_rules, simhash
+from parcelight.llm import (
+    bpe,
+    code_search,
+    mixing,
+    neighbours,
+    quality_rules,
+    sharding,
+    simhash,
+    url_filter,
+)
 from parcelight.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +41,87 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 40).withColumn(
+        "grown_shard", F.lit(None).cast("int")
+    )
+
+
+# (verdict, host and start of the path)
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+# Sites whose pages make up the list of URLs to block.
+LISTED_SITES = "adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm"
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(
+        url_filter.host_of(F.col("url")).rlike(rf"(^|\.)({LISTED_SITES})\.")
+    ).select("url")
+    return url_filter.judge(pages, listed, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "listed"
+    )
+
+
+_RULE_ROWS = ", ".join(
+    f"('{verdict}', '{text.partition('/')[0]}', '/{text.partition('/')[2]}', '{text}')"
+    for verdict, text in URL_RULES
+)
+ORACLE["op5_url_filter"] = rf"""
+WITH split AS (
+  SELECT page_id, url,
+    CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND split_part(x, '=', 1) NOT IN ('ref', 'fbclid', 'gclid')
+        AND NOT starts_with(split_part(x, '=', 1), 'utm_'))) AS query
+  FROM split
+), named AS (
+  SELECT page_id, host, path,
+    CASE WHEN host <> '' THEN regexp_replace(host, '^www\.', '')
+      || regexp_replace(path, '/+$', '')
+      || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END
+    END AS entry
+  FROM parts
+), listed AS (
+  SELECT DISTINCT entry FROM named
+  WHERE regexp_matches(host, '(^|\.)({LISTED_SITES})\.') AND entry IS NOT NULL
+), rules(verdict, host, path, rule) AS (VALUES {_RULE_ROWS})
+SELECT n.page_id, n.host, n.path,
+  (SELECT arg_max(r.rule, length(r.rule) * 1000 + length(r.host)) FROM rules r
+   WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host))
+     AND starts_with(n.path, r.path)) AS rule,
+  coalesce(
+    (SELECT arg_max(r.verdict, length(r.rule) * 1000 + length(r.host)) FROM rules r
+     WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host))
+       AND starts_with(n.path, r.path)),
+    CASE WHEN l.entry IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+  l.entry IS NOT NULL AND (SELECT count(*) FROM rules r
+    WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host))
+      AND starts_with(n.path, r.path)) = 0 AS listed
+FROM named n LEFT JOIN listed l ON n.entry = l.entry
+"""
+
+
+@query
+def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs)
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -48,3 +138,26 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= neighbours.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op10_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return code_search.search(vectors, vectors.where("vec_id % 50 = 0"), k=10)
+
+
+# Every pair's distance; the code is the sign of each value.
+ORACLE["op10_code_search"] = """
+WITH codes AS (
+  SELECT vec_id, list_transform(embedding, lambda x: coalesce(x > 0 AND NOT isnan(x), false)) AS code
+  FROM embeddings WHERE embedding IS NOT NULL
+), pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS id,
+    len(list_filter(list_zip(q.code, r.code), lambda p: p[1] <> p[2])) AS distance
+  FROM codes q, codes r WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank
+  FROM pairs
+)
+SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10
+"""
