@@ -54,6 +54,12 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _once(values: Column) -> Column:
+    """The fields of a struct as columns. A generator is a border that filters
+    are not pushed across, which would count everything again for each use."""
+    return F.inline(F.array(values))
+
+
 def _covered(hashes: Column) -> Column:
     """Words in windows that occur twice or more: the union of [i, i + 3) over
     the places i of such windows."""
@@ -110,8 +116,7 @@ def with_statistics(docs: DataFrame, text: str, prefix: str = "") -> DataFrame:
         .when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long"))
         .otherwise(_covered(F.col(h)))
     )
-    return prepared.select(
-        *docs.columns,
+    counted = F.struct(
         F.size(w).cast("long").alias(prefix + "n_words"),
         has_word.cast("long").alias(prefix + "word_chars"),
         left_out(SYMBOLS).alias(prefix + "n_symbols"),
@@ -120,6 +125,7 @@ def with_statistics(docs: DataFrame, text: str, prefix: str = "") -> DataFrame:
         F.size(lines).cast("long").alias(prefix + "n_lines"),
         left_out("[A-Z]").alias(prefix + "n_upper"),
     )
+    return prepared.select(*docs.columns, _once(counted))
 
 
 def base_failed(prefix: str = "") -> Column:
@@ -159,7 +165,7 @@ def with_distance(rows: DataFrame, x: list[str], name: str) -> DataFrame:
             rest = rest - F.col(f"l{i}{j}") * F.col(f"_z{j}")
         out = out.withColumn(f"_z{i}", rest / F.col(f"l{i}{i}"))
     total = sum((F.col(f"_z{i}") * F.col(f"_z{i}") for i in range(P)), F.lit(0.0))
-    return out.withColumn(name, total).drop(*[f"_z{i}" for i in range(P)])
+    return out.select(*rows.columns, total.alias(name))
 
 
 def _factored(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -262,10 +268,17 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
     enough = counted.where(F.col("n") >= MIN_GROUP).select("_group")
 
     # Start 0: all rows, around their mean. Start 1: medians and deviations.
-    means = rows.groupBy("_group").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)])
+    # Stored, they are known to be small, and the rows need not move.
+    means, _ = store(
+        rows.groupBy("_group").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)]),
+        "rule-means",
+    )
     classic = _moments(rows.join(means, "_group"), ["_group"], x)
-    medians = rows.groupBy("_group").agg(
-        *[F.percentile_approx(c, 0.5, 10_000).alias(f"m{i}") for i, c in enumerate(x)]
+    medians, _ = store(
+        rows.groupBy("_group").agg(
+            *[F.percentile_approx(c, 0.5, 10_000).alias(f"m{i}") for i, c in enumerate(x)]
+        ),
+        "rule-medians",
     )
     apart = rows.join(medians, "_group").groupBy("_group", *[f"m{i}" for i in range(P)]).agg(
         *[
@@ -329,7 +342,10 @@ def judge(
     grouped = keyed.join(names, ["_lang", "_source"], "left").withColumn(
         "_group", F.coalesce("_group", F.lit("0"))
     )
-    near = with_distance(grouped.join(estimates, "_group", "left"), x, "_d2")
+    joined = grouped.join(estimates, "_group", "left")
+    near = with_distance(joined, x, "_raw").select(
+        *joined.columns, _once(F.struct(F.col("_raw").alias("_d2")))
+    )
     distance = F.sqrt(F.col("_d2") / F.col("scale"))
     outlier = F.coalesce(distance > F.lit(CUTOFF ** 0.5), F.lit(False))
     return near.select(
