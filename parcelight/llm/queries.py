@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from parcelight.llm import (
     bpe,
     code_search,
+    language,
     mixing,
     neighbours,
     quality_rules,
@@ -48,6 +49,16 @@ def op3_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = language.fit(docs.where(~held_out), public_tokenizers.path("piece_bpe_32k.model"))
+    return language.with_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 # (verdict, host and start of the path)
 URL_RULES = [
     ("allow", "org/"),
