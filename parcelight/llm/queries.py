@@ -12,6 +12,7 @@ from parcelight.llm import (
     bpe,
     code_search,
     language,
+    lm,
     mixing,
     neighbours,
     quality_rules,
@@ -133,6 +134,17 @@ def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+@query
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 5) == 1
+    scored = lm.score(
+        docs, docs.where(~held_out), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    return scored.withColumn("held_out", held_out)
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
