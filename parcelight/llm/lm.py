@@ -4,7 +4,7 @@ Corpus statistics first: one pass over all learning documents counts their words
 From these counts come the unigram base score, the frequency of every subword, and the
 classes of the model: the commonest subwords are a class each, the rest are bins of equal
 mass, apart for word starts and continuations. P(subword) = P(class | context) times
-P(subword | class), the latter from the counts.
+P(subword | class, the word so far), the latter from the counts.
 
 P(class | context) is one head of causal self-attention over the subwords before, on top
 of a class bigram. Every learning document gives a training window; tasks train on
@@ -48,6 +48,8 @@ SINGLE = 40  # classes of one subword
 WIDTH = 16
 OWN_VECTORS = 2048  # subwords with a vector of their own; others have their class's
 FREQUENT = 1 << 18
+PAIRS = 1 << 20
+BACK_OFF = 5.0  # weight of the share without the subword before
 ROUNDS = 3
 BATCH = 128  # windows at once
 RATE = 0.01
@@ -87,6 +89,16 @@ class Subwords:
         return self._encoding.encode_ordinary(" " + words.decode())
 
 
+def contexts_of(ids: list[int]) -> list[tuple[int, int]]:
+    """For each id of a word: the id before it, and a number for all of them
+    where there are two or more; -1 for none."""
+    found, prefix = [(-1, -1)], b""
+    for place, i in enumerate(ids[:-1]):
+        prefix += i.to_bytes(4, "little")
+        found.append((i, 1 << 30 | zlib.crc32(prefix) >> 2 if place else -1))
+    return found[: len(ids)]
+
+
 # -- classes -------------------------------------------------------------------
 @dataclass
 class Classes:
@@ -123,6 +135,51 @@ def classes_of(subwords: Subwords, counts: np.ndarray) -> Classes:
     return Classes(of, row, log_share)
 
 
+@dataclass
+class Pairs:
+    """Counts of ids in a context within a word, by sorted key."""
+
+    keys: np.ndarray  # context << 32 | id
+    counts: np.ndarray
+
+    def within(self, classes: Classes) -> PairShares:
+        """Sums per left id and class of the right id, for the shares."""
+        group = (self.keys >> 32) * CLASSES + classes.of[self.keys & 0xFFFFFFFF]
+        groups, member = np.unique(group, return_inverse=True)
+        return PairShares(
+            self.keys, self.counts, groups, np.bincount(member, weights=self.counts)
+        )
+
+
+@dataclass
+class PairShares:
+    keys: np.ndarray
+    counts: np.ndarray
+    groups: np.ndarray
+    sums: np.ndarray
+
+    @staticmethod
+    def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.zeros(len(wanted))
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, values[at], 0)
+
+    def log_share(
+        self, classes: Classes, right: np.ndarray, contexts: list[np.ndarray]
+    ) -> np.ndarray:
+        """log10 P(right | its class, contexts), each context backing off to the
+        ones before it; -1 where there is none."""
+        share = 10.0 ** classes.log_share[right]
+        for left in contexts:
+            key = np.where(left >= 0, left << 32 | right, -1)
+            group = np.where(left >= 0, left * CLASSES + classes.of[right], -1)
+            n = self._looked_up(self.keys, self.counts, key)
+            whole = self._looked_up(self.groups, self.sums, group)
+            share = np.where(left >= 0, (n + BACK_OFF * share) / (whole + BACK_OFF), share)
+        return np.log10(share)
+
+
 # -- windows -------------------------------------------------------------------
 def windows_of(ids: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Inputs (n, WINDOW) and targets (n, SCORED) of one text, -1 where there is
@@ -343,31 +400,53 @@ def corpus(docs: DataFrame, subwords: Subwords, text: str) -> tuple[DataFrame, D
     return counts, windows
 
 
-def subword_counts(counts: DataFrame, subwords: Subwords) -> np.ndarray:
-    """How often each id occurs, from the counts of words."""
+def subword_counts(
+    counts: DataFrame, subwords: Subwords
+) -> tuple[np.ndarray, Pairs]:
+    """How often each id occurs, and each id in its contexts in a word, from the
+    counts of words: exact over the corpus, at one look per distinct word. Of the
+    pairs the :data:`PAIRS` commonest are kept."""
     sent = counts.sparkSession.sparkContext.broadcast(subwords)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(sent.value.count + 2, dtype=np.int64)
+        pairs: Counter[int] = Counter()
+
+        def rows(keys, n) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["key", "n"]
+            )
+
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if word:
-                    for i in sent.value.ids(word):
-                        found[i] += n
-                else:
+                if not word:
                     found[sent.value.end] += n
+                    continue
+                ids = sent.value.ids(word)
+                for i in ids:
+                    found[i] += n
+                for contexts, right in zip(contexts_of(ids), ids):
+                    for left in contexts:
+                        if left >= 0:
+                            pairs[left << 32 | right] += n
+            if len(pairs) > REMEMBERED:
+                yield rows(list(pairs), list(pairs.values()))
+                pairs.clear()
         used = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array(found[used])], ["id", "n"]
-        )
+        yield rows(-1 - used, found[used])
+        yield rows(list(pairs), list(pairs.values()))
 
-    rows = (
-        counts.select("word", "n").mapInArrow(run, "id int, n long").groupBy("id")
-        .agg(F.sum("n").alias("n")).toPandas()  # at most one row per subword
+    summed, _ = store(
+        counts.select("word", "n").mapInArrow(run, "key long, n long").groupBy("key")
+        .agg(F.sum("n").alias("n")),
+        "lm-subwords",
     )
+    alone = summed.where("key < 0").toPandas()  # at most one row per subword
     out = np.zeros(subwords.count + 2, dtype=np.int64)
-    out[rows["id"]] = rows["n"]
-    return out
+    out[-1 - alone["key"].to_numpy()] = alone["n"]
+    common = summed.where("key >= 0").orderBy(F.desc("n"), "key").limit(PAIRS).toPandas()
+    order = np.argsort(common["key"].to_numpy())
+    return out, Pairs(common["key"].to_numpy()[order], common["n"].to_numpy()[order])
 
 
 def _window_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -428,6 +507,7 @@ def fit(windows: DataFrame, classes: Classes, rounds: int = ROUNDS) -> np.ndarra
 class Model:
     subwords: Subwords
     classes: Classes
+    pairs: PairShares
     parameters: np.ndarray
     hashes: np.ndarray  # of the frequent words, sorted
     counts: np.ndarray
@@ -448,6 +528,7 @@ class WordTable:
         self.first = np.zeros(0, dtype=np.int64)
         self.hash = np.zeros(0, dtype=np.uint64)
         self.count = np.zeros(0, dtype=np.int64)  # -1: not among the frequent
+        self.share = np.zeros(0)  # log10 P(subwords | their classes)
 
     def learn(self, words: set[bytes]) -> None:
         new = words.difference(self.place)
@@ -464,9 +545,18 @@ class WordTable:
             at = np.minimum(np.searchsorted(self.model.hashes, hashes), len(self.model.hashes) - 1)
             hit = self.model.hashes[at] == hashes
             counts[hit] = self.model.counts[at[hit]]
+        around = np.array(
+            [c for ids in encoded for c in contexts_of(ids)], dtype=np.int64
+        ).reshape(-1, 2)
+        first = np.cumsum(sizes) - sizes
+        shares = self.model.pairs.log_share(
+            self.model.classes, flat.astype(np.int64), [around[:, 0], around[:, 1]]
+        )
+        owner = np.repeat(np.arange(len(new)), sizes)
         begin = len(self.size)
         self.place.update(zip(new, range(begin, begin + len(new))))
-        self.first = np.r_[self.first, len(self.ids) + np.cumsum(sizes) - sizes]
+        self.first = np.r_[self.first, len(self.ids) + first]
+        self.share = np.r_[self.share, np.bincount(owner, weights=shares, minlength=len(new))]
         self.ids = np.r_[self.ids, flat]
         self.size = np.r_[self.size, sizes]
         self.hash = np.r_[self.hash, hashes]
@@ -481,8 +571,8 @@ class WordTable:
         return at, self.ids[inner]
 
 
-def _scores(model: Model, windows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """log10 probability of each text."""
+def _class_scores(model: Model, windows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """log10 probability of the classes of each text."""
     inputs = np.concatenate([w[0] for w in windows])
     targets = np.concatenate([w[1] for w in windows])
     owner = np.repeat(np.arange(len(windows)), [len(w[0]) for w in windows])
@@ -494,7 +584,6 @@ def _scores(model: Model, windows: list[tuple[np.ndarray, np.ndarray]]) -> np.nd
             model.classes, inputs[at : at + BATCH], part
         )
         found = log_probabilities(p, rows, present, previous, target) / np.log(10)
-        found += model.classes.log_share[np.maximum(part, 0)]
         total[at : at + BATCH] = np.where(scored, found, 0).sum(axis=1)
     return np.bincount(owner, weights=total, minlength=len(windows))
 
@@ -512,14 +601,15 @@ def score(
     counts, windows = corpus(given, subwords, "_text")
     whole = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = whole.n or 0, whole.v
-    classes = classes_of(subwords, subword_counts(counts, subwords))
+    alone, pairs = subword_counts(counts, subwords)
+    classes = classes_of(subwords, alone)
     frequent = (
         counts.select("hash", "n").orderBy(F.desc("n"), "hash").limit(FREQUENT).toPandas()
     )
     hashes = frequent["hash"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
     model = Model(
-        subwords, classes, fit(windows, classes), hashes[order],
+        subwords, classes, pairs.within(classes), fit(windows, classes), hashes[order],
         frequent["n"].to_numpy(dtype=np.int64)[order],
     )
     sent = spark.sparkContext.broadcast(model)
@@ -535,7 +625,7 @@ def score(
             texts = [words_of(t) for t in batch.column("_text").to_pylist()]
             known.learn({w for words in texts for w in words} | {b""})
             ends = known.count[known.place[b""]]
-            sizes, found, base, cut, rare = [], [], [], [], []
+            sizes, found, base, cut, rare, shares = [], [], [], [], [], []
             for words in texts:
                 at, ids = known.text(words)
                 c = np.r_[known.count[at], ends]
@@ -547,6 +637,7 @@ def score(
                 rare.append((other.view(np.int64), times))
                 if not sent_[-1]:  # nobody ended a text: a count of zero
                     base[-1] += float(np.log10(0.5))
+                shares.append(float(known.share[at].sum()))
                 cut.append(windows_of(ids, own.subwords.begin, own.subwords.end))
             offsets = np.r_[0, np.cumsum([len(r[0]) for r in rare])].astype(np.int32)
             entries = pa.StructArray.from_arrays(
@@ -558,7 +649,7 @@ def score(
                 [
                     batch.column("_id"), pa.array(sizes, pa.int64()),
                     pa.array(found, pa.int64()), pa.array(base, pa.float64()),
-                    pa.array(_scores(own, cut)),
+                    pa.array(_class_scores(own, cut) + np.array(shares)),
                     pa.ListArray.from_arrays(pa.array(offsets), entries),
                 ],
                 names=["_id", "n_tokens", "n_known", "base", "score", "rare"],
