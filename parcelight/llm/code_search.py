@@ -158,10 +158,13 @@ def search(
             "distance": np.concatenate([p[2] for p in parts]) if parts else whole,
         })
 
+    # A pair of blocks is little data and much work: as many tasks as pairs,
+    # whatever their bytes.
+    pairs = row_blocks * query_blocks
+    asking = asking.select("_rb", "_qb", "_id", "_code").distinct()
     near = (
-        asking.select("_rb", "_qb", "_id", "_code").distinct()
-        .groupBy("_rb", "_qb")
-        .cogroup(rows.groupBy("_rb", "_qb"))
+        asking.repartition(pairs, "_rb", "_qb").groupBy("_rb", "_qb")
+        .cogroup(rows.repartition(pairs, "_rb", "_qb").groupBy("_rb", "_qb"))
         .applyInPandas(
             lambda right, left: tile(left, right), "query_id long, id long, distance long"
         )
