@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelight.storage import new_path
+from parcelight.storage import ensure_local_folder, new_path
 
 # Texts handled together inside a task: bytes of text, not rows, bound memory.
 SLICE_BYTES = 4 << 20
@@ -36,6 +36,7 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
 
 def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written once to the shared working folder, and its path."""
+    ensure_local_folder(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
