@@ -17,6 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from parcelight.session import build_session  # noqa: E402
+from parcelight.storage import ensure_local_folder  # noqa: E402
 from workload import views  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
@@ -55,6 +56,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("OFF")
+    ensure_local_folder(spark)
 
     # Stage queries read the table of the stage before them. Building these
     # tables is timed on its own, from cold.

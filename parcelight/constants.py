@@ -223,6 +223,7 @@ EXPORT_SCHEMA = T.StructType(
 
 RUN_LOG_SCHEMA = T.StructType(
     [
+        T.StructField("id", T.LongType()),
         T.StructField("run_id", T.StringType()),
         T.StructField("stage", T.StringType()),
         T.StructField("status", T.StringType()),

@@ -12,6 +12,7 @@ from parcelight.functions.numbers import (
     number_or_zero,
     parse_number,
     ratio,
+    whole_number,
     year_prefix,
     zero_to_null,
     zip5,
@@ -23,6 +24,6 @@ __all__ = [
     "bucket_label", "code_prefix", "fold_of", "is_test_row",
     "missing_to_null", "normal_text", "number_or_zero", "parse_number",
     "ratio", "signal_score", "spread_hash", "strip", "temperature",
-    "value_tier", "value_tier_code", "year_prefix", "zero_pad",
-    "zero_to_null", "zip5",
+    "value_tier", "value_tier_code", "whole_number", "year_prefix",
+    "zero_pad", "zero_to_null", "zip5",
 ]

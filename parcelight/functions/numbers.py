@@ -27,6 +27,11 @@ def number_or_zero(c: Column | str) -> Column:
     return F.coalesce(parse_number(c), F.lit(0.0))
 
 
+def whole_number(c: Column | str) -> Column:
+    """As an int; 0 when missing, not a number or out of range."""
+    return F.coalesce(_col(c).try_cast("int"), F.lit(0))
+
+
 def code_prefix(c: Column | str) -> Column:
     """First three characters of a use code ('00100' -> '001')."""
     return F.substring(strip(F.coalesce(_col(c), F.lit(MISSING_TEXT))), 1, 3)

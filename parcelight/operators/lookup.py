@@ -3,36 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from parcelight.storage import materialize_counted
+from parcelight.storage import materialize
 
-# A table of a key and a few numbers at this many rows is some tens of MB.
-BROADCAST_ROWS = 500_000
-SALTS = 64
 
-
-def attach_group_values(
-    df: DataFrame,
-    groups: DataFrame,
-    key: str,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def attach_group_values(df: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     """Left join of ``groups`` (one row per ``key``) to every row of ``df``.
 
-    ``groups`` is written first and its rows are counted on the way. Up to
-    ``broadcast_rows`` it is broadcast and ``df`` does not move. Beyond that
-    both sides are hashed by key and salt, so the rows of one hot key are
-    spread over ``salts`` tasks.
+    ``groups`` is written first, so its bytes are known: Spark broadcasts it
+    below its threshold and otherwise shuffles both sides, where adaptive
+    execution splits the partition of a hot key on the side of ``df``.
     """
-    stored, rows = materialize_counted(groups, f"groups-{key}")
-    if rows <= broadcast_rows:
-        return df.join(F.broadcast(stored), key, "left")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-    return (
-        df.withColumn("_salt", salt)
-        .join(stored.withColumn("_salt", copies), [key, "_salt"], "left")
-        .drop("_salt")
-    )
+    return df.join(materialize(groups, f"groups-{key}"), key, "left")

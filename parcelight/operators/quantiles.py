@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Buckets per power of two, and a shift beyond any exponent of a double.
 _PER_OCTAVE = 4096
+_PARTS = 4096
+_LEVELS = 2
 _SHIFT = 2048 * _PER_OCTAVE
 
 
@@ -19,6 +21,29 @@ def _bucket(value: Column) -> Column:
     return F.coalesce(signed, F.lit(0))
 
 
+def _narrowed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` of a target (distinct values _v with counts _c, of which _before
+    rows are smaller, and the wanted place ``at``): those in the part of the
+    value range that holds the place."""
+    ends = rows.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    width = F.col("_high") / _PARTS - F.col("_low") / _PARTS
+    part = F.when(width > 0, F.floor((F.col("_v") - F.col("_low")) / width))
+    cut = rows.join(F.broadcast(ends) if len(keys) == 2 else ends, keys).withColumn(
+        "_part", F.least(F.coalesce(part, F.lit(0)), F.lit(_PARTS - 1))
+    ).drop("_low", "_high")
+    order = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    sums = cut.groupBy(*keys, "_part", "at", "_before").agg(F.sum("_c").alias("_size"))
+    hit = sums.withColumn(
+        "_through", F.col("_before") + F.sum("_size").over(order)
+    ).where("at < _through AND at >= _through - _size").select(
+        *keys, "_part", (F.col("_through") - F.col("_size")).alias("_start")
+    )
+    found = cut.join(F.broadcast(hit) if len(keys) == 2 else hit, [*keys, "_part"])
+    return found.withColumn("_before", F.col("_start")).drop("_start", "_part")
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -29,9 +54,10 @@ def exact_quantiles(
 
     Equal values are counted together first, with map-side combine. Running
     counts over logarithmic buckets (a bounded number of them) locate the
-    bucket holding each wanted position; only the distinct values of those
-    buckets, 1/4096 of an octave each, are then put in order. The answer is
-    exact. Missing and non-finite values and missing groups are left out.
+    bucket holding each wanted position. Values may lie close together, so that
+    bucket is cut again into :data:`_PARTS` parts of equal width between its own
+    smallest and largest value, and once more; only the distinct values of the
+    last part are put in order. The answer is exact. Missing and non-finite values and missing groups are left out.
     """
     by = list(by)
     usable = F.abs(F.col(value).cast("double")) < float("inf")  # nor NaN
@@ -76,11 +102,15 @@ def exact_quantiles(
     if not by:
         targets = F.broadcast(targets)  # two rows per quantile
 
+    reached = counts.join(targets, [*by, "_bucket"])
+    for _ in range(_LEVELS):
+        reached = _narrowed(reached, [*by, "name", "side"])
+
     in_bucket = Window.partitionBy(*by, "name", "side").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, 0
     )
     picked = (
-        counts.join(targets, [*by, "_bucket"])
+        reached
         .withColumn("_upto", F.col("_before") + F.sum("_c").over(in_bucket))
         .where("at < _upto AND at >= _upto - _c")
     )

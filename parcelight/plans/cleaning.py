@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +16,10 @@ from parcelight.constants import (
     UNKNOWN_CITY_LIMIT_PCT,
     ZIP_TO_CITY,
 )
-from parcelight.functions import normal_text, zero_pad, zero_to_null
-from parcelight.operators import attach_group_values, exact_quantiles
+from parcelight.functions import normal_text, whole_number, zero_pad, zero_to_null
+from parcelight.operators import exact_quantiles
+from parcelight.storage import materialize
 
-# Use codes kept in the plan as a literal map.
-LITERAL_CODES = 64
 # Group of all rows; no use code looks like this.
 ALL_CODES = "\u0000"
 
@@ -42,20 +43,30 @@ def value_fence(df: DataFrame, factor: float = FENCE_FACTOR) -> DataFrame:
     return quartiles.withColumn("upper_bound", F.col("q3") + F.lit(factor) * spread)
 
 
-def drop_value_outliers(df: DataFrame, factor: float = FENCE_FACTOR) -> DataFrame:
-    """Keeps values up to the fence of the same rows.
+def eligible_leads(df: DataFrame) -> DataFrame:
+    """Residential use and minimum value."""
+    return keep_minimum_value(keep_residential(df))
 
-    The fence is fitted first, from the value column alone, and enters the
-    plan as a number: the filter then reaches the scan, and later steps do not
-    work the quartiles out again.
-    """
-    bound = value_fence(df, factor).first()["upper_bound"]
-    return df.where(F.col("JV") <= F.lit(bound).cast("double"))
+
+def fit_fence(leads: DataFrame, factor: float = FENCE_FACTOR) -> float | None:
+    """Upper bound of unsuspicious values among the eligible leads. Runs a
+    job over two columns: fit on a stored table."""
+    return value_fence(eligible_leads(leads), factor).first()["upper_bound"]
 
 
-def filter_leads(df: DataFrame) -> DataFrame:
-    """Residential use, minimum value, then the fence of what is left."""
-    return drop_value_outliers(keep_minimum_value(keep_residential(df)))
+def filter_leads(df: DataFrame, bound: Column | float | None = None) -> DataFrame:
+    """Residential use, minimum value, then the fence of what is left.
+
+    ``bound`` is the fitted fence (:func:`fit_fence`): as a number it reaches
+    the scan, and no later step works the quartiles out again. Without it the
+    fence is part of the plan, and nothing runs here.
+    """
+    kept = eligible_leads(df)
+    if bound is None:
+        bound = value_fence(kept).select("upper_bound").scalar()
+    elif not isinstance(bound, Column):
+        bound = F.lit(float(bound))
+    return kept.where(F.col("JV") <= bound)
 
 
 # -- city ----------------------------------------------------------------------
@@ -77,7 +88,7 @@ def _city_of_zip(zip_code: Column) -> Column:
 
 def fill_city(df: DataFrame) -> DataFrame:
     """Blank cities from the ZIP code, else UNKNOWN."""
-    zip_code = F.coalesce(F.col("PHY_ZIPCD"), F.lit(0)).cast("int")
+    zip_code = whole_number("PHY_ZIPCD")
     from_zip = F.coalesce(_city_of_zip(zip_code), F.lit(UNKNOWN_CITY))
     spelled = spell_city(df)
     return spelled.withColumns(
@@ -114,29 +125,19 @@ def median_years(df: DataFrame) -> DataFrame:
     )
 
 
-def fill_actual_year(df: DataFrame, literal_codes: int = LITERAL_CODES) -> DataFrame:
+def fill_actual_year(df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """Year 0 replaced by the median year of the use code, else of all rows.
 
-    The medians are fitted first. Up to ``literal_codes`` codes (cleaning
-    leaves four) they become a literal map, so filling moves no row; more are
-    joined. Raises when no row has a known year.
+    ``medians`` (:func:`median_years`, one row per code) join like any group
+    value. Reaching a row to fill without any known year is an error.
     """
-    medians = median_years(df)
-    few = medians.limit(literal_codes + 2).collect()
-    if len(few) <= literal_codes + 1:
-        years = {row["DOR_UC"]: row["_code_year"] for row in few}
-        overall = years.get(ALL_CODES)
-        pairs = [F.lit(v) for pair in years.items() for v in pair]
-        known = F.create_map(*pairs).cast("map<string,double>")
-        rows = df.withColumn("_code_year", F.element_at(known, F.col("DOR_UC")))
-    else:
-        overall = medians.where(F.col("DOR_UC") == ALL_CODES).first()["_code_year"]
-        rows = attach_group_values(df, medians, "DOR_UC")
-    if overall is None and not df.isEmpty():
-        raise ValueError("no known year built in any row")
-    filled = F.coalesce("_code_year", F.lit(int(overall or 0)))
+    medians = median_years(df) if medians is None else medians
+    overall = medians.where(F.col("DOR_UC") == ALL_CODES).select("_code_year").scalar()
+    rows = df.join(medians, "DOR_UC", "left")
+    none = F.raise_error(F.lit("no known year built in any row")).cast("double")
+    filled = F.coalesce("_code_year", F.floor(overall).cast("double"), none)
     year = F.when(F.col("ACT_YR_BLT") == 0, filled).otherwise(F.col("ACT_YR_BLT"))
-    return rows.withColumn("ACT_YR_BLT", year.cast("int")).select(*df.columns)
+    return rows.withColumn("ACT_YR_BLT", whole_number(year)).select(*df.columns)
 
 
 def fill_effective_year(df: DataFrame) -> DataFrame:
@@ -144,19 +145,41 @@ def fill_effective_year(df: DataFrame) -> DataFrame:
     year = F.when(F.col("EFF_YR_BLT") == 0, F.col("ACT_YR_BLT")).otherwise(
         F.col("EFF_YR_BLT")
     )
-    return df.withColumn("EFF_YR_BLT", year.cast("int"))
+    return df.withColumn("EFF_YR_BLT", whole_number(year))
 
 
 def blank_living_area(df: DataFrame) -> DataFrame:
     return df.withColumn("TOT_LVG_AR", zero_to_null("TOT_LVG_AR"))
 
 
-def repair_leads(df: DataFrame) -> DataFrame:
-    return blank_living_area(fill_effective_year(fill_actual_year(fill_city(df))))
+def repair_leads(df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
+    filled = fill_effective_year(fill_actual_year(fill_city(df), medians))
+    return blank_living_area(filled)
+
+
+@dataclass
+class CleaningStatistics:
+    """What cleaning needs to know of all rows before it can treat one."""
+
+    bound: float | None
+    medians: DataFrame
+
+
+def fit_cleaning(leads: DataFrame) -> CleaningStatistics:
+    """Fence and median years, fitted in two narrow passes over stored leads."""
+    bound = fit_fence(leads)
+    medians = materialize(median_years(filter_leads(leads, bound)), "median-years")
+    return CleaningStatistics(bound, medians)
 
 
-def clean_leads(leads: DataFrame) -> DataFrame:
-    return repair_leads(filter_leads(leads))
+def clean_leads(
+    leads: DataFrame, statistics: CleaningStatistics | None = None
+) -> DataFrame:
+    """One pass over the leads, started by the caller. Statistics that were not
+    fitted before are part of the plan, which then reads the leads several times."""
+    if statistics is None:
+        return repair_leads(filter_leads(leads))
+    return repair_leads(filter_leads(leads, statistics.bound), statistics.medians)
 
 
 def repair_counts(filtered: DataFrame) -> DataFrame:

@@ -44,16 +44,30 @@ def top_values(
     return ranked if n is None else ranked.where(F.col("place") <= n)
 
 
+def several_top_values(
+    rows: DataFrame, group: str, columns: dict[str, int | None]
+) -> DataFrame:
+    """Most frequent values of several columns within each group, from one scan
+    and one count: (group, column, value, n, place). None keeps all values."""
+    names = list(columns)
+    texts = rows.select(group, *[F.col(c).cast("string") for c in names])
+    counts = (
+        texts.unpivot(group, names, "column", "value").where(F.col("value").isNotNull())
+        .groupBy(group, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    order = Window.partitionBy(group, "column").orderBy(F.desc("n"), "value")
+    ranked = counts.withColumn("place", F.row_number().over(order))
+    kept = F.lit(False)
+    for column, n in columns.items():
+        here = F.col("column") == column
+        kept = kept | (here if n is None else here & (F.col("place") <= n))
+    return ranked.where(kept)
+
+
 def fold_top_values(
     rows: DataFrame, columns: dict[str, int | None]
 ) -> DataFrame:
-    out = None
-    for column, n in columns.items():
-        part = top_values(rows, "fold", column, n).select(
-            "fold", F.lit(column).alias("column"), "value", "n", "place"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    return several_top_values(rows, "fold", columns)
 
 
 def fold_metrics(predicted: DataFrame) -> DataFrame:
@@ -76,6 +90,18 @@ def worst_fold(predicted: DataFrame) -> DataFrame:
     )
 
 
+def with_predictions(features: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Features with the fold and the prediction that cross-validation
+    (``scoring.held_out_predictions``) made for the row. Ids are unique on both
+    sides."""
+    return features.join(predicted.select("OBJECTID", "fold", "prediction"), "OBJECTID")
+
+
+def of_worst_fold(predicted: DataFrame) -> DataFrame:
+    """The rows of the fold with the lowest F1."""
+    return predicted.where(F.col("fold") == worst_fold(predicted).select("fold").scalar())
+
+
 def outcome() -> Column:
     actual, guess = F.col(LABEL_COLUMN) == 1, F.col("prediction") == 1
     return (
@@ -87,7 +113,8 @@ def outcome() -> Column:
 
 
 def error_profile(predicted: DataFrame) -> DataFrame:
-    """What missed leads and false alarms look like."""
+    """What missed leads and false alarms look like; see :func:`of_worst_fold`
+    for the rows to ask about."""
     wrong = predicted.withColumn("outcome", outcome()).where(
         F.col("outcome").isin("missed", "false alarm")
     )
@@ -101,11 +128,15 @@ def error_profile(predicted: DataFrame) -> DataFrame:
     )
 
 
-def error_top_values(predicted: DataFrame, column: str, n: int | None) -> DataFrame:
+def error_top_values(
+    predicted: DataFrame, columns: dict[str, int | None]
+) -> DataFrame:
+    """Most frequent values of several columns among missed leads and false
+    alarms: (outcome, column, value, n, place)."""
     wrong = predicted.withColumn("outcome", outcome()).where(
         F.col("outcome").isin("missed", "false alarm")
     )
-    return top_values(wrong, "outcome", column, n)
+    return several_top_values(wrong, "outcome", columns)
 
 
 def fold_label_rate(rows: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def export_layout(df: DataFrame) -> DataFrame:
     whole = {c: "int" for c in EXPORT_INT_COLUMNS}
     whole.update(rank="bigint", OBJECTID="bigint")
     columns = [
-        F.coalesce(F.col(c), F.lit(0)).cast(whole[c]).alias(c)
+        F.coalesce(F.col(c).try_cast(whole[c]), F.lit(0)).cast(whole[c]).alias(c)
         if c in whole else F.col(c)
         for c in EXPORT_COLUMNS
         if c in df.columns

@@ -22,9 +22,9 @@ from parcelight.functions import (
     strip,
     value_tier,
     value_tier_code,
+    whole_number,
 )
 from parcelight.operators import attach_group_values, require_columns
-from parcelight.operators.lookup import BROADCAST_ROWS
 
 FLAGS = [
     "is_corporate_owner", "is_absentee_owner", "is_out_of_state_owner",
@@ -38,7 +38,7 @@ def _flag(condition: Column) -> Column:
 
 def property_age(as_of_year: int | None = None) -> Column:
     year = as_of_year or dt.date.today().year
-    return F.greatest(F.lit(0), F.lit(year) - F.col("ACT_YR_BLT").cast("int"))
+    return F.greatest(F.lit(0), F.lit(year) - whole_number("ACT_YR_BLT"))
 
 
 def corporate_owner() -> Column:
@@ -82,10 +82,9 @@ def never_sold() -> Column:
     return _flag(F.col("SALE_PRC1") == 0)
 
 
-def with_neighborhood_ratio(
-    df: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Value against the mean of its neighbourhood; 1.0 without one."""
+def with_neighborhood_ratio(df: DataFrame) -> DataFrame:
+    """Value against the mean of its neighbourhood; 1.0 without one (also the
+    unknown ones of leads built with ``strict_nulls``)."""
     means = (
         df.where(F.col("NBRHD_CD").isNotNull())
         .groupBy("NBRHD_CD")
@@ -93,7 +92,7 @@ def with_neighborhood_ratio(
     )
     own = F.coalesce(ratio("JV", "_mean"), F.lit(1.0))
     return (
-        attach_group_values(df, means, "NBRHD_CD", broadcast_rows)
+        attach_group_values(df, means, "NBRHD_CD")
         .withColumn("neighborhood_value_ratio", own)
         .drop("_mean")
         .select(*df.columns, "neighborhood_value_ratio")

@@ -185,13 +185,15 @@ def prepare_sales(df: DataFrame) -> DataFrame:
     return _unkeyed(_sales(df))
 
 
-def fill_missing(leads: DataFrame) -> DataFrame:
-    """Missing numbers to 0 and missing text to '', over the lead columns."""
+def fill_missing(leads: DataFrame, strict_nulls: bool = False) -> DataFrame:
+    """Missing numbers to 0 and missing text to '', over the lead columns.
+    ``strict_nulls`` leaves an unknown neighbourhood missing: it is no group."""
     numbers = [
         c for c in LEAD_COLUMNS
         if c in leads.columns and c not in LEAD_TEXT_COLUMNS and c != "OBJECTID"
     ]
-    texts = [c for c in LEAD_TEXT_COLUMNS if c in leads.columns and c != "Parcel"]
+    missing = {"Parcel", "NBRHD_CD"} if strict_nulls else {"Parcel"}
+    texts = [c for c in LEAD_TEXT_COLUMNS if c in leads.columns and c not in missing]
     return leads.withColumns(
         {
             **{c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numbers},
@@ -227,7 +229,7 @@ def build_leads(
     # There is no site address in the source: the owner's address stands in.
     leads = _unkeyed(joined).withColumn("PHY_ADDR1", F.col("OWN_ADDR1"))
     columns = LEAD_COLUMNS if numbered else LEAD_COLUMNS[1:]
-    return select_lead_columns(fill_missing(leads), columns)
+    return select_lead_columns(fill_missing(leads, strict_nulls), columns)
 
 
 def select_lead_columns(

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelight.constants import HOME_STATE, MIN_JUST_VALUE, RESIDENTIAL_CODES
+from parcelight.constants import (
+    HOME_STATE,
+    LEAD_COLUMNS,
+    MIN_JUST_VALUE,
+    RESIDENTIAL_CODES,
+)
 from parcelight.functions import bucket_label, code_prefix, parse_number, strip
 from parcelight.operators import (
     condition_counts,
@@ -65,30 +70,32 @@ def summary_stats(leads: DataFrame) -> DataFrame:
 
 
 def value_counts_by_column(df: DataFrame, columns: list[str], n: int) -> DataFrame:
-    """Most frequent values of several columns: one (column, value, n) table."""
-    parts = [
-        top_counts(df, c, n).select(
-            F.lit(c).alias("column"), F.col("value").cast("string"), "n"
-        )
-        for c in columns
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Most frequent values of several columns: one (column, value, n) table,
+    from one scan and one count."""
+    texts = df.select(*[F.col(c).cast("string") for c in columns])
+    counts = (
+        texts.unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    order = Window.partitionBy("column").orderBy(F.desc("n"), "value")
+    return (
+        counts.withColumn("_place", F.row_number().over(order))
+        .where(F.col("_place") <= n).drop("_place")
+    )
 
 
 def nulls_and_zeros(leads: DataFrame) -> DataFrame:
-    """Nulls, zeros and empty texts per column, one scan."""
-    numbers = [c for c in ZERO_PROFILE if c in leads.columns]
-    texts = [c for c in TEXT_PROFILE if c in leads.columns]
+    """Nulls of every lead column, zeros and empty texts of those that have
+    such a meaning; one scan."""
     checks = {}
-    for c in numbers:
-        checks[f"{c}:zeros"] = F.col(c) == 0
-        checks[f"{c}:nulls"] = F.col(c).isNull()
-    for c in texts:
-        checks[f"{c}:empty"] = strip(c) == ""
+    for c in LEAD_COLUMNS:
+        if c not in leads.columns:
+            continue
         checks[f"{c}:nulls"] = F.col(c).isNull()
+        if c in ZERO_PROFILE:
+            checks[f"{c}:zeros"] = F.col(c) == 0
+        if c in TEXT_PROFILE:
+            checks[f"{c}:empty"] = strip(c) == ""
     rows = long_form(condition_counts(leads, checks), "_check", "n")
     return rows.select(
         F.split_part("_check", F.lit(":"), F.lit(1)).alias("column"),

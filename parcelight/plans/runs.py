@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from parcelight.constants import LEAD_COLUMNS
 from parcelight.plans import audit, scoring
-from parcelight.plans.cleaning import clean_leads
+from parcelight.plans.cleaning import clean_leads, fit_cleaning
 from parcelight.plans.export import export_leads
 from parcelight.plans.features import engineer
 from parcelight.plans.ingest import build_leads, resume_slice
@@ -28,25 +28,34 @@ LOAD_MODE = "CAMA_LOAD"
 REUSE_MODE = "DRY_RUN"
 
 
-def load_leads(tables: LeadTables, folder: str, goal: int | None = None) -> int:
+def load_leads(
+    tables: LeadTables, folder: str, goal: int | None = None, strict_nulls: bool = False
+) -> int:
     """Loads leads from the source files of ``folder``, up to ``goal`` rows in
     total, after the rows already loaded. Returns the rows added."""
     loaded = tables.read("leads").count()
     if goal is not None and loaded >= goal:
         return 0
-    leads = build_leads(read_source_tables(tables.spark, folder))
+    leads = build_leads(
+        read_source_tables(tables.spark, folder), strict_nulls=strict_nulls
+    )
     rest = resume_slice(leads, loaded, goal).select(*LEAD_COLUMNS)
-    return append_new_rows(rest, tables, "leads", "OBJECTID")
+    return append_new_rows(rest, tables, "leads", "OBJECTID", unique=True)
 
 
-def ingest(tables: LeadTables, run_mode: str, folder: str | None = None) -> int:
+def ingest(
+    tables: LeadTables,
+    run_mode: str,
+    folder: str | None = None,
+    strict_nulls: bool = False,
+) -> int:
     """Fills the leads table, or leaves a filled one alone; rows in it after."""
     if run_mode not in (LOAD_MODE, REUSE_MODE):
         raise ValueError(f"unknown run mode {run_mode!r}")
     if run_mode == LOAD_MODE and tables.is_empty("leads"):
         if folder is None:
             raise FileNotFoundError("no source folder given")
-        load_leads(tables, folder)
+        load_leads(tables, folder, strict_nulls=strict_nulls)
     return tables.read("leads").count()
 
 
@@ -62,8 +71,10 @@ class Run:
         as_of_year: int | None = None,
         run_id: str | None = None,
         fresh: bool = False,
+        strict_nulls: bool = False,
     ):
-        """``fresh`` empties all stage tables first: there is no way back."""
+        """``fresh`` empties all stage tables first: there is no way back.
+        ``strict_nulls`` keeps unknown owner states and neighbourhoods unknown."""
         if fresh:
             empty_tables(tables)
         self.tables = tables
@@ -71,19 +82,26 @@ class Run:
         self.run_mode = run_mode
         self.folder = folder
         self.as_of_year = as_of_year
+        self.strict_nulls = strict_nulls
         self.run_id = run_id or audit.resume_run_id(tables, mode, fresh)
         self.modes = {"pipeline_mode": mode, "run_mode": run_mode}
 
-    def _stage(self, name: str, rows_in: int, work: Callable[[], int]) -> int:
-        """Runs one stage and logs it. A training stage this run has already
-        completed is left alone: its table is there for the next one."""
+    def _stage(
+        self, name: str, rows_in: int, work: Callable[[], int], table: str | None = None
+    ) -> int:
+        """Runs one stage and logs it. A stage this run has already completed is
+        left alone if its ``table`` has rows for the next one. A stage without
+        rows has failed: what comes after it could do nothing."""
         log = self.tables.read("pipeline_log")
-        if audit.stage_status(log, self.run_id, name) == "completed":
+        there = table is None or not self.tables.is_empty(table)
+        if there and audit.stage_status(log, self.run_id, name) == "completed":
             done = audit.run_summary(log, self.run_id).where(f"stage = '{name}'")
             return done.tail(1)[0]["records_out"]
         begin = time.monotonic()
         try:
             rows_out = work()
+            if not rows_out:
+                raise ValueError(f"stage {name} has no rows: {table or name} is empty")
         except Exception as error:
             audit.log_stage_error(self.tables, self.run_id, name, error, **self.modes)
             raise
@@ -98,13 +116,25 @@ class Run:
         tables = self.tables
         before = tables.read("leads").count()
         rows = self._stage(
-            "scraper", before, lambda: ingest(tables, self.run_mode, self.folder)
+            "scraper", before,
+            lambda: ingest(tables, self.run_mode, self.folder, self.strict_nulls),
+            "leads",
         )
-        rows = self._stage("cleaner", rows, lambda: overwrite_table(
-            clean_leads(stage_input(None, tables, "leads")), tables, "leads_clean"))
-        return self._stage("features", rows, lambda: overwrite_table(
-            engineer(stage_input(None, tables, "leads_clean"), self.as_of_year),
-            tables, "leads_features"))
+
+        def clean() -> int:
+            leads = stage_input(None, tables, "leads")
+            return overwrite_table(
+                clean_leads(leads, fit_cleaning(leads)), tables, "leads_clean"
+            )
+
+        def features() -> int:
+            rows = stage_input(None, tables, "leads_clean")
+            return overwrite_table(
+                engineer(rows, self.as_of_year, self.strict_nulls), tables, "leads_features"
+            )
+
+        rows = self._stage("cleaner", rows, clean, "leads_clean")
+        return self._stage("features", rows, features, "leads_features")
 
     def train(self, model_path: str, **params) -> scoring.Training | None:
         """Ingest to model. None when this run had already trained."""

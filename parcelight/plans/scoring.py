@@ -27,11 +27,15 @@ from parcelight.constants import (
     TREE_DEPTH,
     TREES,
 )
-from parcelight.functions import fold_of, is_test_row
+from parcelight.functions import spread_hash
 from parcelight.operators import number_rows, require_columns
 from parcelight.storage import materialize, working_dir
 
 
+# Rows of model input to a task; a row is about a hundred bytes in memory.
+ROWS_PER_TASK = 200_000
+
+
 # -- input --------------------------------------------------------------------
 
 
@@ -60,13 +64,38 @@ def class_balance(features: DataFrame, label: str = LABEL_COLUMN) -> DataFrame:
 def with_split(
     df: DataFrame, share: float = TEST_SHARE, seed: int = SEED
 ) -> DataFrame:
-    """Adds ``is_test``. The hash spreads ids evenly, so each class is split
-    in the same proportion up to sampling error, without a shuffle."""
-    return df.withColumn("is_test", is_test_row("OBJECTID", share, seed))
+    """Adds ``is_test``: of each class the first ``share`` of its rows, rounded,
+    in the order of the row hash."""
+    quota = F.floor(F.col("_size") * F.lit(share) + F.lit(0.5))
+    return _placed(df, seed).withColumn("is_test", F.col("_place") < quota).drop(
+        "_place", "_size"
+    )
 
 
 def with_fold(df: DataFrame, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
-    return df.withColumn("fold", fold_of("OBJECTID", folds, seed))
+    """Adds ``fold`` 1..folds: each class is cut into runs, in the order of the
+    row hash, whose sizes differ by one row at most."""
+    fold = F.floor(F.col("_place") * F.lit(folds) / F.col("_size")) + 1
+    return _placed(df, seed).withColumn("fold", fold.cast("int")).drop("_place", "_size")
+
+
+def _placed(df: DataFrame, seed: int, label: str = LABEL_COLUMN) -> DataFrame:
+    """Adds the place of a row within its class, in the order of the row hash,
+    and the size of the class. The hash depends on id and seed alone, so the
+    result is the same for any partitioning; one range shuffle orders the rows."""
+    hashed = df.withColumn("_hash", spread_hash("OBJECTID", seed))
+    numbered = number_rows(
+        hashed, [F.col(label), F.col("_hash"), F.col("OBJECTID")], "_nth", start=0
+    ).drop("_hash")
+    classes = numbered.groupBy(F.col(label).alias("_class")).agg(
+        F.min("_nth").alias("_first"), F.count(F.lit(1)).alias("_size")
+    )
+    same = numbered[label].eqNullSafe(F.col("_class"))
+    return (
+        numbered.join(F.broadcast(classes), same)  # one row per class
+        .withColumn("_place", F.col("_nth") - F.col("_first"))
+        .drop("_nth", "_first", "_class")
+    )
 
 
 def scale_columns(
@@ -110,7 +139,8 @@ def classifier(
             ),
             GBTClassifier(
                 featuresCol="_scaled", labelCol=LABEL_COLUMN, maxIter=trees,
-                stepSize=rate, maxDepth=depth, seed=seed, checkpointInterval=10,
+                stepSize=rate, maxDepth=depth, seed=seed, checkpointInterval=50,
+                maxMemoryInMB=1024,  # a level of the tree in one pass
             ),
         ]
     )
@@ -124,8 +154,11 @@ def _ensure_checkpoints(rows: DataFrame) -> None:
 
 
 def fit(rows: DataFrame, **params) -> PipelineModel:
+    """Every tree is a few jobs over all rows, so small inputs get few tasks.
+    The rows should be stored: they are read and cached by the fit."""
     _ensure_checkpoints(rows)
-    return classifier(**params).fit(rows)
+    tasks = max(1, -(-rows.count() // ROWS_PER_TASK))
+    return classifier(**params).fit(rows.coalesce(tasks))
 
 
 def confusion_metrics(
@@ -154,13 +187,15 @@ def confusion_metrics(
     )
 
 
-def cross_validate(
+def held_out_predictions(
     rows: DataFrame, folds: int = FOLDS, parallelism: int | None = None, **params
 ) -> DataFrame:
-    """Metrics of each fold, predicted by a model fitted on the others. All
-    rows take part; the scaler is fitted inside each fold. Folds are fitted
-    side by side, ``parallelism`` at a time (default: all)."""
-    rows = with_fold(rows, folds)
+    """OBJECTID, fold, label and prediction of every row, by a model fitted on
+    the other folds; stored. The scaler is fitted inside each fold. Folds are
+    fitted side by side, ``parallelism`` at a time (default: all); each of them
+    caches its own copy of its training rows, so give a lower number where
+    that many copies do not fit."""
+    rows = materialize(with_fold(rows, folds), "folds")
     _ensure_checkpoints(rows)
 
     @inheritable_thread_target(rows.sparkSession)
@@ -172,7 +207,14 @@ def cross_validate(
 
     with ThreadPoolExecutor(parallelism or folds) as pool:
         parts = list(pool.map(held_out, range(1, folds + 1)))
-    predicted = reduce(DataFrame.unionByName, parts)
+    return materialize(reduce(DataFrame.unionByName, parts), "held-out")
+
+
+def cross_validate(
+    rows: DataFrame, folds: int = FOLDS, parallelism: int | None = None, **params
+) -> DataFrame:
+    """Metrics of each fold of :func:`held_out_predictions`."""
+    predicted = held_out_predictions(rows, folds, parallelism, **params)
     return confusion_metrics(predicted, ["fold"]).orderBy("fold")
 
 
@@ -202,6 +244,8 @@ class Training:
     saved: bool
     importance: DataFrame
     folds: DataFrame | None = None
+    held_out: DataFrame | None = None
+    path: str | None = None
 
 
 def train(
@@ -214,12 +258,16 @@ def train(
 ) -> Training:
     """Fits on the training rows, judges on the held-out rows, and stores the
     model only if its F1 reaches ``gate``."""
-    rows = materialize(with_split(model_input(features, columns)), "model-input")
-    if rows.isEmpty():
+    given = model_input(features, columns)
+    if given.isEmpty():
         raise ValueError("no rows to train on")
+    rows = materialize(with_split(given), "model-input")
     params = {"columns": columns, **params}
     model = fit(rows.where(~F.col("is_test")), **params)
-    folds = cross_validate(rows, cv_folds, **params) if cv_folds else None
+    held_out = held_out_predictions(rows, cv_folds, **params) if cv_folds else None
+    folds = (
+        confusion_metrics(held_out, ["fold"]).orderBy("fold") if cv_folds else None
+    )
     tested = model.transform(rows.where("is_test"))
     result = confusion_metrics(tested).first()
     saved = model_path is not None and result["f1"] >= gate
@@ -227,7 +275,8 @@ def train(
         model.write().overwrite().save(model_path)
     return Training(
         model, result["f1"], result["precision"], result["recall"], saved,
-        feature_importance(model, columns, features.sparkSession), folds,
+        feature_importance(model, columns, features.sparkSession), folds, held_out,
+        model_path if saved else None,
     )
 
 
@@ -257,10 +306,11 @@ def score(
 
 
 def rank_leads(scored: DataFrame) -> DataFrame:
-    """Sequential rank, hottest first; equal scores in OBJECTID order."""
+    """Sequential rank, hottest first; equal scores in OBJECTID order. Scores
+    are stored before they are sorted, as a sort reads its input twice."""
     shown = [c for c in DISPLAY_COLUMNS if c in scored.columns]
     return number_rows(
-        scored.select(*shown, "hot_lead_score"),
+        materialize(scored.select(*shown, "hot_lead_score"), "scores"),
         [F.desc("hot_lead_score"), F.asc("OBJECTID")],
         "rank",
     )

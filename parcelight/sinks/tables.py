@@ -8,14 +8,14 @@ from pyspark.sql import Observation
 
 from parcelight.constants import TABLE_SCHEMAS
 from parcelight.operators.reduce import first_by_key
-from parcelight.sources.tables import PARTITIONS, LeadTables
+from parcelight.sources.tables import PARTITIONS, LeadTables, conform
 from parcelight.storage import materialize
 
 
 def overwrite_table(df: DataFrame, tables: LeadTables, table: str) -> int:
     """Replaces a stage table; the row count is observed during the write."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted = conform(df, table).observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
     ).parquet(tables.path(table))
@@ -28,18 +28,26 @@ def append_new_rows(
     table: str,
     key: str,
     order: Column | None = None,
+    unique: bool = False,
 ) -> int:
     """Appends the rows whose key the table does not hold yet.
 
-    Within the batch the first row of a key (by ``order``) wins. Applying the
-    same batch again changes nothing.
+    Within the batch the first row of a key (by ``order``) wins; ``unique``
+    states that there is only one. Known rows leave before any of that. Applying
+    the same batch again changes nothing. The batch is brought into the layout
+    of the table first.
     """
     stored = tables.read(table)
+    dated = "created_at" in stored.columns and "created_at" not in batch.columns
     order = order if order is not None else F.struct(*sorted(batch.columns))
-    others = [c for c in batch.columns if c != key]
-    first = first_by_key(batch.where(F.col(key).isNotNull()), key, others, order)
-    fresh = first.join(stored.select(key), key, "left_anti").select(*batch.columns)
-    if "created_at" in stored.columns and "created_at" not in fresh.columns:
+    ordered = batch.withColumn("_order", order)
+    new = ordered.where(F.col(key).isNotNull()).join(
+        stored.select(F.col(key).cast(batch.schema[key].dataType)), key, "left_anti"
+    )
+    if not unique:
+        new = first_by_key(new, key, [c for c in batch.columns if c != key], F.col("_order"))
+    fresh = conform(new.select(*batch.columns), table)
+    if dated:
         fresh = fresh.withColumn("created_at", F.current_timestamp())
     seen = Observation()
     fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(

@@ -1,4 +1,5 @@
 from parcelight.sources.tables import LeadTables, stage_input
-from parcelight.sources.tsv import read_tsv, read_source_tables
+from parcelight.sources.tsv import read_source_tables, read_tsv, torn_rows
 
-__all__ = ["LeadTables", "read_source_tables", "read_tsv", "stage_input"]
+__all__ = ["LeadTables", "read_source_tables", "read_tsv", "stage_input",
+           "torn_rows"]

@@ -9,6 +9,23 @@ from pyspark.sql.types import StructType
 
 from parcelight.constants import DETAIL_COLUMNS, TABLE_SCHEMAS
 
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the layout of a stage table: columns by name, cast to their
+    types (a value that does not fit is an error), absent ones missing. Columns
+    the table does not have are an error."""
+    known = TABLE_SCHEMAS[table]
+    extra = sorted(set(df.columns) - set(known.names))
+    if extra:
+        raise ValueError(f"columns unknown to {table}: {extra}")
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None))
+            .cast(f.dataType).alias(f.name)
+            for f in known
+        ]
+    )
+
+
 # Partition columns of the stage tables that have any.
 PARTITIONS = {"scored_leads": ["run_id"]}
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -27,11 +44,8 @@ class LeadTables:
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
         """Whole table; an absent one reads as empty."""
         known = schema or TABLE_SCHEMAS[table]
-        reader = self.spark.read
-        if table in PARTITIONS:
-            reader = reader.schema(known)
         try:
-            return reader.parquet(self.path(table))
+            return self.spark.read.schema(known).parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() not in _ABSENT:
                 raise

@@ -13,11 +13,26 @@ from parcelight.operators.shape import require_columns
 ORDINAL = "_ord"
 
 
+def _reader(spark: SparkSession):
+    return (
+        spark.read.option("sep", "\t").option("header", True)
+        .option("quote", '"').option("escape", '"')
+    )
+
+
+def torn_rows(spark: SparkSession, path: str) -> int:
+    """Lines with an odd number of quotes: rows torn at a quoted line break."""
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.translate(line, '"', ""))
+    return spark.read.text(path).where(quotes % 2 == 1).count()
+
+
 def read_tsv(
     spark: SparkSession,
     path: str,
     columns: list[str] | None = None,
     ordinal: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Every column as text, names from the header, missing-value tokens as
     NULL; only ``columns`` are parsed when given.
@@ -25,12 +40,12 @@ def read_tsv(
     ``_ord`` is the row's place in file order (file, offset of the split,
     place in the split). It is fixed at the scan, so "first in the file" stays
     well defined after any shuffle.
+
+    ``multi_line`` reads quoted fields that hold line breaks; a file is then
+    not split, so several files serve better than a large one. Without it such a
+    row is torn: :func:`torn_rows` counts them.
     """
-    raw = (
-        spark.read.option("sep", "\t").option("header", True)
-        .option("quote", '"').option("escape", '"')
-        .csv(path)
-    )
+    raw = _reader(spark).option("multiLine", multi_line).csv(path)
     names = list(columns or raw.columns)
     require_columns(raw, names, path)
     place = F.struct(

@@ -15,21 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Observation
 
-_local_dirs: dict[str, str] = {}
+_chosen: dict[str, str] = {}
+
+
+def use_folder(spark: SparkSession, path: str) -> None:
+    """Names the shared folder of a running application that was started
+    without ``spark.checkpoint.dir``."""
+    _chosen[spark.conf.get("spark.app.id", "app")] = path
+
+
+def ensure_local_folder(spark: SparkSession) -> None:
+    """For entry points: gives a session on one machine that names no shared
+    folder a temporary one. On a cluster the setting stays required."""
+    app = spark.conf.get("spark.app.id", "app")
+    named = spark.conf.get("spark.checkpoint.dir", None) or _chosen.get(app)
+    if named is None and spark.conf.get("spark.master", "").split("[")[0] == "local":
+        use_folder(spark, tempfile.mkdtemp(prefix="parcelight-"))
 
 
 def working_dir(spark: SparkSession) -> str:
     """Folder for working tables of this application."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.conf.get("spark.app.id", "app")
+    base = spark.conf.get("spark.checkpoint.dir", None) or _chosen.get(app)
     if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder all executors share"
-            )
-        if app not in _local_dirs:
-            _local_dirs[app] = tempfile.mkdtemp(prefix="parcelight-")
-        base = _local_dirs[app]
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/parcelight/{app}"
 
 

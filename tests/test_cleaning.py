@@ -54,12 +54,11 @@ def test_city(spark):
     assert (share["records"], share["unknown"], share["warn"]) == (7, 2, True)
 
 
-@pytest.mark.parametrize("literal_codes", [64, 0])
-def test_years(spark, literal_codes):
+def test_years(spark):
     years = [("001", 1990.0, 0.0), ("001", 1991.0, 2000.0), ("001", 0.0, 0.0),
              ("002", 0.0, 1999.0), ("007", 1950.0, 0.0)]
     rows = [(i, c, 1.0, "X", 0.0, a, e, 0.0) for i, (c, a, e) in enumerate(years)]
-    filled = cleaning.fill_actual_year(_leads(spark, rows), literal_codes)
+    filled = cleaning.fill_actual_year(_leads(spark, rows))
     out = cleaning.fill_effective_year(filled)
     # 001: median 1990.5 is cut to 1990; 002 has no known year: overall median 1990.
     assert _by_id(out, "ACT_YR_BLT", "EFF_YR_BLT") == {
@@ -67,10 +66,41 @@ def test_years(spark, literal_codes):
     assert dict(out.dtypes)["ACT_YR_BLT"] == "int"
 
 
+def test_years_of_200_codes(spark):
+    rows = [(4 * c + k, f"{c:03}", 1.0, "X", 0.0, y, 0.0, 0.0)
+            for c in range(200) for k, y in enumerate((1900.0 + c % 90, 1902.0 + c % 90, 0.0))]
+    out = _by_id(cleaning.fill_actual_year(_leads(spark, rows)), "ACT_YR_BLT")
+    assert all(out[4 * c + 2] == (1901 + c % 90,) for c in range(200))
+
+
 def test_no_known_year_is_an_error(spark):
     rows = [(1, "001", 1.0, "X", 0.0, 0.0, 0.0, 0.0)]
-    with pytest.raises(ValueError, match="year"):
-        cleaning.fill_actual_year(_leads(spark, rows))
+    with pytest.raises(Exception, match="year"):
+        cleaning.fill_actual_year(_leads(spark, rows)).collect()
+
+
+def test_numbers_out_of_range_are_unusable(spark):
+    rows = [(1, "001", 5000.0, "", 1e300, 1990.0, 1e12, 1.0),
+            (2, "001", 5000.0, "X", -1e300, -1e15, 0.0, 1.0)]
+    out = _by_id(cleaning.clean_leads(_leads(spark, rows)), "PHY_ZIPCD", "EFF_YR_BLT")
+    assert out == {1: (0, 0), 2: (0, 0)}
+
+
+def test_an_unstored_input_is_read_once_when_statistics_are_given(spark):
+    rows = [(i, "001", 2000.0 + i, "X", 0.0, 1990.0 * (i % 2), 0.0, 1.0) for i in range(60)]
+    df = _leads(spark, rows)
+    fitted = cleaning.fit_cleaning(df)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = df.mapInArrow(count, df.schema)
+    out = cleaning.clean_leads(counted, fitted)
+    assert seen.value == 0  # nothing has run yet
+    assert out.count() == 60 and seen.value == 60
 
 
 def test_cleaning_nothing_gives_nothing(spark):
@@ -87,7 +117,8 @@ def test_living_area(spark):
 def test_filters_reach_the_scan(spark, tables):
     rows = [(i, "001", 1000.0 + i, "X", 0.0, 1990.0, 0.0, 1.0) for i in range(50)]
     _leads(spark, rows).write.parquet(tables.path("leads"))
-    plan = cleaning.clean_leads(spark.read.parquet(tables.path("leads")))
+    stored = spark.read.parquet(tables.path("leads"))
+    plan = cleaning.clean_leads(stored, cleaning.fit_cleaning(stored))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in text and "Join" not in text
+    assert "SortMergeJoin" not in text
     assert "LessThanOrEqual(JV" in text

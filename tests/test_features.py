@@ -52,9 +52,8 @@ def test_numbers(spark):
 def test_neighborhood_ratio(spark):
     df = _frame(spark, {"JV": 100.0}, {"JV": 300.0}, {"NBRHD_CD": None}, {"NBRHD_CD": "nan", "JV": 7.0},
                 {"NBRHD_CD": "0", "JV": 0.0})
-    for limit in (1000, 0):
-        out = fe.with_neighborhood_ratio(df, broadcast_rows=limit)
-        assert _column(out, "neighborhood_value_ratio") == [0.5, 1.5, 1.0, 1.0, 1.0]
+    out = fe.with_neighborhood_ratio(df)
+    assert _column(out, "neighborhood_value_ratio") == [0.5, 1.5, 1.0, 1.0, 1.0]
 
 
 def test_label_needs_three_signals(spark):

@@ -71,17 +71,22 @@ def test_quantiles_of_nothing(spark):
     assert exact_quantiles(df, "v", {"m": 0.5}).first()["m"] is None
 
 
-def test_attached_values_are_the_same_broadcast_or_salted(spark):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_attached_values_with_a_hot_key(spark, threshold):
     rows = [(i, "hot" if i % 3 else None if i % 2 else f"k{i}") for i in range(300)]
     df = spark.createDataFrame(rows, "id int, k string")
     groups = df.where("k is not null").groupBy("k").agg(F.avg("id").alias("mean"))
-    small = attach_group_values(df, groups, "k")
-    large = attach_group_values(df, groups, "k", broadcast_rows=0, salts=8)
-    assert "Broadcast" in small._jdf.queryExecution().toString()
-    pick = ["id", "k", "mean"]
-    assert sorted(map(str, small.select(pick).collect())) == sorted(
-        map(str, large.select(pick).collect()))
-    assert small.count() == 300
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = {r.id: (r.k, r["mean"]) for r in attach_group_values(df, groups, "k").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    hot = [i for i, k in rows if k == "hot"]
+    assert len(out) == 300
+    for i, k in rows:
+        expect = sum(hot) / len(hot) if k == "hot" else float(i) if k else None
+        assert out[i] == (k, pytest.approx(expect) if k else None)
 
 
 def test_first_by_key_uses_the_order_and_keeps_nulls(spark):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from parcelight.constants import LEAD_COLUMNS, SOURCE_FILES, TABLE_SCHEMAS
 from parcelight.plans import audit
@@ -81,7 +82,40 @@ def test_failure_is_logged_and_passed_on(tables):
     with pytest.raises(ValueError, match="leads is empty"):
         run.train("/nowhere")
     last = audit.run_summary(tables.read("pipeline_log"), "F1").tail(1)[0]
-    assert (last.stage, last.status) == ("cleaner", "failed") and "leads" in last.error_message
+    assert (last.stage, last.status) == ("scraper", "failed") and "leads" in last.error_message
+
+
+def test_a_run_that_loaded_nothing_is_taken_up(tables, county):
+    first = Run(tables, "TRAIN", "DRY_RUN", as_of_year=2025)
+    with pytest.raises(ValueError, match="no rows"):
+        first.through_features()
+    again = Run(tables, "TRAIN", "CAMA_LOAD", county, 2025)
+    assert again.run_id == first.run_id
+    assert again.through_features() > 0
+
+
+def test_a_run_that_kept_nothing_is_taken_up(spark, tables, county):
+    good = views.leads(spark, SF).drop("created_at")
+    from parcelight.sinks import overwrite_table
+
+    overwrite_table(good.withColumn("DOR_UC", F.lit("900")), tables, "leads")
+    first = Run(tables, "TRAIN", as_of_year=2025)
+    with pytest.raises(ValueError, match="leads_clean is empty"):
+        first.through_features()
+    log = audit.run_summary(tables.read("pipeline_log"), first.run_id).collect()
+    assert [(r.stage, r.status) for r in log] == [("scraper", "completed"), ("cleaner", "failed")]
+    overwrite_table(good, tables, "leads")
+    again = Run(tables, "TRAIN", as_of_year=2025)
+    assert again.run_id == first.run_id and again.through_features() > 0
+
+
+def test_strict_nulls_rate_no_unknown_neighbourhood(tables, county):
+    run = Run(tables, "TRAIN", "CAMA_LOAD", county, 2025, strict_nulls=True)
+    assert run.through_features() > 0
+    rows = tables.read("leads_features")
+    unknown = rows.where("NBRHD_CD IS NULL")
+    assert unknown.count() > 0
+    assert unknown.where("neighborhood_value_ratio <> 1.0").isEmpty()
 
 
 def test_fresh_run_starts_from_nothing(tables, county):

@@ -21,9 +21,30 @@ def test_split_is_stable_and_stratified(features):
     one = {r.OBJECTID: r.is_test for r in scoring.with_split(features.coalesce(1)).collect()}
     many = {r.OBJECTID: r.is_test for r in scoring.with_split(features.repartition(9)).collect()}
     assert one == many
-    rates = scoring.with_split(features).groupBy("hot_lead").agg(
-        F.avg(F.col("is_test").cast("double")).alias("share")).collect()
-    assert all(abs(r.share - 0.2) < 0.06 for r in rates)
+    parts = scoring.with_split(features).groupBy("hot_lead").agg(
+        F.count_if("is_test").alias("test"), F.count(F.lit(1)).alias("n")).collect()
+    assert all(abs(r.test - 0.2 * r.n) <= 1 for r in parts)
+
+
+def test_folds_share_out_a_rare_class(spark):
+    rows = spark.createDataFrame([(i, int(i < 5)) for i in range(200)], "OBJECTID int, hot_lead int")
+    folds = scoring.with_fold(rows.repartition(7)).groupBy("fold", "hot_lead").count().collect()
+    assert {(r.fold, r.hot_lead): r["count"] for r in folds} == {
+        (f, c): 39 if c == 0 else 1 for f in range(1, 6) for c in (0, 1)}
+
+
+def test_a_score_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    scored = spark.range(1000).select(
+        F.col("id").alias("OBJECTID"), (F.col("id") / 1000).alias("hot_lead_score"))
+    ranked = scoring.rank_leads(scored.mapInArrow(count, scored.schema))
+    assert ranked.count() == 1000 and seen.value == 1000
 
 
 def test_scaling_uses_training_rows_only(features):

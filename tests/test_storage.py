@@ -54,23 +54,36 @@ def test_stage_input(spark, tables):
     stored = spark.createDataFrame([(1,)], "OBJECTID bigint")
     assert sinks.overwrite_table(stored, tables, "leads_clean") == 1
     assert sources.stage_input(None, tables, "leads_clean").count() == 1
-    given = spark.range(5)
+    given = spark.range(5)  # a frame handed over is taken as it is
     assert sources.stage_input(given, tables, "leads_clean").count() == 5
     assert sources.stage_input(given.limit(0), tables, "leads_clean").count() == 1
 
 
 def test_append_ignores_known_keys(spark, tables):
     def batch(rows):
-        return spark.createDataFrame(rows, "OBJECTID bigint, Parcel string, n int")
+        return spark.createDataFrame(rows, "OBJECTID bigint, Parcel string, JV int")
 
     first = batch([(1, "a", 1), (2, "b", 1), (2, "b", 0)])
-    assert sinks.append_new_rows(first, tables, "leads", "OBJECTID", F.col("n")) == 2
-    assert sinks.append_new_rows(first, tables, "leads", "OBJECTID", F.col("n")) == 0
+    assert sinks.append_new_rows(first, tables, "leads", "OBJECTID", F.col("JV")) == 2
+    assert sinks.append_new_rows(first, tables, "leads", "OBJECTID", F.col("JV")) == 0
     assert sinks.append_new_rows(
         batch([(2, "z", 9), (3, "c", 1)]), tables, "leads", "OBJECTID") == 1
-    rows = {r.OBJECTID: (r.Parcel, r.n) for r in tables.read("leads").collect()}
+    rows = {r.OBJECTID: (r.Parcel, r.JV) for r in tables.read("leads").collect()}
     assert rows == {1: ("a", 1), 2: ("b", 0), 3: ("c", 1)}
-    assert "created_at" in tables.read("leads").columns
+    assert tables.read("leads").schema == TABLE_SCHEMAS["leads"]
+
+
+def test_batches_are_brought_into_the_layout(spark, tables):
+    narrow = spark.createDataFrame([(1, "a")], "OBJECTID int, Parcel string")
+    sinks.append_new_rows(narrow, tables, "leads", "OBJECTID")
+    wide = spark.createDataFrame([(2, "b", "7.5", "x")],
+                                 "OBJECTID bigint, Parcel string, JV string, PHY_CITY string")
+    sinks.append_new_rows(wide, tables, "leads", "OBJECTID")
+    rows = {r.OBJECTID: (r.Parcel, r.JV, r.PHY_CITY) for r in tables.read("leads").collect()}
+    assert rows == {1: ("a", None, None), 2: ("b", 7.5, "x")}
+    with pytest.raises(ValueError, match="colour"):
+        sinks.append_new_rows(wide.withColumnRenamed("PHY_CITY", "colour"), tables, "leads",
+                              "OBJECTID")
 
 
 def _scores(spark, ids):

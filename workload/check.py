@@ -13,6 +13,7 @@ import time
 import duckdb
 
 from parcelight.session import build_session
+from parcelight.storage import ensure_local_folder
 from workload.oracle import ORACLE
 from workload.queries import QUERIES
 
@@ -80,6 +81,7 @@ def main() -> int:
            "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_local_folder(spark)
     con = connect(sf_dir)
     bad = 0
     for name in args or QUERIES:

@@ -66,7 +66,7 @@ CTES: dict[str, tuple[list[str], str]] = {
                     THEN CAST(c_custkey AS VARCHAR) || ' Main St ' END AS Owner_Mail_Addr1,
                CASE WHEN c_custkey % 13 = 0 THEN NULL
                     WHEN c_nationkey % 4 = 0 THEN 'GA' ELSE ' FL' END AS Owner_Mail_State,
-               CASE WHEN c_custkey % 17 = 0 THEN 'bad'
+               CASE WHEN c_custkey % 17 = 0 THEN 'bad' WHEN c_custkey % 43 = 5 THEN '1e300-'
                     ELSE CAST(32600 + c_custkey % 100 AS VARCHAR) || '-1234' END AS Owner_Mail_Zip,
                c_custkey AS ord
         FROM customer"""),
@@ -220,7 +220,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "placed": (["spelled", "zips"], """
         SELECT s.* REPLACE (
                    CASE WHEN PHY_CITY = '' THEN coalesce(z.city, 'UNKNOWN') ELSE PHY_CITY END AS PHY_CITY,
-                   CAST(trunc(PHY_ZIPCD) AS INTEGER) AS PHY_ZIPCD),
+                   coalesce(TRY_CAST(trunc(PHY_ZIPCD) AS INTEGER), 0) AS PHY_ZIPCD),
                s.PHY_CITY = '' AS was_blank
         FROM spelled s LEFT JOIN zips z ON z.zip = trunc(s.PHY_ZIPCD)"""),
     "medians": (["placed"], """
@@ -272,23 +272,33 @@ CTES: dict[str, tuple[list[str], str]] = {
                CAST(signals >= 3 AS INTEGER) AS hot_lead
         FROM signalled"""),
     "scores": (["features"], """
-        SELECT *, signals / 7.0::DOUBLE AS hot_lead_score, CAST(signals >= 4 AS INTEGER) AS prediction,
+        SELECT *, signals / 7.0::DOUBLE AS hot_lead_score, CAST((JV_HMSTD = 0 AND JV < 150000) OR SALE_PRC1 = 0 AS INTEGER) AS prediction,
                row_number() OVER (ORDER BY signals DESC, OBJECTID) AS rank
         FROM features"""),
     "hashed": (["scores"], """
         SELECT *, (((OBJECTID + 42) % 2147483648) * 2654435761) % 4294967296 AS h
         FROM scores"""),
-    "folded": (["hashed"], """
-        SELECT *, CAST(floor(h * 5 / 4294967296.0::DOUBLE) + 1 AS INTEGER) AS fold FROM hashed"""),
+    "stratified": (["hashed"], """
+        SELECT *, row_number() OVER (PARTITION BY hot_lead ORDER BY h, OBJECTID) - 1 AS place,
+               count(*) OVER (PARTITION BY hot_lead) AS size
+        FROM hashed"""),
+    "split": (["stratified"], """
+        SELECT *, place < floor(size * 0.2::DOUBLE + 0.5) AS is_test FROM stratified"""),
+    "folded": (["stratified"], """
+        SELECT * EXCLUDE (place, size), CAST(place * 5 // size + 1 AS INTEGER) AS fold
+        FROM stratified"""),
     "confusion": (["folded"], """
         SELECT fold, count(*) FILTER (hot_lead = 1 AND prediction = 1) AS tp,
                count(*) FILTER (hot_lead = 0 AND prediction = 1) AS fp,
                count(*) FILTER (hot_lead = 1 AND prediction = 0) AS fn,
                count(*) FILTER (hot_lead = 0 AND prediction = 0) AS tn
         FROM folded GROUP BY fold"""),
-    "wrong": (["folded"], """
+    "worst": (["confusion"], """
+        SELECT fold FROM confusion ORDER BY CASE WHEN 2 * tp + fp + fn = 0 THEN 0
+            ELSE 2 * tp / (2 * tp + fp + fn)::DOUBLE END, fold LIMIT 1"""),
+    "wrong": (["folded", "worst"], """
         SELECT *, CASE WHEN hot_lead = 1 THEN 'missed' ELSE 'false alarm' END AS outcome
-        FROM folded WHERE hot_lead <> prediction"""),
+        FROM folded WHERE hot_lead <> prediction AND fold = (SELECT fold FROM worst)"""),
     "run_log": ([], """
         SELECT event_id AS id, 'RUN_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS run_id,
                CASE event_id % 6 WHEN 0 THEN 'scraper' WHEN 1 THEN 'cleaner' WHEN 2 THEN 'features'
@@ -344,7 +354,7 @@ EXPORT = f"""
     SELECT s.rank AS rank, s.hot_lead_score AS hot_lead_score,
            {TEMPERATURE.replace('hot_lead_score', 's.hot_lead_score')} AS temperature,
            l.OWN_NAME AS OWN_NAME, l.Parcel AS Parcel, l.OWN_STATE_ AS OWN_STATE_,
-           l.PHY_CITY AS PHY_CITY, CAST(trunc(l.PHY_ZIPCD) AS INTEGER) AS PHY_ZIPCD,
+           l.PHY_CITY AS PHY_CITY, coalesce(TRY_CAST(trunc(l.PHY_ZIPCD) AS INTEGER), 0) AS PHY_ZIPCD,
            l.JV AS JV, l.LND_VAL AS LND_VAL, CAST(trunc(l.ACT_YR_BLT) AS INTEGER) AS ACT_YR_BLT,
            l.TOT_LVG_AR AS TOT_LVG_AR, l.SALE_PRC1 AS SALE_PRC1,
            CAST(trunc(l.SALE_YR1) AS INTEGER) AS SALE_YR1,
@@ -388,9 +398,9 @@ def _nulls_and_zeros() -> str:
     for c in ("JV", "ACT_YR_BLT", "EFF_YR_BLT", "TOT_LVG_AR", "SALE_PRC1",
               "SALE_PRC2", "LND_SQFOOT", "NO_BULDNG", "JV_HMSTD"):
         parts.append((c, "zeros", f"{c} = 0"))
-        parts.append((c, "nulls", f"{c} IS NULL"))
     for c in ("PHY_CITY", "OWN_NAME", "OWN_STATE_", "QUAL_CD1", "NBRHD_CD"):
         parts.append((c, "empty", f"trim({c}) = ''"))
+    for c in LEAD_COLUMNS.split(", "):
         parts.append((c, "nulls", f"{c} IS NULL"))
     return "\nUNION ALL ".join(
         f"SELECT '{c}' AS \"column\", '{k}' AS \"check\", count(*) FILTER ({e}) AS n FROM clean"
@@ -461,9 +471,12 @@ def _fold_top(columns: dict[str, int | None]) -> str:
     return "\nUNION ALL ".join(parts)
 
 
+INPUTS = ("JV", "JV_HMSTD", "LND_VAL", "LND_SQFOOT", "TOT_LVG_AR", "ACT_YR_BLT",
+          "SALE_PRC1", "SALE_YR1", "NO_BULDNG")
+
+
 def _scaled() -> str:
-    columns = ("JV", "JV_HMSTD", "LND_VAL", "LND_SQFOOT", "TOT_LVG_AR", "ACT_YR_BLT",
-               "SALE_PRC1", "SALE_YR1", "NO_BULDNG")
+    columns = INPUTS
     exprs = ", ".join(
         f"round(({c} - (SELECT avg({c}) FROM train)) / "
         f"(SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END FROM train), 6) AS {c}"
@@ -501,6 +514,9 @@ ORACLE: dict[str, str] = {
     "sink_append_ignore_dups": with_ctes(
         "leads", "SELECT OBJECTID, Parcel, CASE WHEN DOR_UC IN ('001', '002', '007', '010') "
         "THEN JV + 1 ELSE JV END AS JV FROM leads"),
+    "sink_append_layout": with_ctes(
+        "leads", "SELECT OBJECTID, Parcel, CASE WHEN OBJECTID % 2 = 1 THEN ACT_YR_BLT END AS ACT_YR_BLT, "
+        "CASE WHEN OBJECTID % 2 = 1 THEN PHY_CITY END AS PHY_CITY, NULL::DOUBLE AS JV FROM leads"),
     "sink_scored_run": with_ctes(
         "scores", "SELECT 'RUN_A' AS run_id, OBJECTID, hot_lead_score, rank, "
         "'PREDICT' AS pipeline_mode FROM scores"),
@@ -594,6 +610,11 @@ ORACLE: dict[str, str] = {
     "feat_neighborhood_ratio": with_ctes(
         "features", "SELECT OBJECTID, round(neighborhood_value_ratio, 6) AS neighborhood_value_ratio "
         "FROM features"),
+    "feat_neighborhood_ratio_strict": with_ctes("rated", """
+        SELECT OBJECTID, nullif(NBRHD_CD, 'nan') AS NBRHD_CD,
+               CASE WHEN NBRHD_CD = 'nan' THEN 1.0::DOUBLE
+                    ELSE round(neighborhood_value_ratio, 6) END AS neighborhood_value_ratio
+        FROM rated"""),
     "feat_distressed_sale": with_ctes(
         "features", "SELECT OBJECTID, distressed_sale_history FROM features"),
     "feat_never_sold": with_ctes("features", "SELECT OBJECTID, never_sold FROM features"),
@@ -737,10 +758,31 @@ ORACLE: dict[str, str] = {
         "count(*) FILTER (hot_lead = 0) AS cold, "
         "round(count(*) FILTER (hot_lead = 1) * 100.0::DOUBLE / count(*), 4) AS hot_pct FROM features"),
     "ml_stratified_split": with_ctes(
-        "hashed", "SELECT OBJECTID, hot_lead, h < 858993459 AS is_test FROM hashed"),
-    "ml_standard_scale": with_ctes("hashed", "SELECT 1").replace(
-        "\nSELECT 1", ",\ntrain AS (SELECT * FROM hashed WHERE h >= 858993459)\n"
-        f"SELECT OBJECTID, {_scaled()} FROM hashed"),
+        "split", "SELECT OBJECTID, hot_lead, is_test FROM split"),
+    "ml_standard_scale": with_ctes("split", "SELECT 1").replace(
+        "\nSELECT 1", ",\ntrain AS (SELECT * FROM split WHERE NOT is_test)\n"
+        f"SELECT OBJECTID, {_scaled()} FROM split"),
+    "ml_train_score": with_ctes(
+        "features", "SELECT OBJECTID, hot_lead, true AS is_probability, true AS same_when_loaded, "
+        "true AS above_gate FROM features"),
+    "ml_fitted_scaler": with_ctes("split", "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS deviation "
+        "FROM split WHERE NOT is_test" for c in INPUTS)),
+    "ml_feature_importance": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, true AS is_share, 1.0::DOUBLE AS total" for c in INPUTS),
+    "ml_cross_validation": with_ctes(
+        "folded", "SELECT fold, count(*) FILTER (hot_lead = 1) AS hot, "
+        "count(*) FILTER (hot_lead = 0) AS cold, true AS f1_follows FROM folded GROUP BY fold"),
+    "ml_held_out_rows": with_ctes(
+        "folded", "SELECT OBJECTID, fold, PHY_CITY, true AS is_class FROM folded"),
+    "run_train_predict": with_ctes("scores leads", f"""
+        SELECT * EXCLUDE (rank, hot_lead_score, temperature), true AS rank_follows,
+               true AS band_follows FROM ({EXPORT})"""),
+    "run_resume": with_ctes("leads clean", """
+        SELECT * FROM (VALUES (1, 'scraper', 'completed', (SELECT count(*) FROM leads)),
+            (2, 'cleaner', 'failed', 0), (3, 'cleaner', 'completed', (SELECT count(*) FROM clean)),
+            (4, 'features', 'completed', (SELECT count(*) FROM clean)))
+            AS t(step, stage, status, records_out)"""),
     "ml_cv_folds": with_ctes("folded", "SELECT OBJECTID, hot_lead, fold FROM folded"),
     "ml_eval_metrics": with_ctes(
         "confusion", f"SELECT tp, fp, fn, tn, {METRICS} FROM (SELECT CAST(sum(tp) AS BIGINT) AS tp, "
@@ -767,10 +809,11 @@ ORACLE: dict[str, str] = {
                max(JV) AS jv_max, round(avg(ACT_YR_BLT), 4) AS year_built_mean,
                round(avg(SALE_YR1), 4) AS sale_year_mean
         FROM wrong GROUP BY outcome"""),
-    "diag_error_top_cities": with_ctes("wrong", """
-        SELECT * FROM (SELECT outcome, PHY_CITY AS value, count(*) AS n,
-            CAST(row_number() OVER (PARTITION BY outcome ORDER BY count(*) DESC, PHY_CITY) AS INTEGER) AS place
-            FROM wrong GROUP BY outcome, PHY_CITY) WHERE place <= 3"""),
+    "diag_error_top_values": with_ctes("wrong", "\nUNION ALL ".join(f"""
+        SELECT * FROM (SELECT outcome, '{c}' AS "column", {c} AS value, count(*) AS n,
+            CAST(row_number() OVER (PARTITION BY outcome ORDER BY count(*) DESC, {c}) AS INTEGER) AS place
+            FROM wrong WHERE {c} IS NOT NULL GROUP BY outcome, {c}) WHERE place <= 3"""
+        for c in ("PHY_CITY", "value_tier", "DOR_UC"))),
     "diag_fold_label_rate": with_ctes("folded", """
         SELECT fold, round(avg(hot_lead) * 100, 4) AS hot_pct, round(avg(JV), 4) AS jv_mean, top_city
         FROM folded JOIN (

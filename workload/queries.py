@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelight import functions as X
 from parcelight import sinks, sources
 from parcelight.constants import (
+    EXPORT_COLUMNS,
+    F1_GATE,
     LEAD_COLUMNS,
     MODEL_COLUMNS,
     RESIDENTIAL_CODES,
     SOURCE_COLUMNS,
     SOURCE_FILES,
 )
-from parcelight.operators import top_counts
+from parcelight.operators import number_rows, top_counts
 from parcelight.plans import (
     audit,
     cleaning,
@@ -138,6 +140,18 @@ def sink_append_ignore_dups(spark, sf_dir):
     return tables.read("leads").select("OBJECTID", "Parcel", "JV")
 
 
+@query
+def sink_append_layout(spark, sf_dir):
+    """A batch that lacks columns, then one with values as text."""
+    tables = sources.LeadTables(spark, new_path(spark, "layout"))
+    rows = views.leads(spark, sf_dir)
+    few = rows.where("OBJECTID % 2 = 0").select("OBJECTID", "Parcel")
+    sinks.append_new_rows(few, tables, "leads", "OBJECTID", unique=True)
+    texts = rows.select("OBJECTID", "Parcel", F.col("ACT_YR_BLT").cast("string"), "PHY_CITY")
+    sinks.append_new_rows(texts, tables, "leads", "OBJECTID", unique=True)
+    return tables.read("leads").select("OBJECTID", "Parcel", "ACT_YR_BLT", "PHY_CITY", "JV")
+
+
 @query
 def sink_scored_run(spark, sf_dir):
     tables = sources.LeadTables(spark, new_path(spark, "scored"))
@@ -293,40 +307,45 @@ def clean_value_fence(spark, sf_dir):
     return fence.select(*[F.round(c, 4).alias(c) for c in fence.columns])
 
 
+def _filtered(spark, sf_dir):
+    stored = views.leads(spark, sf_dir)
+    return cleaning.filter_leads(stored, cleaning.fit_fence(stored))
+
+
 @query
 def clean_jv_iqr(spark, sf_dir):
-    return cleaning.filter_leads(views.leads(spark, sf_dir)).select(
+    return _filtered(spark, sf_dir).select(
         "OBJECTID", "DOR_UC", "JV"
     )
 
 
 @query
 def clean_city_corrections(spark, sf_dir):
-    rows = cleaning.filter_leads(views.leads(spark, sf_dir))
+    rows = _filtered(spark, sf_dir)
     return cleaning.spell_city(rows).select("OBJECTID", "PHY_CITY")
 
 
 @query
 def clean_city_fill(spark, sf_dir):
-    rows = cleaning.filter_leads(views.leads(spark, sf_dir))
+    rows = _filtered(spark, sf_dir)
     return cleaning.fill_city(rows).select("OBJECTID", "PHY_CITY", "PHY_ZIPCD")
 
 
 @query
 def clean_unknown_share(spark, sf_dir):
-    rows = cleaning.filter_leads(views.leads(spark, sf_dir))
+    rows = _filtered(spark, sf_dir)
     return cleaning.unknown_city_share(cleaning.fill_city(rows))
 
 
 @query
 def clean_act_year(spark, sf_dir):
-    rows = cleaning.filter_leads(views.leads(spark, sf_dir))
+    rows = _filtered(spark, sf_dir)
     return cleaning.fill_actual_year(rows).select("OBJECTID", "DOR_UC", "ACT_YR_BLT")
 
 
 @query
 def clean_eff_year(spark, sf_dir):
-    rows = cleaning.fill_actual_year(cleaning.filter_leads(views.leads(spark, sf_dir)))
+    rows = cleaning.fill_actual_year(_filtered(spark, sf_dir))
     return cleaning.fill_effective_year(rows).select(
         "OBJECTID", "ACT_YR_BLT", "EFF_YR_BLT"
     )
@@ -341,12 +360,14 @@ def clean_living_area_null(spark, sf_dir):
 
 @query
 def clean_repair_counts(spark, sf_dir):
-    return cleaning.repair_counts(cleaning.filter_leads(views.leads(spark, sf_dir)))
+    return cleaning.repair_counts(_filtered(spark, sf_dir))
 
 
 @query
 def etl_clean_leads(spark, sf_dir):
-    return cleaning.clean_leads(views.leads(spark, sf_dir))
+    stored = views.leads(spark, sf_dir)
+    clean = cleaning.clean_leads(stored, cleaning.fit_cleaning(stored))
+    return clean.drop("created_at")
 
 
 # -- features -----------------------------------------------------------------------
@@ -382,6 +403,20 @@ def feat_neighborhood_ratio(spark, sf_dir):
     )
 
 
+@query
+def feat_neighborhood_ratio_strict(spark, sf_dir):
+    """Leads built, cleaned and rated with unknown neighbourhoods left unknown."""
+    leads = materialize(
+        ingest.build_leads(views.source_tables(spark, sf_dir), strict_nulls=True), "strict"
+    )
+    clean = cleaning.clean_leads(leads, cleaning.fit_cleaning(leads))
+    rated = features.with_neighborhood_ratio(clean)
+    return rated.select(
+        "OBJECTID", "NBRHD_CD",
+        F.round("neighborhood_value_ratio", 6).alias("neighborhood_value_ratio"),
+    )
+
+
 @query
 def feat_hot_lead(spark, sf_dir):
     rows = features.add_features(views.clean(spark, sf_dir), views.AS_OF_YEAR)
@@ -391,7 +426,7 @@ def feat_hot_lead(spark, sf_dir):
 @query
 def etl_features(spark, sf_dir):
     rows = features.engineer(views.clean(spark, sf_dir), views.AS_OF_YEAR)
-    return rows.withColumn(
+    return rows.drop("created_at").withColumn(
         "neighborhood_value_ratio", F.round("neighborhood_value_ratio", 6)
     )
 
@@ -639,24 +674,65 @@ def ml_fold_metrics(spark, sf_dir):
 
 @query
 def ml_train_score(spark, sf_dir):
-    """Boosted trees fitted on the training rows, scoring every row."""
+    """Every row scored by boosted trees fitted on the training rows, and again
+    by the stored model. Facts about the scores, which are Spark's own."""
     rows = views.features(spark, sf_dir)
-    trained = scoring.train(rows, cv_folds=0, trees=10)
-    return scoring.score(rows, trained.model).select(
-        "OBJECTID", "hot_lead", "hot_lead_score"
+    trained = views.training(spark, sf_dir)
+    own = scoring.score(rows, trained.model).select("OBJECTID", "hot_lead", "hot_lead_score")
+    stored = scoring.score(rows, scoring.load_model(trained.path)).select(
+        "OBJECTID", F.col("hot_lead_score").alias("stored_score")
+    )
+    return own.join(stored, "OBJECTID").select(
+        "OBJECTID", "hot_lead",
+        F.col("hot_lead_score").between(0.0, 1.0).alias("is_probability"),
+        (F.col("hot_lead_score") == F.col("stored_score")).alias("same_when_loaded"),
+        F.lit(trained.f1 >= F1_GATE and trained.saved).alias("above_gate"),
     )
 
 
+@query
+def ml_fitted_scaler(spark, sf_dir):
+    """Mean and deviation that the stored model scales each input with."""
+    scaler = views.training(spark, sf_dir).model.stages[1]
+    rows = [
+        (c, round(float(m), 4), round(float(s), 4))
+        for c, m, s in zip(MODEL_COLUMNS, scaler.mean, scaler.std)
+    ]
+    return spark.createDataFrame(rows, "feature string, mean double, deviation double")
+
+
 @query
 def ml_feature_importance(spark, sf_dir):
-    rows = views.features(spark, sf_dir)
-    return scoring.train(rows, cv_folds=0, trees=5).importance
+    """The inputs, and that their shares are shares."""
+    shares = views.training(spark, sf_dir).importance
+    whole = shares.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return shares.select(
+        "feature", (F.col("importance") >= 0).alias("is_share"), whole.scalar().alias("total")
+    )
 
 
 @query
 def ml_cross_validation(spark, sf_dir):
-    rows = scoring.model_input(views.features(spark, sf_dir))
-    return scoring.cross_validate(rows, trees=5)
+    """Rows of each fold by actual class, and that F1 is above chance."""
+    folds = views.training(spark, sf_dir).folds
+    f1 = F.col("f1")
+    return folds.select(
+        "fold", (F.col("tp") + F.col("fn")).alias("hot"),
+        (F.col("fp") + F.col("tn")).alias("cold"),
+        (F.abs(f1 - 2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))) < 1e-9)
+        .alias("f1_follows"),
+    )
+
+
+@query
+def ml_held_out_rows(spark, sf_dir):
+    """Each row's fold in the cross-validation that predicted it, joined back to
+    the features."""
+    predicted = views.training(spark, sf_dir).held_out
+    rows = diagnostics.with_predictions(views.features(spark, sf_dir), predicted)
+    return rows.select(
+        "OBJECTID", "fold", "PHY_CITY", F.col("prediction").isin(0.0, 1.0).alias("is_class")
+    )
 
 
 # -- diagnostics -----------------------------------------------------------------------------
@@ -684,12 +760,14 @@ def diag_worst_fold(spark, sf_dir):
 
 @query
 def diag_error_profile(spark, sf_dir):
-    return diagnostics.error_profile(_folded(spark, sf_dir))
+    return diagnostics.error_profile(diagnostics.of_worst_fold(_folded(spark, sf_dir)))
 
 
 @query
-def diag_error_top_cities(spark, sf_dir):
-    return diagnostics.error_top_values(_folded(spark, sf_dir), "PHY_CITY", 3)
+def diag_error_top_values(spark, sf_dir):
+    wanted = {"PHY_CITY": 3, "value_tier": 3, "DOR_UC": 3}
+    worst = diagnostics.of_worst_fold(_folded(spark, sf_dir))
+    return diagnostics.error_top_values(worst, wanted)
 
 
 @query
@@ -766,16 +844,43 @@ def run_stage_counts(spark, sf_dir):
 
 @query
 def run_train_predict(spark, sf_dir):
-    """Training run, then a scoring run with the stored model: its export."""
+    """Training run, then a scoring run with the stored model: its export, with
+    rank and band held against the score."""
     tables = sources.LeadTables(spark, new_path(spark, "run"))
     sinks.overwrite_table(views.leads(spark, sf_dir), tables, "leads")
     model = new_path(spark, "model")
     year = views.AS_OF_YEAR
-    runs.Run(tables, "TRAIN", as_of_year=year, run_id="RUN_T").train(
-        model, gate=0.0, cv_folds=0, trees=5
-    )
+    runs.Run(tables, "TRAIN", as_of_year=year, run_id="RUN_T").train(model)
     runs.Run(tables, "PREDICT", as_of_year=year, run_id="RUN_P").predict(model)
-    return tables.read("export_leads")
+    out = tables.read("export_leads")
+    order = [F.desc("hot_lead_score"), F.asc("OBJECTID")]
+    expected = number_rows(out.select("OBJECTID", "hot_lead_score"), order, "expected")
+    return out.join(expected.select("OBJECTID", "expected"), "OBJECTID").select(
+        *[c for c in EXPORT_COLUMNS if c not in ("rank", "hot_lead_score", "temperature")],
+        (F.col("rank") == F.col("expected")).alias("rank_follows"),
+        (F.col("temperature") == X.temperature("hot_lead_score")).alias("band_follows"),
+    )
+
+
+@query
+def run_resume(spark, sf_dir):
+    """Log of a run that failed on leads nobody keeps, was taken up when they
+    were repaired, and went on to the features."""
+    tables = sources.LeadTables(spark, new_path(spark, "run"))
+    good = views.leads(spark, sf_dir)
+    sinks.overwrite_table(good.withColumn("DOR_UC", F.lit("900")), tables, "leads")
+    first = runs.Run(tables, "TRAIN", as_of_year=views.AS_OF_YEAR)
+    try:
+        first.through_features()
+    except ValueError:
+        sinks.overwrite_table(good, tables, "leads")
+    again = runs.Run(tables, "TRAIN", as_of_year=views.AS_OF_YEAR)
+    again.through_features()
+    log = tables.read("pipeline_log").where(F.col("run_id") == first.run_id)
+    place = Window.partitionBy("run_id").orderBy("id")  # the stages of one run
+    return log.select(
+        F.row_number().over(place).alias("step"), "stage", "status", "records_out"
+    )
 
 
 @query
@@ -811,7 +916,8 @@ def hot_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     their statistics and again for the rows."""
     joined = ingest.build_leads(views.source_tables(spark, sf_dir), numbered=False)
     leads = materialize(joined, "leads")
-    rows = features.engineer(cleaning.clean_leads(leads), views.AS_OF_YEAR)
+    clean = cleaning.clean_leads(leads, cleaning.fit_cleaning(leads))
+    rows = features.engineer(clean, views.AS_OF_YEAR)
     return (
         rows.withColumn("signals", X.signal_score())
         .where("hot_lead = 1")

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from parcelight.constants import SOURCE_FILES
 from parcelight.functions import signal_score
-from parcelight.plans import ingest
-from parcelight.plans.cleaning import clean_leads
+from parcelight.plans import ingest, scoring
+from parcelight.plans.cleaning import clean_leads, fit_cleaning
 from parcelight.plans.features import engineer
 from parcelight.sinks import overwrite_table
 from parcelight.sources import LeadTables
@@ -86,7 +86,7 @@ def owners(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 13 == 0, None)
         .when(F.col("c_nationkey") % 4 == 0, "GA").otherwise(" FL")
         .alias("Owner_Mail_State"),
-        F.when(key % 17 == 0, "bad")
+        F.when(key % 17 == 0, "bad").when(key % 43 == 5, "1e300-")
         .otherwise(F.concat((F.lit(32600) + key % 100).cast("string"), F.lit("-1234")))
         .alias("Owner_Mail_Zip"),
         key.alias("_ord"),
@@ -225,7 +225,8 @@ def _build(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     if table == "leads":
         return ingest.build_leads(source_tables(spark, sf_dir))
     if table == "leads_clean":
-        return clean_leads(stage(spark, sf_dir, "leads"))
+        stored = stage(spark, sf_dir, "leads")
+        return clean_leads(stored, fit_cleaning(stored))
     return engineer(stage(spark, sf_dir, "leads_clean"), AS_OF_YEAR)
 
 
@@ -264,12 +265,27 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features with a rule as the prediction, for the metric queries."""
+    """Features with a rule as the prediction, for the metric queries. It uses
+    model columns only and errs both ways."""
+    cheap = (F.col("JV_HMSTD") == 0) & (F.col("JV") < 150_000)
     return features(spark, sf_dir).withColumn(
-        "prediction", (signal_score() >= 4).cast("int")
+        "prediction", (cheap | (F.col("SALE_PRC1") == 0)).cast("int")
     )
 
 
+_trainings: dict[tuple[str, str], scoring.Training] = {}
+
+
+def training(spark: SparkSession, sf_dir: str) -> scoring.Training:
+    """A training with the default parameters, stored model and all; made on
+    first use and kept for the session."""
+    key = (spark.conf.get("spark.app.id"), sf_dir)
+    if key not in _trainings:
+        path = new_path(spark, "model")
+        _trainings[key] = scoring.train(features(spark, sf_dir), path)
+    return _trainings[key]
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows from the event stream: one run per user, whole minutes, so
     several rows of a run may share a time."""
