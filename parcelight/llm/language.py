@@ -40,7 +40,7 @@ LONG_WORD = 40  # letters from which a word goes letter by letter
 UNKNOWN = 1e-7  # price of a letter outside the vocabulary
 ROUNDS = 1
 SMOOTHING = 50.0
-WORDS_AT_ONCE = 20_000
+WORDS_AT_ONCE = 5_000
 REMEMBERED = 400_000
 _letters = re.compile(r"[^\W\d_]+")
 
@@ -61,6 +61,7 @@ class Pieces:
         self.number = {p: i for i, p in enumerate(kept)}
         self.count = len(kept)
         self.starts = {p[:k] for p in kept for k in range(1, len(p) + 1)}
+        self.table: PrefixTable | None = None
 
     @classmethod
     def read(cls, path: str) -> Pieces:
@@ -88,55 +89,117 @@ class Pieces:
         return found
 
 
+class PrefixTable:
+    """Piece number of a string by its rolling hash; -1 for a string that only
+    starts pieces. Open addressing, an eighth full at most."""
+
+    BASE = np.uint64(0x100000001B3)
+
+    def __init__(self, pieces: Pieces):
+        texts = sorted(pieces.starts)
+        keys = np.array([self._hash(t) for t in texts], dtype=np.uint64)
+        values = np.array([pieces.number.get(t, -1) for t in texts], dtype=np.int64)
+        self.bits = max(4, int(len(keys) * 8).bit_length())
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.used = np.zeros(1 << self.bits, dtype=bool)
+        self.values = np.zeros(1 << self.bits, dtype=np.int64)
+        slots, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = ~self.used[slots]
+            self.keys[slots[free]] = keys[left[free]]
+            self.used[slots[free]] = True
+            placed = self.keys[slots] == keys[left]
+            self.values[slots[placed]] = values[left[placed]]
+            slots, left = (slots[~placed] + 1) % len(self.keys), left[~placed]
+
+    def _hash(self, text: str) -> int:
+        h = 0
+        for c in text:
+            h = (h * int(self.BASE) + ord(c)) & 0xFFFFFFFFFFFFFFFF
+        return h
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(known, value) of each key."""
+        slots = self._slot(keys)
+        known = self.used[slots] & (self.keys[slots] == keys)
+        going = np.flatnonzero(self.used[slots] & ~known)
+        while len(going):
+            slots[going] = (slots[going] + 1) % len(self.keys)
+            used = self.used[slots[going]]
+            hit = used & (self.keys[slots[going]] == keys[going])
+            known[going[hit]] = True
+            going = going[used & ~hit]
+        return known, self.values[slots]
+
+
 class Lattice:
-    """Segmentations of many short words side by side."""
+    """Segmentations of many short words side by side. Edges are kept by length:
+    among those of one length, a word has at most one that ends at a place."""
 
     def __init__(self, pieces: Pieces, words: list[str]):
-        rows = [
-            (n, a, b, p)
-            for n, word in enumerate(words)
-            for a, b, p in pieces.edges(MARK + word)
-        ]
-        table = np.array(rows, dtype=np.int64).reshape(-1, 4)
-        sizes = np.array([len(w) + 2 for w in words])
-        self.first = np.cumsum(sizes) - sizes
-        self.last = self.first + sizes - 1
-        self.nodes = int(sizes.sum())
-        self.word, self.piece = table[:, 0], table[:, 3]
-        self.source = self.first[self.word] + table[:, 1]
-        self.target = self.first[self.word] + table[:, 2]
-        self.ends, self.begins = table[:, 2], table[:, 1]
-
-    def _steps(self, at: np.ndarray, node: np.ndarray):
-        """Edges by position, and within a position by node."""
-        order = np.lexsort((node, at))
-        bounds = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1], True])
-        return [order[a:b] for a, b in zip(bounds, bounds[1:])]
-
-    def forward(self, weight: np.ndarray) -> np.ndarray:
-        alpha = np.zeros((self.nodes, weight.shape[1]))
-        alpha[self.first] = 1
-        for edges in self._steps(self.ends, self.target):
-            self._gather(alpha, edges, self.source, self.target, weight)
+        if pieces.table is None:
+            pieces.table = PrefixTable(pieces)
+        text = "".join([MARK + w for w in words])
+        codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        self.sizes = np.array([len(w) + 1 for w in words])
+        word = np.repeat(np.arange(len(words)), self.sizes)
+        start = np.arange(len(codes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        room = self.sizes[word] - start
+        at, key = np.arange(len(codes)), codes
+        # (words, starts, pieces) by length
+        self.edges: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for length in range(1, LONGEST_PIECE + 1):
+            known, piece = pieces.table.find(key)
+            is_piece = known & (piece >= 0)
+            if length == 1:  # a letter without a piece of its own is stepped over
+                self.edges.append((word, start, np.where(is_piece, piece, -1)))
+            else:
+                hit = at[is_piece]
+                self.edges.append((word[hit], start[hit], piece[is_piece]))
+            going = known & (room[at] > length)
+            at = at[going]
+            if not len(at):
+                break
+            key = key[going] * PrefixTable.BASE + codes[at + length]
+        self.places = int(self.sizes.max()) + 1
+
+    def _by_place(self, place: np.ndarray) -> list[np.ndarray]:
+        order = np.argsort(place.astype(np.uint8), kind="stable")
+        ends = np.cumsum(np.bincount(place, minlength=self.places))
+        return [order[e - n : e] for e, n in zip(ends, np.diff(np.r_[0, ends]))]
+
+    def forward(self, shares: np.ndarray) -> np.ndarray:
+        """(places, words, languages): sums over the segmentations up to there."""
+        alpha = np.zeros((self.places, len(self.sizes), shares.shape[1]))
+        alpha[0] = 1
+        steps = [self._by_place(e[1] + k) for k, e in enumerate(self.edges, 1)]
+        for end in range(1, self.places):
+            for length, (word, _, piece) in enumerate(self.edges, 1):
+                chosen = steps[length - 1][end]
+                if len(chosen):
+                    w = word[chosen]
+                    alpha[end, w] += alpha[end - length, w] * shares[piece[chosen]]
         return alpha
 
-    def backward(self, weight: np.ndarray) -> np.ndarray:
-        beta = np.zeros((self.nodes, weight.shape[1]))
-        beta[self.last] = 1
-        for edges in reversed(self._steps(self.begins, self.source)):
-            self._gather(beta, edges, self.target, self.source, weight)
+    def backward(self, shares: np.ndarray) -> np.ndarray:
+        """As :meth:`forward`, for the segmentations from there to the end."""
+        beta = np.zeros((self.places, len(self.sizes), shares.shape[1]))
+        beta[self.sizes, np.arange(len(self.sizes))] = 1
+        steps = [self._by_place(e[1]) for e in self.edges]
+        for start in reversed(range(self.places)):
+            for length, (word, _, piece) in enumerate(self.edges, 1):
+                chosen = steps[length - 1][start]
+                if len(chosen):
+                    w = word[chosen]
+                    beta[start, w] += beta[start + length, w] * shares[piece[chosen]]
         return beta
 
-    @staticmethod
-    def _gather(values, edges, source, target, weight) -> None:
-        into = target[edges]
-        starts = np.flatnonzero(np.r_[True, into[1:] != into[:-1]])
-        values[into[starts]] = np.add.reduceat(values[source[edges]] * weight[edges], starts)
-
-
-def _weights(piece: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    """Probabilities of edges by language; the last row is the unknown letter."""
-    return shares[piece]
+    def whole(self, alpha: np.ndarray) -> np.ndarray:
+        return alpha[self.sizes, np.arange(len(self.sizes))]
 
 
 def _log_lattice(
@@ -166,7 +229,7 @@ def log_likelihoods(pieces: Pieces, words: list[str], shares: np.ndarray) -> np.
     short = [i for i, w in enumerate(words) if len(w) < LONG_WORD]
     if short:
         lattice = Lattice(pieces, [words[i] for i in short])
-        out[short] = np.log(lattice.forward(_weights(lattice.piece, known))[lattice.last])
+        out[short] = np.log(lattice.whole(lattice.forward(known)))
     logs = np.log(known)
     for i, word in enumerate(words):
         if len(word) >= LONG_WORD:
@@ -184,15 +247,15 @@ def expected_uses(
     short = [i for i, w in enumerate(words) if len(w) < LONG_WORD]
     if short:
         lattice = Lattice(pieces, [words[i] for i in short])
-        weight = _weights(lattice.piece, known)
-        alpha, beta = lattice.forward(weight), lattice.backward(weight)
-        share = alpha[lattice.source] * weight * beta[lattice.target]
-        share /= alpha[lattice.last][lattice.word]
-        share *= counts[short][lattice.word]
-        for k in range(shares.shape[1]):
-            uses[:, k] += np.bincount(
-                lattice.piece % len(uses), weights=share[:, k], minlength=len(uses)
-            )
+        alpha, beta = lattice.forward(known), lattice.backward(known)
+        scale = counts[short] / lattice.whole(alpha)
+        for length, (word, start, piece) in enumerate(lattice.edges, 1):
+            share = alpha[start, word] * known[piece] * beta[start + length, word]
+            share *= scale[word]
+            for k in range(shares.shape[1]):
+                uses[:, k] += np.bincount(
+                    piece % len(uses), weights=share[:, k], minlength=len(uses)
+                )
     logs = np.log(known)
     for i, word in enumerate(words):
         if len(word) >= LONG_WORD:
@@ -255,27 +318,21 @@ def _summed_uses(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, probabilities = sent.value
         uses = np.zeros_like(probabilities)
-        seen: Counter[tuple[str, int]] = Counter()
+        seen: list[Counter[str]] = [Counter() for _ in languages]
 
         def settle() -> None:
-            words = list({w for w, _ in seen})
+            words = list(set().union(*seen))
             for at in range(0, len(words), WORDS_AT_ONCE):
                 part = words[at : at + WORDS_AT_ONCE]
-                counts = np.array(
-                    [[seen.get((w, k), 0) for k in range(len(languages))] for w in part],
-                    dtype=float,
-                )
+                counts = np.array([[c[w] for c in seen] for w in part], dtype=float)
                 uses[:] += expected_uses(own, part, counts, probabilities)
-            seen.clear()
+            for c in seen:
+                c.clear()
 
         for batch in slices(batches, text):
-            by_language: dict[int, Counter[str]] = {}
             for t, name in zip(batch.column(text).to_pylist(), batch.column(lang).to_pylist()):
-                by_language.setdefault(number[name], Counter()).update(words_in(t))
-            for k, words in by_language.items():
-                for w, n in words.items():
-                    seen[w, k] += n
-            if len(seen) > REMEMBERED:
+                seen[number[name]].update(words_in(t))
+            if sum(map(len, seen)) > REMEMBERED:
                 settle()
         settle()
         piece, language = np.nonzero(uses)
@@ -287,10 +344,10 @@ def _summed_uses(
 
     rows = (
         docs.select(text, lang).mapInArrow(run, "piece int, language int, uses double")
-        .groupBy("piece", "language").agg(F.sum("uses").alias("uses")).toPandas()
+        .groupBy("piece", "language").agg(F.sum("uses").alias("uses")).toArrow()
     )
     total = np.zeros_like(shares)
-    total[rows["piece"], rows["language"]] = rows["uses"]
+    total[rows["piece"].to_numpy(), rows["language"].to_numpy()] = rows["uses"].to_numpy()
     return total
 
 
