@@ -48,7 +48,7 @@ SINGLE = 40  # classes of one subword
 WIDTH = 16
 OWN_VECTORS = 2048  # subwords with a vector of their own; others have their class's
 FREQUENT = 1 << 18
-PAIRS = 1 << 20
+PAIRS = 1 << 19
 BACK_OFF = 5.0  # weight of the share without the subword before
 ROUNDS = 3
 BATCH = 128  # windows at once
@@ -400,6 +400,21 @@ def corpus(docs: DataFrame, subwords: Subwords, text: str) -> tuple[DataFrame, D
     return counts, windows
 
 
+def commonest(counts: DataFrame, most: int) -> DataFrame:
+    """The rows whose ``n`` reaches the lowest bound that at most ``most`` rows
+    reach. Bounds are sixteenths of powers of two, so that a thousand counts
+    decide and nothing is sorted."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    room, least = most, None
+    for row in sorted(sizes, key=lambda r: -r.step):
+        room -= row.rows
+        if room < 0:
+            break
+        least = row.step
+    return counts.where(step >= least if least is not None else F.lit(False))
+
+
 def subword_counts(
     counts: DataFrame, subwords: Subwords
 ) -> tuple[np.ndarray, Pairs]:
@@ -441,10 +456,10 @@ def subword_counts(
         .agg(F.sum("n").alias("n")),
         "lm-subwords",
     )
-    alone = summed.where("key < 0").toPandas()  # at most one row per subword
+    alone = summed.where("key < 0").toArrow()  # at most one row per subword
     out = np.zeros(subwords.count + 2, dtype=np.int64)
-    out[-1 - alone["key"].to_numpy()] = alone["n"]
-    common = summed.where("key >= 0").orderBy(F.desc("n"), "key").limit(PAIRS).toPandas()
+    out[-1 - alone["key"].to_numpy()] = alone["n"].to_numpy()
+    common = commonest(summed.where("key >= 0"), PAIRS).toArrow()
     order = np.argsort(common["key"].to_numpy())
     return out, Pairs(common["key"].to_numpy()[order], common["n"].to_numpy()[order])
 
@@ -472,10 +487,10 @@ def fit(windows: DataFrame, classes: Classes, rounds: int = ROUNDS) -> np.ndarra
     def summed(run, frame: DataFrame, size: int) -> np.ndarray:
         rows = (
             frame.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
-            .toPandas()  # one row per parameter
+            .toArrow()  # one row per parameter
         )
         out = np.zeros(size)
-        out[rows["i"]] = rows["v"]
+        out[rows["i"].to_numpy()] = rows["v"].to_numpy()
         return out
 
     flat = first_parameters(summed(bigrams, windows, CLASSES * CLASSES))
@@ -603,14 +618,12 @@ def score(
     tokens, distinct = whole.n or 0, whole.v
     alone, pairs = subword_counts(counts, subwords)
     classes = classes_of(subwords, alone)
-    frequent = (
-        counts.select("hash", "n").orderBy(F.desc("n"), "hash").limit(FREQUENT).toPandas()
-    )
-    hashes = frequent["hash"].to_numpy(dtype=np.int64).view(np.uint64)
+    frequent = commonest(counts.select("hash", "n"), FREQUENT).toArrow()
+    hashes = frequent["hash"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     model = Model(
         subwords, classes, pairs.within(classes), fit(windows, classes), hashes[order],
-        frequent["n"].to_numpy(dtype=np.int64)[order],
+        frequent["n"].to_numpy()[order],
     )
     sent = spark.sparkContext.broadcast(model)
     schema = (
