@@ -101,7 +101,7 @@ class LaneCounter:
     def __init__(self, over: np.ndarray, radius: int):
         self.over = over
         self.radius = radius
-        self.sums = [np.zeros_like(over) for _ in range(radius.bit_length())]
+        self.sums = [np.zeros_like(over) for _ in range(max(1, radius.bit_length()))]
 
     def add(self, first: np.ndarray, second: np.ndarray) -> None:
         """Carry-save: two planes and the ones go through a full adder, whose
