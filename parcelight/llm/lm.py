@@ -34,11 +34,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.llm.common import slices, store, words_of
+from parcelight.llm.common import slices, store
 
 WINDOW = 32
 CONTEXT = 8
@@ -71,8 +72,10 @@ class Subwords:
         self.count = max(self.ranks.values()) + 1
         self.begin, self.end = self.count, self.count + 1
         self.starts_word = np.zeros(self.count + 2, dtype=bool)
+        self.size = np.zeros(self.count + 2, dtype=np.int64)  # in bytes
         for token, number in self.ranks.items():
             self.starts_word[number] = token[:1] == b" "
+            self.size[number] = len(token)
         self._encoding = None
 
     def __getstate__(self):
@@ -88,15 +91,66 @@ class Subwords:
             )
         return self._encoding.encode_ordinary(" " + words.decode())
 
-
-def contexts_of(ids: list[int]) -> list[tuple[int, int]]:
-    """For each id of a word: the id before it, and a number for all of them
-    where there are two or more; -1 for none."""
-    found, prefix = [(-1, -1)], b""
-    for place, i in enumerate(ids[:-1]):
-        prefix += i.to_bytes(4, "little")
-        found.append((i, 1 << 30 | zlib.crc32(prefix) >> 2 if place else -1))
-    return found[: len(ids)]
+    def of_words(self, words: list[bytes], at_once: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and how many each has. Words are
+        cut apart at white space, so they are encoded as one text; ids that
+        start with a space mark the borders, and lengths must agree."""
+        flat, sizes = [], []
+        for at in range(0, len(words), at_once):
+            part = words[at : at + at_once]
+            lengths = np.array([len(w) for w in part])
+            count = np.zeros(len(part), dtype=np.int64)
+            full = [w for w in part if w]
+            ids = np.array(self.ids(b" ".join(full)) if full else [], dtype=np.int64)
+            starts = np.flatnonzero(self.starts_word[ids])
+            if len(starts) == len(full) and (
+                not full
+                or (np.add.reduceat(self.size[ids], starts) == lengths[lengths > 0] + 1).all()
+            ):
+                count[lengths > 0] = np.diff(np.r_[starts, len(ids)])
+            else:  # a word with white space of its own kind
+                each = [self.ids(w) if w else [] for w in part]
+                ids = np.array([i for e in each for i in e], dtype=np.int64)
+                count = np.array([len(e) for e in each])
+            flat.append(ids)
+            sizes.append(count)
+        none = np.zeros(0, dtype=np.int64)
+        return np.concatenate([none, *flat]), np.concatenate([none, *sizes])
+
+
+def split_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words of several texts, the places of all words among them, and
+    how many each text has: A-Z lowered, cut at ``[\\x20\\x09-\\x0D]+``."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    index = coded.indices.to_numpy()
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    blank = np.array([not w for w in words], dtype=bool)  # before or after all words
+    if blank.any():
+        kept = ~blank[index]
+        index, owner = index[kept], owner[kept]
+    return words, index, np.bincount(owner, minlength=len(texts))
+
+
+def contexts_of(ids: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """For the ids of words, one after another: the id before, and a number for
+    all ids before where there are two or more; -1 for none."""
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(len(ids)) - np.repeat(first, sizes)
+    before = np.where(place > 0, np.r_[-1, ids[:-1]][: len(ids)], -1)
+    order = np.argsort(place, kind="stable")
+    ends = np.cumsum(np.bincount(place)) if len(ids) else []
+    mixed = np.zeros(len(ids), dtype=np.uint64)
+    prefix = np.full(len(ids), -1, dtype=np.int64)
+    for nth in range(1, len(ends)):
+        at = order[ends[nth - 1] : ends[nth]]
+        mixed[at] = (mixed[at - 1] + ids[at - 1].astype(np.uint64) + np.uint64(1)) * np.uint64(
+            0x9E3779B97F4A7C15
+        )
+        if nth > 1:
+            prefix[at] = 1 << 30 | (mixed[at] >> np.uint64(34)).astype(np.int64)
+    return [before, prefix]
 
 
 # -- classes -------------------------------------------------------------------
@@ -335,17 +389,14 @@ def trained(flat: np.ndarray, classes: Classes, inputs: np.ndarray, targets: np.
 
 
 # -- corpus statistics ---------------------------------------------------------
-def _training_window(words: list[bytes], subwords: Subwords) -> list[int]:
-    """A window of a text at a place that its content decides: WINDOW inputs and
-    the SCORED targets that follow the context, as one list."""
-    if not words:
-        ids: list[int] = []
-        start = 0
-    else:
-        start = zlib.crc32(b" ".join(words[:64])) % len(words)
-        ids = subwords.ids(b" ".join(words[start : start + WINDOW]))
-    last = start + WINDOW >= len(words)
-    if start == 0:
+def _training_window(
+    part: list[bytes], first: bool, last: bool, subwords: Subwords
+) -> list[int]:
+    """A window from a part of a text, which may be its first or its last: WINDOW
+    inputs and the SCORED targets that follow the context, as one list. -1
+    stands for none."""
+    ids = subwords.ids(b" ".join(part)) if part else []
+    if first:
         whole = np.array(ids, dtype=np.int64)
         inputs, targets = windows_of(whole, subwords.begin, subwords.end)
         if not last:  # the end is not here
@@ -376,12 +427,21 @@ def corpus(docs: DataFrame, subwords: Subwords, text: str) -> tuple[DataFrame, D
             )
 
         for batch in slices(batches, text):
-            windows = []
-            for t in batch.column(text).to_pylist():
-                words = words_of(t)
-                seen.update(words)
-                seen[b""] += 1
-                windows.append(_training_window(words, sent.value))
+            words, index, sizes = split_words(batch.column(text))
+            counts = np.bincount(index, minlength=len(words)).tolist()
+            seen.update({w: n for w, n in zip(words, counts) if n})
+            seen[b""] += len(sizes)
+            windows, end = [], 0
+            for size in sizes.tolist():
+                # A place that the text itself decides.
+                own = index[end : end + size]
+                end += size
+                digest = zlib.crc32(b" ".join([words[i] for i in own[: 2 * WINDOW]]))
+                start = digest % size if size else 0
+                near = [words[i] for i in own[start : start + WINDOW]]
+                windows.append(
+                    _training_window(near, start == 0, start + WINDOW >= size, sent.value)
+                )
             yield rows([None] * len(windows), [None] * len(windows), windows)
             if len(seen) > REMEMBERED:
                 yield rows(list(seen), list(seen.values()), [None] * len(seen))
@@ -424,32 +484,36 @@ def subword_counts(
     sent = counts.sparkSession.sparkContext.broadcast(subwords)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(sent.value.count + 2, dtype=np.int64)
-        pairs: Counter[int] = Counter()
+        found = np.zeros(sent.value.count + 2)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def rows(keys, n) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["key", "n"]
             )
 
+        def summed_pairs() -> pa.RecordBatch:
+            keys, member = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            weights = np.concatenate([h[1] for h in held])
+            held.clear()
+            return rows(keys, np.bincount(member, weights=weights).astype(np.int64))
+
         for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not word:
-                    found[sent.value.end] += n
-                    continue
-                ids = sent.value.ids(word)
-                for i in ids:
-                    found[i] += n
-                for contexts, right in zip(contexts_of(ids), ids):
-                    for left in contexts:
-                        if left >= 0:
-                            pairs[left << 32 | right] += n
-            if len(pairs) > REMEMBERED:
-                yield rows(list(pairs), list(pairs.values()))
-                pairs.clear()
+            words = batch.column(0).to_pylist()
+            n = batch.column(1).to_numpy()
+            found[sent.value.end] += sum(c for w, c in zip(words, n.tolist()) if not w)
+            ids, sizes = sent.value.of_words(words)
+            each = np.repeat(n, sizes)
+            found += np.bincount(ids, weights=each, minlength=len(found))
+            for left in contexts_of(ids, sizes):
+                after = left >= 0
+                held.append((left[after] << 32 | ids[after], each[after]))
+            if sum(len(h[0]) for h in held) > 4 * REMEMBERED:
+                yield summed_pairs()
         used = np.flatnonzero(found)
-        yield rows(-1 - used, found[used])
-        yield rows(list(pairs), list(pairs.values()))
+        yield rows(-1 - used, found[used].astype(np.int64))
+        if held:
+            yield summed_pairs()
 
     summed, _ = store(
         counts.select("word", "n").mapInArrow(run, "key long, n long").groupBy("key")
@@ -526,6 +590,7 @@ class Model:
     parameters: np.ndarray
     hashes: np.ndarray  # of the frequent words, sorted
     counts: np.ndarray
+    ends: int  # texts learnt from
 
 
 class WordTable:
@@ -545,45 +610,40 @@ class WordTable:
         self.count = np.zeros(0, dtype=np.int64)  # -1: not among the frequent
         self.share = np.zeros(0)  # log10 P(subwords | their classes)
 
-    def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.place)
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Rows of the words, which are distinct; new ones are added."""
+        new = [w for w in words if w not in self.place]
         if len(self.place) + len(new) > REMEMBERED:
             self._clear()
             new = words
-        new = list(new)
-        encoded = [self.model.subwords.ids(w) for w in new]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(new))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.int32, int(sizes.sum()))
+        if new:
+            self._add(new)
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+    def _add(self, new: list[bytes]) -> None:
+        ids, sizes = self.model.subwords.of_words(new)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in new), np.uint64, len(new))
         counts = np.full(len(new), -1, dtype=np.int64)
         if len(self.model.hashes):
             at = np.minimum(np.searchsorted(self.model.hashes, hashes), len(self.model.hashes) - 1)
             hit = self.model.hashes[at] == hashes
             counts[hit] = self.model.counts[at[hit]]
-        around = np.array(
-            [c for ids in encoded for c in contexts_of(ids)], dtype=np.int64
-        ).reshape(-1, 2)
-        first = np.cumsum(sizes) - sizes
-        shares = self.model.pairs.log_share(
-            self.model.classes, flat.astype(np.int64), [around[:, 0], around[:, 1]]
-        )
+        shares = self.model.pairs.log_share(self.model.classes, ids, contexts_of(ids, sizes))
         owner = np.repeat(np.arange(len(new)), sizes)
         begin = len(self.size)
         self.place.update(zip(new, range(begin, begin + len(new))))
-        self.first = np.r_[self.first, len(self.ids) + first]
+        self.first = np.r_[self.first, len(self.ids) + np.cumsum(sizes) - sizes]
         self.share = np.r_[self.share, np.bincount(owner, weights=shares, minlength=len(new))]
-        self.ids = np.r_[self.ids, flat]
+        self.ids = np.r_[self.ids, ids.astype(np.int32)]
         self.size = np.r_[self.size, sizes]
         self.hash = np.r_[self.hash, hashes]
         self.count = np.r_[self.count, counts]
 
-    def text(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the words, and the subword ids of the text."""
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+    def subword_ids(self, at: np.ndarray) -> np.ndarray:
+        """Ids of the words in these rows, one after another."""
         sizes = self.size[at]
         before = np.cumsum(sizes) - sizes
-        inner = np.repeat(self.first[at] - before, sizes) + np.arange(int(sizes.sum()))
-        return at, self.ids[inner]
+        return self.ids[np.repeat(self.first[at] - before, sizes) + np.arange(int(sizes.sum()))]
 
 
 def _class_scores(model: Model, windows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -623,7 +683,7 @@ def score(
     order = np.argsort(hashes)
     model = Model(
         subwords, classes, pairs.within(classes), fit(windows, classes), hashes[order],
-        frequent["n"].to_numpy()[order],
+        frequent["n"].to_numpy()[order], int(alone[subwords.end]),
     )
     sent = spark.sparkContext.broadcast(model)
     schema = (
@@ -635,22 +695,22 @@ def score(
         known = WordTable(sent.value)
         own = sent.value
         for batch in slices(batches, "_text"):
-            texts = [words_of(t) for t in batch.column("_text").to_pylist()]
-            known.learn({w for words in texts for w in words} | {b""})
-            ends = known.count[known.place[b""]]
+            words, index, lengths = split_words(batch.column("_text"))
+            places = known.places(words)[index]
             sizes, found, base, cut, rare, shares = [], [], [], [], [], []
-            for words in texts:
-                at, ids = known.text(words)
-                c = np.r_[known.count[at], ends]
-                sent_ = c >= 0
-                sizes.append(len(c))
-                found.append(int((c > 0).sum()))
-                base.append(float(np.log10(c[sent_] + 0.5).sum()))
-                other, times = np.unique(known.hash[at[~sent_[:-1]]], return_counts=True)
+            stop = 0
+            for length in lengths.tolist():
+                at = places[stop : stop + length]
+                stop += length
+                c = known.count[at]
+                common = c >= 0
+                sizes.append(length + 1)
+                found.append(int((c > 0).sum()) + int(own.ends > 0))
+                base.append(float(np.log10(c[common] + 0.5).sum() + np.log10(own.ends + 0.5)))
+                other, times = np.unique(known.hash[at[~common]], return_counts=True)
                 rare.append((other.view(np.int64), times))
-                if not sent_[-1]:  # nobody ended a text: a count of zero
-                    base[-1] += float(np.log10(0.5))
                 shares.append(float(known.share[at].sum()))
+                ids = known.subword_ids(at)
                 cut.append(windows_of(ids, own.subwords.begin, own.subwords.end))
             offsets = np.r_[0, np.cumsum([len(r[0]) for r in rare])].astype(np.int32)
             entries = pa.StructArray.from_arrays(
