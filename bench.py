@@ -16,6 +16,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from parcelight.constants import F1_GATE  # noqa: E402
+from parcelight.plans import scoring  # noqa: E402
 from parcelight.session import build_session  # noqa: E402
 from parcelight.storage import ensure_local_folder  # noqa: E402
 from workload import views  # noqa: E402
@@ -24,7 +26,7 @@ from workload.queries import QUERIES  # noqa: E402
 HEADLINE = [
     # whole stages
     "etl_hot_leads", "etl_build_leads", "etl_clean_leads", "etl_features",
-    "etl_leads_from_files", "export_format", "ml_train_score",
+    "etl_leads_from_files", "export_format",
     # operators
     "prep_improvements", "prep_history", "prep_sales", "clean_jv_iqr",
     "clean_act_year", "feat_neighborhood_ratio", "feat_hot_lead", "score_rank",
@@ -40,6 +42,17 @@ def run(name: str, spark, sf_dir: str) -> float:
     return time.perf_counter() - begin
 
 
+def train(spark, sf_dir: str) -> float:
+    """Fit, held-out test and gate with the default 200 trees of depth 4; once,
+    without the cross-validation."""
+    rows = views.features(spark, sf_dir)
+    begin = time.perf_counter()
+    trained = scoring.train(rows, cv_folds=0)
+    if trained.f1 < F1_GATE:
+        raise RuntimeError(f"F1 {trained.f1} below the gate")
+    return time.perf_counter() - begin
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -67,11 +80,13 @@ def main() -> None:
         stages[table] = round(time.perf_counter() - begin, 3)
 
     timed = {}
-    for name in names:
+    for name in (n for n in names if n != "train_200_trees"):
         run(name, spark, sf_dir)
         timed[name] = round(
             statistics.median(run(name, spark, sf_dir) for _ in range(runs)), 3
         )
+    if not chosen or "train_200_trees" in names:
+        timed["train_200_trees"] = round(train(spark, sf_dir), 3)
     sf = re.search(r"sf([\d.]+)$", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
