@@ -306,9 +306,12 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
     reached = None
     for _ in range(MAX_STEPS):
         near = measured()
-        inner = near.join(_at_share(near, keys, SUPPORT), keys).where("_b <= _cut")
+        # Stored, the cuts are known to be few, and the rows need not move.
+        cuts, cut_path = store(_at_share(near, keys, SUPPORT), "rule-cuts")
+        inner = near.join(cuts, keys).where("_b <= _cut")
         params, newer = store(_factored(_moments(inner, keys, x), keys), "rule-estimates")
         forget(spark, path)
+        forget(spark, cut_path)
         path = newer
         now = params.agg(F.sum(F.round("log_det", 3))).first()[0]
         if now == reached:
