@@ -238,12 +238,14 @@ class PairShares:
 def windows_of(ids: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Inputs (n, WINDOW) and targets (n, SCORED) of one text, -1 where there is
     none. Window k scores the targets SCORED * k and following."""
-    inputs = np.r_[np.full(CONTEXT, -1), begin, ids]
-    targets = np.r_[ids, end]
-    n = -(-len(targets) // SCORED)
-    inputs = np.r_[inputs, np.full(n * SCORED + CONTEXT - len(inputs), -1)]
-    targets = np.r_[targets, np.full(n * SCORED - len(targets), -1)]
-    cut = np.lib.stride_tricks.sliding_window_view(inputs, WINDOW)[::SCORED]
+    n = len(ids) // SCORED + 1
+    inputs = np.full(n * SCORED + CONTEXT, -1, dtype=np.int32)
+    inputs[CONTEXT] = begin
+    inputs[CONTEXT + 1 : CONTEXT + 1 + len(ids)] = ids[: len(inputs) - CONTEXT - 1]
+    targets = np.full(n * SCORED, -1, dtype=np.int32)
+    targets[: len(ids)] = ids
+    targets[len(ids)] = end
+    cut = inputs[(np.arange(n) * SCORED)[:, None] + np.arange(WINDOW)]
     return cut, targets.reshape(n, SCORED)
 
 
@@ -259,7 +261,9 @@ SHAPES = {
     "bigram": (CLASSES, CLASSES),
 }
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
-_causal = np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None]
+_causal = (
+    np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None]
+).astype(np.float32)
 
 
 def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -285,8 +289,11 @@ def first_parameters(bigrams: np.ndarray) -> np.ndarray:
     return flat
 
 
-def attention(p: dict[str, np.ndarray], x: np.ndarray, present: np.ndarray):
-    """Hidden states of the scored places, with what a backward pass needs.
+def attention(
+    p: dict[str, np.ndarray], x: np.ndarray, present: np.ndarray, normal: bool = True
+):
+    """Hidden states of the scored places, with what a backward pass needs (it
+    needs ``normal`` weights).
     ``x``: vector rows (n, WINDOW); ``present``: places that hold a subword."""
     n = len(x)
     inputs = p["vectors"][x] + p["places"]
@@ -299,9 +306,16 @@ def attention(p: dict[str, np.ndarray], x: np.ndarray, present: np.ndarray):
     weight = np.matmul(query, key.transpose(0, 2, 1))
     np.minimum(weight, 60, out=weight)
     np.exp(weight, out=weight)
-    weight *= _causal & present[:, None, :]
-    weight /= weight.sum(axis=-1, keepdims=True) + np.float32(1e-20)
-    seen = np.matmul(weight, value)
+    weight *= _causal
+    if not present.all():
+        weight *= present[:, None, :].astype(weight.dtype)
+    # The sum of the weights as one more value.
+    ones = np.ones((n, WINDOW, 1), dtype=value.dtype)
+    seen = np.matmul(weight, np.concatenate([value, ones], axis=2))
+    total = seen[..., -1:] + np.float32(1e-20)
+    seen = seen[..., :-1] / total
+    if normal:
+        weight /= total
     hidden = own + (seen.reshape(-1, WIDTH) @ p["mixed"]).reshape(n, SCORED, WIDTH)
     return inputs, key, value, query, weight, seen, hidden
 
@@ -311,7 +325,7 @@ def log_probabilities(
     previous: np.ndarray, target: np.ndarray,
 ) -> np.ndarray:
     """Natural log P(target class) of every scored place."""
-    hidden = attention(p, x, present)[-1].reshape(-1, WIDTH)
+    hidden = attention(p, x, present, False)[-1].reshape(-1, WIDTH)
     logits = hidden @ p["output"]
     logits += p["bigram"][previous.ravel()]
     chosen = logits[np.arange(len(logits)), target.ravel()].astype(np.float64)
@@ -365,7 +379,7 @@ def gradients(
 
 def _prepared(classes: Classes, inputs: np.ndarray, targets: np.ndarray):
     """Rows, presence, previous class, target class and scored places."""
-    rows = np.where(inputs >= 0, classes.row[inputs], len(classes.row) * 0 + SHAPES["vectors"][0] - 1)
+    rows = np.where(inputs >= 0, classes.row[inputs], SHAPES["vectors"][0] - 1)
     before = inputs[:, CONTEXT:]
     previous = classes.of[np.maximum(before, 0)]
     return rows, inputs >= 0, previous, classes.of[np.maximum(targets, 0)], targets >= 0
@@ -653,13 +667,11 @@ def _class_scores(model: Model, windows: list[tuple[np.ndarray, np.ndarray]]) ->
     owner = np.repeat(np.arange(len(windows)), [len(w[0]) for w in windows])
     total = np.zeros(len(inputs))
     p = unpacked(model.parameters)
+    rows, present, previous, target, scored = _prepared(model.classes, inputs, targets)
     for at in range(0, len(inputs), BATCH):
-        part = targets[at : at + BATCH]
-        rows, present, previous, target, scored = _prepared(
-            model.classes, inputs[at : at + BATCH], part
-        )
-        found = log_probabilities(p, rows, present, previous, target) / np.log(10)
-        total[at : at + BATCH] = np.where(scored, found, 0).sum(axis=1)
+        own = slice(at, at + BATCH)
+        found = log_probabilities(p, rows[own], present[own], previous[own], target[own])
+        total[own] = (found * scored[own]).sum(axis=1) / np.log(10)
     return np.bincount(owner, weights=total, minlength=len(windows))
 
 
