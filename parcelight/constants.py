@@ -237,6 +237,15 @@ RUN_LOG_SCHEMA = T.StructType(
     ]
 )
 
+# One row per time scores of a run were stored, so that the newest run is found
+# without reading scores.
+SCORED_RUNS_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("created_at", T.TimestampType()),
+    ]
+)
+
 TABLE_SCHEMAS = {
     "leads": LEADS_SCHEMA,
     "leads_clean": CLEAN_SCHEMA,
@@ -244,4 +253,5 @@ TABLE_SCHEMAS = {
     "scored_leads": SCORES_SCHEMA,
     "export_leads": EXPORT_SCHEMA,
     "pipeline_log": RUN_LOG_SCHEMA,
+    "scored_runs": SCORED_RUNS_SCHEMA,
 }

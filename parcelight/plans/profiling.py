@@ -176,6 +176,15 @@ def describe_numbers(df: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     return stats.join(F.broadcast(medians), "column", "left")  # a row per column
 
 
+def tax_years(history: DataFrame) -> DataFrame:
+    """First and last tax year, and rows whose year cannot be read."""
+    year = parse_number("Hist_Tax_Year")
+    return history.agg(
+        F.min(year).alias("first_year"), F.max(year).alias("last_year"),
+        F.count_if(year.isNull()).alias("unreadable"),
+    )
+
+
 def owner_profile(owners: DataFrame) -> DataFrame:
     """Home-state, out-of-state (missing states left out) and corporate owners."""
     state = strip("Owner_Mail_State")

@@ -23,6 +23,7 @@ from parcelight.sinks import (
     write_ranked_file,
 )
 from parcelight.sources import LeadTables, read_source_tables, stage_input
+from parcelight.storage import scratch
 
 LOAD_MODE = "CAMA_LOAD"
 REUSE_MODE = "DRY_RUN"
@@ -99,7 +100,11 @@ class Run:
             return done.tail(1)[0]["records_out"]
         begin = time.monotonic()
         try:
-            rows_out = work()
+            if table is None:
+                rows_out = work()
+            else:  # its result is in the table
+                with scratch(self.tables.spark):
+                    rows_out = work()
             if not rows_out:
                 raise ValueError(f"stage {name} has no rows: {table or name} is empty")
         except Exception as error:
@@ -169,5 +174,5 @@ class Run:
                 write_ranked_file(tables.read("export_leads"), export_path)
             return rows_out
 
-        rows = self._stage("predictor", rows, score)
-        return self._stage("export", rows, export)
+        rows = self._stage("predictor", rows, score, "scored_leads")
+        return self._stage("export", rows, export, "export_leads")

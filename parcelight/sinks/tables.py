@@ -97,6 +97,10 @@ def append_run_scores(
     writer.partitionBy(*PARTITIONS["scored_leads"]).parquet(
         tables.path("scored_leads")
     )
+    runs = tables.spark.range(1).select(
+        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("created_at")
+    )
+    runs.write.mode("append").parquet(tables.path("scored_runs"))
     return seen.get["rows"]
 
 

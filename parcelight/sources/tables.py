@@ -67,6 +67,8 @@ class LeadTables:
     # -- scores ---------------------------------------------------------
     def scores(self, run_id: str | None = None) -> DataFrame:
         """Scores of a run, by default the latest, in rank order."""
+        if run_id is None:
+            run_id = latest_run(self.read("scored_runs")).first()["run_id"]
         return scores_of_run(self.read("scored_leads"), run_id)
 
 

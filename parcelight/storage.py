@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +45,30 @@ def working_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{working_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{working_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Working tables made inside are deleted at the end: for steps whose
+    results are stored elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -63,6 +88,4 @@ def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 def clear_working_tables(spark: SparkSession) -> None:
     """Deletes the working tables of this application. Frames that read them
     are unusable afterwards: call it when a run's results are stored."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(working_dir(spark))
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(path, True)
+    _delete(spark, working_dir(spark))

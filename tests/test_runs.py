@@ -109,6 +109,20 @@ def test_a_run_that_kept_nothing_is_taken_up(spark, tables, county):
     assert again.run_id == first.run_id and again.through_features() > 0
 
 
+def test_stages_leave_no_working_tables(spark, tables, county):
+    import os
+
+    from parcelight.storage import working_dir
+
+    def there():
+        folder = working_dir(spark)
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    before = there()
+    assert Run(tables, "TRAIN", "CAMA_LOAD", county, 2025).through_features() > 0
+    assert there() == before
+
+
 def test_strict_nulls_rate_no_unknown_neighbourhood(tables, county):
     run = Run(tables, "TRAIN", "CAMA_LOAD", county, 2025, strict_nulls=True)
     assert run.through_features() > 0

@@ -25,6 +25,14 @@ def test_tsv_reading(spark, tmp_path):
         sources.read_tsv(spark, str(tmp_path / "t.txt"), ["Missing"])
 
 
+def test_quoted_line_breaks(spark, tmp_path):
+    path = str(tmp_path / "t.txt")
+    (tmp_path / "t.txt").write_text('Parcel\tA\np1\t"a\nb"\np2\tc\n')
+    whole = sources.read_tsv(spark, path, multi_line=True).orderBy("_ord").collect()
+    assert [(r.Parcel, r.A) for r in whole] == [("p1", "a\nb"), ("p2", "c")]
+    assert sources.torn_rows(spark, path) == 2  # where it opens and where it ends
+
+
 def test_file_order_survives_splits(spark, tmp_path):
     lines = [f"k{i % 7}\t{i}\t{'x' * 50}" for i in range(4000)]
     (tmp_path / "t.txt").write_text("Parcel\tN\tPad\n" + "\n".join(lines) + "\n")

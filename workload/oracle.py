@@ -680,6 +680,10 @@ ORACLE: dict[str, str] = {
         "(SELECT *, LND_VAL / CASE WHEN JV = 0 THEN 1 ELSE JV END AS land_ratio FROM features)",
         {"JV": 100000.0, "property_age": 30.0, "renovation_gap": 1.0, "price_per_sqft": 1.0,
          "lot_coverage_ratio": 0.5, "land_ratio": 0.2, "neighborhood_value_ratio": 0.8})),
+    "profile_tax_years": with_ctes(
+        "history_rows", f"SELECT min({num('Hist_Tax_Year')}) AS first_year, "
+        f"max({num('Hist_Tax_Year')}) AS last_year, "
+        f"count(*) FILTER ({num('Hist_Tax_Year')} IS NULL) AS unreadable FROM history_rows"),
     "profile_owners": with_ctes("owner_rows", f"""
         SELECT count(*) AS owners, count(*) FILTER (trim(Owner_Mail_State) = 'FL') AS home_state,
                count(*) FILTER (trim(Owner_Mail_State) NOT IN ('FL', '', 'nan')) AS out_of_state,

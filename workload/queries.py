@@ -525,6 +525,11 @@ def profile_describe_features(spark, sf_dir):
     })
 
 
+@query
+def profile_tax_years(spark, sf_dir):
+    return profiling.tax_years(views.history(spark, sf_dir))
+
+
 @query
 def profile_owners(spark, sf_dir):
     return profiling.owner_profile(views.owners(spark, sf_dir))
