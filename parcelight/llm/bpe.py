@@ -46,7 +46,7 @@ from parcelight.llm.common import fresh_name, slices
 CHUNK = 1 << 16  # characters fed at once
 LONGEST_SPAN = 1 << 14  # characters of a run before its pieces are streamed
 WINDOW = 1 << 12  # bytes merged at once inside an endless piece, plus lookahead
-REMEMBERED = 300_000  # spans and pieces kept by a worker
+REMEMBERED = 400_000  # spans and pieces kept by a worker
 SHORT_PIECE = 48  # bytes up to which pieces are merged side by side
 
 # White space and the piece pattern of byte-level BPE.
