@@ -17,7 +17,9 @@ texts go through the attention together, under a causal mask.
 
 Counts of the ``FREQUENT`` commonest words are broadcast (a fixed number); the other
 words of a document are joined with the count table by hash, so the vocabulary may
-grow with the corpus. Words are told apart by XXH64.
+grow with the corpus. Words are told apart by XXH64. Likewise the ``PAIRS`` commonest
+counts of subwords in their contexts, and of the sums they are shares of, are broadcast;
+a word that needs others has its share from a join with all of them, once per word.
 
 Defined cases: a null text is an empty one, which has the end alone; null ids are
 carried; repeated rows count as rows; without learning documents every subword is
@@ -36,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,22 +198,58 @@ class Pairs:
 
     keys: np.ndarray  # context << 32 | id
     counts: np.ndarray
+    every: DataFrame | None = None  # (key, n) of all, if these are the commonest only
 
     def within(self, classes: Classes) -> PairShares:
         """Sums per left id and class of the right id, for the shares."""
-        group = (self.keys >> 32) * CLASSES + classes.of[self.keys & 0xFFFFFFFF]
-        groups, member = np.unique(group, return_inverse=True)
+        if self.every is not None:
+            return self._within_every(classes)
+        groups, sums = _class_sums(self.keys, self.counts, classes)
+        return PairShares(self.keys, self.counts, groups, sums)
+
+    def _within_every(self, classes: Classes) -> PairShares:
+        sent = self.every.sparkSession.sparkContext.broadcast(classes)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                groups, sums = _class_sums(
+                    batch.column(0).to_numpy(), batch.column(1).to_numpy(), sent.value
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(-1 - groups), pa.array(sums.astype(np.int64))], ["key", "n"]
+                )
+
+        sums, _ = store(
+            self.every.mapInArrow(run, "key long, n long").groupBy("key")
+            .agg(F.sum("n").alias("n")),
+            "lm-sums",
+        )
+        common = commonest(sums, PAIRS).toArrow()
+        groups = -1 - common["key"].to_numpy()
+        order = np.argsort(groups)
         return PairShares(
-            self.keys, self.counts, groups, np.bincount(member, weights=self.counts)
+            self.keys, self.counts, groups[order], common["n"].to_numpy()[order],
+            True, self.every.unionByName(sums),
         )
 
 
+def _class_sums(keys: np.ndarray, counts: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
+    group = (keys >> 32) * CLASSES + classes.of[keys & 0xFFFFFFFF]
+    groups, member = np.unique(group, return_inverse=True)
+    return groups, np.bincount(member, weights=counts, minlength=len(groups))
+
+
 @dataclass
 class PairShares:
     keys: np.ndarray
     counts: np.ndarray
     groups: np.ndarray
-    sums: np.ndarray
+    sums: np.ndarray  # whole sums, also where keys are the commonest only
+    cut: bool = False
+    every: DataFrame | None = None  # (key or -1 - group, n) of all, if cut
+
+    def __getstate__(self):
+        return {**self.__dict__, "every": None}
 
     @staticmethod
     def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -219,17 +258,46 @@ class PairShares:
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         return np.where(keys[at] == wanted, values[at], 0)
 
-    def log_share(
+    @staticmethod
+    def _wanted(
+        classes: Classes, right: np.ndarray, left: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        key = np.where(left >= 0, left << 32 | right, -1)
+        group = np.where(left >= 0, left * CLASSES + classes.of[right], -1)
+        return key, group
+
+    def missing(
         self, classes: Classes, right: np.ndarray, contexts: list[np.ndarray]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """What :meth:`log_share` needs and the cut tables lack: where its answer
+        goes (row-major in ``answers``), and its key in ``every``."""
+        at, wanted = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for nth, left in enumerate(contexts):
+            key, group = self._wanted(classes, right, left)
+            for k, (table, values, name) in enumerate(
+                ((self.keys, key, key), (self.groups, group, -1 - group))
+            ):
+                one = np.ones(len(table), dtype=np.int64)
+                lacks = np.flatnonzero((left >= 0) & (self._looked_up(table, one, values) == 0))
+                at.append(lacks * 2 * len(contexts) + 2 * nth + k)
+                wanted.append(name[lacks])
+        return np.concatenate(at), np.concatenate(wanted)
+
+    def log_share(
+        self, classes: Classes, right: np.ndarray, contexts: list[np.ndarray],
+        answers: np.ndarray | None = None,
     ) -> np.ndarray:
         """log10 P(right | its class, contexts), each context backing off to the
-        ones before it; -1 where there is none."""
+        ones before it; -1 where there is none. ``answers``: count and sum per
+        context, where the tables have none."""
         share = 10.0 ** classes.log_share[right]
-        for left in contexts:
-            key = np.where(left >= 0, left << 32 | right, -1)
-            group = np.where(left >= 0, left * CLASSES + classes.of[right], -1)
+        for nth, left in enumerate(contexts):
+            key, group = self._wanted(classes, right, left)
             n = self._looked_up(self.keys, self.counts, key)
             whole = self._looked_up(self.groups, self.sums, group)
+            if answers is not None:
+                n = n + answers[:, 2 * nth]
+                whole = whole + answers[:, 2 * nth + 1]
             share = np.where(left >= 0, (n + BACK_OFF * share) / (whole + BACK_OFF), share)
         return np.log10(share)
 
@@ -494,7 +562,7 @@ def subword_counts(
 ) -> tuple[np.ndarray, Pairs]:
     """How often each id occurs, and each id in its contexts in a word, from the
     counts of words: exact over the corpus, at one look per distinct word. Of the
-    pairs the :data:`PAIRS` commonest are kept."""
+    pairs the :data:`PAIRS` commonest are collected, the others stay in a table."""
     sent = counts.sparkSession.sparkContext.broadcast(subwords)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -537,9 +605,13 @@ def subword_counts(
     alone = summed.where("key < 0").toArrow()  # at most one row per subword
     out = np.zeros(subwords.count + 2, dtype=np.int64)
     out[-1 - alone["key"].to_numpy()] = alone["n"].to_numpy()
-    common = commonest(summed.where("key >= 0"), PAIRS).toArrow()
+    every = summed.where("key >= 0")
+    common = commonest(every, PAIRS).toArrow()
     order = np.argsort(common["key"].to_numpy())
-    return out, Pairs(common["key"].to_numpy()[order], common["n"].to_numpy()[order])
+    cut = every.count() > len(order)
+    return out, Pairs(
+        common["key"].to_numpy()[order], common["n"].to_numpy()[order], every if cut else None
+    )
 
 
 def _window_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -623,9 +695,13 @@ class WordTable:
         self.hash = np.zeros(0, dtype=np.uint64)
         self.count = np.zeros(0, dtype=np.int64)  # -1: not among the frequent
         self.share = np.zeros(0)  # log10 P(subwords | their classes)
+        self.open = np.zeros(0, dtype=bool)  # the share needs more than was sent
+        self.fresh: list[tuple[int, bytes]] = []  # open words not told of yet
 
     def places(self, words: list[bytes]) -> np.ndarray:
-        """Rows of the words, which are distinct; new ones are added."""
+        """Rows of the words, which are distinct; new ones are added, and the open
+        ones of them are in ``fresh``."""
+        self.fresh = []
         new = [w for w in words if w not in self.place]
         if len(self.place) + len(new) > REMEMBERED:
             self._clear()
@@ -642,8 +718,16 @@ class WordTable:
             at = np.minimum(np.searchsorted(self.model.hashes, hashes), len(self.model.hashes) - 1)
             hit = self.model.hashes[at] == hashes
             counts[hit] = self.model.counts[at[hit]]
-        shares = self.model.pairs.log_share(self.model.classes, ids, contexts_of(ids, sizes))
+        contexts = contexts_of(ids, sizes)
+        shares = self.model.pairs.log_share(self.model.classes, ids, contexts)
         owner = np.repeat(np.arange(len(new)), sizes)
+        unsettled = np.zeros(len(new), dtype=bool)
+        if self.model.pairs.cut:
+            at, _ = self.model.pairs.missing(self.model.classes, ids, contexts)
+            unsettled[owner[at // (2 * len(contexts))]] = True
+            signed = hashes.view(np.int64)
+            self.fresh += [(int(signed[i]), new[i]) for i in np.flatnonzero(unsettled)]
+        self.open = np.r_[self.open, unsettled]
         begin = len(self.size)
         self.place.update(zip(new, range(begin, begin + len(new))))
         self.first = np.r_[self.first, len(self.ids) + np.cumsum(sizes) - sizes]
@@ -675,6 +759,54 @@ def _class_scores(model: Model, windows: list[tuple[np.ndarray, np.ndarray]]) ->
     return np.bincount(owner, weights=total, minlength=len(windows))
 
 
+def open_shares(words: DataFrame, model: Broadcast, every: DataFrame) -> DataFrame:
+    """(hash, share) of distinct words (hash, word): log10 P(subwords | their
+    classes). What the tables sent lack is joined with ``every``."""
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = model.value
+        for batch in batches:
+            ids, sizes = own.subwords.of_words(batch.column(1).to_pylist())
+            contexts = contexts_of(ids, sizes)
+            at, key = own.pairs.missing(own.classes, ids, contexts)
+            each = 2 * len(contexts)
+            owner = np.repeat(np.arange(len(sizes)), sizes)[at // each]
+            at -= (np.cumsum(sizes) - sizes)[owner] * each
+            hashes = batch.column(0).to_numpy()[owner]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes), pa.array(at), pa.array(key)], ["hash", "at", "key"]
+            )
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = model.value
+        for batch in batches:
+            ids, sizes = own.subwords.of_words(batch.column(1).to_pylist())
+            contexts = contexts_of(ids, sizes)
+            each = 2 * len(contexts)
+            answers = np.zeros(len(ids) * each)
+            given = batch.column(2)
+            found = given.flatten()
+            owner = np.repeat(
+                np.arange(len(sizes)), pc.fill_null(pc.list_value_length(given), 0).to_numpy()
+            )
+            first = (np.cumsum(sizes) - sizes) * each
+            answers[first[owner] + found.field("at").to_numpy()] = found.field("n").to_numpy()
+            logs = own.pairs.log_share(own.classes, ids, contexts, answers.reshape(-1, each))
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.bincount(owner, weights=logs, minlength=len(sizes)))],
+                ["hash", "share"],
+            )
+
+    answers = (
+        words.mapInArrow(asked, "hash long, at long, key long").join(every, "key")
+        .groupBy("hash").agg(F.collect_list(F.struct("at", "n")).alias("answers"))
+    )
+    return words.join(answers, "hash", "left").select("hash", "word", "answers").mapInArrow(
+        shares, "hash long, share double"
+    )
+
+
 def score(
     docs: DataFrame, learning: DataFrame, path: str, pattern: str,
     id_column: str = "doc_id", text: str = "text",
@@ -693,14 +825,16 @@ def score(
     frequent = commonest(counts.select("hash", "n"), FREQUENT).toArrow()
     hashes = frequent["hash"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
+    shares = pairs.within(classes)
     model = Model(
-        subwords, classes, pairs.within(classes), fit(windows, classes), hashes[order],
+        subwords, classes, shares, fit(windows, classes), hashes[order],
         frequent["n"].to_numpy()[order], int(alone[subwords.end]),
     )
     sent = spark.sparkContext.broadcast(model)
     schema = (
         f"_id {dict(docs.dtypes)[id_column]}, n_tokens long, n_known long, base double, "
-        "score double, rare array<struct<hash:long,times:long>>"
+        "score double, rare array<struct<hash:long,times:long,open:long>>, "
+        "fresh array<struct<hash:long,word:binary>>"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -709,6 +843,7 @@ def score(
         for batch in slices(batches, "_text"):
             words, index, lengths = split_words(batch.column("_text"))
             places = known.places(words)[index]
+            fresh = [{"hash": h, "word": w} for h, w in known.fresh]
             sizes, found, base, cut, rare, shares = [], [], [], [], [], []
             stop = 0
             for length in lengths.tolist():
@@ -719,16 +854,23 @@ def score(
                 sizes.append(length + 1)
                 found.append(int((c > 0).sum()) + int(own.ends > 0))
                 base.append(float(np.log10(c[common] + 0.5).sum() + np.log10(own.ends + 0.5)))
-                other, times = np.unique(known.hash[at[~common]], return_counts=True)
-                rare.append((other.view(np.int64), times))
-                shares.append(float(known.share[at].sum()))
+                unsettled = known.open[at]
+                later = ~common | unsettled
+                other, member = np.unique(known.hash[at[later]], return_inverse=True)
+                rare.append((
+                    other.view(np.int64),
+                    np.bincount(member, ~common[later], len(other)).astype(np.int64),
+                    np.bincount(member, unsettled[later], len(other)).astype(np.int64),
+                ))
+                shares.append(float(known.share[at[~unsettled]].sum()))
                 ids = known.subword_ids(at)
                 cut.append(windows_of(ids, own.subwords.begin, own.subwords.end))
             offsets = np.r_[0, np.cumsum([len(r[0]) for r in rare])].astype(np.int32)
             entries = pa.StructArray.from_arrays(
                 [pa.array(np.concatenate([r[0] for r in rare])),
-                 pa.array(np.concatenate([r[1] for r in rare]).astype(np.int64))],
-                ["hash", "times"],
+                 pa.array(np.concatenate([r[1] for r in rare])),
+                 pa.array(np.concatenate([r[2] for r in rare]))],
+                ["hash", "times", "open"],
             )
             yield pa.RecordBatch.from_arrays(
                 [
@@ -736,8 +878,13 @@ def score(
                     pa.array(found, pa.int64()), pa.array(base, pa.float64()),
                     pa.array(_class_scores(own, cut) + np.array(shares)),
                     pa.ListArray.from_arrays(pa.array(offsets), entries),
+                    # New open words go with the first text they are met in.
+                    pa.array(
+                        [fresh] + [[]] * (len(sizes) - 1),
+                        pa.list_(pa.struct([("hash", pa.int64()), ("word", pa.binary())])),
+                    ),
                 ],
-                names=["_id", "n_tokens", "n_known", "base", "score", "rare"],
+                names=["_id", "n_tokens", "n_known", "base", "score", "rare", "fresh"],
             )
 
     rows, _ = store(
@@ -746,22 +893,30 @@ def score(
         "lm-scores",
     )
     words = counts.select("hash", "n")
+    if shares.cut:
+        opened, _ = store(
+            rows.select(F.inline("fresh")).dropDuplicates(["hash"]).select("hash", "word"), "lm-open"
+        )
+        words = words.join(open_shares(opened, sent, shares.every), "hash", "full")
+    else:
+        words = words.withColumn("share", F.lit(0.0))
     rest = (
         rows.select("_row", F.inline("rare"))
         .join(words, "hash", "left").groupBy("_row").agg(
             F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("_base"),
             F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(F.lit(0))).alias("_known"),
+            F.sum(F.col("open") * F.coalesce("share", F.lit(0.0))).alias("_share"),
         )
     )
     each = float(np.log10(tokens + 0.5 * (distinct + 1)))
     return (
-        rows.drop("rare").join(rest, "_row", "left")
+        rows.drop("rare", "fresh").join(rest, "_row", "left")
         .select(
             F.col("_id").alias(id_column), "n_tokens",
             (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
             F.lit(tokens).cast("long").alias("train_tokens"),
             (F.col("base") + F.coalesce("_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(each))
             .alias("base_score"),
-            F.round("score", 6).alias("score"),
+            F.round(F.col("score") + F.coalesce("_share", F.lit(0.0)), 6).alias("score"),
         )
     )

@@ -176,6 +176,30 @@ def test_scores_equal_the_model_text_by_text(spark, subwords, monkeypatch):
         assert out[r[0]] == pytest.approx(total, abs=1e-3)
 
 
+@pytest.mark.parametrize("frequent", [1 << 18, 4])
+def test_scores_do_not_depend_on_what_is_sent(spark, monkeypatch, frequent):
+    """A few pairs broadcast, the others joined, or all broadcast: equal scores."""
+    rng = random.Random(13)
+    rows = [row(i, " ".join(prose(rng, 1) + rng.choice("abcdefgh") * rng.randint(0, 9) + str(rng.randint(0, 999))
+                            for _ in range(rng.randint(0, 40)))) for i in range(60)]
+    rows += [row(90, None), row(91, "w" * 3000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    learning = docs.where("doc_id % 3 <> 0")
+    given = np.random.default_rng(1).normal(size=lm.SIZE).astype(np.float32) * 0.1
+    monkeypatch.setattr(lm, "fit", lambda w, c, **kw: given)
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    found = []
+    for pairs in (1 << 19, 40, 1):
+        monkeypatch.setattr(lm, "PAIRS", pairs)
+        monkeypatch.setattr(lm, "REMEMBERED", 1 << 19 if pairs == 40 else 60)
+        out = lm.score(docs, learning, PATH, public_tokenizers.PATTERN)
+        found.append({r.doc_id: (r.n_known, r.base_score, r.score) for r in out.collect()})
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        for i, expect in found[0].items():
+            assert other[i] == pytest.approx(expect, abs=2e-6)
+
+
 def test_training_helps_on_held_out_text(spark):
     rng = random.Random(10)
     rows = [row(i, " ".join(["red green blue white"] * rng.randint(5, 9))) for i in range(300)]
