@@ -7,7 +7,7 @@ mass, apart for word starts and continuations. P(subword) = P(class | context) t
 P(subword | class, the word so far), the latter from the counts.
 
 P(class | context) is one head of causal self-attention over the subwords before, on top
-of a class bigram. Every learning document gives a training window; tasks train on
+of a class bigram. Every learning document gives all its windows; tasks train on
 their windows (numpy, Adam) and Spark averages their parameters, for a few rounds.
 
 Scoring cuts the subwords of a text into windows of ``WINDOW`` places that overlap by
@@ -29,7 +29,6 @@ equally likely and the base score is 0; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,7 +56,9 @@ BACK_OFF = 5.0  # weight of the share without the subword before
 ROUNDS = 3
 BATCH = 128  # windows at once
 RATE = 0.01
-SHARD = 8192  # training windows to a task
+HELD = 8  # training windows to a row, of one text and one after another
+AT_ONCE = 256  # such rows that a training task unfolds together
+SHARD = 1 << 16  # training windows to a task
 REMEMBERED = 500_000
 SEED = 42
 
@@ -317,6 +318,30 @@ def windows_of(ids: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.nd
     return cut, targets.reshape(n, SCORED)
 
 
+def folded(ids: np.ndarray, begin: int, end: int) -> list[np.ndarray]:
+    """The windows of :func:`windows_of`, up to HELD to a row, each subword once: the
+    context, the scored places and the target that follows. -1 stands for none."""
+    n = len(ids) // SCORED + 1
+    whole = np.full(n * SCORED + CONTEXT + 1, -1, dtype=np.int32)
+    whole[CONTEXT] = begin
+    whole[CONTEXT + 1 : CONTEXT + 1 + len(ids)] = ids
+    whole[CONTEXT + 1 + len(ids)] = end
+    return [
+        whole[k * SCORED : min(k + HELD, n) * SCORED + CONTEXT + 1] for k in range(0, n, HELD)
+    ]
+
+
+def unfolded(rows: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and targets of all windows of such rows."""
+    flat = rows.flatten().to_numpy().astype(np.int64)
+    sizes = pc.list_value_length(rows).to_numpy()
+    windows = (sizes - CONTEXT - 1) // SCORED
+    nth = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
+    start = (np.repeat(np.cumsum(sizes) - sizes, windows) + nth * SCORED)[:, None]
+    inputs = flat[start + np.arange(WINDOW)]
+    return np.where(inputs == end, -1, inputs), flat[start + np.arange(CONTEXT + 1, WINDOW + 1)]
+
+
 # -- the model -----------------------------------------------------------------
 SHAPES = {
     "vectors": (OWN_VECTORS + CLASSES + 2, WIDTH),  # the last row stands for -1
@@ -344,7 +369,7 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def first_parameters(bigrams: np.ndarray) -> np.ndarray:
-    """Small random vectors, and the log of the class bigrams counted in the
+    """Small random vectors, and the log of the class bigrams counted in all
     training windows."""
     rng = np.random.default_rng(SEED)
     flat = (rng.normal(size=SIZE) * 0.1).astype(np.float32)
@@ -453,46 +478,33 @@ def _prepared(classes: Classes, inputs: np.ndarray, targets: np.ndarray):
     return rows, inputs >= 0, previous, classes.of[np.maximum(targets, 0)], targets >= 0
 
 
-def trained(flat: np.ndarray, classes: Classes, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Parameters after one pass of Adam over the windows."""
+def trained(
+    flat: np.ndarray, classes: Classes, parts: Iterator[tuple[np.ndarray, np.ndarray]]
+) -> tuple[np.ndarray, int]:
+    """Parameters after one pass of Adam over the windows, and how many these are."""
     flat = flat.astype(np.float32).copy()
     p = unpacked(flat)
     first, second = np.zeros_like(flat), np.zeros_like(flat)
-    step = 0
-    for at in range(0, len(inputs), BATCH):
-        found = gradients(p, *_prepared(classes, inputs[at : at + BATCH], targets[at : at + BATCH]))
-        gradient = np.concatenate([found[name].ravel() for name in SHAPES]).astype(np.float32)
-        step += 1
-        first += 0.1 * (gradient - first)
-        second += 0.01 * (gradient * gradient - second)
-        scale = np.sqrt(second / (1 - 0.99**step)) + np.float32(1e-6)
-        flat -= RATE * (first / (1 - 0.9**step)) / scale
-    return flat
+    step, seen = 0, 0
+    for inputs, targets in parts:
+        seen += len(inputs)
+        for at in range(0, len(inputs), BATCH):
+            found = gradients(
+                p, *_prepared(classes, inputs[at : at + BATCH], targets[at : at + BATCH])
+            )
+            gradient = np.concatenate([found[name].ravel() for name in SHAPES]).astype(np.float32)
+            step += 1
+            first += 0.1 * (gradient - first)
+            second += 0.01 * (gradient * gradient - second)
+            scale = np.sqrt(second / (1 - 0.99**step)) + np.float32(1e-6)
+            flat -= RATE * (first / (1 - 0.9**step)) / scale
+    return flat, seen
 
 
 # -- corpus statistics ---------------------------------------------------------
-def _training_window(
-    part: list[bytes], first: bool, last: bool, subwords: Subwords
-) -> list[int]:
-    """A window from a part of a text, which may be its first or its last: WINDOW
-    inputs and the SCORED targets that follow the context, as one list. -1
-    stands for none."""
-    ids = subwords.ids(b" ".join(part)) if part else []
-    if first:
-        whole = np.array(ids, dtype=np.int64)
-        inputs, targets = windows_of(whole, subwords.begin, subwords.end)
-        if not last:  # the end is not here
-            targets = np.where(targets == subwords.end, -1, targets)
-        return [*inputs[0].tolist(), *targets[0].tolist()]
-    sequence = ids + ([subwords.end] if last else [])
-    sequence = (sequence + [-1] * (WINDOW + 1))[: WINDOW + 1]
-    inputs = [i if i != subwords.end else -1 for i in sequence[:WINDOW]]
-    return inputs + sequence[CONTEXT + 1 :]
-
-
 def corpus(docs: DataFrame, subwords: Subwords, text: str) -> tuple[DataFrame, DataFrame]:
     """(word, n) over all documents, the end of a text being the empty word; and
-    a training window of each document."""
+    all training windows of each document, :func:`folded`."""
     sent = docs.sparkSession.sparkContext.broadcast(subwords)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -513,17 +525,16 @@ def corpus(docs: DataFrame, subwords: Subwords, text: str) -> tuple[DataFrame, D
             counts = np.bincount(index, minlength=len(words)).tolist()
             seen.update({w: n for w, n in zip(words, counts) if n})
             seen[b""] += len(sizes)
+            ids, each = sent.value.of_words(words)
+            first = np.cumsum(each) - each
             windows, end = [], 0
             for size in sizes.tolist():
-                # A place that the text itself decides.
                 own = index[end : end + size]
                 end += size
-                digest = zlib.crc32(b" ".join([words[i] for i in own[: 2 * WINDOW]]))
-                start = digest % size if size else 0
-                near = [words[i] for i in own[start : start + WINDOW]]
-                windows.append(
-                    _training_window(near, start == 0, start + WINDOW >= size, sent.value)
-                )
+                many = each[own]
+                before = np.cumsum(many) - many
+                at = np.repeat(first[own] - before, many) + np.arange(int(many.sum()))
+                windows += folded(ids[at], sent.value.begin, sent.value.end)
             yield rows([None] * len(windows), [None] * len(windows), windows)
             if len(seen) > REMEMBERED:
                 yield rows(list(seen), list(seen.values()), [None] * len(seen))
@@ -538,8 +549,7 @@ def corpus(docs: DataFrame, subwords: Subwords, text: str) -> tuple[DataFrame, D
         .withColumn("hash", F.xxhash64(F.col("word"))),
         "lm-words",
     )
-    windows, _ = store(raw.where("window IS NOT NULL").select("window"), "lm-windows")
-    return counts, windows
+    return counts, raw.where("window IS NOT NULL").select("window")
 
 
 def commonest(counts: DataFrame, most: int) -> DataFrame:
@@ -614,20 +624,24 @@ def subword_counts(
     )
 
 
-def _window_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    both = batch.column(0).flatten().to_numpy().reshape(-1, WINDOW + SCORED).astype(np.int64)
-    return both[:, :WINDOW], both[:, WINDOW:]
+def _window_arrays(
+    batches: Iterator[pa.RecordBatch], end: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield unfolded(batch.column(0).slice(at, AT_ONCE), end)
 
 
 def fit(windows: DataFrame, classes: Classes, rounds: int = ROUNDS) -> np.ndarray:
     """Parameters, averaged over tasks after each pass over all windows."""
     spark = windows.sparkSession
     sent_classes = spark.sparkContext.broadcast(classes)
+    end = len(classes.of) - 1
 
     def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(CLASSES * CLASSES)
-        for batch in batches:
-            _, _, previous, target, scored = _prepared(sent_classes.value, *_window_arrays(batch))
+        for part in _window_arrays(batches, end):
+            _, _, previous, target, scored = _prepared(sent_classes.value, *part)
             pairs = (previous * CLASSES + target)[scored]
             found += np.bincount(pairs, minlength=len(found))
         yield pa.RecordBatch.from_arrays(
@@ -644,18 +658,17 @@ def fit(windows: DataFrame, classes: Classes, rounds: int = ROUNDS) -> np.ndarra
         return out
 
     flat = first_parameters(summed(bigrams, windows, CLASSES * CLASSES))
-    shards = max(1, -(-windows.count() // SHARD))
+    held = (F.size("window") - F.lit(CONTEXT + 1)) / F.lit(SCORED)
+    many = int(windows.agg(F.sum(held)).first()[0] or 0)
+    shards = max(1, -(-many // SHARD))
     dealt, _ = store(windows.repartition(shards), "lm-shards")
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(flat)
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            parts = [_window_arrays(b) for b in batches if b.num_rows]
-            if parts:
-                inputs = np.concatenate([p[0] for p in parts])
-                targets = np.concatenate([p[1] for p in parts])
-                own = trained(sent.value, sent_classes.value, inputs, targets)
-                weighted = np.r_[own.astype(np.float64) * len(inputs), len(inputs)]
+            own, seen = trained(sent.value, sent_classes.value, _window_arrays(batches, end))
+            if seen:
+                weighted = np.r_[own.astype(np.float64) * seen, seen]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(SIZE + 1, dtype=np.int32)), pa.array(weighted)],
                     ["i", "v"],

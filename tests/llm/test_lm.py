@@ -176,6 +176,23 @@ def test_scores_equal_the_model_text_by_text(spark, subwords, monkeypatch):
         assert out[r[0]] == pytest.approx(total, abs=1e-3)
 
 
+def test_every_window_of_a_text_teaches(spark, subwords):
+    rng = random.Random(14)
+    texts = [None, "", prose(rng, 5), prose(rng, 3000), *(prose(rng, n) for n in range(20, 60))]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    _, windows = lm.corpus(docs, subwords, "text")
+    found = [lm.unfolded(pa.array([r.window], pa.list_(pa.int32())), subwords.end)
+             for r in windows.collect()]
+    taught = sorted((a.tolist(), b.tolist()) for part in found for a, b in zip(*part))
+    expect = []
+    for t in texts:
+        words = (t or "").encode().lower()
+        ids = np.array(subwords.ids(words) if words else [], dtype=np.int64)
+        cut = lm.windows_of(ids, subwords.begin, subwords.end)
+        expect += [(a.tolist(), b.tolist()) for a, b in zip(*cut)]
+    assert taught == sorted(expect) and len(expect) > 3000 // lm.SCORED
+
+
 @pytest.mark.parametrize("frequent", [1 << 18, 4])
 def test_scores_do_not_depend_on_what_is_sent(spark, monkeypatch, frequent):
     """A few pairs broadcast, the others joined, or all broadcast: equal scores."""
