@@ -8,7 +8,8 @@ columns they are given.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from parcelight.llm import bpe, mixing, neighbours, quality_rules, simhash
 from parcelight.llm.common import remainder, store, table
@@ -35,11 +36,32 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_mixed_order(docs)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """What the last stage needs of a stored table's rows, with ``mix_order``: 0, 1, ...
+    in the order of its part files and of the rows in them."""
+    name = F.col("_metadata.file_name")
+    placed = docs.select(
+        "doc_id", "lang", "source", "text",
+        name.alias("_file"), F.col("_metadata.row_index").alias("_row"),
+    )
+    part, piece = (
+        F.regexp_extract("_file", r"^part-(\d+)-.*-c(\d+)", k).try_cast("long") for k in (1, 2)
+    )
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.orderBy(part, piece, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file.
+    before = sizes.select("_file", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(before), "_file").select(
+        "doc_id", "lang", "source", "text", (F.col("_before") + F.col("_row")).alias("mix_order")
+    )
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with digests of the ids and of the decoded text."""
+    """Token ids of each document, with digests of the ids and of the decoded text, and
+    its place in the mixed order, ``mix_order``."""
     return bpe.encode(
-        docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True,
-        kept=["doc_id", "lang", "source"],
+        _numbered(docs), public_tokenizers.path("byte_bpe_50k.json"), with_ids=True,
+        kept=["doc_id", "lang", "source", "mix_order"],
     )
 
 

@@ -77,6 +77,17 @@ def test_stages(spark, folder):
     assert _ids(out) == _ids(docs) and "ids" in out.columns
 
 
+def test_result_has_the_mixed_order(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    mixed = STAGES["mixing sources to target weights"](spark, docs, folder)
+    mixed.write.option("maxRecordsPerFile", 40).parquet(f"{tmp_path}/mixed")  # several files
+    stored = spark.read.parquet(f"{tmp_path}/mixed")
+    out = STAGES["BPE encoding and decoding"](spark, stored, folder).collect()
+    assert sorted(r.mix_order for r in out) == list(range(docs.count()))
+    expect = [r.doc_id for r in mixing.mix(docs).orderBy("mix_order").collect()]
+    assert [r.doc_id for r in sorted(out, key=lambda r: r.mix_order)] == expect
+
+
 def test_whole_run(spark, folder):
     out = corpus_pipeline.run(spark, folder).collect()
     ids = {r.doc_id for r in out}
