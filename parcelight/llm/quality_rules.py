@@ -35,7 +35,7 @@ SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SUPPORT = 0.75  # share of a group's rows that the estimate rests on
+SUPPORT = 0.5  # share of a group's rows that the estimate rests on
 MIN_GROUP = 64
 MAX_STEPS = 12
 # 1 - 1e-9 quantile of chi-square with six degrees of freedom, its median, and

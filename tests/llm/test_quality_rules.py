@@ -124,6 +124,18 @@ def test_junk_goes_and_prose_stays(corpus):
     assert out.where(~junk & ~shout).where("NOT kept").count() == 0
 
 
+def test_a_third_of_identical_junk_does_not_hide_itself(spark):
+    rng = random.Random(15)
+    rows = [row(i, "\n".join(prose(rng, rng.randint(20, 60)).capitalize() for _ in range(rng.randint(2, 9))))
+            for i in range(200)]
+    junk = " ".join(w + "###" for w in prose(rng, 120).split())
+    rows += [row(1000 + i, junk) for i in range(100)]
+    out = rules.quality_rules(spark.createDataFrame(rows, SCHEMA).repartition(4)).where("NOT base_failed")
+    assert out.where("doc_id >= 1000").count() == 100
+    assert out.where("doc_id >= 1000 AND kept").count() == 0
+    assert out.where("doc_id < 1000 AND NOT kept").count() == 0
+
+
 def test_filter_keeps_columns_and_agrees(corpus, odd, nothing):
     for docs in (corpus, odd):
         kept = rules.keep_good(docs)
