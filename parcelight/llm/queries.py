@@ -12,6 +12,7 @@ from parcelight.llm import (
     bpe,
     code_search,
     language,
+    license_scan,
     lm,
     mixing,
     neighbours,
@@ -184,3 +185,62 @@ WITH codes AS (
 )
 SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_TEMPLATE_ROWS = ", ".join(
+    "({}, '{}', '{}', {}, {}, {})".format(i, text.replace("'", "''"), *rest)
+    for i, text, *rest in license_scan.template_rows()
+)
+_WORDS = (
+    "list_filter(regexp_split_to_array(translate(coalesce(text, ''), "
+    f"'{license_scan.UPPER}', '{license_scan.LOWER}'), '{license_scan.SEPARATORS}'), "
+    "lambda x: x <> '')"
+)
+ORACLE["op12_license_scan"] = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), named(template, text, label, phrase, base, run) AS (VALUES {_TEMPLATE_ROWS}
+), worded AS (SELECT *, {_WORDS} AS w FROM named
+), known AS (
+  SELECT template, label, phrase, base, run, len(w) - run + 1 AS runs, j,
+    array_to_string(w[j + 1 : j + run], ' ') AS gram
+  FROM (SELECT *, unnest(range(len(w) - run + 1)) AS j FROM worded)
+), runs AS (
+  SELECT r, i, run, array_to_string(w[i + 1 : i + run], ' ') AS gram
+  FROM (SELECT r, w, run, unnest(range(len(w) - run + 1)) AS i
+        FROM docs, (VALUES ({license_scan.PHRASE_RUN}), ({license_scan.NOTICE_RUN})) k(run))
+), votes AS (
+  SELECT r, template, label, phrase, base, k.run, runs, i, j, i - j AS diagonal
+  FROM runs JOIN known k ON runs.run = k.run AND runs.gram = k.gram
+), diagonals AS (
+  SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) AS step
+  FROM (SELECT DISTINCT r, template, diagonal, phrase FROM votes)
+), placed AS (
+  SELECT r, template, diagonal, count_if(phrase OR step IS NULL OR step > {license_scan.GAP})
+    OVER (PARTITION BY r, template ORDER BY diagonal) AS span
+  FROM (SELECT r, template, diagonal, phrase, step FROM diagonals)
+), merged AS (
+  SELECT r, template, label, phrase, base, run, runs, count(DISTINCT j) AS n,
+    min(i) AS first_word, max(i) + run - 1 AS last_word
+  FROM votes JOIN placed USING (r, template, diagonal)
+  GROUP BY r, template, label, phrase, base, run, runs, span
+), judged AS (
+  SELECT *, n / runs AS share, CASE WHEN phrase THEN n = runs ELSE n / runs >= {license_scan.SHARE}
+    AND last_word - first_word + 1 <= {license_scan.STRETCH} * (runs + run - 1) END AS found
+  FROM merged
+)
+SELECT any_value(doc_id) AS doc_id, any_value(len(w)) AS n_words,
+  count_if(coalesce(found AND base, false)) AS n_base,
+  min(first_word) FILTER (found AND base) AS first_word,
+  max(first_word) FILTER (found AND base) AS last_word,
+  coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (found AND base))), ','), '')
+    AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (found))), ','), '') AS labels,
+  coalesce(max(share) FILTER (found OR NOT phrase), 0.0) AS score
+FROM docs LEFT JOIN judged USING (r) GROUP BY r
+"""
