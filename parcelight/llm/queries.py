@@ -235,7 +235,7 @@ WITH docs AS (
   FROM merged
 )
 SELECT any_value(doc_id) AS doc_id, any_value(len(w)) AS n_words,
-  count_if(coalesce(found AND base, false)) AS n_base,
+  CAST(count_if(coalesce(found AND base, false)) AS BIGINT) AS n_base,
   min(first_word) FILTER (found AND base) AS first_word,
   max(first_word) FILTER (found AND base) AS last_word,
   coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (found AND base))), ','), '')

@@ -110,7 +110,7 @@ def test_stages_of_nothing(spark, folder):
 def test_registered():
     assert sorted(QUERIES) == sorted(
         n for n in contract.queries() if n.startswith("op") and n[2].isdigit())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 12]
     assert "pipeline" in contract.queries()
     assert set(ORACLE) <= set(contract.oracle_sql())
 
