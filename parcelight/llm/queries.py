@@ -19,6 +19,7 @@ from parcelight.llm import (
     quality_rules,
     sharding,
     simhash,
+    spelling,
     url_filter,
 )
 from parcelight.llm.common import remainder, table
@@ -187,6 +188,11 @@ SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10
 """
 
 
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
