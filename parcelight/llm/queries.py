@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelight.llm import (
     bpe,
     code_search,
+    conversations,
     language,
     license_scan,
     lm,
@@ -250,3 +252,143 @@ SELECT any_value(doc_id) AS doc_id, any_value(len(w)) AS n_words,
   coalesce(max(share) FILTER (found OR NOT phrase), 0.0) AS score
 FROM docs LEFT JOIN judged USING (r) GROUP BY r
 """
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Conversations with faults, by the checksum of a turn's place."""
+    def text(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    spoilt = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text("text"), "[.!?]", ""))
+    return turns.where(kind != 0).select(
+        "conv_id", "turn",
+        F.when(kind == 4, "user").otherwise(text("role")).alias("role"),
+        F.coalesce(spoilt, text("text")).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("_copy"),
+    ).drop("_copy")
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    reports, repaired = conversations.repair(damaged_turns(turns))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    every = turns.select(F.col("conv_id").alias("conv")).distinct()
+    rows = every.unionByName(reports, True).unionByName(conversations.digests(repaired), True)
+    nothing = F.lit(EMPTY_SHA256)
+    return rows.groupBy(F.col("conv").alias("conv_id")).agg(
+        *[F.coalesce(F.max(c), F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("sha256"), nothing).alias("repaired_sha256"),
+    )
+
+
+# sha256 of no bytes.
+EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
+
+
+def _put(state: str, cost: str, letter: str, condition: str = "true") -> str:
+    """A state's (cost, audit) with one edit more."""
+    return (
+        f"CASE WHEN {state} IS NOT NULL AND {condition} "
+        f"THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}} END"
+    )
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _inserted(source: str, columns: str) -> str:
+    """Rows with turns put in where they are cheaper, e0 to e3."""
+    once = (
+        f"SELECT {columns}, b0, b1, b2, b3, "
+        f"{_least('b2', *(_put(b, '5', 'I') for b in ('b0', 'b1', 'b3')))} AS r2, "
+        f"{_least('b3', _put('b2', '5', 'I'))} AS r3 FROM {source}"
+    )
+    return (
+        f"SELECT {columns}, b0 AS e0, b1 AS e1, {_least('r2', _put('r3', '5', 'I'))} AS e2, "
+        f"{_least('r3', _put('r2', '5', 'I'))} AS e3 FROM ({once})"
+    )
+
+
+def _moved(state: str, initial: str) -> list[str]:
+    kept = _put(state, "more", "K", f"may_stay AND initial = '{initial}'")
+    return [kept, _put(state, "more + 1", "R", "may_stay")]
+
+
+ORACLE["op13_conversation_repair"] = rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY x) AS t
+  FROM range(256) r(x)
+), keyed AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations
+), damage AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(unicode(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM keyed, crc_table
+), turns AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+      ELSE coalesce(text, ' ') END AS text
+  FROM damage, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+), placed AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), '') AS conv, row_number() OVER w AS pos,
+    role[1] AS initial, coalesce(lag(role) OVER w, '')[1] || role[1] AS pair,
+    NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+    NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS cut
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), faults AS (
+  SELECT *, NOT blank AND first AS may_stay, NOT blank AND NOT first AS duplicate,
+    CASE WHEN cut THEN 5 ELSE 0 END AS more
+  FROM (SELECT *, pos = min(pos) OVER (PARTITION BY conv_id, role, text) AS first FROM placed)
+), best AS (
+  SELECT DISTINCT conv, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': ''}} AS b0,
+    NULL::STRUCT(c BIGINT, a VARCHAR) AS b1, NULL::STRUCT(c BIGINT, a VARCHAR) AS b2,
+    NULL::STRUCT(c BIGINT, a VARCHAR) AS b3 FROM placed
+  UNION ALL
+  SELECT f.conv, f.pos, {_put('e0', '2', 'D')},
+    {_least(_put('e1', '2', 'D'), _put('e0', 'more', 'K', "may_stay AND initial = 's'"))},
+    {_least(_put('e2', '2', 'D'), *_moved('e0', 'u'), *_moved('e1', 'u'), *_moved('e3', 'u'))},
+    {_least(_put('e3', '2', 'D'), *_moved('e2', 'a'))}
+  FROM ({_inserted('best', 'conv, pos')}) e JOIN faults f ON e.conv = f.conv AND e.pos + 1 = f.pos
+), stats AS (
+  SELECT conv, max(pos) AS pos, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+    count_if(blank) AS blank, count_if(duplicate) AS duplicate,
+    count_if(may_stay AND cut) AS truncated,
+    count_if(pos > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv
+), chosen AS (
+  SELECT s.*, {_least('e0', 'e3')} AS found
+  FROM ({_inserted('best', 'conv, pos')}) e JOIN stats s USING (conv, pos)
+), letters AS (
+  SELECT conv, k, found.a[k] AS letter,
+    count_if(found.a[k] <> 'I') OVER w AS pos, count_if(found.a[k] <> 'D') OVER w AS place
+  FROM (SELECT conv, found, unnest(range(1, len(found.a) + 1)) AS k FROM chosen)
+  WINDOW w AS (PARTITION BY conv ORDER BY k)
+), edited AS (
+  SELECT l.conv, k, letter, role, text,
+    place - max(CASE WHEN place = 1 AND letter = 'K' AND initial = 's' THEN 1 ELSE 0 END)
+      OVER (PARTITION BY l.conv) AS place
+  FROM letters l LEFT JOIN faults f ON l.conv = f.conv AND l.pos = f.pos
+  WHERE letter <> 'D'
+), repaired AS (
+  SELECT conv, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN place % 2 = 1 THEN 'user'
+    ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k)) AS sha
+  FROM edited GROUP BY conv
+), every AS (
+  SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), '') AS conv FROM conversations
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(found.c, 0) AS cost,
+  coalesce(found.a, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM every LEFT JOIN chosen USING (conv) LEFT JOIN repaired USING (conv)
+"""
