@@ -7,41 +7,79 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per power of two, and a shift beyond any exponent of a double.
-_PER_OCTAVE = 4096
-_PARTS = 4096
-_LEVELS = 2
-_SHIFT = 2048 * _PER_OCTAVE
-
-
-def _bucket(value: Column) -> Column:
-    """Whole number that never decreases as ``value`` grows."""
-    size = F.floor(F.log2(F.abs(value)) * _PER_OCTAVE) + F.lit(_SHIFT)
-    signed = F.when(value > 0, size).when(value < 0, -size)
-    return F.coalesce(signed, F.lit(0))
-
-
-def _narrowed(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` of a target (distinct values _v with counts _c, of which _before
-    rows are smaller, and the wanted place ``at``): those in the part of the
-    value range that holds the place."""
-    ends = rows.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    width = F.col("_high") / _PARTS - F.col("_low") / _PARTS
-    part = F.when(width > 0, F.floor((F.col("_v") - F.col("_low")) / width))
-    cut = rows.join(F.broadcast(ends) if len(keys) == 2 else ends, keys).withColumn(
-        "_part", F.least(F.coalesce(part, F.lit(0)), F.lit(_PARTS - 1))
-    ).drop("_low", "_high")
-    order = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, 0
+from parcelight.storage import materialize, materialize_counted
+
+# Bits told apart per level, and the distinct values that may be put in order in a task.
+_DIGIT = 16
+_FEW = 100_000
+
+
+def ordered_bits(value: Column) -> Column:
+    """The 64 bits of a double as a whole number with the same order."""
+    bits = F.java_method(
+        F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value
+    ).cast("bigint")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
+
+
+def _leading(shift: int) -> Column:
+    """The leading bits of a value, without the last ``shift``."""
+    return F.lit(0).cast("bigint") if shift == 64 else F.shiftright("_bits", shift)
+
+
+def _wanted(quantiles: dict[str, float]) -> Column:
+    """Places (0-based, of ``_n``) on both sides of each quantile."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"),
+                F.lit(side).alias("side"),
+                rounded(F.lit(p) * (F.col("_n") - 1)).cast("bigint").alias("at"),
+            )
+            for name, p in quantiles.items()
+            for side, rounded in (("low", F.floor), ("high", F.ceil))
+        ]
+    )
+
+
+def _selected(counts: DataFrame, by: list[str], quantiles: dict[str, float]) -> DataFrame:
+    """``counts`` narrowed to the values that share leading bits with a wanted one, as
+    many bits as it takes: with ``_n`` rows in the group, ``_before`` rows below the
+    first of them, and the ``_places`` wanted among them.
+
+    A level is a histogram of the next bits within the prefixes that hold a place, one
+    pass over the stored counts; what it finds, a few rows a group, is stored.
+    """
+    hits = counts.groupBy(*by).agg(
+        F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_values")
+    ).select(
+        *by, F.lit(0).cast("bigint").alias("_prefix"), "_n", "_values",
+        F.lit(0).cast("bigint").alias("_before"), _wanted(quantiles).alias("_places"),
     )
-    sums = cut.groupBy(*keys, "_part", "at", "_before").agg(F.sum("_c").alias("_size"))
-    hit = sums.withColumn(
-        "_through", F.col("_before") + F.sum("_size").over(order)
-    ).where("at < _through AND at >= _through - _size").select(
-        *keys, "_part", (F.col("_through") - F.col("_size")).alias("_start")
+    hits, shift = materialize(hits, "quantile-groups"), 64
+    on = [*by, "_prefix"]
+    up_to_here = Window.partitionBy(*on).orderBy("_next").rowsBetween(
+        Window.unboundedPreceding, 0
     )
-    found = cut.join(F.broadcast(hit) if len(keys) == 2 else hit, [*keys, "_part"])
-    return found.withColumn("_before", F.col("_start")).drop("_start", "_part")
+    while shift and not hits.where(F.col("_values") > _FEW).isEmpty():
+        inside = counts.withColumn("_prefix", _leading(shift)).join(hits.drop("_values"), on)
+        shift -= _DIGIT
+        sums = inside.groupBy(*on, _leading(shift).alias("_next")).agg(
+            F.sum("_c").alias("_c"), F.count(F.lit(1)).alias("_values"),
+            *[F.first(c).alias(c) for c in ("_n", "_before", "_places")],
+        )
+        through = F.col("_before") + F.sum("_c").over(up_to_here)
+        reached = sums.withColumn("_through", through).select(
+            *by, F.col("_next").alias("_prefix"), "_n", "_values",
+            (F.col("_through") - F.col("_c")).alias("_before"),
+            F.filter(
+                "_places",
+                lambda p: (p["at"] < F.col("_through"))
+                & (p["at"] >= F.col("_through") - F.col("_c")),
+            ).alias("_places"),
+        )
+        hits = materialize(reached.where(F.size("_places") > 0), "quantile-prefixes")
+    return counts.withColumn("_prefix", _leading(shift)).join(hits.drop("_values"), on)
 
 
 def exact_quantiles(
@@ -52,67 +90,41 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row (per group) with each named quantile, linearly interpolated.
 
-    Equal values are counted together first, with map-side combine. Running
-    counts over logarithmic buckets (a bounded number of them) locate the
-    bucket holding each wanted position. Values may lie close together, so that
-    bucket is cut again into :data:`_PARTS` parts of equal width between its own
-    smallest and largest value, and once more; only the distinct values of the
-    last part are put in order. The answer is exact. Missing and non-finite values and missing groups are left out.
+    Equal values are counted together, with map-side combine, and the counts are stored:
+    a job that runs here, the only pass over ``df``. Few distinct values are put in order
+    as they are. Otherwise the wanted ones are selected by the digits of their
+    order-preserving bits, a histogram of the next 16 bits a level, until few values are
+    left: four levels at most, whatever the values. The answer is exact. Missing and
+    non-finite values and missing groups are left out.
     """
     by = list(by)
-    usable = F.abs(F.col(value).cast("double")) < float("inf")  # nor NaN
+    number = F.col(value).cast("double")
+    usable = F.abs(number) < float("inf")  # nor NaN
     for key in by:
         usable = usable & F.col(key).isNotNull()
-    counts = (
+    counts, distinct = materialize_counted(
         df.where(usable)
-        .groupBy(*by, F.col(value).cast("double").alias("_v"))
+        .groupBy(*by, number.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_bucket", _bucket(F.col("_v")))
+        .withColumn("_bits", ordered_bits(F.col("_v"))),
+        "value-counts",
     )
-
-    # Places before each bucket, and the places wanted (0-based).
-    up_to_here = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(side).alias("side"),
-                rounded(F.lit(p) * (F.col("_n") - 1)).cast("bigint").alias("at"),
-            )
-            for name, p in quantiles.items()
-            for side, rounded in (("low", F.floor), ("high", F.ceil))
-        ]
-    )
-    targets = (
-        counts.groupBy(*by, "_bucket")
-        .agg(F.sum("_c").alias("_c"))
-        .select(
-            *by,
-            "_bucket",
-            (F.sum("_c").over(up_to_here) - F.col("_c")).alias("_before"),
-            F.sum("_c").over(up_to_here).alias("_through"),
-            F.sum("_c").over(Window.partitionBy(*by)).alias("_n"),
-        )
-        .select("*", F.inline(wanted))
-        .where("at >= _before AND at < _through")
-        .drop("_through")
-    )
-    if not by:
-        targets = F.broadcast(targets)  # two rows per quantile
-
-    reached = counts.join(targets, [*by, "_bucket"])
-    for _ in range(_LEVELS):
-        reached = _narrowed(reached, [*by, "name", "side"])
-
-    in_bucket = Window.partitionBy(*by, "name", "side").orderBy("_v").rowsBetween(
+    if distinct <= _FEW:
+        near = counts.select(
+            "*", F.sum("_c").over(Window.partitionBy(*by)).alias("_n"),
+            F.lit(0).cast("bigint").alias("_prefix"), F.lit(0).cast("bigint").alias("_before"),
+        ).withColumn("_places", _wanted(quantiles))
+    else:
+        near = _selected(counts, by, quantiles)
+
+    in_order = Window.partitionBy(*by, "_prefix").orderBy("_bits").rowsBetween(
         Window.unboundedPreceding, 0
     )
+    through = F.col("_before") + F.sum("_c").over(in_order)
     picked = (
-        reached
-        .withColumn("_upto", F.col("_before") + F.sum("_c").over(in_bucket))
-        .where("at < _upto AND at >= _upto - _c")
+        near.withColumn("_through", through)
+        .select(*by, "_v", "_c", "_n", "_through", F.inline("_places"))
+        .where("at < _through AND at >= _through - _c")
     )
 
     def interpolated(name: str, p: float) -> Column:

@@ -59,7 +59,7 @@ def filter_leads(df: DataFrame, bound: Column | float | None = None) -> DataFram
 
     ``bound`` is the fitted fence (:func:`fit_fence`): as a number it reaches
     the scan, and no later step works the quartiles out again. Without it the
-    fence is part of the plan, and nothing runs here.
+    values are counted here, in one pass, and the fence is part of the plan.
     """
     kept = eligible_leads(df)
     if bound is None:
@@ -131,7 +131,8 @@ def fill_actual_year(df: DataFrame, medians: DataFrame | None = None) -> DataFra
     ``medians`` (:func:`median_years`, one row per code) join like any group
     value. Reaching a row to fill without any known year is an error.
     """
-    medians = median_years(df) if medians is None else medians
+    if medians is None:
+        medians = materialize(median_years(df), "median-years")
     overall = medians.where(F.col("DOR_UC") == ALL_CODES).select("_code_year").scalar()
     rows = df.join(medians, "DOR_UC", "left")
     none = F.raise_error(F.lit("no known year built in any row")).cast("double")
@@ -176,7 +177,7 @@ def clean_leads(
     leads: DataFrame, statistics: CleaningStatistics | None = None
 ) -> DataFrame:
     """One pass over the leads, started by the caller. Statistics that were not
-    fitted before are part of the plan, which then reads the leads several times."""
+    fitted before are fitted here, which reads the leads several times."""
     if statistics is None:
         return repair_leads(filter_leads(leads))
     return repair_leads(filter_leads(leads, statistics.bound), statistics.medians)

@@ -7,9 +7,11 @@ from parcelight.operators import (
     exact_quantiles,
     first_by_key,
     number_rows,
+    quantiles,
     require_columns,
     top_counts,
 )
+from parcelight.operators.quantiles import ordered_bits
 
 
 @pytest.mark.parametrize("partitions", [1, 16])
@@ -66,6 +68,54 @@ def test_quantiles_by_group(spark):
         assert list(out[g]) == pytest.approx(_numpy_quantiles(vs, [0.5, 0.25]))
 
 
+EDGES = [0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1e-310, -1e-310, 1.7976931348623157e308,
+         -1.7976931348623157e308, 1.0, 1.0000000000000002, 0.9999999999999999, -1.0, 3.5, 1e17]
+
+
+def test_ordered_bits_keep_the_order(spark):
+    rng = np.random.default_rng(5)
+    values = sorted({*EDGES, *(float(v) for v in rng.standard_cauchy(500))})
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    bits = [r.b for r in df.select("v", ordered_bits(F.col("v")).alias("b")).orderBy("v").collect()]
+    assert bits == sorted(set(bits))
+
+
+@pytest.mark.parametrize("few", [1, 7])
+def test_quantiles_by_radix_selection(spark, few, monkeypatch):
+    """Values that agree in all but their last bits need every level."""
+    monkeypatch.setattr(quantiles, "_FEW", few)
+    rng = np.random.default_rng(few)
+    near = 1e6 + np.arange(200) * 2.0 ** -33
+    groups = {
+        "near": np.repeat(near, rng.integers(1, 4, near.size)),
+        "edges": np.array(EDGES[:5] * 3 + [1.0, 3.5]),
+        "wide": np.concatenate([rng.standard_cauchy(400) * 10.0 ** rng.integers(-8, 9, 400), np.zeros(150)]),
+        "one": np.array([-2.5] * 90),
+    }
+    df = spark.createDataFrame(
+        [(g, float(v)) for g, vs in groups.items() for v in vs], "g string, v double"
+    ).repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.51, 0.9, 1.0]
+    out = exact_quantiles(df, "v", {f"q{i}": p for i, p in enumerate(probs)}, ["g"]).collect()
+    assert {r.g for r in out} == set(groups)
+    for r in out:
+        assert list(r)[1:] == pytest.approx(_numpy_quantiles(groups[r.g], probs), rel=1e-14, abs=1e-320)
+    row = exact_quantiles(df, "v", {"m": 0.5}).first()
+    assert row["m"] == pytest.approx(float(np.quantile(np.concatenate([*groups.values()]), 0.5)))
+
+
+def _nodes(df, *names):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [plan.count(n) for n in names]
+
+
+def test_quantiles_read_their_input_once_and_then_its_counts(spark, tmp_path):
+    spark.range(5000).selectExpr("id % 7 AS g", "id * 0.5 AS v").write.parquet(str(tmp_path / "v"))
+    df = spark.read.parquet(str(tmp_path / "v"))
+    out = exact_quantiles(df, "v", {"a": 0.25, "b": 0.75}, ["g"])
+    assert _nodes(out, "FileScan", "Exchange") == [1, 1]  # the stored counts, dealt by group
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([], "v double")
     assert exact_quantiles(df, "v", {"m": 0.5}).first()["m"] is None
