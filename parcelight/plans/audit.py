@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelight.constants import REQUIRED_STAGES, RUN_LOG_SCHEMA
+from parcelight.sinks import append_rows
 from parcelight.sources.tables import LeadTables
 
 SUMMARY_COLUMNS = [
@@ -41,16 +42,14 @@ def log_stage(
     run_mode: str | None = None,
     error_message: str | None = None,
 ) -> None:
-    """Appends one row. Its sequence number orders rows of equal times; the
+    """Appends one row; few rows become few files (:func:`~parcelight.sinks.compact`). Its sequence number orders rows of equal times; the
     clock in nanoseconds, as one process logs a run."""
     row = (
         time.time_ns(), run_id, stage, status, records_in, records_out,
         round(float(duration_secs), 2), pipeline_mode, run_mode, error_message,
         dt.datetime.now(),
     )
-    tables.spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").parquet(
-        tables.path("pipeline_log")
-    )
+    append_rows(tables.spark.createDataFrame([row], RUN_LOG_SCHEMA), tables, "pipeline_log")
 
 
 def log_stage_error(

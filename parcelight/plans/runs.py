@@ -34,7 +34,7 @@ def load_leads(
 ) -> int:
     """Loads leads from the source files of ``folder``, up to ``goal`` rows in
     total, after the rows already loaded. Returns the rows added."""
-    loaded = tables.read("leads").count()
+    loaded = tables.rows("leads")
     if goal is not None and loaded >= goal:
         return 0
     leads = build_leads(
@@ -57,7 +57,7 @@ def ingest(
         if folder is None:
             raise FileNotFoundError("no source folder given")
         load_leads(tables, folder, strict_nulls=strict_nulls)
-    return tables.read("leads").count()
+    return tables.rows("leads")
 
 
 class Run:
@@ -119,7 +119,7 @@ class Run:
     def through_features(self) -> int:
         """Ingest, clean and features; rows of the last."""
         tables = self.tables
-        before = tables.read("leads").count()
+        before = tables.rows("leads")
         rows = self._stage(
             "scraper", before,
             lambda: ingest(tables, self.run_mode, self.folder, self.strict_nulls),

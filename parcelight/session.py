@@ -11,8 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A rerun of one run replaces that run's partition only.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Recording the Python line behind every column costs more than planning.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -8,18 +8,67 @@ from pyspark.sql import Observation
 
 from parcelight.constants import TABLE_SCHEMAS
 from parcelight.operators.reduce import first_by_key
-from parcelight.sources.tables import PARTITIONS, LeadTables, conform
+from parcelight.sources.commits import Conflict, Part, State
+from parcelight.sources.tables import LeadTables, conform
 from parcelight.storage import materialize
 
 
-def overwrite_table(df: DataFrame, tables: LeadTables, table: str) -> int:
-    """Replaces a stage table; the row count is observed during the write."""
+# Parts of about equal size that are merged into one, and rows of a part that stays.
+FANOUT = 4
+LARGE = 1_000_000
+_AGAIN = 3
+
+
+def write_part(df: DataFrame, tables: LeadTables, table: str, **tags: str) -> Part:
+    """Writes the rows of a part, which no commit lists yet; the row count is observed
+    during the write."""
+    path = tables.new_part(table)
     seen = Observation()
-    counted = conform(df, table).observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(tables.path(table))
-    return seen.get["rows"]
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{tables.root}/{path}")
+    return Part(path, seen.get["rows"], tags)
+
+
+def compact(tables: LeadTables, table: str) -> None:
+    """Merges :data:`FANOUT` parts of a level into one of the next, as long as there are
+    so many, up to parts of :data:`LARGE` rows: appending n times leaves about log n
+    parts. If others change the parts meanwhile, it is left to them."""
+    while True:
+        levels: dict[tuple, list[Part]] = {}
+        for part in tables.parts(table):
+            if part.rows < LARGE:
+                levels.setdefault(tuple(sorted(part.tags.items())), []).append(part)
+        ready = [parts for parts in levels.values() if len(parts) >= FANOUT]
+        if not ready:
+            return
+        old = ready[0]
+        rows = tables.read_parts(TABLE_SCHEMAS[table], old)
+        tags = {**old[0].tags, "level": str(int(old[0].tags.get("level", "0")) + 1)}
+        merged = write_part(rows.coalesce(1), tables, table, **tags)
+
+        def swap(state: State) -> None:
+            if not all(part in state.get(table, []) for part in old):
+                raise Conflict(table)
+            state[table] = [p for p in state[table] if p not in old] + [merged]
+
+        try:
+            tables.commits.commit(swap)
+        except Conflict:
+            return
+
+
+def overwrite_table(df: DataFrame, tables: LeadTables, table: str) -> int:
+    """Replaces a stage table; its rows are there until the new ones are written."""
+    part = write_part(conform(df, table), tables, table)
+    tables.commits.commit(lambda state: state.update({table: [part]}))
+    return part.rows
+
+
+def append_rows(df: DataFrame, tables: LeadTables, table: str) -> int:
+    """Appends rows as they are."""
+    part = write_part(conform(df, table), tables, table)
+    tables.commits.commit(lambda state: state.setdefault(table, []).append(part))
+    compact(tables, table)
+    return part.rows
 
 
 def append_new_rows(
@@ -35,10 +84,32 @@ def append_new_rows(
     Within the batch the first row of a key (by ``order``) wins; ``unique``
     states that there is only one. Known rows leave before any of that. Applying
     the same batch again changes nothing. The batch is brought into the layout
-    of the table first.
+    of the table first. If others append meanwhile, it is done again on what they left.
     """
-    stored = tables.read(table)
-    dated = "created_at" in stored.columns and "created_at" not in batch.columns
+    for last in (*[False] * (_AGAIN - 1), True):
+        held = tables.parts(table)
+        new = _unknown_rows(batch, tables.read_parts(TABLE_SCHEMAS[table], held), key, order, unique)
+        fresh = conform(new, table)
+        if "created_at" in fresh.columns and "created_at" not in batch.columns:
+            fresh = fresh.withColumn("created_at", F.current_timestamp())
+        part = write_part(fresh, tables, table)
+        if not part.rows:
+            return 0
+        try:
+            tables.commits.commit(
+                lambda state: state.setdefault(table, []).append(part), unchanged={table: held}
+            )
+            break
+        except Conflict:  # others have appended: their keys are known now
+            if last:
+                raise
+    compact(tables, table)
+    return part.rows
+
+
+def _unknown_rows(
+    batch: DataFrame, stored: DataFrame, key: str, order: Column | None, unique: bool
+) -> DataFrame:
     order = order if order is not None else F.struct(*sorted(batch.columns))
     ordered = batch.withColumn("_order", order)
     new = ordered.where(F.col(key).isNotNull()).join(
@@ -46,14 +117,7 @@ def append_new_rows(
     )
     if not unique:
         new = first_by_key(new, key, [c for c in batch.columns if c != key], F.col("_order"))
-    fresh = conform(new.select(*batch.columns), table)
-    if dated:
-        fresh = fresh.withColumn("created_at", F.current_timestamp())
-    seen = Observation()
-    fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(
-        "append"
-    ).parquet(tables.path(table))
-    return seen.get["rows"]
+    return new.select(*batch.columns)
 
 
 def append_run_scores(
@@ -67,7 +131,7 @@ def append_run_scores(
 
     A parcel is scored once per run: a duplicate id, in the batch or already
     stored for the run, is an error and nothing is written. ``replace_run``
-    swaps the run's partition instead, for reruns. No rows, no change.
+    swaps the run's part instead, for reruns. No rows, no change.
     """
     # Written once: the check and the append then see the same scores.
     tagged = materialize(
@@ -84,34 +148,39 @@ def append_run_scores(
     if tagged.isEmpty():
         return 0
     twice = tagged.groupBy("OBJECTID").count().where("count > 1").select("OBJECTID")
-    stored = tables.read("scored_leads").where(F.col("run_id") == run_id)
+    held = tables.parts("scored_leads")
+    stored = tables.read_parts(
+        TABLE_SCHEMAS["scored_leads"], [p for p in held if p.has({"run_id": run_id})]
+    )
     clash = tagged.join(stored, "OBJECTID", "left_semi").select("OBJECTID")
     if not (twice if replace_run else twice.union(clash)).isEmpty():
         raise ValueError(f"duplicate (run_id, OBJECTID) in run {run_id}")
-    seen = Observation()
-    writer = tagged.observe(seen, F.count(F.lit(1)).alias("rows")).write
-    if replace_run:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.partitionBy(*PARTITIONS["scored_leads"]).parquet(
-        tables.path("scored_leads")
-    )
+    scored = write_part(conform(tagged, "scored_leads"), tables, "scored_leads", run_id=run_id)
     runs = tables.spark.range(1).select(
         F.lit(run_id).alias("run_id"), F.current_timestamp().alias("created_at")
     )
-    runs.write.mode("append").parquet(tables.path("scored_runs"))
-    return seen.get["rows"]
+    registered = write_part(conform(runs, "scored_runs"), tables, "scored_runs")
+
+    def add(state: State) -> None:
+        kept = [p for p in state.get("scored_leads", [])
+                if not (replace_run and p.has({"run_id": run_id}))]
+        state["scored_leads"] = [*kept, scored]
+        state.setdefault("scored_runs", []).append(registered)
+
+    # Scores and the note that there are some appear together.
+    tables.commits.commit(add, unchanged={"scored_leads": held})
+    compact(tables, "scored_runs")
+    return scored.rows
 
 
 def empty_tables(tables: LeadTables, names: list[str] | None = None) -> None:
-    """Removes all rows of the stage tables, keeping their layout."""
-    for name in names or TABLE_SCHEMAS:
-        none = tables.spark.createDataFrame([], tables.read(name).schema)
-        writer = none.write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        )
-        writer.partitionBy(*PARTITIONS.get(name, [])).parquet(tables.path(name))
+    """Removes all rows of the stage tables, of all at once."""
+
+    def remove(state: State) -> None:
+        for name in names or list(state):
+            state.pop(name, None)
+
+    tables.commits.commit(remove)
 
 
 def write_ranked_file(df: DataFrame, path: str, order: str = "rank") -> None:

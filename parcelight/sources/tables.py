@@ -1,13 +1,16 @@
-"""Stage tables: Parquet folders below one root."""
+"""Stage tables: Parquet folders below one root, listed by commits."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parcelight.constants import DETAIL_COLUMNS, TABLE_SCHEMAS
+from parcelight.sources.commits import Commits, Part
+
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """``df`` in the layout of a stage table: columns by name, cast to their
@@ -26,33 +29,44 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-# Partition columns of the stage tables that have any.
-PARTITIONS = {"scored_leads": ["run_id"]}
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
 class LeadTables:
     """The stage tables of one installation."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.commits = Commits(spark, root)
+
+    def parts(self, table: str, **tags: str) -> list[Part]:
+        """The parts a table consists of, or those of them with these tags."""
+        return [p for p in self.commits.newest().get(table, []) if p.has(tags)]
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str, schema: StructType | None = None) -> DataFrame:
-        """Whole table; an absent one reads as empty."""
-        known = schema or TABLE_SCHEMAS[table]
-        try:
-            return self.spark.read.schema(known).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() not in _ABSENT:
-                raise
-            return self.spark.createDataFrame([], known)
+    def new_part(self, table: str) -> str:
+        """A folder, below the root, to write a part into."""
+        return f"{table}/{uuid.uuid4().hex}"
+
+    def folders(self, table: str, **tags: str) -> list[str]:
+        return [f"{self.root}/{p.path}" for p in self.parts(table, **tags)]
+
+    def read(self, table: str, schema: StructType | None = None, **tags: str) -> DataFrame:
+        """Whole table as of now, or its parts with these tags; an absent one reads
+        as empty. Later commits do not change what the frame reads."""
+        return self.read_parts(schema or TABLE_SCHEMAS[table], self.parts(table, **tags))
+
+    def read_parts(self, schema: StructType, parts: list[Part]) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p.path}" for p in parts])
 
     def is_empty(self, table: str) -> bool:
-        return self.read(table).isEmpty()
+        return not any(part.rows for part in self.parts(table))
+
+    def rows(self, table: str) -> int:
+        """Rows of a table, as its commits count them."""
+        return sum(part.rows for part in self.parts(table))
 
     # -- leads ----------------------------------------------------------
     def leads_by_city(self, city: str) -> DataFrame:
@@ -69,7 +83,8 @@ class LeadTables:
         """Scores of a run, by default the latest, in rank order."""
         if run_id is None:
             run_id = latest_run(self.read("scored_runs")).first()["run_id"]
-        return scores_of_run(self.read("scored_leads"), run_id)
+        rows = self.read("scored_leads", run_id=run_id) if run_id else self.read("scored_leads")
+        return scores_of_run(rows, run_id)
 
 
 def by_city(leads: DataFrame, city: str) -> DataFrame:

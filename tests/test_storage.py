@@ -199,3 +199,127 @@ def test_a_cluster_must_name_its_shared_folder():
         working_dir(cluster)
     conf["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert working_dir(cluster) == "hdfs:///shared/parcelight/a"
+
+
+BOOM = "raise_error('executor gone')"
+
+
+def test_a_write_that_dies_leaves_the_rows(spark, tables):
+    rows = spark.range(9).withColumnRenamed("id", "OBJECTID")
+    sinks.overwrite_table(rows, tables, "leads_clean")
+    reader = tables.read("leads_clean")
+    dying = rows.withColumn("JV", F.expr(f"IF(OBJECTID = 7, {BOOM}, 1.0)").cast("double"))
+    with pytest.raises(Exception, match="executor gone"):
+        sinks.overwrite_table(dying, tables, "leads_clean")
+    with pytest.raises(Exception, match="executor gone"):
+        sinks.append_new_rows(dying.withColumn("OBJECTID", F.col("OBJECTID") + 5), tables,
+                              "leads_clean", "OBJECTID")
+    assert tables.read("leads_clean").count() == tables.rows("leads_clean") == 9
+    # what the jobs left behind goes, what a reader holds stays readable until then
+    sinks.overwrite_table(rows.limit(2), tables, "leads_clean")
+    assert reader.count() == 9 and tables.read("leads_clean").count() == 2
+    assert tables.commits.vacuum() == 0  # too young
+    assert tables.commits.vacuum(older_than_hours=-1) >= 2
+    assert tables.read("leads_clean").count() == 2
+
+
+def test_scores_and_their_run_are_there_together(spark, tables, monkeypatch):
+    from parcelight.sinks import tables as module
+
+    sinks.append_run_scores(_scores(spark, [1]), tables, "R1", "PREDICT")
+    write = module.write_part
+
+    def failing(df, tables, table, **tags):
+        if table == "scored_runs":
+            raise OSError("disk full")
+        return write(df, tables, table, **tags)
+
+    monkeypatch.setattr(module, "write_part", failing)
+    for replace in (False, True):
+        with pytest.raises(OSError):
+            sinks.append_run_scores(_scores(spark, [2]), tables, "R2", "PREDICT", replace)
+    assert [r.run_id for r in tables.scores().collect()] == ["R1"]
+    assert tables.read("scored_leads").count() == tables.read("scored_runs").count() == 1
+
+
+def test_a_run_reads_its_own_files(spark, tables):
+    for run in ("R1", "R2", "R3"):
+        sinks.append_run_scores(_scores(spark, [1, 2]), tables, run, "PREDICT")
+    (part,) = tables.parts("scored_leads", run_id="R2")
+    files = tables.scores("R2").inputFiles()
+    assert files and all(part.path in f for f in files)
+
+
+def test_writers_do_not_lose_each_others_rows(spark, tables, monkeypatch):
+    def batch(*ids):
+        return spark.createDataFrame([(i, f"P{i}") for i in ids], "OBJECTID bigint, Parcel string")
+
+    from parcelight.sinks import tables as module
+
+    write, others = module.write_part, [batch(2, 3)]
+
+    def overtaken(df, tables, table, **tags):
+        part = write(df, tables, table, **tags)
+        if others:  # another writer commits first
+            sinks.append_new_rows(others.pop(), tables, table, "OBJECTID")
+        return part
+
+    monkeypatch.setattr(module, "write_part", overtaken)
+    assert sinks.append_new_rows(batch(1, 2), tables, "leads", "OBJECTID") == 1
+    assert sorted(r.OBJECTID for r in tables.read("leads").collect()) == [1, 2, 3]
+
+
+def test_taken_numbers_and_stale_changes(spark, tmp_path):
+    commits = sources.Commits(spark, str(tmp_path / "c"))
+    one, two = sources.Part("a/1", 1), sources.Part("a/2", 2)
+    commits.commit(lambda s: s.update(a=[one]))
+    assert not commits._put(0, {})  # its number is taken
+    commits.commit(lambda s: s["a"].append(two), unchanged={"a": [one], "b": []})
+    with pytest.raises(sources.Conflict, match="a has changed"):
+        commits.commit(lambda s: s.clear(), unchanged={"a": [one]})
+    assert commits.newest() == {"a": [one, two]}
+
+
+def test_a_long_log_is_few_files(spark, tables, monkeypatch):
+    schema = TABLE_SCHEMAS["pipeline_log"]
+    rows = lambda i: spark.createDataFrame(
+        [(i, f"R{i // 5}", "cleaner", "completed", 0, i, 0.0, None, None, None, None)], schema)
+    for i in range(21):
+        sinks.append_rows(rows(i), tables, "pipeline_log")
+        assert len(tables.parts("pipeline_log")) <= 6
+    log = tables.read("pipeline_log")
+    assert sorted(r.id for r in log.collect()) == list(range(21))
+    assert audit.last_run(log).first()["run_id"] is not None
+    assert len(log.inputFiles()) <= 6
+
+
+def test_many_stages_of_a_log(tables, monkeypatch):
+    """Parts of a thousand rows, without writing them one by one."""
+    import itertools
+
+    from parcelight.sinks import tables as module
+
+    class Memory:
+        state = {}
+
+        def newest(self):
+            return self.state
+
+        def commit(self, change, unchanged=None):
+            change(self.state)
+
+    class Rows(int):
+        def coalesce(self, n):
+            return int(self)
+
+    count = itertools.count()
+    monkeypatch.setattr(tables, "commits", Memory())
+    monkeypatch.setattr(module, "write_part", lambda rows, t, table, **tags: sources.Part(
+        f"{table}/{next(count)}", rows, tags))
+    monkeypatch.setattr(
+        tables, "read_parts", lambda schema, parts: Rows(sum(p.rows for p in parts)))
+    for _ in range(1000):
+        part = module.write_part(1, tables, "pipeline_log")
+        tables.commits.commit(lambda s: s.setdefault("pipeline_log", []).append(part))
+        module.compact(tables, "pipeline_log")
+    assert len(tables.parts("pipeline_log")) < 20 and tables.rows("pipeline_log") == 1000

@@ -829,7 +829,7 @@ def etl_arrivals(spark, sf_dir):
     marks = new_path(spark, "arrival-marks")
     schema = stored.read("leads").schema
     for _ in range(2):
-        rows = spark.readStream.schema(schema).parquet(stored.path("leads"))
+        rows = spark.readStream.schema(schema).parquet(stored.folders("leads")[0])
         append_arrivals(rows, tables, "leads", "OBJECTID", marks).awaitTermination()
     return tables.read("leads").select("OBJECTID", "Parcel", "JV")
 
