@@ -1,6 +1,5 @@
 from parcelight.sources.commits import Commits, Conflict, Part
 from parcelight.sources.tables import LeadTables, stage_input
-from parcelight.sources.tsv import read_source_tables, read_tsv, torn_rows
+from parcelight.sources.tsv import read_source_tables, read_tsv
 
-__all__ = ["Commits", "Conflict", "LeadTables", "Part", "read_source_tables", "read_tsv", "stage_input",
-           "torn_rows"]
+__all__ = ["Commits", "Conflict", "LeadTables", "Part", "read_source_tables", "read_tsv", "stage_input"]

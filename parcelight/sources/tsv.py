@@ -8,23 +8,13 @@ from pyspark.sql import functions as F
 from parcelight.constants import SOURCE_COLUMNS, SOURCE_FILES
 from parcelight.functions import missing_to_null
 from parcelight.operators.shape import require_columns
+from parcelight.sources.quoted import read_records
 
 # Column holding the place of a row in its source file.
 ORDINAL = "_ord"
 
 
-def _reader(spark: SparkSession):
-    return (
-        spark.read.option("sep", "\t").option("header", True)
-        .option("quote", '"').option("escape", '"')
-    )
-
-
-def torn_rows(spark: SparkSession, path: str) -> int:
-    """Lines with an odd number of quotes: rows torn at a quoted line break."""
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.translate(line, '"', ""))
-    return spark.read.text(path).where(quotes % 2 == 1).count()
+_FORMAT = {"sep": "\t", "quote": '"', "escape": '"'}
 
 
 def read_tsv(
@@ -32,7 +22,7 @@ def read_tsv(
     path: str,
     columns: list[str] | None = None,
     ordinal: bool = True,
-    multi_line: bool = False,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """Every column as text, names from the header, missing-value tokens as
     NULL; only ``columns`` are parsed when given.
@@ -41,20 +31,29 @@ def read_tsv(
     place in the split). It is fixed at the scan, so "first in the file" stays
     well defined after any shuffle.
 
-    ``multi_line`` reads quoted fields that hold line breaks; a file is then
-    not split, so several files serve better than a large one. Without it such a
-    row is torn: :func:`torn_rows` counts them.
+    Quoted fields may hold line breaks. To find out, the files are read once here; if
+    some do, their records are put together (:mod:`~parcelight.sources.quoted`), and files
+    are split all the same. ``line_breaks=False`` saves that pass for files whose lines
+    are known to be records.
     """
-    raw = _reader(spark).option("multiLine", multi_line).csv(path)
+    raw = spark.read.options(header=True, **_FORMAT).csv(path)
     names = list(columns or raw.columns)
     require_columns(raw, names, path)
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+    records = read_records(spark, path) if line_breaks else None
+    if records is None:
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+    else:
+        fields = ", ".join("`" + c.replace("`", "``") + "` string" for c in raw.columns)
+        raw = records.withColumn("_fields", F.from_csv("value", fields, _FORMAT)).select(
+            F.struct("file", "start", "row").alias("_place"), "_fields.*"
+        )
+        place = F.col("_place")
     return raw.select(
-        *[missing_to_null(c).alias(c) for c in names],
+        *[missing_to_null(F.col(f"`{c}`")).alias(c) for c in names],
         *([place.alias(ORDINAL)] if ordinal else []),
     )
 

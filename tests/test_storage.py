@@ -25,28 +25,70 @@ def test_tsv_reading(spark, tmp_path):
         sources.read_tsv(spark, str(tmp_path / "t.txt"), ["Missing"])
 
 
-def test_quoted_line_breaks(spark, tmp_path):
-    path = str(tmp_path / "t.txt")
-    (tmp_path / "t.txt").write_text('Parcel\tA\np1\t"a\nb"\np2\tc\n')
-    whole = sources.read_tsv(spark, path, multi_line=True).orderBy("_ord").collect()
-    assert [(r.Parcel, r.A) for r in whole] == [("p1", "a\nb"), ("p2", "c")]
-    assert sources.torn_rows(spark, path) == 2  # where it opens and where it ends
+def _written(path, rows):
+    """Rows as any writer of such files quotes them."""
+    import csv
 
+    with open(path, "w", newline="") as out:
+        csv.writer(out, delimiter="\t", lineterminator="\n").writerows(rows)
 
-def test_file_order_survives_splits(spark, tmp_path):
-    lines = [f"k{i % 7}\t{i}\t{'x' * 50}" for i in range(4000)]
-    (tmp_path / "t.txt").write_text("Parcel\tN\tPad\n" + "\n".join(lines) + "\n")
+
+@pytest.fixture
+def small_splits(spark):
     keep = {k: spark.conf.get(k) for k in
             ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        df = sources.read_tsv(spark, str(tmp_path / "t.txt"))
-        assert df.rdd.getNumPartitions() > 3
-        order = [int(r.N) for r in df.repartition(5).orderBy("_ord").collect()]
-    finally:
-        for k, v in keep.items():
-            spark.conf.set(k, v)
+    yield lambda size: (spark.conf.set("spark.sql.files.maxPartitionBytes", str(size)),
+                        spark.conf.set("spark.sql.files.openCostInBytes", "0"))
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("seed, split", [(1, 130), (2, 600), (3, 1 << 20)])
+def test_quoted_line_breaks(spark, tmp_path, small_splits, seed, split):
+    """Records over several lines, and over several splits, at random places."""
+    import random
+
+    rng = random.Random(seed)
+    texts = ["plain", "a\nb", "\n", 'say "hi"', '"', '""\n"', "x\ty", "tab\t\n\tend", "",
+             'quote at end"', "é\n\n\n" + "z" * 150, '5" pipe']
+    head = ["Parcel", "A", "B C"]
+    for part in range(2):
+        rows = [[f"p{part}-{i:04d}", rng.choice(texts) if rng.random() < 0.3 else "c", rng.choice(texts)]
+                for i in range(45)]
+        _written(tmp_path / f"t{part}.txt", [head, *rows])
+        expect = rows if part == 0 else expect + rows
+    small_splits(split)
+    df = sources.read_tsv(spark, str(tmp_path / "t*.txt"))
+    found = [tuple(r)[:3] for r in df.orderBy("_ord").collect()]
+    assert found == [tuple(c or None for c in r) for r in expect]
+    if split < 200:
+        assert df.select("_ord.file", "_ord.start").distinct().count() > 6  # files were split
+
+
+def test_quotes_that_open_no_field(spark, tmp_path, small_splits):
+    """A quote inside an unquoted field is a character: nothing is torn or joined."""
+    lines = ["Parcel\tA", 'p1\t5" pipe', "p2\tx", 'p3\t6" "pipe', 'p4\t"in\nside"\t', "p5\ty"]
+    (tmp_path / "t.txt").write_text("\n".join(lines) + "\n\n")
+    small_splits(24)
+    rows = sources.read_tsv(spark, str(tmp_path / "t.txt")).orderBy("_ord").collect()
+    assert [(r.Parcel, r.A) for r in rows] == [
+        ("p1", '5" pipe'), ("p2", "x"), ("p3", '6" "pipe'), ("p4", "in\nside"), ("p5", "y")]
+
+
+def test_lines_without_breaks_are_read_directly(spark, tmp_path):
+    (tmp_path / "t.txt").write_text('Parcel\tA\np1\t"a ""b"" c"\n')
+    df = sources.read_tsv(spark, str(tmp_path / "t.txt"))
+    assert "Window" not in df._jdf.queryExecution().toString()
+    assert [r.A for r in df.collect()] == ['a "b" c']
+
+
+def test_file_order_survives_splits(spark, tmp_path, small_splits):
+    lines = [f"k{i % 7}\t{i}\t{'x' * 50}" for i in range(4000)]
+    (tmp_path / "t.txt").write_text("Parcel\tN\tPad\n" + "\n".join(lines) + "\n")
+    small_splits(20_000)
+    df = sources.read_tsv(spark, str(tmp_path / "t.txt"))
+    assert df.rdd.getNumPartitions() > 3
+    order = [int(r.N) for r in df.repartition(5).orderBy("_ord").collect()]
     assert order == list(range(4000))
 
 

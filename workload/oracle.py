@@ -63,7 +63,9 @@ CTES: dict[str, tuple[list[str], str]] = {
                c_name || CASE c_custkey % 5 WHEN 0 THEN ' llc' WHEN 1 THEN ' Trust'
                               WHEN 2 THEN ' Vincent' ELSE '' END AS Owner_Mail_Name,
                CASE WHEN c_custkey % 23 <> 0
-                    THEN CAST(c_custkey AS VARCHAR) || ' Main St ' END AS Owner_Mail_Addr1,
+                    THEN CAST(c_custkey AS VARCHAR) || CASE WHEN c_custkey % 31 = 5
+                      THEN ' "Main" St' || chr(10) || 'Unit 7 ' ELSE ' Main St ' END
+                    END AS Owner_Mail_Addr1,
                CASE WHEN c_custkey % 13 = 0 THEN NULL
                     WHEN c_nationkey % 4 = 0 THEN 'GA' ELSE ' FL' END AS Owner_Mail_State,
                CASE WHEN c_custkey % 17 = 0 THEN 'bad' WHEN c_custkey % 43 = 5 THEN '1e300-'

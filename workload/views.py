@@ -78,10 +78,12 @@ def owners(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 5 == 0, " llc").when(key % 5 == 1, " Trust")
         .when(key % 5 == 2, " Vincent").otherwise("")
     )
+    # Some addresses have two lines, which a file holds in a quoted field.
+    street = F.when(key % 31 == 5, ' "Main" St\nUnit 7 ').otherwise(" Main St ")
     return c.select(
         _registered_parcel(key, key % 11 == 0).alias("Parcel"),
         F.concat("c_name", suffix).alias("Owner_Mail_Name"),
-        F.when(key % 23 != 0, F.concat(key.cast("string"), F.lit(" Main St ")))
+        F.when(key % 23 != 0, F.concat(key.cast("string"), street))
         .alias("Owner_Mail_Addr1"),
         F.when(key % 13 == 0, None)
         .when(F.col("c_nationkey") % 4 == 0, "GA").otherwise(" FL")
