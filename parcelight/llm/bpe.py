@@ -41,7 +41,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelight.llm.common import fresh_name, slices
+from parcelight.llm.common import SLICE_BYTES, fresh_name, slices, without
 
 CHUNK = 1 << 16  # characters fed at once
 LONGEST_SPAN = 1 << 14  # characters of a run before its pieces are streamed
@@ -519,9 +519,12 @@ def encode(
     text: str = "text",
     with_ids: bool = False,
     kept: list[str] | None = None,
+    remembered: int = REMEMBERED,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
-    """``kept`` columns (default: all but the text), n_tokens, ids_sha256,
-    decoded_sha256 and, if asked for, the ids themselves.
+    """``kept`` columns (default: all but the text, and but those named like the
+    result's), n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids themselves.
+    ``remembered`` spans and the texts of ``slice_bytes`` are what a worker holds.
 
     ``path`` names a byte-level BPE vocabulary on the driver, which sends its
     content (a fixed size) to the executors.
@@ -546,7 +549,8 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book, table = _book(vocabulary.value)
-        for batch in slices(batches, body):
+        book.remembered = remembered
+        for batch in slices(batches, body, slice_bytes):
             texts = batch.column(body).to_pylist()
             counts, digests, decoded, ids = [], [], [], []
             for found in _encode_slice(book, texts):
@@ -572,7 +576,10 @@ def encode(
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", name: str = "text") -> DataFrame:
-    """All columns and the text of an array of ids (null ids: null text)."""
+    """All columns but one of the same name, and the text of an array of ids (null ids:
+    null text)."""
+    if name.lower() != ids.lower():
+        docs = without(docs, name)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
     schema = docs.select("*", F.lit("").alias(name)).schema
 

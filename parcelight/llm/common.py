@@ -34,6 +34,12 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns of these names: where an operator adds them, its own win."""
+    taken = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
 def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written once to the shared working folder, and its path."""
     ensure_local_folder(df.sparkSession)

@@ -15,7 +15,8 @@ a fixed price, the same in each language.
 
 Defined cases: a null text or one without letters is ``und`` with score 0, and so is
 any text when nothing was learnt; null languages teach nothing; equal scores go to
-the first language in alphabetical order; repeated rows count as rows; an empty
+the first language in alphabetical order; repeated rows count as rows; texts may be
+of any length; input columns named like the result's are replaced; an empty
 table gives an empty result.
 """
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.llm.common import slices
+from parcelight.llm.common import slices, without
 
 UNDETERMINED = "und"
 MARK = "▁"
@@ -46,7 +47,9 @@ _letters = re.compile(r"[^\W\d_]+")
 
 
 def words_in(text: str | None) -> list[str]:
-    return _letters.findall(text.lower()) if text else []
+    # Numerals that are no letters match too; a word has a letter.
+    found = _letters.findall(text.lower()) if text else []
+    return [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
 
 
 class Pieces:
@@ -376,7 +379,9 @@ def with_language(
     docs: DataFrame, model: Model, text: str = "text",
     names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """All columns, the predicted language and its probability."""
+    """All columns but those of the same names, the predicted language and its
+    probability."""
+    docs = without(docs, *names)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(
         "*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1])

@@ -13,8 +13,8 @@ Document frequencies are counted over all documents.
 Defined cases: a null or empty text has no direction, nobody votes, and the score is
 the share of label 1 (1.0 without any labelled row, so nothing is rejected
 unlearnt); rows with null label or id teach nothing; several labels of one id count
-as their mean; repeated rows get one score each; an empty table gives an empty
-result.
+as their mean; repeated rows get one score each; an input column named like the
+score is replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.llm.common import fresh_name, slices
+from parcelight.llm.common import fresh_name, slices, without
 
 PAIRS = 1024  # hashed byte pairs
 LAYOUT = 6
@@ -172,7 +172,9 @@ def fit(
 
 
 def with_score(docs: DataFrame, model: Model, text: str, name: str) -> DataFrame:
-    """All columns and the score (0 to 1, higher: label 1 likelier)."""
+    """All columns but one of the same name, and the score (0 to 1, higher: label 1
+    likelier)."""
+    docs = without(docs, name)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select("*", F.lit(0.0).alias(name)).schema
 

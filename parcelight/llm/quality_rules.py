@@ -45,7 +45,7 @@ MEDIAN = 5.348
 BUCKETS = 32  # per power of two of the squared distance
 
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-FLOORS = [0.2, 0.05, 0.04, 0.2, 0.2, 0.05]
+FLOORS = [0.2, 0.05, 0.04, 0.1, 0.1, 0.05]
 P = len(FLOORS)
 
 
@@ -230,21 +230,20 @@ def _at_share(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
     )
 
 
-def _group_names(rows: DataFrame, lang: str, source: str) -> DataFrame:
-    """(lang, source, group): the group whose estimate judges a pair. Pairs and
-    groups with too few rows have the next wider one."""
+def _group_names(rows: DataFrame) -> DataFrame:
+    """(lang, source, group, wide): the group whose estimate judges a pair: its own, or
+    all rows of its language, or all rows; and the group of its language where that
+    judges any pair."""
     pairs = rows.groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("n"))
-    small = F.col("n") < MIN_GROUP
-    by_lang = (
-        pairs.where(small).groupBy("_lang").agg(F.sum("n").alias("pooled"))
-    )
-    named = pairs.join(by_lang, "_lang", "left").select(
+    langs = pairs.groupBy("_lang").agg(F.sum("n").alias("all"), F.min("n").alias("least"))
+    own = F.concat(F.lit("2"), "_lang", F.lit("\u0001"), "_source")
+    whole = F.when(F.col("all") >= MIN_GROUP, F.concat(F.lit("1"), "_lang"))
+    large = F.col("n") >= MIN_GROUP
+    return pairs.join(langs, "_lang").select(
         "_lang", "_source",
-        F.when(~small, F.concat(F.lit("2"), "_lang", F.lit("\u0001"), "_source"))
-        .when(F.col("pooled") >= MIN_GROUP, F.concat(F.lit("1"), "_lang"))
-        .otherwise(F.lit("0")).alias("_group"),
+        F.coalesce(F.when(large, own), whole, F.lit("0")).alias("_group"),
+        F.when(F.col("least") < MIN_GROUP, whole).alias("_wide"),
     )
-    return named
 
 
 def _keyed(rows: DataFrame, lang: str, source: str) -> DataFrame:
@@ -262,8 +261,15 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
     passed = _keyed(stats.where(~base_failed()), lang, source).select(
         "_lang", "_source", *[v.alias(n) for v, n in zip(vector(), x)]
     )
-    names, _ = store(_group_names(passed, lang, source), "rule-groups")
-    rows, _ = store(passed.join(names, ["_lang", "_source"]).select("_group", *x), "rule-vectors")
+    names, _ = store(_group_names(passed), "rule-groups")
+    # A row counts in each group that judges a pair and has it.
+    everyone = F.lit("0") if not names.where("_group = '0'").isEmpty() else F.lit(None)
+    own = F.when(F.substring("_group", 1, 1) == "2", F.col("_group"))
+    member = F.explode(F.array_compact(F.array(own, F.col("_wide"), everyone.cast("string"))))
+    rows, _ = store(
+        passed.join(names, ["_lang", "_source"]).select(member.alias("_group"), *x), "rule-vectors"
+    )
+    names = names.drop("_wide")
     counted = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("n"))
     enough = counted.where(F.col("n") >= MIN_GROUP).select("_group")
 

@@ -108,3 +108,15 @@ def test_round_trip(odd):
 
 def test_no_rows(nothing):
     assert bpe.encode(nothing, PATH).count() == 0
+
+
+def test_decoding_replaces_a_clashing_column(spark):
+    docs = spark.createDataFrame([(1, [72, 105], "old")], "doc_id int, ids array<int>, text string")
+    (r,) = bpe.decode(docs, PATH).collect()
+    assert r.text != "old" and list(r.asDict()) == ["doc_id", "ids", "text"]
+
+
+def test_little_memory_changes_nothing(spark, odd):
+    key = lambda df: sorted(map(str, df.collect()))
+    docs = odd.select("doc_id", "text")
+    assert key(bpe.encode(docs, PATH, remembered=3, slice_bytes=100)) == key(bpe.encode(docs, PATH))

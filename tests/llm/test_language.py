@@ -110,3 +110,12 @@ def test_a_bounded_table_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(language, "REMEMBERED", 5)
     few = language.Scorer(model)
     assert [few.scores([t])[0] for t in texts] == whole
+
+
+def test_numerals_are_no_letters_and_clashing_columns_are_replaced(spark, odd):
+    model = language.fit(_corpus(spark, 30), PATH)
+    assert language.words_in("½ ² ① x² ٣") == ["x²"]
+    docs = odd.select("doc_id", "text", "score").limit(0).unionByName(
+        spark.createDataFrame([(1, "½ ² ①", 9.0), (2, "abc", 9.0)], "doc_id bigint, text string, score double"))
+    out = {r.doc_id: r for r in language.with_language(docs, model).collect()}
+    assert (out[1].lang_pred, out[1].score) == ("und", 0.0) and out[2].score <= 1
