@@ -62,6 +62,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(
         _numbered(docs), public_tokenizers.path("byte_bpe_50k.json"), with_ids=True,
         kept=["doc_id", "lang", "source", "mix_order"],
+        # Workers still hold what the stages before needed.
+        remembered=100_000, slice_bytes=2 << 20,
     )
 
 
