@@ -9,7 +9,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from parcelight.constants import LEAD_COLUMNS
+from pyspark.sql import DataFrame
+
+from parcelight.constants import LEAD_COLUMNS, LEADS_SCHEMA
 from parcelight.plans import audit, scoring
 from parcelight.plans.cleaning import clean_leads, fit_cleaning
 from parcelight.plans.export import export_leads
@@ -20,28 +22,53 @@ from parcelight.sinks import (
     append_run_scores,
     empty_tables,
     overwrite_table,
+    write_part,
     write_ranked_file,
 )
-from parcelight.sources import LeadTables, read_source_tables, stage_input
+from parcelight.sources import LeadTables, read_source_tables, source_version, stage_input
 from parcelight.storage import scratch
 
 LOAD_MODE = "CAMA_LOAD"
 REUSE_MODE = "DRY_RUN"
 
 
+# Leads built from source files and not all loaded yet, tagged with these files.
+BUILT = "leads_built"
+
+
+def _built_leads(tables: LeadTables, folder: str, strict_nulls: bool) -> DataFrame:
+    """The numbered leads of the source files. They are built once and kept, by row
+    number, for the loads that take them up; files that have changed are read again."""
+    tag = f"{source_version(tables.spark, folder)}-{strict_nulls}"
+    if not tables.parts(BUILT, source=tag):
+        leads = build_leads(read_source_tables(tables.spark, folder), strict_nulls=strict_nulls)
+        by_number = leads.select(*LEAD_COLUMNS).repartitionByRange("OBJECTID").sortWithinPartitions(
+            "OBJECTID"
+        )
+        part = write_part(by_number, tables, BUILT, source=tag)
+        tables.commits.commit(lambda state: state.update({BUILT: [part]}))
+    return tables.read(BUILT, LEADS_SCHEMA, source=tag).select(*LEAD_COLUMNS)
+
+
 def load_leads(
     tables: LeadTables, folder: str, goal: int | None = None, strict_nulls: bool = False
 ) -> int:
     """Loads leads from the source files of ``folder``, up to ``goal`` rows in
-    total, after the rows already loaded. Returns the rows added."""
+    total, after the rows already loaded. Returns the rows added. A load that stops
+    short keeps what it has built: the next one reads its rows from there, not from the
+    source files. When all are loaded, nothing is kept."""
     loaded = tables.rows("leads")
     if goal is not None and loaded >= goal:
         return 0
-    leads = build_leads(
-        read_source_tables(tables.spark, folder), strict_nulls=strict_nulls
-    )
+    if goal is None and not tables.parts(BUILT):
+        leads = build_leads(read_source_tables(tables.spark, folder), strict_nulls=strict_nulls)
+    else:
+        leads = _built_leads(tables, folder, strict_nulls)
     rest = resume_slice(leads, loaded, goal).select(*LEAD_COLUMNS)
-    return append_new_rows(rest, tables, "leads", "OBJECTID", unique=True)
+    added = append_new_rows(rest, tables, "leads", "OBJECTID", unique=True)
+    if tables.rows(BUILT) and tables.rows("leads") >= tables.rows(BUILT):
+        tables.commits.commit(lambda state: state.pop(BUILT, None))
+    return added
 
 
 def ingest(

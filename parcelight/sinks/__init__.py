@@ -5,10 +5,11 @@ from parcelight.sinks.tables import (
     compact,
     empty_tables,
     overwrite_table,
+    write_part,
     write_ranked_file,
 )
 
 __all__ = [
     "append_new_rows", "append_rows", "append_run_scores", "compact", "empty_tables",
-    "overwrite_table", "write_ranked_file",
+    "overwrite_table", "write_part", "write_ranked_file",
 ]

@@ -1,5 +1,5 @@
 from parcelight.sources.commits import Commits, Conflict, Part
 from parcelight.sources.tables import LeadTables, stage_input
-from parcelight.sources.tsv import read_source_tables, read_tsv
+from parcelight.sources.tsv import read_source_tables, read_tsv, source_version
 
-__all__ = ["Commits", "Conflict", "LeadTables", "Part", "read_source_tables", "read_tsv", "stage_input"]
+__all__ = ["Commits", "Conflict", "LeadTables", "Part", "read_source_tables", "read_tsv", "source_version", "stage_input"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,3 +69,17 @@ def read_source_tables(
         table: read_tsv(spark, f"{folder.rstrip('/')}/{files[table]}", columns)
         for table, columns in SOURCE_COLUMNS.items()
     }
+
+
+def source_version(
+    spark: SparkSession, folder: str, files: dict[str, str] | None = None
+) -> str:
+    """Changes when a source file of a folder does: a digest of names, sizes and times."""
+    seen = []
+    for name in sorted((files or SOURCE_FILES).values()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}")
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        seen += sorted(
+            (name, s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found
+        )
+    return hashlib.sha256(repr(seen).encode()).hexdigest()[:32]

@@ -19,11 +19,16 @@ def county(spark, tmp_path_factory):
     return str(folder)
 
 
-def test_loading_resumes(spark, tables, county):
+def test_loading_resumes(spark, tables, county, monkeypatch):
+    from parcelight.plans import runs
+
     assert load_leads(tables, county, goal=40) == 40
     assert load_leads(tables, county, goal=40) == 0
-    assert load_leads(tables, county, goal=100) == 60
-    rest = load_leads(tables, county)
+    with monkeypatch.context() as m:  # taken up from what is built, not from the files
+        m.setattr(runs, "read_source_tables", None)
+        assert load_leads(tables, county, goal=100) == 60
+        rest = load_leads(tables, county)
+    assert not tables.parts(runs.BUILT)  # all loaded
     assert load_leads(tables, county) == 0
     loaded = tables.read("leads")
     assert loaded.count() == 100 + rest
@@ -33,6 +38,25 @@ def test_loading_resumes(spark, tables, county):
         map(str, whole.select(pick).collect()))
 
 
+def test_changed_files_are_built_again(spark, tables, county, tmp_path):
+    import shutil
+
+    from parcelight.plans import runs
+
+    folder = shutil.copytree(county, tmp_path / "county")
+    load_leads(tables, str(folder), goal=10)
+    (built,) = tables.parts(runs.BUILT)
+    file = folder / SOURCE_FILES["property"]
+    lines = file.read_text().splitlines()
+    file.write_text("\n".join(lines + [lines[1].replace(lines[1].split("\t")[0], "NEW1", 1)]) + "\n")
+    load_leads(tables, str(folder), goal=20)
+    (again,) = tables.parts(runs.BUILT)
+    assert again.rows == built.rows + 1 and again.path != built.path
+    load_leads(tables, str(folder))
+    assert tables.rows("leads") == again.rows
+    assert tables.read("leads").where("Parcel = 'NEW1'").count() == 1
+
+
 def test_ingest_modes(tables, county):
     with pytest.raises(ValueError, match="FULL"):
         ingest(tables, "FULL")
