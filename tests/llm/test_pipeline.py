@@ -4,10 +4,11 @@ brute force; and the registered queries."""
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from parcelight.llm import mixing, neighbours, quality_rules, simhash
+from parcelight.llm import mixing, near_copies, neighbours, quality_rules
 from parcelight.llm.common import remainder
 from parcelight.llm.queries import ORACLE, QUERIES
 from workload.check import connect, rows_of
@@ -64,7 +65,7 @@ def test_stages(spark, folder):
 
     out = STAGES["SimHash near-dedup"](spark, docs, folder)
     assert out.columns == COLUMNS
-    found = simhash.near_duplicates(docs).where("doc_id = component_id")
+    found = near_copies.with_components(docs).where("id = first_id").select(F.col("id").alias("doc_id"))
     assert sorted(set(_ids(out)) - {"None"}) == sorted(set(_ids(found)))
 
     out = STAGES["mixing sources to target weights"](spark, docs, folder)
