@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelight.llm import bpe, mixing, neighbours, quality_rules, simhash
+from parcelight.llm import bpe, mixing, near_copies, neighbours, quality_rules
 from parcelight.llm.common import remainder, store, table
 
 
@@ -27,8 +27,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component stays."""
-    return simhash.keep_first(docs)
+    """The document with the smallest id of each component stays; documents are linked by
+    a similarity of 0.8 in five-word shingles, as SimHash measures it."""
+    return near_copies.keep_first(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
