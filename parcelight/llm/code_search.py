@@ -15,7 +15,7 @@ the answer. Nothing is sampled and equal distances are ordered by id.
 Defined cases: a null vector has no code, neither searches nor is found; a null or NaN
 value is a clear bit, vectors shorter than the code too; longer ones are cut to
 its width, the width of the table's longest vector; repeated ids are rows of their
-own; with fewer than k rows all are returned; an empty table gives an empty result.
+own, found and asking: each asking row has a list; with fewer than k rows all are returned; an empty table gives an empty result.
 A query row finds itself like any other row.
 """
 
@@ -147,31 +147,41 @@ def search(
             ids = left["_id"].to_numpy()
             index = MultiIndex(codes, ids)
             asked_codes = np.array(right["_code"].tolist(), dtype=np.uint16)
-            for number, (query, code) in enumerate(zip(right["_id"], asked_codes)):
+            for query, asked_as, times, code in zip(
+                right["_id"], right["_asked"], right["_times"], asked_codes
+            ):
                 found, distances = index.nearest(code, k)
-                parts.append((query, ids[found], distances))
-        counts = [len(p[1]) for p in parts]
+                parts.append((query, asked_as, times, ids[found], distances))
+        counts = [len(p[3]) for p in parts]
         whole = np.zeros(0, dtype=np.int64)
         return pd.DataFrame({
             "query_id": np.repeat(np.array([p[0] for p in parts], dtype=np.int64), counts),
-            "id": np.concatenate([p[1] for p in parts]) if parts else whole,
-            "distance": np.concatenate([p[2] for p in parts]) if parts else whole,
+            "asked": np.repeat(np.array([p[1] for p in parts], dtype=object), counts),
+            "times": np.repeat(np.array([p[2] for p in parts], dtype=np.int64), counts),
+            "id": np.concatenate([p[3] for p in parts]) if parts else whole,
+            "distance": np.concatenate([p[4] for p in parts]) if parts else whole,
         })
 
     # A pair of blocks is little data and much work: as many tasks as pairs,
     # whatever their bytes.
     pairs = row_blocks * query_blocks
-    asking = asking.select("_rb", "_qb", "_id", "_code").distinct()
+    # Queries that repeat are searched once and answered as often as they occur; a
+    # query is its id and its code, so equal ids with other codes stay apart.
+    asking = asking.groupBy("_rb", "_qb", "_id", "_code").agg(
+        F.count(F.lit(1)).alias("_times")
+    ).withColumn("_asked", F.array_join(F.col("_code").cast("array<string>"), ","))
     near = (
         asking.repartition(pairs, "_rb", "_qb").groupBy("_rb", "_qb")
         .cogroup(rows.repartition(pairs, "_rb", "_qb").groupBy("_rb", "_qb"))
         .applyInPandas(
-            lambda right, left: tile(left, right), "query_id long, id long, distance long"
+            lambda right, left: tile(left, right),
+            "query_id long, asked string, times long, id long, distance long",
         )
     )
     # k rows per query and block of rows meet here.
-    best = Window.partitionBy("query_id").orderBy("distance", "id")
+    best = Window.partitionBy("query_id", "asked").orderBy("distance", "id")
     return (
         near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        .withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
         .select("query_id", "rank", "id", "distance")
     )

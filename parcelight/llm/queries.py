@@ -176,14 +176,15 @@ def op10_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Every pair's distance; the code is the sign of each value.
 ORACLE["op10_code_search"] = """
 WITH codes AS (
-  SELECT vec_id, list_transform(embedding, lambda x: coalesce(x > 0 AND NOT isnan(x), false)) AS code
+  SELECT row_number() OVER () AS n, vec_id,
+    list_transform(embedding, lambda x: coalesce(x > 0 AND NOT isnan(x), false)) AS code
   FROM embeddings WHERE embedding IS NOT NULL
 ), pairs AS (
-  SELECT q.vec_id AS query_id, r.vec_id AS id,
+  SELECT q.n, q.vec_id AS query_id, r.vec_id AS id,
     len(list_filter(list_zip(q.code, r.code), lambda p: p[1] <> p[2])) AS distance
   FROM codes q, codes r WHERE q.vec_id % 50 = 0
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY n ORDER BY distance, id) AS INTEGER) AS rank
   FROM pairs
 )
 SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10

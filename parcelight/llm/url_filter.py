@@ -8,9 +8,9 @@ map-side). A URL reads the one block its hash names; only possible hits go on to
 exact hash join with the list, which removes the false ones.
 
 Both joins are on evenly spread keys: the block, then the URL itself (rows that
-cannot be hits carry their own key and match nothing). A URL that many pages share
-is a skewed key that adaptive execution splits on the page side; the list side is
-unique. Spark broadcasts a side only when its measured size allows.
+cannot be hits carry a key made of id and URL and match nothing). A URL that many pages
+share, or a row that repeats, is a skewed key that adaptive execution splits on the page
+side; the list side is unique. Spark broadcasts a side only when its measured size allows.
 
 Defined cases: null URLs and URLs without ``://`` have empty host and path, no rule
 and no entry, so they are allowed; null and repeated list entries count once or
@@ -128,23 +128,25 @@ def judge(
     table, _ = store(table, "bloom")
     given = pages.select(F.col(id_column).alias("_id"), F.col(url).alias("_url"))
     split = given.select(
-        "_id",
+        "_id", "_url",
         host_of(F.col("_url")).alias("host"),
         path_of(F.col("_url")).alias("path"),
         canonical(F.col("_url")).alias("_key"),
     )
     ruled = split.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules))
-    # Missing and ruled URLs need no look-up: block -1 does not exist.
+    # Missing and ruled URLs need no look-up, whatever share of the pages they are:
+    # blocks below 0 do not exist, and id and URL spread such rows over them.
+    idle = -1 - F.pmod(F.xxhash64("_id", "_url"), F.lit(1 << 62))
     wanted = F.col("_key").isNotNull() & F.col("_rule").isNull()
     probed = ruled.withColumn(
-        "_block", F.when(wanted, _block(F.col("_key"), blocks)).otherwise(F.lit(-1).cast("long"))
+        "_block", F.when(wanted, _block(F.col("_key"), blocks)).otherwise(idle)
     ).join(table, "_block", "left")
     hit = F.lit(True)
     for k in range(LANES):
         mask = _mask(F.col("_key"), k)
         hit = hit & (F.col(f"w{k}").bitwiseAND(mask) == mask)
     possible = wanted & F.coalesce(hit, F.lit(False))
-    own = F.concat(F.lit("\u0000"), F.xxhash64("_id", "_key").cast("string"))
+    own = F.concat(F.lit("\u0000"), F.xxhash64("_id", "_url").cast("string"))
     checked = probed.withColumn("possible", possible).withColumn(
         "_look", F.when(F.col("possible"), F.col("_key")).otherwise(own)
     )

@@ -62,3 +62,15 @@ def test_odd_vectors(spark):
     none = df.where("false")
     assert code_search.search(none, none).count() == 0
     assert code_search.search(df, none).count() == 0
+
+
+def test_queries_that_repeat_are_rows_of_their_own(spark):
+    vectors = [(0, [1.0, 1.0, 1.0]), (1, [-1.0, -1.0, -1.0]), (50, [1.0, 1.0, 1.0]),
+               (50, [-1.0, -1.0, -1.0]), (100, [1.0, -1.0, 1.0]), (100, [1.0, -1.0, 1.0])]
+    df = _frame(spark, vectors)
+    asked = [v for v in vectors if v[0] in (50, 100)]
+    got = code_search.search(df, df.where("vec_id IN (50, 100)"), 3, block_rows=2, block_queries=1)
+    rows = sorted((r.query_id, r["rank"], r.id, r.distance) for r in got.collect())
+    # Each asked row has a whole list.
+    assert rows == sorted(r for q in asked for r in _brute_force(vectors, [q], 3, 3))
+    assert len(rows) == 12
