@@ -246,6 +246,15 @@ SCORED_RUNS_SCHEMA = T.StructType(
     ]
 )
 
+# One row a load: the rows it added, and a sketch of the values among them that count
+# for the fence.
+SKETCHES_SCHEMA = T.StructType(
+    [
+        T.StructField("loaded", T.LongType()),
+        T.StructField("sketch", T.BinaryType()),
+    ]
+)
+
 TABLE_SCHEMAS = {
     "leads": LEADS_SCHEMA,
     "leads_clean": CLEAN_SCHEMA,
@@ -254,4 +263,8 @@ TABLE_SCHEMAS = {
     "export_leads": EXPORT_SCHEMA,
     "pipeline_log": RUN_LOG_SCHEMA,
     "scored_runs": SCORED_RUNS_SCHEMA,
+    "value_sketches": SKETCHES_SCHEMA,
 }
+
+# Columns a stage table is read by: its files are sorted by them.
+CLUSTERING = {"leads": ["PHY_CITY", "DOR_UC"]}

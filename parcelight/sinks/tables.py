@@ -2,30 +2,58 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Observation
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from parcelight.constants import TABLE_SCHEMAS
+from parcelight.constants import CLUSTERING, TABLE_SCHEMAS
 from parcelight.operators.reduce import first_by_key
 from parcelight.sources.commits import Conflict, Part, State
-from parcelight.sources.tables import LeadTables, conform
+from parcelight.sources.tables import BUCKET, LeadTables, conform, key_bucket
 from parcelight.storage import materialize
 
 
 # Parts of about equal size that are merged into one, and rows of a part that stays.
 FANOUT = 4
 LARGE = 1_000_000
+# Parts of so many rows keep their keys a second time, by bucket; smaller ones are read.
+INDEXED = 100_000
+# Rows of a page: what a scan of clustered rows reads beyond those it wants.
+_PAGE_ROWS = 5_000
 _AGAIN = 3
 
 
 def write_part(df: DataFrame, tables: LeadTables, table: str, **tags: str) -> Part:
     """Writes the rows of a part, which no commit lists yet; the row count is observed
-    during the write."""
+    during the write.
+
+    Rows of a table that is read by some columns are sorted by them within each file, so
+    the minima and maxima of pages let a scan pass over the others; nothing is shuffled
+    for it. A part with a ``key`` tag keeps its keys by bucket if it is large.
+    """
     path = tables.new_part(table)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{tables.root}/{path}")
-    return Part(path, seen.get["rows"], tags)
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if table in CLUSTERING:
+        rows = rows.sortWithinPartitions(*CLUSTERING[table])
+    rows.write.option("parquet.page.row.count.limit", _PAGE_ROWS).parquet(f"{tables.root}/{path}")
+    part = Part(path, seen.get["rows"], tags)
+    if "key" in tags and part.rows >= INDEXED:
+        return replace(part, keys=_write_keys(tables, table, part, tags["key"]))
+    return part
+
+
+def _write_keys(tables: LeadTables, table: str, part: Part, key: str) -> str:
+    """The keys of a part in a folder per bucket; returns where."""
+    path = tables.new_part(f"{table}_keys")
+    keys = tables.read_parts(TABLE_SCHEMAS[table], [part]).select(key)
+    keys.select(key, key_bucket(key).alias(BUCKET)).repartition(BUCKET).write.partitionBy(
+        BUCKET
+    ).parquet(f"{tables.root}/{path}")
+    return path
 
 
 def compact(tables: LeadTables, table: str) -> None:
@@ -88,11 +116,14 @@ def append_new_rows(
     """
     for last in (*[False] * (_AGAIN - 1), True):
         held = tables.parts(table)
-        new = _unknown_rows(batch, tables.read_parts(TABLE_SCHEMAS[table], held), key, order, unique)
+        if any(part.keys for part in held):  # read for its buckets, then for its rows
+            batch = materialize(batch, f"batch-{table}")
+        stored = stored_keys(batch, tables, table, held, key)
+        new = _unknown_rows(batch, stored, key, order, unique)
         fresh = conform(new, table)
         if "created_at" in fresh.columns and "created_at" not in batch.columns:
             fresh = fresh.withColumn("created_at", F.current_timestamp())
-        part = write_part(fresh, tables, table)
+        part = write_part(fresh, tables, table, key=key)
         if not part.rows:
             return 0
         try:
@@ -107,6 +138,28 @@ def append_new_rows(
     return part.rows
 
 
+def stored_keys(
+    batch: DataFrame, tables: LeadTables, table: str, held: list[Part], key: str
+) -> DataFrame:
+    """The keys the parts hold, as far as the batch may know them: of a part that keeps
+    its keys by bucket, only the buckets the batch has keys in are read (their numbers,
+    at most ``BUCKETS``, pass through the driver)."""
+    schema = TABLE_SCHEMAS[table]
+    indexed = [p for p in held if p.keys and p.tags.get("key") == key]
+    stored = tables.read_parts(schema, [p for p in held if p not in indexed]).select(key)
+    if indexed:
+        # Buckets are those of the stored type; a value that does not fit has none.
+        kept = F.col(key).try_cast(schema[key].dataType)
+        buckets = batch.where(kept.isNotNull()).select(key_bucket(kept).alias(BUCKET)).distinct()
+        wanted = [row[BUCKET] for row in buckets.collect()]
+        for part in indexed:
+            keys = tables.spark.read.schema(
+                StructType([schema[key], StructField(BUCKET, IntegerType())])
+            ).parquet(f"{tables.root}/{part.keys}")
+            stored = stored.union(keys.where(F.col(BUCKET).isin(wanted)).select(key))
+    return stored
+
+
 def _unknown_rows(
     batch: DataFrame, stored: DataFrame, key: str, order: Column | None, unique: bool
 ) -> DataFrame:

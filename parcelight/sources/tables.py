@@ -4,13 +4,21 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parcelight.constants import DETAIL_COLUMNS, TABLE_SCHEMAS
 from parcelight.sources.commits import Commits, Part
 
+# Buckets, by hash, that the keys of a large part are kept in.
+BUCKETS = 64
+BUCKET = "_bucket"
+
+
+def key_bucket(key: Column | str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """``df`` in the layout of a stage table: columns by name, cast to their

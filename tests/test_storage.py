@@ -365,3 +365,89 @@ def test_many_stages_of_a_log(tables, monkeypatch):
         tables.commits.commit(lambda s: s.setdefault("pipeline_log", []).append(part))
         module.compact(tables, "pipeline_log")
     assert len(tables.parts("pipeline_log")) < 20 and tables.rows("pipeline_log") == 1000
+
+
+def _scanned(df):
+    """Rows that the scan of a frame hands on, and the files it opens."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.getClass().getName() else plan
+    leaves = plan.collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    metrics = [s.metrics() for s in scans if "FileSourceScan" in s.getClass().getName()]
+    return tuple(sum(m.apply(name).value() for m in metrics)
+                 for name in ("numOutputRows", "numFiles"))
+
+
+def test_filtered_scans_pass_over_other_rows(spark, tables):
+    """Cities and codes in no order before; what is read is what is found, and for each
+    run of equal rows at most two pages more: one run a file for a city, one a file and
+    city for a code."""
+    rows = spark.range(200_000, numPartitions=2).select(
+        F.col("id").alias("OBJECTID"),
+        F.concat(F.lit("CITY"), F.pmod(F.xxhash64("id"), F.lit(5))).alias("PHY_CITY"),
+        F.lpad(F.pmod(F.hash("id"), F.lit(8)).cast("string"), 3, "0").alias("DOR_UC"))
+    sinks.overwrite_table(rows, tables, "leads")
+    for found, runs in ((tables.leads_by_city("city3"), 2), (tables.leads_by_codes(["001"]), 2 * 5)):
+        read, _ = _scanned(found.select("OBJECTID"))
+        expected = found.count()
+        assert expected <= read <= min(expected + runs * 2 * 5_000, 120_000)
+    assert tables.read("leads").count() == 200_000
+    assert tables.leads_by_city("city3").count() == rows.where("PHY_CITY = 'CITY3'").count()
+
+
+@pytest.fixture
+def small_indexes(monkeypatch):
+    from parcelight.sinks import tables as module
+
+    monkeypatch.setattr(module, "INDEXED", 100)
+    return module
+
+
+def test_a_small_batch_reads_few_keys(spark, tables, small_indexes):
+    rows = spark.range(20_000).withColumnRenamed("id", "OBJECTID")
+    assert sinks.append_new_rows(rows, tables, "leads", "OBJECTID") == 20_000
+    (part,) = tables.parts("leads")
+    assert part.keys and part.tags == {"key": "OBJECTID"}
+    for batch in (spark.createDataFrame([(7,), (30_000,)], "OBJECTID bigint"),
+                  spark.createDataFrame([("7",), ("30000",), (None,), ("x",)], "OBJECTID string")):
+        stored = small_indexes.stored_keys(batch, tables, "leads", tables.parts("leads"), "OBJECTID")
+        read, files = _scanned(stored)
+        assert files <= 2 and 1 <= read < 20_000 / 64 * 2 * 1.5
+        assert {r.OBJECTID for r in stored.collect()} >= {7}
+    plan = stored._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and "_bucket" in plan
+    batch = spark.createDataFrame([(7,), (30_000,), (30_000,), (None,)], "OBJECTID bigint")
+    assert sinks.append_new_rows(batch, tables, "leads", "OBJECTID") == 1
+    assert sinks.append_new_rows(batch, tables, "leads", "OBJECTID") == 0
+    assert tables.read("leads").count() == 20_001
+
+
+def test_keys_of_all_kinds_of_parts_are_known(spark, tables, small_indexes):
+    """Parts with and without buckets, merged ones, and others of the table."""
+    def batch(begin, end):
+        return spark.range(begin, end).withColumnRenamed("id", "OBJECTID")
+
+    sinks.overwrite_table(batch(0, 300), tables, "leads")  # no key is known of it
+    for begin in range(200, 900, 100):
+        sinks.append_new_rows(batch(begin, begin + 150), tables, "leads", "OBJECTID")
+    sinks.append_new_rows(batch(940, 960), tables, "leads", "OBJECTID")
+    assert sorted(r.OBJECTID for r in tables.read("leads").collect()) == list(range(960))
+    parts = tables.parts("leads")
+    assert any(p.keys for p in parts) and not all(p.keys for p in parts)
+    assert any("level" in p.tags for p in parts)
+    # keys in use are kept, those of merged parts go
+    assert tables.commits.vacuum(older_than_hours=-1) > 0
+    assert sinks.append_new_rows(batch(0, 960), tables, "leads", "OBJECTID") == 0
+    assert sinks.append_new_rows(batch(0, 0), tables, "leads", "OBJECTID") == 0
+
+
+def test_an_index_that_dies_leaves_the_rows(spark, tables, small_indexes, monkeypatch):
+    def failing(*args):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(small_indexes, "_write_keys", failing)
+    with pytest.raises(OSError):
+        sinks.append_new_rows(
+            spark.range(200).withColumnRenamed("id", "OBJECTID"), tables, "leads", "OBJECTID")
+    assert tables.is_empty("leads") and tables.read("leads").count() == 0
