@@ -246,10 +246,12 @@ SCORED_RUNS_SCHEMA = T.StructType(
     ]
 )
 
-# One row a load: the rows it added, and a sketch of the values among them that count
-# for the fence.
+# One row a load: the range and number of the rows it added, and a sketch of the values
+# among them that count for the fence.
 SKETCHES_SCHEMA = T.StructType(
     [
+        T.StructField("first_id", T.LongType()),
+        T.StructField("last_id", T.LongType()),
         T.StructField("loaded", T.LongType()),
         T.StructField("sketch", T.BinaryType()),
     ]
@@ -268,3 +270,6 @@ TABLE_SCHEMAS = {
 
 # Columns a stage table is read by: its files are sorted by them.
 CLUSTERING = {"leads": ["PHY_CITY", "DOR_UC"]}
+
+# Tables that say something of the rows of another, and go when those are replaced.
+DERIVED = {"leads": ["value_sketches"]}

@@ -17,12 +17,14 @@ from parcelight.constants import (
     ZIP_TO_CITY,
 )
 from parcelight.functions import normal_text, whole_number, zero_pad, zero_to_null
-from parcelight.operators import exact_quantiles
+from parcelight.operators import exact_quantiles, sketch_quantiles, value_sketch
 from parcelight.storage import materialize
 
 # Group of all rows; no use code looks like this.
 ALL_CODES = "\u0000"
 
+_QUARTILES = {"q1": 0.25, "q3": 0.75}
+
 
 def pad_use_code(df: DataFrame) -> DataFrame:
     return df.withColumn("DOR_UC", zero_pad(normal_text("DOR_UC"), 3))
@@ -38,7 +40,10 @@ def keep_minimum_value(df: DataFrame, minimum: float = MIN_JUST_VALUE) -> DataFr
 
 def value_fence(df: DataFrame, factor: float = FENCE_FACTOR) -> DataFrame:
     """One row: q1, q3 and the upper bound of unsuspicious values."""
-    quartiles = exact_quantiles(df, "JV", {"q1": 0.25, "q3": 0.75})
+    return _with_bound(exact_quantiles(df, "JV", _QUARTILES), factor)
+
+
+def _with_bound(quartiles: DataFrame, factor: float) -> DataFrame:
     spread = F.col("q3") - F.col("q1")
     return quartiles.withColumn("upper_bound", F.col("q3") + F.lit(factor) * spread)
 
@@ -54,6 +59,24 @@ def fit_fence(leads: DataFrame, factor: float = FENCE_FACTOR) -> float | None:
     return value_fence(eligible_leads(leads), factor).first()["upper_bound"]
 
 
+def sketch_load(leads: DataFrame) -> DataFrame:
+    """The row of the sketch table for the leads of a load: what rows they are, and a
+    sketch of the eligible values, in one pass."""
+    eligible = F.col("DOR_UC").isin(*RESIDENTIAL_CODES) & (F.col("JV") >= MIN_JUST_VALUE)
+    rows = pad_use_code(leads).select("OBJECTID", F.when(eligible, F.col("JV")).alias("JV"))
+    return value_sketch(
+        rows, "JV",
+        F.min("OBJECTID").alias("first_id"), F.max("OBJECTID").alias("last_id"),
+        F.count(F.lit(1)).alias("loaded"),
+    )
+
+
+def sketched_fence(sketches: DataFrame, factor: float = FENCE_FACTOR) -> DataFrame:
+    """As :func:`value_fence`, from the sketches of all loads and without reading leads.
+    The quartiles are approximate: their ranks are off by at most ``RANK_ERROR``."""
+    return _with_bound(sketch_quantiles(sketches, _QUARTILES), factor)
+
+
 def filter_leads(df: DataFrame, bound: Column | float | None = None) -> DataFrame:
     """Residential use, minimum value, then the fence of what is left.
 
@@ -166,9 +189,10 @@ class CleaningStatistics:
     medians: DataFrame
 
 
-def fit_cleaning(leads: DataFrame) -> CleaningStatistics:
-    """Fence and median years, fitted in two narrow passes over stored leads."""
-    bound = fit_fence(leads)
+def fit_cleaning(leads: DataFrame, sketches: DataFrame | None = None) -> CleaningStatistics:
+    """Fence and median years, fitted in two narrow passes over stored leads; with the
+    sketches of the loads, the fence is approximate and takes none."""
+    bound = fit_fence(leads) if sketches is None else sketched_fence(sketches).first()["upper_bound"]
     medians = materialize(median_years(filter_leads(leads, bound)), "median-years")
     return CleaningStatistics(bound, medians)
 

@@ -10,15 +10,17 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from parcelight.constants import LEAD_COLUMNS, LEADS_SCHEMA
 from parcelight.plans import audit, scoring
-from parcelight.plans.cleaning import clean_leads, fit_cleaning
+from parcelight.plans.cleaning import clean_leads, fit_cleaning, sketch_load
 from parcelight.plans.export import export_leads
 from parcelight.plans.features import engineer
 from parcelight.plans.ingest import build_leads, resume_slice
 from parcelight.sinks import (
     append_new_rows,
+    append_rows,
     append_run_scores,
     empty_tables,
     overwrite_table,
@@ -34,6 +36,7 @@ REUSE_MODE = "DRY_RUN"
 
 # Leads built from source files and not all loaded yet, tagged with these files.
 BUILT = "leads_built"
+SKETCHES = "value_sketches"
 
 
 def _built_leads(tables: LeadTables, folder: str, strict_nulls: bool) -> DataFrame:
@@ -51,12 +54,17 @@ def _built_leads(tables: LeadTables, folder: str, strict_nulls: bool) -> DataFra
 
 
 def load_leads(
-    tables: LeadTables, folder: str, goal: int | None = None, strict_nulls: bool = False
+    tables: LeadTables,
+    folder: str,
+    goal: int | None = None,
+    strict_nulls: bool = False,
+    sketch: bool = False,
 ) -> int:
     """Loads leads from the source files of ``folder``, up to ``goal`` rows in
     total, after the rows already loaded. Returns the rows added. A load that stops
     short keeps what it has built: the next one reads its rows from there, not from the
-    source files. When all are loaded, nothing is kept."""
+    source files. When all are loaded, nothing is kept. ``sketch`` also stores a sketch of
+    the values of this load, for an approximate fence."""
     loaded = tables.rows("leads")
     if goal is not None and loaded >= goal:
         return 0
@@ -68,14 +76,29 @@ def load_leads(
     added = append_new_rows(rest, tables, "leads", "OBJECTID", unique=True)
     if tables.rows(BUILT) and tables.rows("leads") >= tables.rows(BUILT):
         tables.commits.commit(lambda state: state.pop(BUILT, None))
+    if sketch and added:
+        fresh = tables.read("leads").where(F.col("OBJECTID") > loaded)
+        append_rows(sketch_load(fresh), tables, SKETCHES)
     return added
 
 
+def load_sketches(tables: LeadTables) -> DataFrame | None:
+    """The sketches of all loads, if they cover the leads: ranges that do not meet and
+    together have as many rows as the table. Otherwise (a load has left none, rows came
+    another way) None: the fence is then worked out from the rows."""
+    sketches = tables.read(SKETCHES)
+    ranges = sorted(sketches.select("first_id", "last_id", "loaded").collect())
+    apart = all(one.last_id < two.first_id for one, two in zip(ranges, ranges[1:]))
+    covered = sum(r.loaded for r in ranges)
+    return sketches if ranges and apart and covered == tables.rows("leads") else None
+
+
 def ingest(
     tables: LeadTables,
     run_mode: str,
     folder: str | None = None,
     strict_nulls: bool = False,
+    sketch: bool = False,
 ) -> int:
     """Fills the leads table, or leaves a filled one alone; rows in it after."""
     if run_mode not in (LOAD_MODE, REUSE_MODE):
@@ -83,7 +106,7 @@ def ingest(
     if run_mode == LOAD_MODE and tables.is_empty("leads"):
         if folder is None:
             raise FileNotFoundError("no source folder given")
-        load_leads(tables, folder, strict_nulls=strict_nulls)
+        load_leads(tables, folder, strict_nulls=strict_nulls, sketch=sketch)
     return tables.rows("leads")
 
 
@@ -100,9 +123,12 @@ class Run:
         run_id: str | None = None,
         fresh: bool = False,
         strict_nulls: bool = False,
+        sketch: bool = False,
     ):
         """``fresh`` empties all stage tables first: there is no way back.
-        ``strict_nulls`` keeps unknown owner states and neighbourhoods unknown."""
+        ``strict_nulls`` keeps unknown owner states and neighbourhoods unknown.
+        ``sketch`` has loads leave a sketch of their values, and cleaning take the fence
+        from these, approximately, where they cover all rows."""
         if fresh:
             empty_tables(tables)
         self.tables = tables
@@ -111,6 +137,7 @@ class Run:
         self.folder = folder
         self.as_of_year = as_of_year
         self.strict_nulls = strict_nulls
+        self.sketch = sketch
         self.run_id = run_id or audit.resume_run_id(tables, mode, fresh)
         self.modes = {"pipeline_mode": mode, "run_mode": run_mode}
 
@@ -149,14 +176,17 @@ class Run:
         before = tables.rows("leads")
         rows = self._stage(
             "scraper", before,
-            lambda: ingest(tables, self.run_mode, self.folder, self.strict_nulls),
+            lambda: ingest(
+                tables, self.run_mode, self.folder, self.strict_nulls, self.sketch
+            ),
             "leads",
         )
 
         def clean() -> int:
             leads = stage_input(None, tables, "leads")
+            sketches = load_sketches(tables) if self.sketch else None
             return overwrite_table(
-                clean_leads(leads, fit_cleaning(leads)), tables, "leads_clean"
+                clean_leads(leads, fit_cleaning(leads, sketches)), tables, "leads_clean"
             )
 
         def features() -> int:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Observation
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from parcelight.constants import CLUSTERING, TABLE_SCHEMAS
+from parcelight.constants import CLUSTERING, DERIVED, TABLE_SCHEMAS
 from parcelight.operators.reduce import first_by_key
 from parcelight.sources.commits import Conflict, Part, State
 from parcelight.sources.tables import BUCKET, LeadTables, conform, key_bucket
@@ -87,7 +87,13 @@ def compact(tables: LeadTables, table: str) -> None:
 def overwrite_table(df: DataFrame, tables: LeadTables, table: str) -> int:
     """Replaces a stage table; its rows are there until the new ones are written."""
     part = write_part(conform(df, table), tables, table)
-    tables.commits.commit(lambda state: state.update({table: [part]}))
+
+    def change(state: State) -> None:
+        state[table] = [part]
+        for name in DERIVED.get(table, []):
+            state.pop(name, None)
+
+    tables.commits.commit(change)
     return part.rows
 
 
@@ -231,7 +237,8 @@ def empty_tables(tables: LeadTables, names: list[str] | None = None) -> None:
 
     def remove(state: State) -> None:
         for name in names or list(state):
-            state.pop(name, None)
+            for gone in (name, *DERIVED.get(name, [])):
+                state.pop(gone, None)
 
     tables.commits.commit(remove)
 

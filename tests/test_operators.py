@@ -8,8 +8,11 @@ from parcelight.operators import (
     first_by_key,
     number_rows,
     quantiles,
+    RANK_ERROR,
     require_columns,
+    sketch_quantiles,
     top_counts,
+    value_sketch,
 )
 from parcelight.operators.quantiles import ordered_bits
 
@@ -154,3 +157,37 @@ def test_top_counts_breaks_ties_by_value(spark):
 def test_require_columns_names_the_missing(spark):
     with pytest.raises(ValueError, match="b"):
         require_columns(spark.range(1), ["id", "b"], "table")
+
+
+def _heavy(n):
+    """A third of the rows has one value; the rest is skewed."""
+    return F.when(F.col("id") % 3 == 0, 500.0).otherwise(
+        F.pow(F.pmod(F.xxhash64("id"), F.lit(n)).cast("double"), 2.0))
+
+
+@pytest.mark.parametrize("loads", [1, 7])
+def test_sketched_quantiles_are_within_their_rank_error(spark, loads):
+    rows = spark.range(300_000).select("id", _heavy(100_000).alias("v"))
+    sketches = None
+    for load in range(loads):  # as stored by one load after the other
+        one = value_sketch(rows.where(F.col("id") % loads == load), "v")
+        sketches = one if sketches is None else sketches.union(one)
+    wanted = {f"p{p}": p / 100 for p in (1, 25, 50, 75, 99)}
+    found = sketch_quantiles(sketches, wanted).first().asDict()
+    values = np.sort([r.v for r in rows.select("v").collect()])
+    for name, p in wanted.items():
+        below = np.searchsorted(values, found[name], "left") / len(values)
+        upto = np.searchsorted(values, found[name], "right") / len(values)
+        assert below - RANK_ERROR <= p <= upto + RANK_ERROR
+    assert 0 < RANK_ERROR < 0.001
+    assert max(len(r.sketch) for r in sketches.collect()) < 200_000
+
+
+def test_sketches_of_few_or_no_values(spark):
+    rows = spark.createDataFrame(
+        [(1.0,), (2.0,), (9.0,), (None,), (float("nan"),), (float("inf"),)], "v double")
+    nothing = value_sketch(rows.where("v IS NULL"), "v")
+    both = value_sketch(rows, "v").union(nothing)
+    assert sketch_quantiles(both, {"low": 0.0, "mid": 0.5, "top": 1.0}).first() == (1.0, 2.0, 9.0)
+    assert sketch_quantiles(nothing, {"mid": 0.5}).first() == (None,)
+    assert sketch_quantiles(both.limit(0), {"mid": 0.5}).first() == (None,)

@@ -194,3 +194,38 @@ def test_arriving_files_are_taken_once(spark, tables, tmp_path):
     arrive(2, 3)
     assert take() == [1, 2, 3]
     assert take() == [1, 2, 3]
+
+
+def test_the_fence_of_stored_sketches(spark, tables, county, monkeypatch):
+    from parcelight.plans import cleaning, runs
+
+    load_leads(tables, county, goal=30, sketch=True)
+    load_leads(tables, county, sketch=True)
+    sketches = runs.load_sketches(tables)
+    assert sketches.count() == 2 and sketches.agg(F.sum("loaded")).first()[0] == tables.rows("leads")
+    # so few values are held whole: the quartiles are values on either side of the exact ones
+    leads = tables.read("leads")
+    values = sorted(r.JV for r in cleaning.eligible_leads(leads).collect())
+    fence = cleaning.sketched_fence(sketches).first()
+    for found, p in ((fence.q1, 0.25), (fence.q3, 0.75)):
+        place = p * (len(values) - 1)
+        assert values[max(int(place) - 1, 0)] <= found <= values[min(int(place) + 2, len(values) - 1)]
+    with monkeypatch.context() as m:  # the leads are not asked
+        m.setattr(cleaning, "fit_fence", None)
+        run = Run(tables, "TRAIN", as_of_year=2024, run_id="R", sketch=True)
+        run.through_features()
+    kept = cleaning.filter_leads(leads, fence.upper_bound)
+    assert tables.rows("leads_clean") == kept.count()
+
+
+def test_sketches_that_do_not_cover_the_rows_are_not_used(spark, tables, county):
+    from parcelight.plans import runs
+
+    assert runs.load_sketches(tables) is None
+    load_leads(tables, county, goal=30)
+    load_leads(tables, county, goal=50, sketch=True)
+    assert runs.load_sketches(tables) is None
+    rows = tables.read("leads").select(*LEAD_COLUMNS).collect()
+    schema = tables.read("leads").select(*LEAD_COLUMNS).schema
+    runs.overwrite_table(spark.createDataFrame(rows[:20], schema), tables, "leads")
+    assert not tables.parts(runs.SKETCHES)  # they went with the rows
