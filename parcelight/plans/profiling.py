@@ -29,6 +29,7 @@ from parcelight.plans.cleaning import (
 )
 from parcelight.plans.features import corporate_owner, land_ratio
 from parcelight.plans.ingest import newest_first
+from parcelight.sources import LeadTables
 
 ZERO_PROFILE = [
     "JV", "ACT_YR_BLT", "EFF_YR_BLT", "TOT_LVG_AR", "SALE_PRC1", "SALE_PRC2",
@@ -84,28 +85,20 @@ def value_counts_by_column(df: DataFrame, columns: list[str], n: int) -> DataFra
     )
 
 
-def nulls_and_zeros(leads: DataFrame) -> DataFrame:
-    """Nulls of every lead column, zeros and empty texts of those that have
-    such a meaning; one scan."""
+def _null_checks(columns: list[str]) -> dict[str, Column]:
     checks = {}
     for c in LEAD_COLUMNS:
-        if c not in leads.columns:
+        if c not in columns:
             continue
         checks[f"{c}:nulls"] = F.col(c).isNull()
         if c in ZERO_PROFILE:
             checks[f"{c}:zeros"] = F.col(c) == 0
         if c in TEXT_PROFILE:
             checks[f"{c}:empty"] = strip(c) == ""
-    rows = long_form(condition_counts(leads, checks), "_check", "n")
-    return rows.select(
-        F.split_part("_check", F.lit(":"), F.lit(1)).alias("column"),
-        F.split_part("_check", F.lit(":"), F.lit(2)).alias("check"),
-        "n",
-    )
+    return checks
 
 
-def field_coverage(leads: DataFrame) -> DataFrame:
-    """Rows that carry each optional field."""
+def _coverage_checks() -> dict[str, Column]:
     positive = [
         "TOT_LVG_AR", "EFF_YR_BLT", "LND_SQFOOT", "SALE_PRC1", "SALE_PRC2",
         "SALE_YR2", "NO_BULDNG", "JV_HMSTD", "ACT_YR_BLT",
@@ -113,31 +106,49 @@ def field_coverage(leads: DataFrame) -> DataFrame:
     checks = {c: F.col(c) > 0 for c in positive}
     checks.update({c: _filled(c) for c in ("QUAL_CD1", "NBRHD_CD", "OWN_STATE_")})
     checks["out_of_state"] = out_of_state()
-    return long_form(condition_counts(leads, checks), "field", "n")
+    return checks
 
 
-def range_buckets(leads: DataFrame) -> DataFrame:
-    """Rows per value range and per sale-year range."""
+def _ranges() -> dict[str, list[tuple[str, Column]]]:
+    """Ranges of values and sale years; no row is in two of a column."""
     value, year = F.col("JV"), F.col("SALE_YR1")
-    value_ranges = bucket_label(
-        [
+    return {
+        "JV": [
             ("zero", value == 0),
             ("under 50k", (value > 0) & (value < 50_000)),
             ("50k-200k", (value >= 50_000) & (value < 200_000)),
             ("200k-500k", (value >= 200_000) & (value < 500_000)),
             ("500k and over", value >= 500_000),
-        ]
-    )
-    year_ranges = bucket_label(
-        [
+        ],
+        "SALE_YR1": [
             ("never sold", year == 0),
             ("before 2000", (year > 0) & (year < 2000)),
             ("2000-2014", (year >= 2000) & (year < 2015)),
             ("2015-2019", (year >= 2015) & (year < 2020)),
             ("2020 and later", year >= 2020),
-        ]
+        ],
+    }
+
+
+def nulls_and_zeros(leads: DataFrame) -> DataFrame:
+    """Nulls of every lead column, zeros and empty texts of those that have
+    such a meaning; one scan."""
+    rows = long_form(condition_counts(leads, _null_checks(leads.columns)), "_check", "n")
+    return rows.select(
+        F.split_part("_check", F.lit(":"), F.lit(1)).alias("column"),
+        F.split_part("_check", F.lit(":"), F.lit(2)).alias("check"),
+        "n",
     )
-    labels = leads.select(value_ranges.alias("JV"), year_ranges.alias("SALE_YR1"))
+
+
+def field_coverage(leads: DataFrame) -> DataFrame:
+    """Rows that carry each optional field."""
+    return long_form(condition_counts(leads, _coverage_checks()), "field", "n")
+
+
+def range_buckets(leads: DataFrame) -> DataFrame:
+    """Rows per value range and per sale-year range."""
+    labels = leads.select(*[bucket_label(ranges).alias(c) for c, ranges in _ranges().items()])
     return (
         labels.groupBy("JV", "SALE_YR1")  # at most 25 groups leave the scan
         .agg(F.count(F.lit(1)).alias("n"))
@@ -148,6 +159,29 @@ def range_buckets(leads: DataFrame) -> DataFrame:
     )
 
 
+def load_checks() -> dict[str, Column]:
+    """The conditions of the three profiles above, to be counted while leads are
+    written; named ``profile:column:label``."""
+    checks = {f"nulls:{name}": c for name, c in _null_checks(LEAD_COLUMNS).items()}
+    checks.update({f"coverage:{name}:filled": c for name, c in _coverage_checks().items()})
+    for column, ranges in _ranges().items():
+        checks.update({f"bucket:{column}:{label}": c for label, c in ranges})
+    return checks
+
+
+def load_profile(tables: LeadTables, table: str = "leads") -> DataFrame:
+    """(profile, column, label, n) of a stored table: the sums of what its loads have
+    counted, without reading a row. If one has not counted, all rows are read, once."""
+    checks, parts = load_checks(), tables.parts(table)
+    if all(checks.keys() <= part.counts.keys() for part in parts):
+        sums = [(name, sum(p.counts[name] for p in parts)) for name in checks]
+        rows = tables.spark.createDataFrame(sums, "_check string, n bigint")
+    else:
+        rows = long_form(condition_counts(tables.read(table), checks), "_check", "n")
+    at = [F.split_part("_check", F.lit(":"), F.lit(i)) for i in (1, 2, 3)]
+    return rows.select(at[0].alias("profile"), at[1].alias("column"), at[2].alias("label"), "n")
+
+
 def describe_numbers(df: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     """Per column: nulls, zeros, rows below its threshold, smallest positive
     value, min, max, mean and exact median.

@@ -18,6 +18,7 @@ from parcelight.plans.cleaning import clean_leads, fit_cleaning, sketch_load
 from parcelight.plans.export import export_leads
 from parcelight.plans.features import engineer
 from parcelight.plans.ingest import build_leads, resume_slice
+from parcelight.plans.profiling import load_checks
 from parcelight.sinks import (
     append_new_rows,
     append_rows,
@@ -59,12 +60,14 @@ def load_leads(
     goal: int | None = None,
     strict_nulls: bool = False,
     sketch: bool = False,
+    profile: bool = False,
 ) -> int:
     """Loads leads from the source files of ``folder``, up to ``goal`` rows in
     total, after the rows already loaded. Returns the rows added. A load that stops
     short keeps what it has built: the next one reads its rows from there, not from the
     source files. When all are loaded, nothing is kept. ``sketch`` also stores a sketch of
-    the values of this load, for an approximate fence."""
+    the values of this load, for an approximate fence; ``profile`` counts what
+    ``profiling.load_profile`` tells, as the rows are written."""
     loaded = tables.rows("leads")
     if goal is not None and loaded >= goal:
         return 0
@@ -73,7 +76,10 @@ def load_leads(
     else:
         leads = _built_leads(tables, folder, strict_nulls)
     rest = resume_slice(leads, loaded, goal).select(*LEAD_COLUMNS)
-    added = append_new_rows(rest, tables, "leads", "OBJECTID", unique=True)
+    added = append_new_rows(
+        rest, tables, "leads", "OBJECTID", unique=True,
+        checks=load_checks() if profile else None,
+    )
     if tables.rows(BUILT) and tables.rows("leads") >= tables.rows(BUILT):
         tables.commits.commit(lambda state: state.pop(BUILT, None))
     if sketch and added:

@@ -26,9 +26,15 @@ _PAGE_ROWS = 5_000
 _AGAIN = 3
 
 
-def write_part(df: DataFrame, tables: LeadTables, table: str, **tags: str) -> Part:
-    """Writes the rows of a part, which no commit lists yet; the row count is observed
-    during the write.
+def write_part(
+    df: DataFrame,
+    tables: LeadTables,
+    table: str,
+    checks: dict[str, Column] | None = None,
+    **tags: str,
+) -> Part:
+    """Writes the rows of a part, which no commit lists yet; the row count, and that of
+    the rows that meet each of ``checks``, are observed during the write.
 
     Rows of a table that is read by some columns are sorted by them within each file, so
     the minima and maxima of pages let a scan pass over the others; nothing is shuffled
@@ -36,11 +42,13 @@ def write_part(df: DataFrame, tables: LeadTables, table: str, **tags: str) -> Pa
     """
     path = tables.new_part(table)
     seen = Observation()
-    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    found = [F.count_if(c).alias(name) for name, c in (checks or {}).items()]
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *found)
     if table in CLUSTERING:
         rows = rows.sortWithinPartitions(*CLUSTERING[table])
     rows.write.option("parquet.page.row.count.limit", _PAGE_ROWS).parquet(f"{tables.root}/{path}")
-    part = Part(path, seen.get["rows"], tags)
+    counts = dict(seen.get)
+    part = Part(path, counts.pop("rows"), tags, counts=counts)
     if "key" in tags and part.rows >= INDEXED:
         return replace(part, keys=_write_keys(tables, table, part, tags["key"]))
     return part
@@ -72,6 +80,10 @@ def compact(tables: LeadTables, table: str) -> None:
         rows = tables.read_parts(TABLE_SCHEMAS[table], old)
         tags = {**old[0].tags, "level": str(int(old[0].tags.get("level", "0")) + 1)}
         merged = write_part(rows.coalesce(1), tables, table, **tags)
+        counted = set.intersection(*[set(part.counts) for part in old])
+        merged = replace(
+            merged, counts={name: sum(p.counts[name] for p in old) for name in sorted(counted)}
+        )
 
         def swap(state: State) -> None:
             if not all(part in state.get(table, []) for part in old):
@@ -84,9 +96,11 @@ def compact(tables: LeadTables, table: str) -> None:
             return
 
 
-def overwrite_table(df: DataFrame, tables: LeadTables, table: str) -> int:
+def overwrite_table(
+    df: DataFrame, tables: LeadTables, table: str, checks: dict[str, Column] | None = None
+) -> int:
     """Replaces a stage table; its rows are there until the new ones are written."""
-    part = write_part(conform(df, table), tables, table)
+    part = write_part(conform(df, table), tables, table, checks)
 
     def change(state: State) -> None:
         state[table] = [part]
@@ -112,6 +126,7 @@ def append_new_rows(
     key: str,
     order: Column | None = None,
     unique: bool = False,
+    checks: dict[str, Column] | None = None,
 ) -> int:
     """Appends the rows whose key the table does not hold yet.
 
@@ -119,6 +134,7 @@ def append_new_rows(
     states that there is only one. Known rows leave before any of that. Applying
     the same batch again changes nothing. The batch is brought into the layout
     of the table first. If others append meanwhile, it is done again on what they left.
+    ``checks`` are counted over the rows appended, as they are written.
     """
     for last in (*[False] * (_AGAIN - 1), True):
         held = tables.parts(table)
@@ -129,7 +145,7 @@ def append_new_rows(
         fresh = conform(new, table)
         if "created_at" in fresh.columns and "created_at" not in batch.columns:
             fresh = fresh.withColumn("created_at", F.current_timestamp())
-        part = write_part(fresh, tables, table, key=key)
+        part = write_part(fresh, tables, table, checks, key=key)
         if not part.rows:
             return 0
         try:

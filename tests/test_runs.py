@@ -229,3 +229,38 @@ def test_sketches_that_do_not_cover_the_rows_are_not_used(spark, tables, county)
     schema = tables.read("leads").select(*LEAD_COLUMNS).schema
     runs.overwrite_table(spark.createDataFrame(rows[:20], schema), tables, "leads")
     assert not tables.parts(runs.SKETCHES)  # they went with the rows
+
+
+def test_profiles_of_a_load_read_no_rows(spark, tables, county, monkeypatch):
+    from parcelight.plans import profiling
+
+    load_leads(tables, county, goal=30, profile=True)
+    load_leads(tables, county, goal=60, profile=True)
+    leads = tables.read("leads")
+    expect = {("nulls", r.column, r.check): r.n for r in profiling.nulls_and_zeros(leads).collect()}
+    expect |= {("coverage", r.field, "filled"): r.n
+               for r in profiling.field_coverage(leads).collect()}
+    expect |= {("bucket", r.column, r.bucket): r.n for r in profiling.range_buckets(leads).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(tables, "read", None)
+        counted = profiling.load_profile(tables).collect()
+    assert {tuple(r)[:3]: r.n for r in counted if r.n or r.profile != "bucket"} == expect
+    load_leads(tables, county)  # does not count: the rows are read
+    scanned = profiling.load_profile(tables).collect()
+    nulls = profiling.nulls_and_zeros(tables.read("leads")).collect()
+    assert {(r.column, r.label): r.n for r in scanned if r.profile == "nulls"} == {
+        (r.column, r.check): r.n for r in nulls}
+
+
+def test_merged_parts_keep_what_was_counted(spark, tables):
+    from parcelight import sinks
+    from parcelight.plans import profiling
+
+    for i in range(5):
+        rows = spark.range(i * 10, i * 10 + 10).select(
+            F.col("id").alias("OBJECTID"), F.when(F.col("id") % 3 == 0, 0.0).alias("JV"))
+        sinks.append_new_rows(rows, tables, "leads", "OBJECTID", checks=profiling.load_checks())
+    assert len(tables.parts("leads")) == 2
+    found = {tuple(r)[:3]: r.n for r in profiling.load_profile(tables).collect()}
+    assert found["nulls", "JV", "zeros"] == found["bucket", "JV", "zero"] == 17
+    assert found["nulls", "JV", "nulls"] == 33 and found["nulls", "Parcel", "nulls"] == 50

@@ -271,10 +271,10 @@ def test_scores_and_their_run_are_there_together(spark, tables, monkeypatch):
     sinks.append_run_scores(_scores(spark, [1]), tables, "R1", "PREDICT")
     write = module.write_part
 
-    def failing(df, tables, table, **tags):
+    def failing(df, tables, table, *checks, **tags):
         if table == "scored_runs":
             raise OSError("disk full")
-        return write(df, tables, table, **tags)
+        return write(df, tables, table, *checks, **tags)
 
     monkeypatch.setattr(module, "write_part", failing)
     for replace in (False, True):
@@ -300,8 +300,8 @@ def test_writers_do_not_lose_each_others_rows(spark, tables, monkeypatch):
 
     write, others = module.write_part, [batch(2, 3)]
 
-    def overtaken(df, tables, table, **tags):
-        part = write(df, tables, table, **tags)
+    def overtaken(df, tables, table, *checks, **tags):
+        part = write(df, tables, table, *checks, **tags)
         if others:  # another writer commits first
             sinks.append_new_rows(others.pop(), tables, table, "OBJECTID")
         return part
