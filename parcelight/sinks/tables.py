@@ -31,6 +31,7 @@ def write_part(
     tables: LeadTables,
     table: str,
     checks: dict[str, Column] | None = None,
+    index_from: int | None = None,
     **tags: str,
 ) -> Part:
     """Writes the rows of a part, which no commit lists yet; the row count, and that of
@@ -38,7 +39,8 @@ def write_part(
 
     Rows of a table that is read by some columns are sorted by them within each file, so
     the minima and maxima of pages let a scan pass over the others; nothing is shuffled
-    for it. A part with a ``key`` tag keeps its keys by bucket if it is large.
+    for it. A part with a ``key`` tag keeps its keys by bucket if it has
+    ``index_from`` rows (:data:`INDEXED`).
     """
     path = tables.new_part(table)
     seen = Observation()
@@ -49,7 +51,7 @@ def write_part(
     rows.write.option("parquet.page.row.count.limit", _PAGE_ROWS).parquet(f"{tables.root}/{path}")
     counts = dict(seen.get)
     part = Part(path, counts.pop("rows"), tags, counts=counts)
-    if "key" in tags and part.rows >= INDEXED:
+    if "key" in tags and part.rows >= (INDEXED if index_from is None else index_from):
         return replace(part, keys=_write_keys(tables, table, part, tags["key"]))
     return part
 
@@ -127,6 +129,7 @@ def append_new_rows(
     order: Column | None = None,
     unique: bool = False,
     checks: dict[str, Column] | None = None,
+    index_from: int | None = None,
 ) -> int:
     """Appends the rows whose key the table does not hold yet.
 
@@ -145,7 +148,7 @@ def append_new_rows(
         fresh = conform(new, table)
         if "created_at" in fresh.columns and "created_at" not in batch.columns:
             fresh = fresh.withColumn("created_at", F.current_timestamp())
-        part = write_part(fresh, tables, table, checks, key=key)
+        part = write_part(fresh, tables, table, checks, index_from, key=key)
         if not part.rows:
             return 0
         try:

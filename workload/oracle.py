@@ -395,7 +395,7 @@ def _flags() -> str:
     )
 
 
-def _nulls_and_zeros() -> str:
+def _nulls_and_zeros(table: str = "clean") -> str:
     parts = []
     for c in ("JV", "ACT_YR_BLT", "EFF_YR_BLT", "TOT_LVG_AR", "SALE_PRC1",
               "SALE_PRC2", "LND_SQFOOT", "NO_BULDNG", "JV_HMSTD"):
@@ -405,7 +405,7 @@ def _nulls_and_zeros() -> str:
     for c in LEAD_COLUMNS.split(", "):
         parts.append((c, "nulls", f"{c} IS NULL"))
     return "\nUNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", '{k}' AS \"check\", count(*) FILTER ({e}) AS n FROM clean"
+        f"SELECT '{c}' AS \"column\", '{k}' AS \"check\", count(*) FILTER ({e}) AS n FROM {table}"
         for c, k, e in parts
     )
 
@@ -442,7 +442,16 @@ def _coverage() -> str:
     )
 
 
-def _buckets() -> str:
+COVERAGE = {
+    **{c: f"{c} > 0" for c in (
+        "TOT_LVG_AR", "EFF_YR_BLT", "LND_SQFOOT", "SALE_PRC1", "SALE_PRC2", "SALE_YR2",
+        "NO_BULDNG", "JV_HMSTD", "ACT_YR_BLT")},
+    **{c: f"{c} <> ''" for c in ("QUAL_CD1", "NBRHD_CD", "OWN_STATE_")},
+    "out_of_state": "OWN_STATE_ <> 'FL' AND OWN_STATE_ <> ''",
+}
+
+
+def _buckets(least: int = 1) -> str:
     ranges = {
         "JV": [("zero", "JV = 0"), ("under 50k", "JV > 0 AND JV < 50000"),
                ("50k-200k", "JV >= 50000 AND JV < 200000"),
@@ -458,7 +467,7 @@ def _buckets() -> str:
         f"SELECT '{c}' AS \"column\", '{b}' AS bucket, count(*) FILTER ({e}) AS n FROM leads"
         for c, buckets in ranges.items() for b, e in buckets
     )
-    return f"SELECT * FROM ({rows}) WHERE n > 0"
+    return f"SELECT * FROM ({rows}) WHERE n >= {least}"
 
 
 def _fold_top(columns: dict[str, int | None]) -> str:
@@ -516,6 +525,9 @@ ORACLE: dict[str, str] = {
     "sink_append_ignore_dups": with_ctes(
         "leads", "SELECT OBJECTID, Parcel, CASE WHEN DOR_UC IN ('001', '002', '007', '010') "
         "THEN JV + 1 ELSE JV END AS JV FROM leads"),
+    "sink_append_indexed": with_ctes(
+        "leads", "SELECT OBJECTID, Parcel, CASE WHEN DOR_UC IN ('001', '002', '007', '010') "
+        "THEN JV + 1 ELSE JV END AS JV FROM leads"),
     "sink_append_layout": with_ctes(
         "leads", "SELECT OBJECTID, Parcel, CASE WHEN OBJECTID % 2 = 1 THEN ACT_YR_BLT END AS ACT_YR_BLT, "
         "CASE WHEN OBJECTID % 2 = 1 THEN PHY_CITY END AS PHY_CITY, NULL::DOUBLE AS JV FROM leads"),
@@ -573,6 +585,9 @@ ORACLE: dict[str, str] = {
     "clean_value_fence": with_ctes(
         "fence", "SELECT round(q1, 4) AS q1, round(q3, 4) AS q3, "
         "round(upper_bound, 4) AS upper_bound FROM fence"),
+    "clean_sketched_fence": with_ctes("valued", """
+        SELECT quartile, (SELECT count(*) FROM valued) AS n, true AS within_error
+        FROM (VALUES ('q1'), ('q3')) AS q(quartile)"""),
     "clean_jv_iqr": with_ctes("kept", "SELECT OBJECTID, DOR_UC, JV FROM kept"),
     "clean_city_corrections": with_ctes("spelled", "SELECT OBJECTID, PHY_CITY FROM spelled"),
     "clean_city_fill": with_ctes("placed", "SELECT OBJECTID, PHY_CITY, PHY_ZIPCD FROM placed"),
@@ -658,14 +673,12 @@ ORACLE: dict[str, str] = {
             _top("leads", c, n) for c, n in
             (("PHY_CITY", 20), ("DOR_UC", 20), ("QUAL_CD1", 20), ("OWN_STATE_", 20)))),
     "profile_nulls_zeros": with_ctes("clean", _nulls_and_zeros()),
-    "profile_coverage": with_ctes(
-        "leads", _counts("leads", {
-            **{c: f"{c} > 0" for c in (
-                "TOT_LVG_AR", "EFF_YR_BLT", "LND_SQFOOT", "SALE_PRC1", "SALE_PRC2", "SALE_YR2",
-                "NO_BULDNG", "JV_HMSTD", "ACT_YR_BLT")},
-            **{c: f"{c} <> ''" for c in ("QUAL_CD1", "NBRHD_CD", "OWN_STATE_")},
-            "out_of_state": "OWN_STATE_ <> 'FL' AND OWN_STATE_ <> ''",
-        }, "field", "n")),
+    "profile_coverage": with_ctes("leads", _counts("leads", COVERAGE, "field", "n")),
+    "profile_of_load": with_ctes("leads", f"""
+        SELECT 'nulls' AS profile, "column", "check" AS label, n FROM ({_nulls_and_zeros("leads")})
+        UNION ALL SELECT 'coverage', field, 'filled', n
+        FROM ({_counts("leads", COVERAGE, "field", "n")})
+        UNION ALL SELECT 'bucket', "column", bucket, n FROM ({_buckets(0)})"""),
     "profile_buckets": with_ctes("leads", _buckets()),
     "profile_describe": with_ctes("history_rows", "SELECT 1").replace(
         "\nSELECT 1", f",\n{LATEST_VALUES}\n"
@@ -778,7 +791,7 @@ ORACLE: dict[str, str] = {
         f"SELECT '{c}' AS feature, true AS is_share, 1.0::DOUBLE AS total" for c in INPUTS),
     "ml_cross_validation": with_ctes(
         "folded", "SELECT fold, count(*) FILTER (hot_lead = 1) AS hot, "
-        "count(*) FILTER (hot_lead = 0) AS cold, true AS f1_follows FROM folded GROUP BY fold"),
+        "count(*) FILTER (hot_lead = 0) AS cold, true AS above_chance FROM folded GROUP BY fold"),
     "ml_held_out_rows": with_ctes(
         "folded", "SELECT OBJECTID, fold, PHY_CITY, true AS is_class FROM folded"),
     "run_train_predict": with_ctes("scores leads", f"""

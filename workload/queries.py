@@ -22,7 +22,7 @@ from parcelight.constants import (
     SOURCE_COLUMNS,
     SOURCE_FILES,
 )
-from parcelight.operators import number_rows, top_counts
+from parcelight.operators import RANK_ERROR, number_rows, top_counts
 from parcelight.plans import (
     audit,
     cleaning,
@@ -140,6 +140,17 @@ def sink_append_ignore_dups(spark, sf_dir):
     return tables.read("leads").select("OBJECTID", "Parcel", "JV")
 
 
+@query
+def sink_append_indexed(spark, sf_dir):
+    """As above, with the keys of each part kept by bucket."""
+    tables = sources.LeadTables(spark, new_path(spark, "indexed"))
+    rows = views.leads(spark, sf_dir).select(*LEAD_COLUMNS)
+    first = by_codes(rows, list(RESIDENTIAL_CODES)).withColumn("JV", F.col("JV") + 1)
+    for batch in (first, rows, rows.where("OBJECTID % 7 = 0")):
+        sinks.append_new_rows(batch, tables, "leads", "OBJECTID", index_from=1)
+    return tables.read("leads").select("OBJECTID", "Parcel", "JV")
+
+
 @query
 def sink_append_layout(spark, sf_dir):
     """A batch that lacks columns, then one with values as text."""
@@ -312,6 +323,26 @@ def _filtered(spark, sf_dir):
     return cleaning.filter_leads(stored, cleaning.fit_fence(stored))
 
 
+@query
+def clean_sketched_fence(spark, sf_dir):
+    """Quartiles of the eligible values from the sketches of two loads: how many values
+    are behind them, and that their ranks are within the stated error."""
+    leads = views.leads(spark, sf_dir)
+    loads = [leads.where(F.col("OBJECTID") % 2 == i) for i in (0, 1)]
+    sketches = materialize(
+        cleaning.sketch_load(loads[0]).union(cleaning.sketch_load(loads[1])), "sketches")
+    fence = cleaning.sketched_fence(sketches).first()
+    value, n = F.col("JV"), F.count(F.lit(1))
+    error = RANK_ERROR + 1 / n  # a rank is one value on either side, whatever the error
+    within = [
+        ((F.avg((value < fence[q]).cast("int")) - error <= p)
+         & (F.avg((value <= fence[q]).cast("int")) + error >= p)).alias(q)
+        for q, p in (("q1", 0.25), ("q3", 0.75))
+    ]
+    ranks = cleaning.eligible_leads(leads).agg(n.alias("n"), *within)
+    return ranks.unpivot("n", ["q1", "q3"], "quartile", "within_error")
+
+
 @query
 def clean_jv_iqr(spark, sf_dir):
     return _filtered(spark, sf_dir).select(
@@ -490,6 +521,18 @@ def profile_buckets(spark, sf_dir):
     return profiling.range_buckets(views.leads(spark, sf_dir))
 
 
+@query
+def profile_of_load(spark, sf_dir):
+    """What two loads counted as they were written; no row is read for it."""
+    tables = sources.LeadTables(spark, new_path(spark, "profiled"))
+    rows = views.leads(spark, sf_dir).select(*LEAD_COLUMNS)
+    for load in (0, 1):
+        sinks.append_new_rows(
+            rows.where(F.col("OBJECTID") % 2 == load), tables, "leads", "OBJECTID",
+            unique=True, checks=profiling.load_checks())
+    return profiling.load_profile(tables)
+
+
 @query
 def profile_describe(spark, sf_dir):
     latest = profiling.latest_values(
@@ -718,14 +761,13 @@ def ml_feature_importance(spark, sf_dir):
 
 @query
 def ml_cross_validation(spark, sf_dir):
-    """Rows of each fold by actual class, and that F1 is above chance."""
+    """Rows of each fold by actual class, and that F1 is above that of calling every row
+    hot, the best a guess without inputs can do."""
     folds = views.training(spark, sf_dir).folds
-    f1 = F.col("f1")
+    hot, cold = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
     return folds.select(
-        "fold", (F.col("tp") + F.col("fn")).alias("hot"),
-        (F.col("fp") + F.col("tn")).alias("cold"),
-        (F.abs(f1 - 2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))) < 1e-9)
-        .alias("f1_follows"),
+        "fold", hot.alias("hot"), cold.alias("cold"),
+        (F.col("f1") > 2 * hot / (2 * hot + cold)).alias("above_chance"),
     )
 
 
