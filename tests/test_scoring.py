@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +129,21 @@ def test_diagnostics(spark):
     assert errors == {"missed": 3, "false alarm": 2}
     rates = {r.fold: (r.hot_pct, r.top_city) for r in diagnostics.fold_label_rate(df).collect()}
     assert rates == {1: (66.6667, "A"), 2: (50.0, "A")}
+
+
+def test_model_and_folds_are_fitted_side_by_side(spark, monkeypatch):
+    names = ["JV", "LND_VAL"]
+    rows = spark.range(200).select(
+        F.col("id").alias("OBJECTID"), F.col("id").cast("double").alias("JV"),
+        (F.col("id") % 7).cast("double").alias("LND_VAL"),
+        (F.col("id") % 3 == 0).cast("int").alias("hot_lead"),
+    )
+    together, plain = threading.Barrier(4), scoring.fit
+
+    def fit(*given, **params):
+        together.wait(60)  # fails unless the four fits are under way at once
+        return plain(*given, **params)
+
+    monkeypatch.setattr(scoring, "fit", fit)
+    trained = scoring.train(rows, columns=names, cv_folds=3, trees=2)
+    assert trained.held_out.count() == 200 and trained.folds.count() == 3
