@@ -16,6 +16,8 @@ character like others. Line ends inside a field read as ``\\n``.
 
 from __future__ import annotations
 
+from os.path import commonprefix
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,24 @@ from parcelight.storage import materialize
 SPLIT = ["file", "start"]
 
 
+def file_name(names: list[str]) -> Column:
+    """The file of a row, among files of these names, in the order of the names but
+    without what they share at both ends: it travels with every row."""
+    path = F.col("_metadata.file_path")
+    names = [name.replace(":///", ":/", 1) for name in names]  # as in the metadata
+    start = len(commonprefix(names))
+    rests = [name[start:] for name in names]
+    end = 0
+    if len({len(rest) for rest in rests}) == 1:  # else the order might change
+        end = len(commonprefix([rest[::-1] for rest in rests]))
+    if not names or not start + end:
+        return path
+    shared = F.startswith(path, F.lit(names[0][:start])) & F.endswith(
+        path, F.lit(names[0][len(names[0]) - end:])
+    )
+    return F.when(shared, F.substring(path, F.lit(start + 1), F.length(path) - (start + end))).otherwise(path)
+
+
 def _patterns(sep: str) -> tuple[str, str]:
     """Lines, without doubled quotes, that end inside a field if they begin outside, and
     if inside."""
@@ -42,8 +62,9 @@ def read_lines(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     has_quote = F.contains(value, F.lit('"'))
     ends = [F.when(has_quote, value.rlike(p)).otherwise(F.lit(bool(i))).cast("int")
             for i, p in enumerate((outside, inside))]
-    return spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+    text = spark.read.text(path)
+    return text.select(
+        file_name(text.inputFiles()).alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("row"),
         "value", ends[0].alias("_out"), ends[1].alias("_in"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelight.constants import SOURCE_COLUMNS, SOURCE_FILES
 from parcelight.functions import missing_to_null
 from parcelight.operators.shape import require_columns
-from parcelight.sources.quoted import read_records
+from parcelight.sources.quoted import file_name, read_records
 
 # Column holding the place of a row in its source file.
 ORDINAL = "_ord"
@@ -44,7 +44,7 @@ def read_tsv(
     records = read_records(spark, path) if line_breaks else None
     if records is None:
         place = F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            file_name(raw.inputFiles()).alias("file"),
             F.col("_metadata.file_block_start").alias("start"),
             F.monotonically_increasing_id().alias("row"),
         )

@@ -451,3 +451,38 @@ def test_an_index_that_dies_leaves_the_rows(spark, tables, small_indexes, monkey
         sinks.append_new_rows(
             spark.range(200).withColumnRenamed("id", "OBJECTID"), tables, "leads", "OBJECTID")
     assert tables.is_empty("leads") and tables.read("leads").count() == 0
+
+
+@pytest.mark.parametrize("names", [
+    ["a-01 é%20-end.txt", "a-02 é%20-end.txt", "a-10 é%20-end.txt"],
+    ["a.txt", "ab.txt", "b.txt"], ["a-01.txt", "a-02.txt"], ["one.txt"],
+])
+def test_place_in_file_order_is_short(spark, tmp_path, names):
+    """What all file names share does not travel with every row."""
+    plain = names[0].isascii()
+    folder = tmp_path / ("folder" if plain else "a folder, é%41")
+    folder.mkdir()
+    for broken in (False, True):
+        for i, name in enumerate(names):
+            second = '"x\ny"' if broken else "x"
+            (folder / name).write_text(f"Parcel\tA\n{i}-0\tx\n{i}-1\t{second}\n")
+        df = sources.read_tsv(spark, str(folder)).repartition(5).orderBy("_ord")
+        rows = df.select("Parcel", "_ord.file").collect()
+        assert [r.Parcel for r in rows] == [f"{i}-{k}" for i in range(len(names)) for k in range(2)]
+        assert len({r.file for r in rows}) == len(names)
+        # Paths that are written in two ways are kept whole.
+        assert not plain or max(len(r.file) for r in rows) <= max(map(len, names))
+
+
+def test_a_scanned_table_alone_is_written(spark, tmp_path, monkeypatch):
+    """Scanning one file does not write the other five."""
+    from workload import views
+
+    written = []
+    monkeypatch.setattr(views, "write_tsv", lambda rows, path: written.append(path))
+    given = spark.createDataFrame([("k",)], "Parcel string")
+    monkeypatch.setattr(views, "SOURCES", {t: lambda *_: given for t in views.SOURCES})
+    path = views.source_file(spark, str(tmp_path), "owners")
+    assert written == [path] and path == views.source_file(spark, str(tmp_path), "owners")
+    folder = views.source_folder(spark, str(tmp_path))
+    assert len(written) == len(set(written)) == 6 and path.startswith(f"{folder}/")

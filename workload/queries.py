@@ -20,7 +20,6 @@ from parcelight.constants import (
     MODEL_COLUMNS,
     RESIDENTIAL_CODES,
     SOURCE_COLUMNS,
-    SOURCE_FILES,
 )
 from parcelight.operators import RANK_ERROR, number_rows, top_counts
 from parcelight.plans import (
@@ -63,19 +62,15 @@ def _row_wise(name: str, table: str, **columns) -> None:
 # -- sources ----------------------------------------------------------------------
 
 
-def _file(spark: SparkSession, sf_dir: str, table: str) -> str:
-    return f"{views.source_folder(spark, sf_dir)}/{SOURCE_FILES[table]}"
-
-
 @query
 def src_tsv_scan(spark, sf_dir):
-    path = _file(spark, sf_dir, "owners")
+    path = views.source_file(spark, sf_dir, "owners")
     return sources.read_tsv(spark, path, SOURCE_COLUMNS["owners"], ordinal=False)
 
 
 @query
 def src_tsv_full_width(spark, sf_dir):
-    rows = sources.read_tsv(spark, _file(spark, sf_dir, "sales"), ordinal=False)
+    rows = sources.read_tsv(spark, views.source_file(spark, sf_dir, "sales"), ordinal=False)
     # A number's text may differ between engines, its value does not.
     return rows.withColumn("Sale_Price", X.parse_number("Sale_Price"))
 

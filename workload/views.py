@@ -192,7 +192,8 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # -- source files ------------------------------------------------------------------
 
-_files: dict[tuple[str, str], str] = {}
+_folders: dict[tuple[str, str], str] = {}
+_files: set[str] = set()
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
@@ -205,17 +206,24 @@ def write_tsv(df: DataFrame, path: str) -> None:
     )
 
 
-def source_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The six tables as tab-separated files, written on first use and kept
-    for the session."""
+def source_file(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """A table as tab-separated files, written on first use and kept for the
+    session, in a folder for all six."""
     key = (spark.conf.get("spark.app.id"), sf_dir)
-    if key not in _files:
-        folder = new_path(spark, "county")
-        for name, rows in source_tables(spark, sf_dir).items():
-            extra = rows.withColumn("Remark", F.lit("not read"))
-            write_tsv(extra, f"{folder}/{SOURCE_FILES[name]}")
-        _files[key] = folder
-    return _files[key]
+    if key not in _folders:
+        _folders[key] = new_path(spark, "county")
+    path = f"{_folders[key]}/{SOURCE_FILES[table]}"
+    if path not in _files:
+        rows = SOURCES[table](spark, sf_dir)
+        write_tsv(rows.withColumn("Remark", F.lit("not read")), path)
+        _files.add(path)
+    return path
+
+
+def source_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the six tables, all of them written."""
+    paths = [source_file(spark, sf_dir, table) for table in SOURCES]
+    return paths[0].rpartition("/")[0]
 
 
 # -- stage tables -----------------------------------------------------------------
