@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,7 +22,8 @@ def parse_number(c: Column | str) -> Column:
     c = _col(c)
     number = c.try_cast("double")
     finite = F.abs(number) <= _LARGEST  # false for NaN as well
-    plain = F.translate(c, _NOT_PLAIN, "") == c
+    # Looking for a byte costs far less than taking letters out of every text.
+    plain = reduce(and_, [~F.contains(c, F.lit(letter)) for letter in _NOT_PLAIN])
     return F.when(finite & plain, number)
 
 

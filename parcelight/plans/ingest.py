@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,19 +106,22 @@ def _improvements(df: DataFrame) -> DataFrame:
     buildings = _keyed(
         drop_non_buildings(df).where(F.col("Parcel").isNotNull())
     ).withColumn("area", number_or_zero("Heated_SquareFeet"))
-    largest = F.struct("Actual_YrBlt", "Effective_YrBlt", "area")
-    largest_first = F.struct((-F.col("area")).alias("by_area"), F.col(ORDINAL))
+    # The order comes first and is total, so the smallest struct is the winner's: one
+    # buffer to compare and to shuffle, where ``min_by`` has two.
+    largest_first = F.struct(
+        (-F.col("area")).alias("by_area"), F.col(ORDINAL), "Actual_YrBlt", "Effective_YrBlt"
+    )
     return (
         buildings.groupBy(KEY)
         .agg(
-            F.min_by(largest, largest_first).alias("largest"),
+            F.min(largest_first).alias("largest"),
             F.countDistinct("Bldg_Num").cast("int").alias("NO_BULDNG"),
         )
         .select(
             KEY,
             number_or_zero(F.col("largest.Actual_YrBlt")).alias("ACT_YR_BLT"),
             number_or_zero(F.col("largest.Effective_YrBlt")).alias("EFF_YR_BLT"),
-            F.col("largest.area").alias("TOT_LVG_AR"),
+            (-F.col("largest.by_area")).alias("TOT_LVG_AR"),
             "NO_BULDNG",
             F.col("NO_BULDNG").alias("NO_RES_UNT"),
         )
@@ -154,8 +159,10 @@ def _sales(df: DataFrame) -> DataFrame:
 
 def drop_non_buildings(improvements: DataFrame) -> DataFrame:
     """Without ownership-history lines; a missing type is kept."""
-    kind = strip(F.coalesce("Imprv_Type", F.lit("")))
-    return improvements.where(~kind.isin(*NON_BUILDING_TYPES))
+    kind = F.coalesce("Imprv_Type", F.lit(""))
+    # Most types do not even hold such a name; only the others are stripped.
+    holds = reduce(or_, [F.contains(kind, F.lit(name)) for name in NON_BUILDING_TYPES])
+    return improvements.where(~(holds & strip(kind).isin(*NON_BUILDING_TYPES)))
 
 
 def prepare_property(df: DataFrame, strict_nulls: bool = False) -> DataFrame:

@@ -18,6 +18,14 @@ def test_parse_number(spark):
     assert _values(spark, ["x", None, "4"], X.number_or_zero) == [0.0, 0.0, 4.0]
 
 
+def test_numbers_are_parsed_without_rebuilding_the_text(spark):
+    df = spark.createDataFrame([("1",)], "t string")
+    plan = df.select(X.number_or_zero("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" not in plan.lower()
+    letters = ["1d", "1D", "1f", "1F", " 1d ", "0x1P3", "0X1p3", "d", "1e5F", "-2.5D"]
+    assert _values(spark, letters, X.parse_number) == [None] * len(letters)
+
+
 def test_missing_tokens_match_whole_text_only(spark):
     assert _values(spark, list(NA_TOKENS), X.missing_to_null) == [None] * len(NA_TOKENS)
     kept = [" NA", "NAN", "none", "0", "null "]

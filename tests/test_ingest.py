@@ -126,6 +126,25 @@ def test_resume_slice_and_layout(sources):
         ingest.select_lead_columns(leads.drop("JV"))
 
 
+def test_improvements_compare_one_struct_and_strip_few_types(spark):
+    kinds = ["SOHM", " NSOHM\u00a0", "xSOHM", "SOHM x", "", None, "sohm", "SO HM", "\u2003SOHM\t"]
+    rows = [("P", k, "0", "0", "1", str(i)) for i, k in enumerate(kinds)]
+    # Equal areas, the last of them written another way: the first row wins.
+    rows += [("Q", "A", y, e, a, "1") for y, e, a in
+             [(None, "7", "50"), ("1", None, "50.0"), ("0", "1", " 5e1 "), ("9", "9", "-0")]]
+    rows += [("R", "A", "5", None, "bad", None), ("R", "A", "4", "4", None, None)]
+    table = _table(spark, "improvements", rows)
+    kept = ingest.drop_non_buildings(table.where("Parcel = 'P'")).collect()
+    assert sorted(r.Bldg_Num for r in kept) == ["2", "3", "4", "5", "6", "7"]
+    found = ingest.prepare_improvements(table)
+    out = {r.Parcel: r for r in found.collect()}
+    best = lambda r: (r.ACT_YR_BLT, r.EFF_YR_BLT, r.TOT_LVG_AR, r.NO_BULDNG)
+    assert best(out["Q"]) == (0.0, 7.0, 50.0, 1) and best(out["R"]) == (5.0, 0.0, 0.0, 0)
+    assert str(out["R"].TOT_LVG_AR) == "0.0" and out["P"].NO_BULDNG == 6
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" not in plan and "Contains" in plan
+
+
 def test_joins_add_no_shuffle(spark, sources):
     keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

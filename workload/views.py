@@ -130,13 +130,13 @@ def land(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem")
+    li = read(spark, sf_dir, "lineitem").withColumn("_shipped", F.year("l_shipdate"))
     flag = F.col("l_returnflag")
     kind = (
         F.when(flag == "R", "SOHM ").when(_every("l_suppkey", 19), "NSOHM")
         .when(_every("l_suppkey", 10, 7), None).otherwise(flag)
     )
-    shipped = F.year("l_shipdate")
+    shipped = F.col("_shipped")
     built = shipped - F.floor(F.col("l_quantity") / 3).cast("int")
     area = F.floor(F.col("l_extendedprice") / 20.0)
     return li.select(
