@@ -382,45 +382,82 @@ def first_parameters(bigrams: np.ndarray) -> np.ndarray:
     return flat
 
 
+class Room:
+    """Arrays that every batch uses again: fresh memory for them costs as much time as
+    what is computed in them."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, like: np.ndarray, *shape: int) -> np.ndarray:
+        """An array of this shape and the type of ``like``, with any content; the next
+        call by the same name gives the same memory."""
+        size = int(np.prod(shape))
+        held = self.held.get(name)
+        if held is None or held.size < size or held.dtype != like.dtype:
+            held = self.held[name] = np.empty(size, dtype=like.dtype)
+        return held[:size].reshape(shape)
+
+
 def attention(
-    p: dict[str, np.ndarray], x: np.ndarray, present: np.ndarray, normal: bool = True
+    p: dict[str, np.ndarray], x: np.ndarray, present: np.ndarray, normal: bool = True,
+    room: Room | None = None,
 ):
     """Hidden states of the scored places, with what a backward pass needs (it
-    needs ``normal`` weights).
+    needs ``normal`` weights), in arrays of ``room``.
     ``x``: vector rows (n, WINDOW); ``present``: places that hold a subword."""
     n = len(x)
-    inputs = p["vectors"][x] + p["places"]
+    room, like = room or Room(), p["vectors"]
+    inputs = np.take(like, x, axis=0, out=room("inputs", like, n, WINDOW, WIDTH), mode="clip")
+    inputs += p["places"]
     flat = inputs.reshape(-1, WIDTH)
-    key = (flat @ p["key"]).reshape(n, WINDOW, WIDTH)
-    value = (flat @ p["value"]).reshape(n, WINDOW, WIDTH)
-    own = inputs[:, CONTEXT:]
-    query = (own.reshape(-1, WIDTH) @ p["query"]).reshape(n, SCORED, WIDTH)
+    key, value = (
+        np.matmul(flat, p[name], out=room(name, like, n * WINDOW, WIDTH)).reshape(n, WINDOW, WIDTH)
+        for name in ("key", "value")
+    )
+    own = room("own", like, n * SCORED, WIDTH)
+    own.reshape(n, SCORED, WIDTH)[:] = inputs[:, CONTEXT:]
+    query = np.matmul(own, p["query"], out=room("query", like, n * SCORED, WIDTH))
     query *= np.float32(WIDTH**-0.5)
-    weight = np.matmul(query, key.transpose(0, 2, 1))
+    query = query.reshape(n, SCORED, WIDTH)
+    weight = np.matmul(query, key.transpose(0, 2, 1), out=room("weight", like, n, SCORED, WINDOW))
     np.minimum(weight, 60, out=weight)
     np.exp(weight, out=weight)
     weight *= _causal
     if not present.all():
         weight *= present[:, None, :].astype(weight.dtype)
     # The sum of the weights as one more value.
-    ones = np.ones((n, WINDOW, 1), dtype=value.dtype)
-    seen = np.matmul(weight, np.concatenate([value, ones], axis=2))
-    total = seen[..., -1:] + np.float32(1e-20)
-    seen = seen[..., :-1] / total
+    more = room("more", like, n, WINDOW, WIDTH + 1)
+    more[..., :-1], more[..., -1] = value, 1
+    summed = np.matmul(weight, more, out=room("summed", like, n, SCORED, WIDTH + 1))
+    total = summed[..., -1:] + np.float32(1e-20)
+    seen = np.divide(summed[..., :-1], total, out=room("seen", like, n, SCORED, WIDTH))
     if normal:
         weight /= total
-    hidden = own + (seen.reshape(-1, WIDTH) @ p["mixed"]).reshape(n, SCORED, WIDTH)
-    return inputs, key, value, query, weight, seen, hidden
+    hidden = np.matmul(
+        seen.reshape(-1, WIDTH), p["mixed"], out=room("hidden", like, n * SCORED, WIDTH)
+    )
+    hidden += own
+    return inputs, key, value, query, weight, seen, hidden.reshape(n, SCORED, WIDTH)
+
+
+def _logits(
+    p: dict[str, np.ndarray], hidden: np.ndarray, previous: np.ndarray, room: Room
+) -> np.ndarray:
+    like, flat = p["output"], hidden.reshape(-1, WIDTH)
+    logits = np.matmul(flat, like, out=room("logits", like, len(flat), CLASSES))
+    before = room("before", like, len(flat), CLASSES)
+    logits += np.take(p["bigram"], previous.ravel(), axis=0, out=before, mode="clip")
+    return logits
 
 
 def log_probabilities(
     p: dict[str, np.ndarray], x: np.ndarray, present: np.ndarray,
-    previous: np.ndarray, target: np.ndarray,
+    previous: np.ndarray, target: np.ndarray, room: Room | None = None,
 ) -> np.ndarray:
     """Natural log P(target class) of every scored place."""
-    hidden = attention(p, x, present, False)[-1].reshape(-1, WIDTH)
-    logits = hidden @ p["output"]
-    logits += p["bigram"][previous.ravel()]
+    room = room or Room()
+    logits = _logits(p, attention(p, x, present, False, room)[-1], previous, room)
     chosen = logits[np.arange(len(logits)), target.ravel()].astype(np.float64)
     np.minimum(logits, 80, out=logits)
     np.exp(logits, out=logits)
@@ -429,44 +466,62 @@ def log_probabilities(
 
 def gradients(
     p: dict[str, np.ndarray], x: np.ndarray, present: np.ndarray,
-    previous: np.ndarray, target: np.ndarray, scored: np.ndarray,
+    previous: np.ndarray, target: np.ndarray, scored: np.ndarray, room: Room | None = None,
 ) -> dict[str, np.ndarray]:
     """Of the mean negative log probability over the ``scored`` places."""
     n = len(x)
-    inputs, key, value, query, weight, seen, hidden = attention(p, x, present)
+    room, like = room or Room(), p["vectors"]
+    inputs, key, value, query, weight, seen, hidden = attention(p, x, present, room=room)
     flat = hidden.reshape(-1, WIDTH)
-    logits = flat @ p["output"] + p["bigram"][previous.ravel()]
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    d_logits = logits / logits.sum(axis=1, keepdims=True)
+    d_logits = _logits(p, hidden, previous, room)
+    d_logits -= d_logits.max(axis=1, keepdims=True)
+    np.exp(d_logits, out=d_logits)
+    d_logits /= d_logits.sum(axis=1, keepdims=True)
     d_logits[np.arange(len(d_logits)), target.ravel()] -= 1
     d_logits *= scored.reshape(-1, 1) / max(1, scored.sum())
-    out = {name: np.zeros(shape, dtype=np.float32) for name, shape in SHAPES.items()}
-    out["output"] = flat.T @ d_logits
-    is_previous = np.zeros((CLASSES, len(d_logits)), dtype=np.float32)
+    out = {"output": flat.T @ d_logits}
+    is_previous = room("is_previous", like, CLASSES, len(d_logits))
+    is_previous.fill(0)
     is_previous[previous.ravel(), np.arange(len(d_logits))] = 1
     out["bigram"] = is_previous @ d_logits
-    d_hidden = (d_logits @ p["output"].T).astype(np.float32)
+    d_hidden = np.matmul(d_logits, p["output"].T, out=room("d_hidden", like, n * SCORED, WIDTH))
     out["mixed"] = seen.reshape(-1, WIDTH).T @ d_hidden
-    d_seen = (d_hidden @ p["mixed"].T).reshape(n, SCORED, WIDTH)
-    d_value = np.matmul(weight.transpose(0, 2, 1), d_seen)
-    d_weight = np.matmul(d_seen, value.transpose(0, 2, 1))
-    d_weight -= (d_weight * weight).sum(axis=-1, keepdims=True)
+    d_seen = np.matmul(d_hidden, p["mixed"].T, out=room("d_seen", like, n * SCORED, WIDTH))
+    d_seen = d_seen.reshape(n, SCORED, WIDTH)
+    d_value = np.matmul(weight.transpose(0, 2, 1), d_seen, out=room("d_value", like, n, WINDOW, WIDTH))
+    d_weight = np.matmul(
+        d_seen, value.transpose(0, 2, 1), out=room("d_weight", like, n, SCORED, WINDOW)
+    )
+    product = np.multiply(d_weight, weight, out=room("product", like, n, SCORED, WINDOW))
+    d_weight -= product.sum(axis=-1, keepdims=True)
     d_weight *= weight
-    d_key = np.matmul(d_weight.transpose(0, 2, 1), query)
-    d_query = np.matmul(d_weight, key) * np.float32(WIDTH**-0.5)
+    d_key = np.matmul(d_weight.transpose(0, 2, 1), query, out=room("d_key", like, n, WINDOW, WIDTH))
+    d_query = np.matmul(d_weight, key, out=room("d_query", like, n, SCORED, WIDTH))
+    d_query *= np.float32(WIDTH**-0.5)
     every = inputs.reshape(-1, WIDTH)
-    own = inputs[:, CONTEXT:].reshape(-1, WIDTH)
-    out["key"] = every.T @ d_key.reshape(-1, WIDTH)
-    out["value"] = every.T @ d_value.reshape(-1, WIDTH)
-    out["query"] = own.T @ d_query.reshape(-1, WIDTH)
-    d_inputs = (
-        d_key.reshape(-1, WIDTH) @ p["key"].T + d_value.reshape(-1, WIDTH) @ p["value"].T
-    ).reshape(n, WINDOW, WIDTH)
+    own = room("own", like, n * SCORED, WIDTH)  # as attention() left it
+    d_key, d_value, d_query = (d.reshape(-1, WIDTH) for d in (d_key, d_value, d_query))
+    out["key"] = every.T @ d_key
+    out["value"] = every.T @ d_value
+    out["query"] = own.T @ d_query
+    d_flat = np.matmul(d_key, p["key"].T, out=room("d_flat", like, n * WINDOW, WIDTH))
+    d_flat += np.matmul(d_value, p["value"].T, out=room("d_more", like, n * WINDOW, WIDTH))
+    d_inputs = d_flat.reshape(n, WINDOW, WIDTH)
     d_inputs[:, CONTEXT:] += d_hidden.reshape(n, SCORED, WIDTH)
-    d_inputs[:, CONTEXT:] += (d_query.reshape(-1, WIDTH) @ p["query"].T).reshape(n, SCORED, WIDTH)
+    d_own = np.matmul(d_query, p["query"].T, out=room("d_own", like, n * SCORED, WIDTH))
+    d_inputs[:, CONTEXT:] += d_own.reshape(n, SCORED, WIDTH)
     out["places"] = d_inputs.sum(axis=0)
-    np.add.at(out["vectors"], x.ravel(), d_inputs.reshape(-1, WIDTH))
+    out["vectors"] = _summed_rows(x.ravel(), d_flat, len(like), room)
+    return out
+
+
+def _summed_rows(at: np.ndarray, rows: np.ndarray, size: int, room: Room) -> np.ndarray:
+    """``rows`` added up by their places ``at``, in order, number by number: numpy is
+    several times as fast with flat places as with those of rows."""
+    out = np.zeros((size, rows.shape[1]), dtype=rows.dtype)
+    flat = room("places", at, *rows.shape)
+    np.add((at * rows.shape[1])[:, None], np.arange(rows.shape[1]), out=flat)
+    np.add.at(out.reshape(-1), flat.reshape(-1), rows.reshape(-1))
     return out
 
 
@@ -485,19 +540,30 @@ def trained(
     flat = flat.astype(np.float32).copy()
     p = unpacked(flat)
     first, second = np.zeros_like(flat), np.zeros_like(flat)
+    room, change, gradient = Room(), np.empty_like(flat), np.empty_like(flat)
     step, seen = 0, 0
     for inputs, targets in parts:
         seen += len(inputs)
         for at in range(0, len(inputs), BATCH):
             found = gradients(
-                p, *_prepared(classes, inputs[at : at + BATCH], targets[at : at + BATCH])
+                p, *_prepared(classes, inputs[at : at + BATCH], targets[at : at + BATCH]), room
             )
-            gradient = np.concatenate([found[name].ravel() for name in SHAPES]).astype(np.float32)
+            np.concatenate([found[name].ravel() for name in SHAPES], out=gradient)
             step += 1
-            first += 0.1 * (gradient - first)
-            second += 0.01 * (gradient * gradient - second)
-            scale = np.sqrt(second / (1 - 0.99**step)) + np.float32(1e-6)
-            flat -= RATE * (first / (1 - 0.9**step)) / scale
+            np.subtract(gradient, first, out=change)
+            change *= 0.1
+            first += change
+            np.multiply(gradient, gradient, out=change)
+            change -= second
+            change *= 0.01
+            second += change
+            scale = np.divide(second, 1 - 0.99**step, out=gradient)
+            np.sqrt(scale, out=scale)
+            scale += np.float32(1e-6)
+            np.divide(first, 1 - 0.9**step, out=change)
+            change *= RATE
+            change /= scale
+            flat -= change
     return flat, seen
 
 
@@ -764,11 +830,14 @@ def _class_scores(model: Model, windows: list[tuple[np.ndarray, np.ndarray]]) ->
     owner = np.repeat(np.arange(len(windows)), [len(w[0]) for w in windows])
     total = np.zeros(len(inputs))
     p = unpacked(model.parameters)
-    rows, present, previous, target, scored = _prepared(model.classes, inputs, targets)
+    room = Room()
     for at in range(0, len(inputs), BATCH):
         own = slice(at, at + BATCH)
-        found = log_probabilities(p, rows[own], present[own], previous[own], target[own])
-        total[own] = (found * scored[own]).sum(axis=1) / np.log(10)
+        rows, present, previous, target, scored = _prepared(
+            model.classes, inputs[own], targets[own]
+        )
+        found = log_probabilities(p, rows, present, previous, target, room)
+        total[own] = (found * scored).sum(axis=1) / np.log(10)
     return np.bincount(owner, weights=total, minlength=len(windows))
 
 

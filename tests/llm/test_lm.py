@@ -232,3 +232,34 @@ def test_nothing(spark, odd, nothing):
     rows = lm.score(odd, nothing, *args).collect()
     assert len(rows) == odd.count()
     assert all(r.base_score == pytest.approx(0, abs=1e-6) and r.train_tokens == 0 and r.n_known == 0 for r in rows)
+
+
+def test_batches_share_their_memory_and_not_their_numbers():
+    """A batch in arrays another has left has the same gradients, bit by bit, and asks for
+    no new arrays; equal rows are summed in order."""
+    rng = np.random.default_rng(5)
+    p = lm.unpacked((rng.normal(size=lm.SIZE) * 0.1).astype(np.float32))
+
+    def batch(n):
+        shape = (n, lm.SCORED)
+        return (
+            rng.integers(0, 40, (n, lm.WINDOW)), rng.random((n, lm.WINDOW)) < 0.9,
+            rng.integers(0, lm.CLASSES, shape), rng.integers(0, lm.CLASSES, shape),
+            rng.random(shape) < 0.9,
+        )
+
+    room = lm.Room()
+    lm.gradients(p, *batch(20), room)
+    held = {name: id(v) for name, v in room.held.items()}
+    for n in (20, 3, 11):
+        given = batch(n)
+        alone, shared = lm.gradients(p, *given), lm.gradients(p, *given, room)
+        assert all(np.array_equal(alone[name], shared[name]) for name in lm.SHAPES)
+        told = lm.log_probabilities(p, *given[:4], room)
+        assert np.array_equal(told, lm.log_probabilities(p, *given[:4]))
+    assert {name: id(v) for name, v in room.held.items()} == held
+    at, rows = rng.integers(0, 7, 500), rng.normal(size=(500, 16)).astype(np.float32)
+    one_by_one = np.zeros((9, 16), dtype=np.float32)
+    for i, row in zip(at, rows):
+        one_by_one[i] += row
+    assert np.array_equal(lm._summed_rows(at, rows, 9, room), one_by_one)
