@@ -29,6 +29,7 @@ equally likely and the base score is 0; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -392,7 +393,7 @@ class Room:
     def __call__(self, name: str, like: np.ndarray, *shape: int) -> np.ndarray:
         """An array of this shape and the type of ``like``, with any content; the next
         call by the same name gives the same memory."""
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         held = self.held.get(name)
         if held is None or held.size < size or held.dtype != like.dtype:
             held = self.held[name] = np.empty(size, dtype=like.dtype)
@@ -411,25 +412,26 @@ def attention(
     inputs = np.take(like, x, axis=0, out=room("inputs", like, n, WINDOW, WIDTH), mode="clip")
     inputs += p["places"]
     flat = inputs.reshape(-1, WIDTH)
-    key, value = (
-        np.matmul(flat, p[name], out=room(name, like, n * WINDOW, WIDTH)).reshape(n, WINDOW, WIDTH)
-        for name in ("key", "value")
-    )
+    key = np.matmul(flat, p["key"], out=room("key", like, n * WINDOW, WIDTH))
+    key = key.reshape(n, WINDOW, WIDTH)
+    # The sum of the weights as one more value.
+    value = room("value", like, n, WINDOW, WIDTH + 1)
+    np.matmul(flat, p["value"], out=value.reshape(-1, WIDTH + 1)[:, :-1])
+    value[..., -1] = 1
     own = room("own", like, n * SCORED, WIDTH)
     own.reshape(n, SCORED, WIDTH)[:] = inputs[:, CONTEXT:]
     query = np.matmul(own, p["query"], out=room("query", like, n * SCORED, WIDTH))
     query *= np.float32(WIDTH**-0.5)
     query = query.reshape(n, SCORED, WIDTH)
     weight = np.matmul(query, key.transpose(0, 2, 1), out=room("weight", like, n, SCORED, WINDOW))
-    np.minimum(weight, 60, out=weight)
+    if weight.max(initial=0) > 60:
+        np.minimum(weight, 60, out=weight)
     np.exp(weight, out=weight)
     weight *= _causal
-    if not present.all():
-        weight *= present[:, None, :].astype(weight.dtype)
-    # The sum of the weights as one more value.
-    more = room("more", like, n, WINDOW, WIDTH + 1)
-    more[..., :-1], more[..., -1] = value, 1
-    summed = np.matmul(weight, more, out=room("summed", like, n, SCORED, WIDTH + 1))
+    lacking = np.flatnonzero(~present.all(axis=1))
+    if len(lacking):
+        weight[lacking] *= present[lacking, None, :]
+    summed = np.matmul(weight, value, out=room("summed", like, n, SCORED, WIDTH + 1))
     total = summed[..., -1:] + np.float32(1e-20)
     seen = np.divide(summed[..., :-1], total, out=room("seen", like, n, SCORED, WIDTH))
     if normal:
@@ -441,6 +443,17 @@ def attention(
     return inputs, key, value, query, weight, seen, hidden.reshape(n, SCORED, WIDTH)
 
 
+def _row_maxima(values: np.ndarray, room: Room) -> np.ndarray:
+    """The largest number of each row, by halves: numpy takes rows of few numbers slowly."""
+    n, size = values.shape
+    while size > 1:
+        size //= 2
+        values = np.maximum(
+            values[:, :size], values[:, size:], out=room(f"half {size}", values, n, size)
+        )
+    return values
+
+
 def _logits(
     p: dict[str, np.ndarray], hidden: np.ndarray, previous: np.ndarray, room: Room
 ) -> np.ndarray:
@@ -459,7 +472,8 @@ def log_probabilities(
     room = room or Room()
     logits = _logits(p, attention(p, x, present, False, room)[-1], previous, room)
     chosen = logits[np.arange(len(logits)), target.ravel()].astype(np.float64)
-    np.minimum(logits, 80, out=logits)
+    if logits.max(initial=0) > 80:
+        np.minimum(logits, 80, out=logits)
     np.exp(logits, out=logits)
     return (chosen - np.log(logits.sum(axis=1, dtype=np.float64))).reshape(target.shape)
 
@@ -474,7 +488,7 @@ def gradients(
     inputs, key, value, query, weight, seen, hidden = attention(p, x, present, room=room)
     flat = hidden.reshape(-1, WIDTH)
     d_logits = _logits(p, hidden, previous, room)
-    d_logits -= d_logits.max(axis=1, keepdims=True)
+    d_logits -= _row_maxima(d_logits, room)
     np.exp(d_logits, out=d_logits)
     d_logits /= d_logits.sum(axis=1, keepdims=True)
     d_logits[np.arange(len(d_logits)), target.ravel()] -= 1
@@ -490,7 +504,7 @@ def gradients(
     d_seen = d_seen.reshape(n, SCORED, WIDTH)
     d_value = np.matmul(weight.transpose(0, 2, 1), d_seen, out=room("d_value", like, n, WINDOW, WIDTH))
     d_weight = np.matmul(
-        d_seen, value.transpose(0, 2, 1), out=room("d_weight", like, n, SCORED, WINDOW)
+        d_seen, value[..., :-1].transpose(0, 2, 1), out=room("d_weight", like, n, SCORED, WINDOW)
     )
     product = np.multiply(d_weight, weight, out=room("product", like, n, SCORED, WINDOW))
     d_weight -= product.sum(axis=-1, keepdims=True)

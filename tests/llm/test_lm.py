@@ -263,3 +263,39 @@ def test_batches_share_their_memory_and_not_their_numbers():
     for i, row in zip(at, rows):
         one_by_one[i] += row
     assert np.array_equal(lm._summed_rows(at, rows, 9, room), one_by_one)
+
+
+def test_only_what_is_out_of_range_is_clipped(monkeypatch):
+    """Batches in range, as all are in practice, are not passed over once more; others
+    have the limits they had, and places without a subword have no weight in any."""
+    rng = np.random.default_rng(6)
+    shape = (4, lm.SCORED)
+    x, present = rng.integers(0, 40, (4, lm.WINDOW)), rng.random((4, lm.WINDOW)) < 0.8
+    present[0] = present[:, lm.CONTEXT] = True
+    previous, target = rng.integers(0, lm.CLASSES, (2, *shape))
+    clipped, minimum = [], np.minimum
+    monkeypatch.setattr(np, "minimum", lambda *a, **kw: clipped.append(a[1]) or minimum(*a, **kw))
+    for large, limits in ((1, []), (300, [60, 80])):
+        p = lm.unpacked(rng.normal(size=lm.SIZE) * 0.3)
+        p["vectors"] *= large**0.5
+        p["output"] *= large
+        clipped.clear()
+        found = lm.log_probabilities(p, x, present, previous, target)
+        assert clipped == limits
+        inputs = p["vectors"][x] + p["places"]
+        own = inputs[:, lm.CONTEXT :]
+        weight = np.exp(minimum(own @ p["query"] / 4 @ (inputs @ p["key"]).transpose(0, 2, 1), 60))
+        weight = weight * np.tri(lm.WINDOW)[lm.CONTEXT :] * present[:, None, :]
+        seen = weight @ (inputs @ p["value"]) / (weight.sum(axis=-1, keepdims=True) + 1e-20)
+        logits = (seen @ p["mixed"] + own) @ p["output"] + p["bigram"][previous]
+        chosen = np.take_along_axis(logits, target[..., None], axis=-1)[..., 0]
+        expect = chosen - np.log(np.exp(minimum(logits, 80)).sum(axis=-1))
+        assert np.allclose(found, expect)
+
+
+def test_maxima_by_halves():
+    rng = np.random.default_rng(8)
+    values = rng.normal(size=(50, lm.CLASSES)).astype(np.float32)
+    values[3], values[4, 9], values[5, 63] = -np.inf, np.nan, np.inf
+    found = lm._row_maxima(values, lm.Room())
+    assert np.array_equal(found, values.max(axis=1, keepdims=True), equal_nan=True)
